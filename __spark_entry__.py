@@ -275,6 +275,9 @@ def queries() -> dict[str, Query]:
         "activity_video_peak": _activity,
         "activity_channel_peak": lambda s, d: activity.in_report_order(_channel_activity(s, d)),
         "activity_minute_peak": lambda s, d: _activity(s, d, period_format="%Y-%m-%d %H:%i"),
+        "activity_channel_minute_peak": lambda s, d: _channel_activity(
+            s, d, period_format="%Y-%m-%d %H:%i"
+        ),
         "activity_hour_of_month": lambda s, d: _channel_activity(s, d, period_format="%Y-%m %H"),
         "activity_all_channel_peak": activity_all_channel_peaks,
         "activity_sampled": lambda s, d: _activity(s, d, user_sample=9, min_comments=3),
@@ -553,6 +556,8 @@ def oracle_sql() -> dict[str, str]:
         "activity_channel_peak": f"{channel} SELECT * FROM activity",
         "activity_minute_peak": f"WITH {_activity_ctes('video', '%Y-%m-%d %H:%M')} "
         "SELECT * FROM activity",
+        "activity_channel_minute_peak": f"WITH {_activity_ctes('channel', '%Y-%m-%d %H:%M')} "
+        "SELECT * FROM activity",
         "activity_hour_of_month": f"WITH {_activity_ctes('channel', '%Y-%m %H')} "
         "SELECT * FROM activity",
         "activity_all_channel_peak": f"""{channel},

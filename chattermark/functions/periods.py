@@ -30,7 +30,17 @@ FORMAT_CODES = {
 }
 
 # Finest code of a format -> unit, valid when all coarser codes are there too.
-_UNITS = (("%Y", "year"), ("%m", "month"), ("%d", "day"), ("%H", "hour"), ("%i", "minute"), ("%s", "second"))
+_UNITS = (
+    ("%Y", "year"),
+    ("%m", "month"),
+    ("%d", "day"),
+    ("%H", "hour"),
+    ("%i", "minute"),
+    ("%s", "second"),
+)
+
+# Units in which one user seldom comments twice under one video.
+SHORT_UNITS = ("hour", "minute", "second")
 
 
 def spark_pattern(period_format: str) -> str:

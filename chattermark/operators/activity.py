@@ -4,22 +4,29 @@ The measure of interest is the peak number of comments in one period (CPP).
 It exists at two grains: `video` counts the comments of a user under one video
 in one period, `channel` counts them over all videos of the channel.
 
-Comments are first counted by user, video and period. This step reads the
-narrow columns of the comment table once, combines on the map side and needs
-no dimension table, so that joins and later shuffles see counts, not comments.
-Sums, maxima and counts of such rows equal those of the comments themselves.
-
+Every grouping below combines on the map side before it shuffles, so a user,
+video or period with very many comments reaches its final task as one row per
+map task. At video grain the comments are first counted by user, video and
+period, which needs no dimension table; joins and later shuffles then see
+counts, not comments. At channel grain that step is only worth its shuffle
+where a period is long enough to hold several comments; otherwise the comments
+are joined as they are. Sums, maxima and counts come out the same.
+
+Joins are left to Spark: small dimension tables are broadcast by their
+measured size, large ones sort-merged, with hot keys split at run time.
 Dimension ids are taken to be unique, as keys are.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chattermark import settings
 from chattermark.functions.measures import guarded_ratio, ratio
-from chattermark.functions.periods import month_text, slot, slot_text
+from chattermark.functions.periods import SHORT_UNITS, month_text, slot, slot_text, slot_unit
 
 PEAK_GRAINS = ("video", "channel")
 
@@ -39,6 +46,7 @@ _OUTPUT = (
     "mean_replies_per_comment",
     "mean_likes_per_reply",
 )
+_WIDE = ("max_CPP_all_CH", "max_CPP_one_CH")
 
 
 def published_between(df: DataFrame, start: str | None, end: str | None) -> DataFrame:
@@ -68,6 +76,7 @@ def count_by_video_period(comments: DataFrame, period_format: str) -> DataFrame:
         "user_id", "video_id", slot("published_at", period_format).alias("slot")
     ).agg(
         F.count(F.lit(1)).alias("n_comments"),
+        F.count(F.lit(1)).alias("peak"),
         F.sum("like_count").alias("likes"),
         F.sum("reply_count").alias("replies"),
         F.max("like_count").alias("top_likes"),
@@ -75,6 +84,21 @@ def count_by_video_period(comments: DataFrame, period_format: str) -> DataFrame:
     )
 
 
+def as_counts(comments: DataFrame, period_format: str) -> DataFrame:
+    """Single comments with the columns of `count_by_video_period`."""
+    return comments.select(
+        "user_id",
+        "video_id",
+        slot("published_at", period_format).alias("slot"),
+        F.lit(1).cast("long").alias("n_comments"),
+        F.lit(1).cast("long").alias("peak"),
+        F.col("like_count").alias("likes"),
+        F.col("reply_count").alias("replies"),
+        F.col("like_count").alias("top_likes"),
+        F.col("reply_count").alias("top_replies"),
+    )
+
+
 def video_titles(videos: DataFrame, channels: DataFrame, keep_orphans: bool) -> DataFrame:
     """Channel id and title of each video."""
     titles = channels.select(
@@ -87,8 +111,8 @@ def video_titles(videos: DataFrame, channels: DataFrame, keep_orphans: bool) ->
     return placed if keep_orphans else placed.distinct()
 
 
-def _add_up(peak: Column, periods: Column | None = None) -> list[Column]:
-    totals = [
+def _add_up(peak: Column) -> list[Column]:
+    return [
         F.sum("n_comments").alias("n_comments"),
         peak.alias("peak"),
         F.sum("likes").alias("likes"),
@@ -96,11 +120,6 @@ def _add_up(peak: Column, periods: Column | None = None) -> list[Column]:
         F.max("top_likes").alias("top_likes"),
         F.max("top_replies").alias("top_replies"),
     ]
-    return totals if periods is None else [*totals, periods.alias("n_periods")]
-
-
-def _names(users: DataFrame) -> DataFrame:
-    return users.select(F.col("id").alias("user_id"), "username")
 
 
 def _with_known_user(rows: DataFrame, users: DataFrame) -> DataFrame:
@@ -145,37 +164,41 @@ def comment_activity(
     if keep_orphans is None:
         keep_orphans = peak_grain == "channel"
 
-    counted = count_by_video_period(
-        sample_users(published_between(comments, start, end), user_sample), period_format
-    )
+    picked = sample_users(published_between(comments, start, end), user_sample)
+    combine = peak_grain == "video" or slot_unit(period_format) not in SHORT_UNITS
+    counted = (count_by_video_period if combine else as_counts)(picked, period_format)
     titles = video_titles(videos, channels, keep_orphans)
     placed = counted.join(titles, "video_id", "left" if keep_orphans else "inner")
 
     # Known users keep their id through the roll-up, so the name can wait until
     # the rows are few. Unknown ones must merge before periods are counted.
-    user_key = ["user_id", "username"] if keep_orphans else ["user_id"]
-    rows = _with_known_user(placed, users) if keep_orphans else placed
+    if keep_orphans:
+        user_key, raw_user = ["user_id", "username"], "raw_user_id"
+        rows = _with_known_user(placed, users)
+    else:
+        user_key, raw_user = ["user_id"], "user_id"
+        rows = placed
 
-    peak = F.max("n_comments") if peak_grain == "video" else F.sum("n_comments")
-    by_period = rows.groupBy(*user_key, "channel_title", "slot").agg(*_add_up(peak))
+    wide = []
+    if all_channel_peaks:
+        rows = _with_wide_counts(rows, user_key, raw_user)
+        wide = [F.max(name).alias(name) for name in _WIDE]
+    peak = F.max("peak") if peak_grain == "video" else F.sum("n_comments")
+    by_period = rows.groupBy(*user_key, "channel_title", "slot").agg(*_add_up(peak), *wide)
     by_month = (
         by_period.withColumn("month", month_text("slot", period_format))
         .groupBy(*user_key, "channel_title", "month")
-        .agg(*_add_up(F.max("peak"), F.count("slot")))
+        .agg(*_add_up(F.max("peak")), F.count("slot").alias("n_periods"), *wide)
         .filter(F.col("n_comments") >= min_comments)
     )
     if not keep_orphans:
-        by_month = by_month.join(_names(users), "user_id")
-
-    result = _finish(by_month, rounded=peak_grain == "video")
-    if all_channel_peaks:
-        if not keep_orphans:
-            rows = rows.join(_names(users), "user_id").withColumn("raw_user_id", F.col("user_id"))
-        result = _attach_wide_peaks(result, rows, period_format)
-    return result
+        by_month = by_month.join(
+            users.select(F.col("id").alias("user_id"), "username"), "user_id"
+        )
+    return _finish(by_month, rounded=peak_grain == "video", extra=_WIDE if wide else ())
 
 
-def _finish(by_month: DataFrame, rounded: bool) -> DataFrame:
+def _finish(by_month: DataFrame, rounded: bool, extra: Iterable[str]) -> DataFrame:
     likes, replies, n = F.col("likes"), F.col("replies"), F.col("n_comments")
     if rounded:
         ratios = [
@@ -199,32 +222,23 @@ def _finish(by_month: DataFrame, rounded: bool) -> DataFrame:
         F.col("top_replies"),
         *ratios,
     ]
-    return by_month.select(*[v.alias(name) for v, name in zip(values, _OUTPUT)])
+    return by_month.select(*[v.alias(name) for v, name in zip(values, _OUTPUT)], *extra)
 
 
-def _attach_wide_peaks(result: DataFrame, rows: DataFrame, period_format: str) -> DataFrame:
-    """Add the peaks over all channels and by channel id.
+def _with_wide_counts(rows: DataFrame, user_key: list[str], raw_user: str) -> DataFrame:
+    """Rows by channel id and slot, with the counts of the two wider peaks.
 
-    Two grouped tables joined on user and slot, instead of a window over the
-    user's rows: nothing has to sit together in one task.
+    The user's count over all channels is a grouped table of its own, joined on
+    user and slot, instead of a window over all rows of the user.
     """
-    one_channel = rows.groupBy(
-        "raw_user_id", "user_id", "username", "channel_title", "channel_id", "slot"
-    ).agg(F.sum("n_comments").alias("n_channel"))
-    all_channels = rows.groupBy("raw_user_id", "slot").agg(F.sum("n_comments").alias("n_all"))
-    keys = ["user_id", "username", "channel_title", "month"]
-    peaks = (
-        one_channel.join(all_channels, ["raw_user_id", "slot"])
-        .withColumn("month", month_text("slot", period_format))
-        .groupBy(*keys)
-        .agg(F.max("n_all").alias("max_CPP_all_CH"), F.max("n_channel").alias("max_CPP_one_CH"))
+    user = user_key if raw_user in user_key else [raw_user, *user_key]
+    one_channel = rows.groupBy(*user, "channel_title", "channel_id", "slot").agg(
+        *_add_up(F.max("peak")), F.sum("n_comments").alias("max_CPP_one_CH")
+    )
+    all_channels = rows.groupBy(raw_user, "slot").agg(
+        F.sum("n_comments").alias("max_CPP_all_CH")
     )
-    left, right = result.alias("l"), peaks.alias("r")
-    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
-    condition = same[0]
-    for part in same[1:]:
-        condition = condition & part
-    return left.join(right, condition).select("l.*", "r.max_CPP_all_CH", "r.max_CPP_one_CH")
+    return one_channel.join(all_channels, [raw_user, "slot"])
 
 
 def in_report_order(activity: DataFrame) -> DataFrame:
