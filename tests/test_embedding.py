@@ -1,0 +1,144 @@
+import numpy as np
+import pytest
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from chattermark.operators import embedding
+from chattermark.settings import ClusterSettings
+
+TOPICS = [
+    "купите новый телефон со скидкой сегодня",
+    "спасибо за отличное видео автор",
+    "when does the next match start tonight",
+]
+
+
+@pytest.fixture(scope="module")
+def comments(spark):
+    return spark.createDataFrame(
+        [(i, f"{TOPICS[i % 3]} {'и' * (i % 4)}", i % 3) for i in range(60)],
+        "comment_id long, text string, topic int",
+    )
+
+
+@pytest.fixture(scope="module")
+def points(spark):
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(4, 12)) * 6
+    x = np.vstack([c + rng.normal(size=(30, 12)) for c in centres]) + 3
+    rows = [(i, v.tolist(), i // 30) for i, v in enumerate(x)]
+    return spark.createDataFrame(rows, "vec_id long, embedding array<double>, part int").cache(), x
+
+
+def test_words_of_any_script_count(spark):
+    df = spark.createDataFrame([(1, "Привет, как été"), (2, "—!?"), (3, None)], "id long, text string")
+    stages = embedding.lexical_pipeline("filled").getStages()[:2]
+    filled = df.withColumn("filled", F.coalesce("text", F.lit("")))
+    words = {r.id: r["__words"] for r in stages[0].transform(filled).collect()}
+    assert words[1] == ["привет", "как", "été"]
+    features, _ = embedding.lexical_features(df, n_features=64)
+    lengths = {r.id: r.features.norm(2) for r in features.collect()}
+    assert lengths[2] == 0 and lengths[3] == 0
+    assert set(features.columns) == {"id", "text", "features"}
+
+
+def test_long_texts_are_used_to_the_end(spark):
+    df = spark.createDataFrame(
+        [(1, "word " * 5000 + "end"), (2, "word " * 5000), (3, "other")], "id long, text string"
+    )
+    found = {r.id: r.features for r in embedding.lexical_features(df)[0].collect()}
+    assert found[1].numNonzeros() == found[2].numNonzeros() + 1
+
+
+def test_components_match_a_singular_value_decomposition(points):
+    df, x = points
+    vectors = embedding.as_vectors(df, "embedding", "features")
+    reduction = embedding.reduce_dimensions(vectors, n_components=5)
+    found = np.array([r.components for r in reduction.table.orderBy("vec_id").collect()])
+    centred = x - x.mean(0)
+    u, s, _ = np.linalg.svd(centred, full_matrices=False)
+    expected = u[:, :5] * s[:5]
+    np.testing.assert_allclose(np.abs(found), np.abs(expected), atol=1e-6)
+    np.testing.assert_allclose(found.mean(0), 0, atol=1e-9)
+    shares = (s**2 / (s**2).sum())[:5]
+    np.testing.assert_allclose(reduction.explained_variance, shares, atol=1e-9)
+    assert reduction.explained == pytest.approx(shares.sum())
+
+
+def test_more_components_than_dimensions(points):
+    df, _ = points
+    vectors = embedding.as_vectors(df, "embedding", "features")
+    reduction = embedding.reduce_dimensions(vectors, n_components=50)
+    assert len(reduction.explained_variance) == 12
+    assert reduction.explained == pytest.approx(1)
+    placed = embedding.with_projection(reduction.table)
+    row = placed.select("proj_x", "proj_y", vector_to_array("components").alias("c")).head()
+    assert (row.proj_x, row.proj_y) == (row.c[0], row.c[1])
+
+
+def test_best_of_several_fits(points):
+    df, _ = points
+    vectors = embedding.as_vectors(df, "embedding", "features").cache()
+    model, costs = embedding.best_kmeans(vectors, "features", n_clusters=4, restarts=4)
+    assert len(costs) == 4 and model.summary.trainingCost == min(costs)
+    labelled = model.transform(vectors)
+    pairs = labelled.select("part", "cluster_label").distinct().collect()
+    assert len(pairs) == 4 and {p.cluster_label for p in pairs} == {0, 1, 2, 3}
+
+
+def test_fewer_rows_or_distinct_rows_than_clusters(spark):
+    rows = [(i, [float(i % 3), 1.0]) for i in range(6)]
+    df = spark.createDataFrame(rows, "id long, embedding array<double>")
+    vectors = embedding.as_vectors(df, "embedding", "features")
+    model, _ = embedding.best_kmeans(vectors, "features", n_clusters=10, restarts=2)
+    assert model.transform(vectors).select("cluster_label").distinct().count() <= 3
+    with pytest.raises(ValueError):
+        embedding.best_kmeans(vectors.limit(1), "features")
+
+
+def test_cluster_comments(comments):
+    config = ClusterSettings(n_features=128, n_components=5, n_clusters=3, restarts=3)
+    result = embedding.cluster_comments(comments, config=config)
+    assert result.table.columns == [*comments.columns, "cluster_label", "proj_x", "proj_y"]
+    assert result.table.count() == 60
+    pairs = result.table.select("topic", "cluster_label").distinct().collect()
+    assert len(pairs) == 3
+    assert 0 < result.explained <= 1 + 1e-9
+    assert result.table.filter("proj_x is null or proj_y is null").isEmpty()
+
+
+def test_cluster_comments_by_given_vectors(points):
+    df, _ = points
+    named = df.withColumn("text", F.lit("any"))
+    config = ClusterSettings(n_clusters=4, restarts=4)
+    result = embedding.cluster_comments(named, vector_column="embedding", config=config)
+    assert len(result.table.select("part", "cluster_label").distinct().collect()) == 4
+
+
+def test_nothing_or_one_comment(comments):
+    empty = embedding.cluster_comments(comments.limit(0)).table
+    assert empty.collect() == []
+    assert dict(empty.dtypes)["cluster_label"] == "int"
+    one = embedding.cluster_comments(comments.limit(1)).table.collect()
+    assert [r.cluster_label for r in one] == [0]
+    two = embedding.cluster_comments(comments.limit(2), config=ClusterSettings(restarts=1)).table
+    assert two.count() == 2
+
+
+def test_text_column_must_exist(comments):
+    with pytest.raises(ValueError):
+        embedding.cluster_comments(comments, text_column="body")
+
+
+def test_encoder_sees_batches(comments):
+    def load():
+        def encode(texts):
+            assert len(texts) <= 4
+            return [[float(len(t)), float(len(texts))] for t in texts]
+
+        return encode
+
+    df = comments.union(comments.limit(1).selectExpr("1000L", "cast(null as string)", "0"))
+    encoded = embedding.encode_texts(df, load, batch_size=4).collect()
+    assert all(r.embedding[0] == len(r.text or "") for r in encoded)
+    assert len(encoded) == 61
