@@ -99,7 +99,20 @@ def cluster_samples(
     )
 
 
-def sample_lists(samples: DataFrame, label_column: str = "cluster_label", text_column: str = "text") -> DataFrame:
+def samples_of_cluster(
+    df: DataFrame,
+    cluster_id: int,
+    n_samples: int = 10,
+    text_column: str = "text",
+    order_column: str = "comment_id",
+) -> DataFrame:
+    """The first texts of one cluster by comment id."""
+    return cluster_rows(df, cluster_id).orderBy(order_column).limit(n_samples).select(text_column)
+
+
+def sample_lists(
+    samples: DataFrame, label_column: str = "cluster_label", text_column: str = "text"
+) -> DataFrame:
     """Samples as one list per cluster, named `cluster_<label>`."""
     return samples.groupBy(label_column).agg(
         F.sort_array(F.collect_list(F.struct("rank", text_column))).alias("ranked")

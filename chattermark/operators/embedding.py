@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
 import pyarrow as pa
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import IDF, PCA, HashingTF, Normalizer, RegexTokenizer, StandardScaler
@@ -30,27 +30,38 @@ from chattermark.sources.staging import stage
 Encoder = Callable[[list[str]], "list[list[float]]"]
 
 
-def lexical_pipeline(
-    text_column: str = "text", output_column: str = "features", n_features: int = 768
-) -> Pipeline:
-    """Words of any script, hashed, weighted and scaled to length 1. Whole texts are used."""
+def hashed_words(
+    df: DataFrame, text_column: str = "text", output_column: str = "counts", n_features: int = 768
+) -> DataFrame:
+    """Adds word counts, words of any script, hashed into `n_features` places.
+
+    Whole texts are used; a missing text counts as an empty one.
+    """
+    filled = df.withColumn("__text", F.coalesce(text_column, F.lit("")))
+    words = RegexTokenizer(inputCol="__text", outputCol="__words", pattern=r"(?U)\W+")
+    hashed = HashingTF(inputCol="__words", outputCol=output_column, numFeatures=n_features)
+    return hashed.transform(words.transform(filled)).drop("__text", "__words")
+
+
+def fit_weights(
+    df: DataFrame, input_column: str = "counts", output_column: str = "features"
+) -> PipelineModel:
+    """Model that weights counts by inverse document frequency and scales them to length 1."""
     return Pipeline(
         stages=[
-            RegexTokenizer(inputCol=text_column, outputCol="__words", pattern=r"(?U)\W+"),
-            HashingTF(inputCol="__words", outputCol="__counts", numFeatures=n_features),
-            IDF(inputCol="__counts", outputCol="__weights"),
+            IDF(inputCol=input_column, outputCol="__weights"),
             Normalizer(p=2.0, inputCol="__weights", outputCol=output_column),
         ]
-    )
+    ).fit(df)
 
 
 def lexical_features(
     df: DataFrame, text_column: str = "text", output_column: str = "features", n_features: int = 768
 ) -> tuple[DataFrame, PipelineModel]:
-    """Adds a vector column; a missing text counts as an empty one."""
-    filled = df.withColumn("__text", F.coalesce(text_column, F.lit("")))
-    model = lexical_pipeline("__text", output_column, n_features).fit(filled)
-    return model.transform(filled).drop("__text", "__words", "__counts", "__weights"), model
+    """Adds a vector column from a column of texts."""
+    counts = hashed_words(df, text_column, "__counts", n_features)
+    model = fit_weights(counts, "__counts", output_column)
+    return model.transform(counts).drop("__counts", "__weights"), model
 
 
 def encode_texts(
@@ -144,8 +155,8 @@ def best_kmeans(
 ) -> tuple[KMeansModel, list[float]]:
     """The cheapest of several k-means fits, and the cost of each.
 
-    `df` is read many times: stage it first. The number of clusters is lowered
-    to the number of rows if that is smaller; there must be two of each.
+    The number of clusters is lowered to the number of rows if that is smaller;
+    there must be two of each.
     """
     k = min(n_clusters, df.limit(n_clusters).count())
     if k < 2:
@@ -154,8 +165,14 @@ def best_kmeans(
         KMeans(k=k, seed=seed + i, featuresCol=column, predictionCol="cluster_label")
         for i in range(restarts)
     ]
-    with ThreadPool(min(parallelism, restarts)) as pool:
-        models = pool.map(inheritable_thread_target(lambda e: e.fit(df)), estimators)
+    # One stored copy for all fits; each would otherwise store its own.
+    points = df.select(column).persist(StorageLevel.MEMORY_AND_DISK)
+    fit = inheritable_thread_target(df.sparkSession)(lambda estimator: estimator.fit(points))
+    try:
+        with ThreadPool(min(parallelism, restarts)) as pool:
+            models = pool.map(fit, estimators)
+    finally:
+        points.unpersist()
     costs = [m.summary.trainingCost for m in models]
     return models[costs.index(min(costs))], costs
 
@@ -193,19 +210,24 @@ def cluster_comments(
     """
     if text_column not in df.columns:
         raise ValueError(f"column {text_column!r} not found")
-    n_rows = df.limit(2).count()
-    if n_rows < 2 or config.n_clusters < 2:
-        return ClusteredComments(_one_cluster(df))
-
+    # Texts are read and split once; all fitting reads the staged vectors.
     if vector_column:
-        features, lexical = as_vectors(df, vector_column, "__features"), None
+        staged = stage(as_vectors(df, vector_column, "__features"), "features")
     else:
-        features, lexical = lexical_features(df, text_column, "__features", config.n_features)
+        staged = stage(hashed_words(df, text_column, "__counts", config.n_features), "counts")
+    if staged.limit(2).count() < 2 or config.n_clusters < 2:
+        return ClusteredComments(_one_cluster(staged.select(*df.columns)))
+
+    models: list[Model] = []
+    features = staged
+    if not vector_column:
+        models.append(fit_weights(staged, "__counts", "__features"))
+        features = models[0].transform(staged).drop("__counts", "__weights")
     reduction = reduce_dimensions(features, "__features", "__components", config.n_components)
-    scores = stage(with_projection(reduction.table.drop("__features"), "__components"), "scores")
     kmeans, costs = best_kmeans(
-        scores, "__components", config.n_clusters, config.restarts, config.seed
+        reduction.table, "__components", config.n_clusters, config.restarts, config.seed
     )
-    models = tuple(m for m in (lexical, reduction.model, kmeans) if m is not None)
-    table = kmeans.transform(scores).select(*df.columns, "cluster_label", "proj_x", "proj_y")
-    return ClusteredComments(table, reduction.explained, tuple(costs), models)
+    placed = with_projection(kmeans.transform(reduction.table), "__components")
+    table = placed.select(*df.columns, "cluster_label", "proj_x", "proj_y")
+    models += [reduction.model, kmeans]
+    return ClusteredComments(table, reduction.explained, tuple(costs), tuple(models))

@@ -31,11 +31,19 @@ def cumulative_share(activity: DataFrame) -> DataFrame:
     )
 
 
-def commenter_density(activity: DataFrame, max_periods: int = 10) -> DataFrame:
-    """Rows by comment count and number of active periods, fewer than `max_periods`."""
+def commenter_density(
+    activity: DataFrame, max_periods: int | None = 10, max_comments: int | None = None
+) -> DataFrame:
+    """Rows by comment count and number of active periods, both below their limits."""
+    limits = {
+        "number_periods_with_comments": max_periods,
+        "number_comments_all_time": max_comments,
+    }
+    for column, limit in limits.items():
+        if limit is not None:
+            activity = activity.filter(F.col(column) < limit)
     return (
-        activity.filter(F.col("number_periods_with_comments") < max_periods)
-        .groupBy("number_comments_all_time", "number_periods_with_comments")
+        activity.groupBy("number_comments_all_time", "number_periods_with_comments")
         .agg(F.count(F.lit(1)).alias("number_commenters"))
     )
 

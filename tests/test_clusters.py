@@ -74,6 +74,8 @@ def test_samples(data):
         assert clusters.cluster_rows(clustered, label).count() == sum(
             r.cluster_label == label for r in ordered
         )
+        one = clusters.samples_of_cluster(clustered, label, 4).collect()
+        assert [r.text for r in one] == expected
     lists = {r.cluster: r.samples for r in clusters.sample_lists(samples).collect()}
     assert lists == {f"cluster_{label}": found[label] for label in found}
 

@@ -138,3 +138,16 @@ def test_catalog_analysis(spark, source, tmp_path):
         options=AnalysisSettings(start=None, end=None),
     )
     assert result.activity.count() == 2
+
+
+def test_command_line(spark, source, tmp_path, capsys):
+    from chattermark.__main__ import main
+
+    for name, df in source.items():
+        df.write.parquet(f"{tmp_path}/tables/{name}")
+    files = main(
+        ["--tables", f"{tmp_path}/tables", "--start-date", "2024-01-01", "--end-date",
+         "2024-02-01", "--threshold", "5", "--no-text-analysis", "--output-dir", f"{tmp_path}/out"]
+    )
+    assert "suspicious_commenters" in files
+    assert f"summary\t{tmp_path}/out/summary.json" in capsys.readouterr().out

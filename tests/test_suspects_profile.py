@@ -74,6 +74,8 @@ def test_density(activity):
     )
     density = profile.commenter_density(df)
     assert values(density) == [(7, 3, 2), (9, 9, 1)]
+    assert values(profile.commenter_density(df, None, 60)) == [(7, 3, 2), (9, 9, 1)]
+    assert profile.commenter_density(df, max_periods=None).count() == 3
     assert values(profile.binned_density(density, 5, 4)) == [(5, 0, 2), (5, 8, 1)]
     assert values(profile.binned_density(density)) == values(density)
 
