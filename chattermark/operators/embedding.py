@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from chattermark import settings
 from chattermark.settings import ClusterSettings
-from chattermark.sources.staging import stage
+from chattermark.sources.staging import spread, stage
 
 Encoder = Callable[[list[str]], "list[list[float]]"]
 
@@ -217,6 +217,7 @@ def cluster_comments(
         staged = stage(hashed_words(df, text_column, "__counts", config.n_features), "counts")
     if staged.limit(2).count() < 2 or config.n_clusters < 2:
         return ClusteredComments(_one_cluster(staged.select(*df.columns)))
+    staged = spread(staged)
 
     models: list[Model] = []
     features = staged

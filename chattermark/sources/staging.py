@@ -40,3 +40,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(staged: DataFrame, rows_per_task: int = 50_000) -> DataFrame:
+    """A small staged table over all cores, for work that costs much per row.
+
+    A table with more rows than that comes in enough file splits and is left as
+    it is. Counting a staged table reads file footers only.
+    """
+    cores = staged.sparkSession.sparkContext.defaultParallelism
+    return staged.repartition(cores) if staged.count() < rows_per_task * cores else staged
