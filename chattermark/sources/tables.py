@@ -67,6 +67,8 @@ def jdbc_options(
         "user": user,
         "password": password,
         "fetchsize": str(fetch_size),
+        # Times without a zone stay as they are stored.
+        "preferTimestampNTZ": "true",
     }
     ranges = {
         "partitionColumn": partition_column,
