@@ -13,6 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chattermark import schemas
 from chattermark.functions import texts
 from chattermark.operators import (
     activity,
@@ -127,6 +128,11 @@ def analysis_counts(spark, sf_dir):
     )
 
 
+def quality_structure(spark, sf_dir):
+    nameless = _channel_activity(spark, sf_dir).drop("username")
+    return quality.check_structure(nameless, schemas.ACTIVITY_REQUIRED)
+
+
 def quality_activity(spark, sf_dir):
     return _rounded(
         quality.check_activity(staging.stage(_channel_activity(spark, sf_dir), "activity")), "value"
@@ -293,6 +299,9 @@ def queries() -> dict[str, Query]:
         ),
         "cumulative_share": cumulative_share,
         "commenter_density": lambda s, d: profile.commenter_density(_channel_activity(s, d)),
+        "commenter_scatter": lambda s, d: profile.commenter_density(
+            _channel_activity(s, d), max_periods=None, max_comments=60
+        ),
         "commenter_density_bins": commenter_density_bins,
         "activity_timeseries": lambda s, d: profile.activity_over_time(
             _channel_activity(s, d), "month"
@@ -300,6 +309,7 @@ def queries() -> dict[str, Query]:
         "comment_timeseries": comment_timeseries,
         "summary_totals": summary_totals,
         "analysis_counts": analysis_counts,
+        "quality_structure": quality_structure,
         "quality_activity": quality_activity,
         "quality_text": quality_text,
         "quality_clusters": quality_clusters,
@@ -325,6 +335,10 @@ def queries() -> dict[str, Query]:
             "avg_comments", "avg_max_cpp", "avg_likes_per_comment",
         ),
         "label_samples": label_samples,
+        "label_members": lambda s, d: clusters.cluster_rows(_vectors(s, d), 3, "label").select(
+            "vec_id", "label"
+        ),
+        "label_sample_texts": lambda s, d: clusters.samples_of_cluster(_labelled(s, d), "fr"),
         "report_tables": report_tables,
     }
 
@@ -459,10 +473,15 @@ def oracle_sql() -> dict[str, str]:
         "total_replies_all_time", "max_likes", "max_replies", "mean_likes_per_comment",
         "mean_replies_per_comment", "mean_likes_per_reply",
     ]
-    counts, rows = structure(
-        activity_columns,
-        ["username", "user_id", "number_comments_all_time", "max_CPP_this_CH", "channel_title"],
-    )
+    required = [
+        "username", "user_id", "number_comments_all_time", "max_CPP_this_CH", "channel_title",
+    ]
+    counts, rows = structure(activity_columns[1:], required)
+    rows.append(finding("missing_field", "error", "username"))
+    quality_structure_sql = f"""{channel},
+        t AS (SELECT count(*) AS n_rows, {counts} FROM activity) """ + " UNION ALL ".join(rows)
+
+    counts, rows = structure(activity_columns, required)
     n = "number_comments_all_time"
     rows += [
         finding("high_comment_count", "warning", n, "most", when="most > 100000"),
@@ -606,6 +625,9 @@ def oracle_sql() -> dict[str, str]:
         "commenter_density": f"""{channel}
             SELECT {n}, number_periods_with_comments, count(*) AS number_commenters
             FROM activity WHERE number_periods_with_comments < 10 GROUP BY ALL""",
+        "commenter_scatter": f"""{channel}
+            SELECT {n}, number_periods_with_comments, count(*) AS number_commenters
+            FROM activity WHERE {n} < 60 GROUP BY ALL""",
         "commenter_density_bins": f"""{channel}
             SELECT CAST(floor({n} / 5) * 5 AS BIGINT) AS comments_from,
                    CAST(floor(number_periods_with_comments / 2) * 2 AS BIGINT) AS periods_from,
@@ -635,6 +657,7 @@ def oracle_sql() -> dict[str, str]:
                    count(*) FILTER ("max_CPP_this_CH" >= {THRESHOLD}) AS suspicious_users,
                    (SELECT count(*) FROM ({flagged_texts})) AS comments_analyzed
             FROM activity""",
+        "quality_structure": quality_structure_sql,
         "quality_activity": quality_activity_sql,
         "quality_text": quality_text_sql,
         "quality_clusters": quality_clusters_sql,
@@ -692,6 +715,9 @@ def oracle_sql() -> dict[str, str]:
                        sum(total_likes_all_time)::DOUBLE / sum({n}) AS likes
                 FROM activity GROUP BY user_id""",
         ),
+        "label_members": "SELECT vec_id, label FROM embeddings WHERE label = 3",
+        "label_sample_texts": f"""{labelled}
+            SELECT text FROM labelled WHERE cluster_label = 'fr' ORDER BY comment_id LIMIT 10""",
         "label_samples": f"""{labelled},
             ranked AS (
                 SELECT *, row_number() OVER (PARTITION BY cluster_label ORDER BY comment_id) AS r

@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 SHORT_TEXT = 5
 PREVIEW_LENGTH = 100
 
-# Unicode white space plus the four separators \x1c-\x1f.
-_OUTER_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# White space, Unicode's and the separators \x1c-\x1f.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def _column(column: str | Column) -> Column:
@@ -19,7 +23,7 @@ def _column(column: str | Column) -> Column:
 
 def strip(text: str | Column) -> Column:
     """Text without outer white space."""
-    return F.regexp_replace(_column(text), _OUTER_SPACE, "")
+    return F.trim(_column(text), F.lit(WHITE_SPACE))
 
 
 def is_short(text: str | Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 STATS_GRAINS = ("row", "user")
 
 
-def cluster_rows(df: DataFrame, cluster_id: int, label_column: str = "cluster_label") -> DataFrame:
+def cluster_rows(df: DataFrame, cluster_id, label_column: str = "cluster_label") -> DataFrame:
     """Rows of one cluster."""
     return df.filter(F.col(label_column) == cluster_id)
 
@@ -101,7 +101,7 @@ def cluster_samples(
 
 def samples_of_cluster(
     df: DataFrame,
-    cluster_id: int,
+    cluster_id,
     n_samples: int = 10,
     text_column: str = "text",
     order_column: str = "comment_id",

@@ -31,7 +31,7 @@ Encoder = Callable[[list[str]], "list[list[float]]"]
 
 
 def hashed_words(
-    df: DataFrame, text_column: str = "text", output_column: str = "counts", n_features: int = 768
+    df: DataFrame, text_column: str = "text", output_column: str = "counts", n_features: int = 512
 ) -> DataFrame:
     """Adds word counts, words of any script, hashed into `n_features` places.
 
@@ -56,7 +56,7 @@ def fit_weights(
 
 
 def lexical_features(
-    df: DataFrame, text_column: str = "text", output_column: str = "features", n_features: int = 768
+    df: DataFrame, text_column: str = "text", output_column: str = "features", n_features: int = 512
 ) -> tuple[DataFrame, PipelineModel]:
     """Adds a vector column from a column of texts."""
     counts = hashed_words(df, text_column, "__counts", n_features)
@@ -151,10 +151,11 @@ def best_kmeans(
     n_clusters: int = settings.DEFAULT_CLUSTERS,
     restarts: int = settings.DEFAULT_RESTARTS,
     seed: int = settings.DEFAULT_SEED,
-    parallelism: int = 4,
+    parallelism: int | None = None,
 ) -> tuple[KMeansModel, list[float]]:
     """The cheapest of several k-means fits, and the cost of each.
 
+    The fits run side by side, all of them unless `parallelism` says otherwise.
     The number of clusters is lowered to the number of rows if that is smaller;
     there must be two of each.
     """
@@ -169,7 +170,7 @@ def best_kmeans(
     points = df.select(column).persist(StorageLevel.MEMORY_AND_DISK)
     fit = inheritable_thread_target(df.sparkSession)(lambda estimator: estimator.fit(points))
     try:
-        with ThreadPool(min(parallelism, restarts)) as pool:
+        with ThreadPool(min(parallelism or restarts, restarts)) as pool:
             models = pool.map(fit, estimators)
     finally:
         points.unpersist()

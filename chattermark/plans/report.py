@@ -145,18 +145,12 @@ def run_analysis(
     clustered = None
     if include_texts and not suspicious.isEmpty():
         start, end = text_window or (options.start, options.end)
-        result.comments = stage(
-            comments_of_users(
-                tables.comments,
-                suspicious,
-                start=start,
-                end=end,
-                user_sample=options.user_sample,
-            ),
-            "comment-texts",
+        comments = comments_of_users(
+            tables.comments, suspicious, start=start, end=end, user_sample=options.user_sample
         )
-        result.clustered = cluster_comments(result.comments, config=clusters)
+        result.clustered = cluster_comments(comments, config=clusters)
         clustered = stage(result.clustered.table, "clustered")
+        result.comments = clustered.select(*comments.columns)
     result.files = write_report(
         activity, folder, options.threshold, clustered, clusters.n_samples
     )

@@ -34,7 +34,8 @@ class AnalysisSettings:
 class ClusterSettings:
     """How texts are turned into vectors, reduced and grouped."""
 
-    n_features: int = 768
+    # A power of two spreads hashed words evenly.
+    n_features: int = 512
     n_components: int = DEFAULT_COMPONENTS
     n_clusters: int = DEFAULT_CLUSTERS
     restarts: int = DEFAULT_RESTARTS

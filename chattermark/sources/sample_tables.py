@@ -16,9 +16,20 @@ USER_SHIFT = 7
 VIDEO_SHIFT = 10
 REPLIES = {"purchase": 2, "click": 1}
 
+# Declared, so that no job has to look into the files for them.
+COLUMNS = {
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, "
+    "value double, props string",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "embeddings": "vec_id long, embedding array<float>, label int",
+    "customer": "c_custkey long, c_name string",
+    "part": "p_partkey long, p_size int",
+    "nation": "n_nationkey int, n_name string",
+}
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:

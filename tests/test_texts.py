@@ -19,6 +19,10 @@ def test_strip_agrees_with_python(spark):
     assert apply(spark, texts.strip("text"), SPACED) == expected
 
 
+def test_every_kind_of_white_space_is_known():
+    assert set(texts.WHITE_SPACE) == {chr(i) for i in range(0x110000) if chr(i).isspace()}
+
+
 def test_usable_is_longer_than_five_once_stripped(spark):
     values = ["12345", "123456", "  12345  ", " 123456 ", None, "привет"]
     assert apply(spark, F.coalesce(texts.is_usable("text"), F.lit(False)), values) == [
