@@ -145,31 +145,53 @@ def with_projection(df: DataFrame, column: str = "components") -> DataFrame:
     )
 
 
+def distinct_vectors(df: DataFrame, column: str, at_most: int) -> int:
+    """Number of distinct vectors, counted no further than `at_most`.
+
+    A sketch answers for tables with plenty. Only where it finds few are they
+    counted, and few distinct values are cheap to count: they combine in the
+    tasks that read them.
+    """
+    values = df.select(vector_to_array(column).alias("value"))
+    sketched = values.agg(F.approx_count_distinct(F.xxhash64("value"), 0.05)).head()[0]
+    if sketched > 2 * at_most + 100:
+        return at_most
+    return values.distinct().limit(at_most).count()
+
+
 def best_kmeans(
     df: DataFrame,
     column: str = "components",
     n_clusters: int = settings.DEFAULT_CLUSTERS,
     restarts: int = settings.DEFAULT_RESTARTS,
     seed: int = settings.DEFAULT_SEED,
+    max_iterations: int = settings.DEFAULT_ITERATIONS,
     parallelism: int | None = None,
-) -> tuple[KMeansModel, list[float]]:
+) -> tuple[KMeansModel | None, list[float]]:
     """The cheapest of several k-means fits, and the cost of each.
 
+    Each fit goes on until its centres rest, mostly after 20 to 50 iterations.
     The fits run side by side, all of them unless `parallelism` says otherwise.
-    The number of clusters is lowered to the number of rows if that is smaller;
-    there must be two of each.
+    The number of clusters is lowered to the number of distinct vectors if that
+    is smaller. There is no model when that leaves a single cluster.
     """
-    k = min(n_clusters, df.limit(n_clusters).count())
-    if k < 2:
-        raise ValueError("k-means needs at least two rows and two clusters")
-    estimators = [
-        KMeans(k=k, seed=seed + i, featuresCol=column, predictionCol="cluster_label")
-        for i in range(restarts)
-    ]
     # One stored copy for all fits; each would otherwise store its own.
     points = df.select(column).persist(StorageLevel.MEMORY_AND_DISK)
-    fit = inheritable_thread_target(df.sparkSession)(lambda estimator: estimator.fit(points))
     try:
+        k = distinct_vectors(points, column, n_clusters)
+        if k < 2:
+            return None, []
+        estimators = [
+            KMeans(
+                k=k,
+                seed=seed + i,
+                maxIter=max_iterations,
+                featuresCol=column,
+                predictionCol="cluster_label",
+            )
+            for i in range(restarts)
+        ]
+        fit = inheritable_thread_target(df.sparkSession)(lambda estimator: estimator.fit(points))
         with ThreadPool(min(parallelism or restarts, restarts)) as pool:
             models = pool.map(fit, estimators)
     finally:
@@ -188,7 +210,7 @@ class ClusteredComments:
     models: tuple[Model, ...] = ()
 
 
-def _one_cluster(df: DataFrame) -> DataFrame:
+def _unplaced(df: DataFrame) -> DataFrame:
     return df.select(
         "*",
         F.lit(0).alias("cluster_label"),
@@ -206,8 +228,8 @@ def cluster_comments(
     """Adds `cluster_label`, `proj_x` and `proj_y` to a table of comments.
 
     Vectors are taken from `vector_column` if given, else from the texts. An
-    empty table comes back empty, with the three columns; a single comment, or
-    a single cluster, needs no model.
+    empty table comes back empty, with the three columns; comments that are all
+    alike share one cluster.
     """
     if text_column not in df.columns:
         raise ValueError(f"column {text_column!r} not found")
@@ -216,8 +238,8 @@ def cluster_comments(
         staged = stage(as_vectors(df, vector_column, "__features"), "features")
     else:
         staged = stage(hashed_words(df, text_column, "__counts", config.n_features), "counts")
-    if staged.limit(2).count() < 2 or config.n_clusters < 2:
-        return ClusteredComments(_one_cluster(staged.select(*df.columns)))
+    if staged.limit(2).count() < 2:
+        return ClusteredComments(_unplaced(staged.select(*df.columns)))
     staged = spread(staged)
 
     models: list[Model] = []
@@ -226,10 +248,20 @@ def cluster_comments(
         models.append(fit_weights(staged, "__counts", "__features"))
         features = models[0].transform(staged).drop("__counts", "__weights")
     reduction = reduce_dimensions(features, "__features", "__components", config.n_components)
+    models.append(reduction.model)
+    placed = with_projection(reduction.table, "__components")
+    output = [*df.columns, "cluster_label", "proj_x", "proj_y"]
     kmeans, costs = best_kmeans(
-        reduction.table, "__components", config.n_clusters, config.restarts, config.seed
+        placed,
+        "__components",
+        config.n_clusters,
+        config.restarts,
+        config.seed,
+        config.max_iterations,
     )
-    placed = with_projection(kmeans.transform(reduction.table), "__components")
-    table = placed.select(*df.columns, "cluster_label", "proj_x", "proj_y")
-    models += [reduction.model, kmeans]
+    if kmeans is None:
+        single = placed.withColumn("cluster_label", F.lit(0)).select(*output)
+        return ClusteredComments(single, reduction.explained, (), tuple(models))
+    models.append(kmeans)
+    table = kmeans.transform(placed).select(*output)
     return ClusteredComments(table, reduction.explained, tuple(costs), tuple(models))

@@ -14,6 +14,7 @@ DEFAULT_BATCH_SIZE = 32
 DEFAULT_COMPONENTS = 50
 DEFAULT_CLUSTERS = 10
 DEFAULT_RESTARTS = 10
+DEFAULT_ITERATIONS = 300
 DEFAULT_SEED = 42
 
 
@@ -39,5 +40,6 @@ class ClusterSettings:
     n_components: int = DEFAULT_COMPONENTS
     n_clusters: int = DEFAULT_CLUSTERS
     restarts: int = DEFAULT_RESTARTS
+    max_iterations: int = DEFAULT_ITERATIONS
     seed: int = DEFAULT_SEED
     n_samples: int = 5

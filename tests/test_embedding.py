@@ -85,13 +85,17 @@ def test_best_of_several_fits(points):
 
 
 def test_fewer_rows_or_distinct_rows_than_clusters(spark):
-    rows = [(i, [float(i % 3), 1.0]) for i in range(6)]
+    rows = [(i, [float(i % 3), 1.0]) for i in range(60)]
     df = spark.createDataFrame(rows, "id long, embedding array<double>")
     vectors = embedding.as_vectors(df, "embedding", "features")
     model, _ = embedding.best_kmeans(vectors, "features", n_clusters=10, restarts=2)
-    assert model.transform(vectors).select("cluster_label").distinct().count() <= 3
-    with pytest.raises(ValueError):
-        embedding.best_kmeans(vectors.limit(1), "features")
+    assert model.transform(vectors).select("cluster_label").distinct().count() == 3
+    assert embedding.distinct_vectors(vectors, "features", 10) == 3
+    assert embedding.distinct_vectors(vectors, "features", 2) == 2
+    many = spark.range(5000).selectExpr("id", "array(double(id), 1D) AS embedding")
+    many = embedding.as_vectors(many, "embedding", "features")
+    assert embedding.distinct_vectors(many, "features", 10) == 10
+    assert embedding.best_kmeans(vectors.limit(1), "features") == (None, [])
 
 
 def test_cluster_comments(comments):
@@ -140,3 +144,21 @@ def test_encoder_sees_batches(comments):
     encoded = embedding.encode_texts(df, load, batch_size=4).collect()
     assert all(r.embedding[0] == len(r.text or "") for r in encoded)
     assert len(encoded) == 61
+
+
+def test_texts_without_a_word(spark):
+    df = spark.createDataFrame(
+        [(1, None), (2, ""), (3, "!!"), (4, None)], "comment_id long, text string"
+    )
+    found = embedding.cluster_comments(df, config=ClusterSettings(restarts=2)).table.collect()
+    assert sorted(r.comment_id for r in found) == [1, 2, 3, 4]
+    assert {r.cluster_label for r in found} == {0}
+
+
+def test_copies_of_few_texts(spark):
+    df = spark.range(300).selectExpr(
+        "id AS comment_id", "CASE WHEN id % 3 = 0 THEN 'buy it now' ELSE 'thank you' END AS text"
+    )
+    table = embedding.cluster_comments(df, config=ClusterSettings(restarts=2)).table
+    sizes = sorted(r["count"] for r in table.groupBy("cluster_label", "text").count().collect())
+    assert sizes == [100, 200]
