@@ -122,6 +122,25 @@ def summary_totals(spark, sf_dir):
     )
 
 
+def summary_record(spark, sf_dir):
+    """The nested summary, its lists spelled out as text."""
+    record = profile.summary(_activity(spark, sf_dir), THRESHOLD, _labelled(spark, sf_dir))
+
+    def spelled(column, *fields):
+        return F.array_join(
+            F.transform(column, lambda x: F.concat_ws(":", *[x[f].cast("string") for f in fields])),
+            ",",
+        ).alias(column)
+
+    return record.select(
+        "total_users",
+        "total_comments",
+        "suspicious_users",
+        spelled("top_commenters", "username", "number_comments_all_time", "max_CPP_this_CH"),
+        spelled("cluster_distribution", "cluster_label", "count"),
+    )
+
+
 def analysis_counts(spark, sf_dir):
     return report.analysis_counts(
         _activity(spark, sf_dir), THRESHOLD, suspicious_comment_text(spark, sf_dir)
@@ -308,6 +327,7 @@ def queries() -> dict[str, Query]:
         ),
         "comment_timeseries": comment_timeseries,
         "summary_totals": summary_totals,
+        "summary_record": summary_record,
         "analysis_counts": analysis_counts,
         "quality_structure": quality_structure,
         "quality_activity": quality_activity,
@@ -652,6 +672,21 @@ def oracle_sql() -> dict[str, str]:
                        AS suspicious_percentage,
                    round(total_comments::DOUBLE / total_users, 6) AS avg_comments_per_user
             FROM t""",
+        "summary_record": f"""{video}, {_LABELLED},
+            top AS (
+                SELECT username, {n} AS n, "max_CPP_this_CH" AS peak FROM activity
+                ORDER BY {n} DESC, {ties} LIMIT 10
+            ),
+            sizes AS (SELECT cluster_label, count(*) AS size FROM labelled GROUP BY 1)
+            SELECT count(DISTINCT user_id) AS total_users,
+                   CAST(sum({n}) AS BIGINT) AS total_comments,
+                   count(*) FILTER ("max_CPP_this_CH" >= {THRESHOLD}) AS suspicious_users,
+                   (SELECT string_agg(username || ':' || n || ':' || peak, ','
+                                      ORDER BY n DESC, peak DESC, username DESC)
+                    FROM top) AS top_commenters,
+                   (SELECT string_agg(cluster_label || ':' || size, ',' ORDER BY cluster_label)
+                    FROM sizes) AS cluster_distribution
+            FROM activity""",
         "analysis_counts": f"""{video}
             SELECT count(*) AS total_records,
                    count(*) FILTER ("max_CPP_this_CH" >= {THRESHOLD}) AS suspicious_users,

@@ -1,4 +1,4 @@
-"""Run a whole analysis as a job: `spark-submit chattermark/__main__.py --help`."""
+"""Run a whole analysis as a job: `python -m chattermark --help`."""
 
 from __future__ import annotations
 

@@ -30,11 +30,11 @@ def test_parquet_and_catalog(spark, source, tmp_path):
     stored = tables.from_parquet(spark, str(tmp_path))
     assert stored.comments.count() == 17
     assert stored.comments.schema == schemas.COMMENTS
-    stored.register("yt_")
-    assert tables.from_catalog(spark, "yt_").users.count() == 3
-    checked = {r.table_name: r for r in tables.check_catalog(spark, "yt_").collect()}
-    assert checked["yt_comments"].present and checked["yt_comments"].missing_columns == []
-    tables.require_tables(spark, "yt_")
+    stored.register("raw_")
+    assert tables.from_catalog(spark, "raw_").users.count() == 3
+    checked = {r.table_name: r for r in tables.check_catalog(spark, "raw_").collect()}
+    assert checked["raw_comments"].present and checked["raw_comments"].missing_columns == []
+    tables.require_tables(spark, "raw_")
     with pytest.raises(LookupError, match="absent_users"):
         tables.require_tables(spark, "absent_")
     source.users.drop("username").createOrReplaceTempView("bad_users")
