@@ -28,6 +28,14 @@ from chattermark.plans import report
 from chattermark.settings import AnalysisSettings
 from chattermark.sources import sample_tables, sinks, staging, tables
 
+try:
+    import corpus_pipeline
+    from chattermark.llm import queries as llm
+except ModuleNotFoundError as missing:  # both are removed together
+    if missing.name not in ("corpus_pipeline", "chattermark.llm"):
+        raise
+    corpus_pipeline = llm = None
+
 START, END = "2024-01-01", "2024-02-01"
 TEXT_START, TEXT_END = "2024-01-02", "2024-01-28"
 DAY = "%Y-%m-%d"
@@ -360,6 +368,7 @@ def queries() -> dict[str, Query]:
         ),
         "label_sample_texts": lambda s, d: clusters.samples_of_cluster(_labelled(s, d), "fr"),
         "report_tables": report_tables,
+        **({**llm.QUERIES, "pipeline": corpus_pipeline.run} if llm else {}),
     }
 
 
@@ -760,4 +769,5 @@ def oracle_sql() -> dict[str, str]:
             )
             SELECT cluster_label, CAST(r AS INTEGER) AS rank, comment_id, {preview} AS preview
             FROM ranked WHERE r <= 5""",
+        **(llm.ORACLE_SQL if llm else {}),
     }
