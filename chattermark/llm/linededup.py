@@ -84,8 +84,10 @@ def drop_shared_lines(
 ) -> DataFrame:
     """`documents` with `text` rid of shared lines, `n_lines` before it and `n_dropped`."""
     keys = stage(line_keys(documents, min_chars), "line-keys")
+    # Staged, so that the join reads both sides from shuffles, and Spark can split a hot key.
+    shared = stage(shared_keys(keys, min_documents), "shared-lines")
     drops = (
-        keys.join(shared_keys(keys, min_documents), "key")
+        keys.join(shared, "key")
         .where(F.col("id") != F.col("keeper"))
         .groupBy("id")
         .agg(F.collect_set("key").alias("drop"))

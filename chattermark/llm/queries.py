@@ -12,11 +12,95 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chattermark.llm import linededup, mixing, sharding, warc
+from chattermark.llm import (
+    jaccardjoin,
+    linededup,
+    merkle,
+    mixing,
+    neighbours,
+    secretscan,
+    sharding,
+    toxicity,
+    warc,
+)
 from chattermark.llm.frames import read_table
 from chattermark.sources.staging import new_folder
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; labels of held-out documents teach nothing."""
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(documents, read_table(spark, sf_dir, "labels"), teaches=~held_out)
+    return toxicity.score(documents, model).select(
+        "doc_id", held_out.alias("held_out"), "score", "predicted", "evidence", "n_words"
+    )
+
+
+def op2_secretscan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every document, in the text itself and under its encodings."""
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secretscan.find_secrets(documents)
+
+    def joined(spans: str):
+        return F.concat_ws(",", F.expr(f"transform({spans}, s -> concat_ws(':', s.kind, s.start, s.end))"))
+
+    def count(kind: str):
+        return F.expr(f"size(filter(base_spans, s -> s.kind = '{kind}'))").cast("long")
+
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in secretscan.KINDS],
+        F.sha2(joined("base_spans"), 256).alias("base_sha256"),
+        joined("spans").alias("spans"),
+        "n_layers",
+        "n_unopened",
+    )
+
+
+def op4_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, whose end comes from the next one."""
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    schema = (
+        "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
+        "edited_fingerprint string, near_edited double, near_next double"
+    )
+    return neighbours.map_descending(documents, EditedPair(), schema)
+
+
+class EditedPair:
+    """One row of `op4`; remembers the last fingerprint, as the next document comes right after."""
+
+    def __init__(self) -> None:
+        self.last: tuple[str, str] = ("", "")
+
+    def __call__(self, doc_id: int | None, text: str | None, following: str | None) -> dict:
+        text, following = text or "", following or ""
+        known: dict = {}
+        mark = self.last[1] if self.last[0] == text and self.last[1] else merkle.fingerprint(text, known)
+        part = len(text) // 3
+        edited = text[: len(text) - part] + following[:part]
+        edited_mark = merkle.fingerprint(edited, known)
+        next_mark = merkle.fingerprint(following)
+        self.last = (following, next_mark)
+        return {
+            "doc_id": doc_id,
+            "n_chars": len(text),
+            "edited_sha256": hashlib.sha256(edited.encode()).hexdigest(),
+            "fingerprint": mark,
+            "edited_fingerprint": edited_mark,
+            "near_edited": merkle.likeness(mark, edited_mark),
+            "near_next": merkle.likeness(mark, next_mark),
+        }
+
+
+def op5_jaccardjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of similar documents that every document belongs to."""
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    groups = jaccardjoin.similar_groups(documents, k=4, percent=85)
+    return groups.select("doc_id", "n_shingles", "component_id")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of every document."""
     text = F.coalesce("text", F.lit(""))
@@ -76,6 +160,10 @@ def op10_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op2_secretscan": op2_secretscan,
+    "op4_merkle": op4_merkle,
+    "op5_jaccardjoin": op5_jaccardjoin,
     "op6_mixing": op6_mixing,
     "op7_warc": op7_warc,
     "op8_sharding": op8_sharding,
@@ -83,6 +171,36 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op5_jaccardjoin": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                          'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ),
+        shingles AS (
+            SELECT doc_id, unnest(list_distinct(
+                [list_slice(w, i, i + 3) FOR i IN range(1, greatest(len(w) - 3, 1) + 1)])) AS s
+            FROM words WHERE len(w) > 0
+        ),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+            FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+        ),
+        links AS (
+            SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * c >= 85 * (x.n + y.n - c)
+        ),
+        edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reached AS (
+            SELECT doc_id AS start, doc_id AS node FROM documents
+            UNION
+            SELECT start, b FROM reached JOIN edges ON node = a
+        )
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, c AS component_id
+        FROM documents d LEFT JOIN sizes USING (doc_id)
+        JOIN (SELECT start, min(node) AS c FROM reached GROUP BY start) ON start = d.doc_id""",
     "op8_sharding": """
         WITH crc AS (
             SELECT list(c ORDER BY n) AS t
