@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chattermark.llm import (
+    decontamination,
     jaccardjoin,
+    katz,
     linededup,
     merkle,
     mixing,
@@ -58,6 +60,13 @@ def op2_secretscan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Katz and base scores of every document, learned from those not held out."""
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 10 == 0
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return katz.katz_scores(documents, held_out)
+
+
 def op4_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, whose end comes from the next one."""
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -151,6 +160,12 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage of the benchmark found in a document; clean documents have no row."""
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.contaminated(documents, read_table(spark, sf_dir, "benchmark"))
+
+
 def op10_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digest of every document's lines that stay."""
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -162,11 +177,13 @@ def op10_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_secretscan": op2_secretscan,
+    "op3_katz": op3_katz,
     "op4_merkle": op4_merkle,
     "op5_jaccardjoin": op5_jaccardjoin,
     "op6_mixing": op6_mixing,
     "op7_warc": op7_warc,
     "op8_sharding": op8_sharding,
+    "op9_decontamination": op9_decontamination,
     "op10_linededup": op10_linededup,
 }
 
