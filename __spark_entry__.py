@@ -198,7 +198,7 @@ def sql_parameters(spark, sf_dir):
         spark,
         """
         SELECT video_id, count(*) AS n_comments, max(like_count) AS max_likes
-        FROM sampled_comments
+        FROM {sampled_comments}
         WHERE published_at >= to_timestamp_ntz(:start) AND published_at < to_timestamp_ntz(:end)
         GROUP BY video_id HAVING count(*) >= :min_comments
         """,

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chattermark import settings
@@ -228,17 +228,15 @@ def _finish(by_month: DataFrame, rounded: bool, extra: Iterable[str]) -> DataFra
 def _with_wide_counts(rows: DataFrame, user_key: list[str], raw_user: str) -> DataFrame:
     """Rows by channel id and slot, with the counts of the two wider peaks.
 
-    The user's count over all channels is a grouped table of its own, joined on
-    user and slot, instead of a window over all rows of the user.
+    The user's count over all channels is a sum over the rows of one user and
+    slot, one row per channel, so no window holds a user's whole history.
     """
     user = user_key if raw_user in user_key else [raw_user, *user_key]
     one_channel = rows.groupBy(*user, "channel_title", "channel_id", "slot").agg(
         *_add_up(F.max("peak")), F.sum("n_comments").alias("max_CPP_one_CH")
     )
-    all_channels = rows.groupBy(raw_user, "slot").agg(
-        F.sum("n_comments").alias("max_CPP_all_CH")
-    )
-    return one_channel.join(all_channels, [raw_user, "slot"])
+    same_slot = Window.partitionBy(raw_user, "slot")
+    return one_channel.withColumn("max_CPP_all_CH", F.sum("max_CPP_one_CH").over(same_slot))
 
 
 def in_report_order(activity: DataFrame) -> DataFrame:

@@ -12,6 +12,9 @@ SESSION_CONF = {
     # Hot users, videos and the group of unknown ones are split at run time.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Texts of a few users are filtered at their scan, whatever the table's size.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
 }
 
 

@@ -150,8 +150,7 @@ def run_sql(
 ) -> DataFrame:
     """Run a SELECT with named parameters (`:start_date`) over the given tables.
 
-    Values are bound as literals, never spliced into the text.
+    Values are bound as literals, never spliced into the text. The statement names
+    the tables in braces, `FROM {comments}`; views of the session stay as they are.
     """
-    for name, df in (tables or {}).items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(statement, args=params)
+    return spark.sql(statement, args=params, **(tables or {}))

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chattermark import schemas
-from chattermark.functions.periods import slot, slot_text, slot_unit, spark_pattern
+from chattermark.functions.periods import format_tokens, slot, slot_text, slot_unit
 from chattermark.operators.activity import (
     in_report_order,
     published_between,
@@ -157,9 +157,30 @@ def test_periods(make_tables, period_format, expected, unit):
     assert slot_unit(period_format) == unit
 
 
+@pytest.mark.parametrize("zone", ["America/New_York", "Europe/Berlin", "America/Sao_Paulo"])
+@pytest.mark.parametrize("grain", ["video", "channel"])
+@pytest.mark.parametrize("period_format", ["%Y-%m-%d %H:%i", "%Y-%m-%d", "%Y-%m %H"])
+def test_clock_changes_play_no_part(spark, make_tables, activity_of, zone, grain, period_format):
+    # Times that the zones skip or repeat: spring and autumn, and a midnight.
+    times = ["2024-03-10 02:30", "2024-03-10 03:30", "2024-03-10 03:31", "2024-03-31 02:30",
+             "2024-03-31 03:30", "2024-11-03 01:30", "2024-11-03 01:30", "2018-11-04 00:10",
+             "2018-11-04 01:10", "1965-03-01 02:30"]
+    rows = [(i, t, 1, 10, 1, 0) for i, t in enumerate(times)]
+    tables = make_tables(rows, [(1, "ann")], [(10, 100)], [(100, "news")])
+    options = {"peak_grain": grain, "period_format": period_format}
+    expected = sorted(activity_of(tables, **options).collect())
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert sorted(activity_of(tables, **options).collect()) == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if period_format.endswith("%i"):
+        assert max(r.max_CPP_this_CH for r in expected if r.month == "2024-03") == 1
+
+
 def test_unknown_period_code():
     with pytest.raises(ValueError):
-        spark_pattern("%Y-%W")
+        format_tokens("%Y-%W")
 
 
 def random_comments(n=600, seed=3):

@@ -90,3 +90,22 @@ def test_counts_are_combined_before_the_joins(spark):
     joins = [i for i, line in enumerate(plan.splitlines()) if "Join" in line]
     partial = [i for i, line in enumerate(plan.splitlines()) if "partial_count(1)" in line]
     assert partial and max(partial) > min(joins)
+
+
+def test_text_scan_is_filtered_by_the_flagged_users(spark):
+    joins = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = entry.queries()["suspicious_comment_text"](spark, SF_DIR)
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", joins)
+    assert plan.count("might_contain") >= 1
+    # The filter stands above the comments that are returned, left of the semi join.
+    left, _, ids = plan.partition("LeftSemi")[2].partition("scalar-subquery")
+    assert "Filter" in left
+
+
+def test_wide_peaks_read_the_comments_once(spark):
+    plan = plan_of(entry.queries()["activity_all_channel_peak"](spark, SF_DIR))
+    assert sum("FileScan" in line and "events" in line for line in plan.splitlines()) == 1

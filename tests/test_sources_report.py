@@ -58,11 +58,13 @@ def test_jdbc_options():
 
 
 def test_sql_parameters_are_values_not_text(spark, source):
-    statement = "SELECT username FROM people WHERE username = :name"
+    statement = "SELECT username FROM {people} WHERE username = :name"
+    spark.range(1).createOrReplaceTempView("people")
     found = tables.run_sql(spark, statement, {"people": source.users}, name="ann")
     assert [r.username for r in found.collect()] == ["ann"]
-    hostile = tables.run_sql(spark, statement, name="x' OR '1'='1")
+    hostile = tables.run_sql(spark, statement, {"people": source.users}, name="x' OR '1'='1")
     assert hostile.collect() == []
+    assert spark.table("people").columns == ["id"]
 
 
 def test_staged_table_reads_back(spark, source):
@@ -75,13 +77,21 @@ def test_staged_table_reads_back(spark, source):
 def test_csv_keeps_commas_quotes_and_drops_vectors(spark, source, tmp_path):
     df = source.comments.select("id", "text", F.array(F.lit(1.0)).alias("vector"))
     path = sinks.write_csv(df, f"{tmp_path}/c.csv")
-    back = spark.read.csv(path, header=True, multiLine=True, escape='"')
+    back = sinks.read_csv(spark, path, "id long, text string")
     assert back.columns == ["id", "text"]
     assert {(int(r.id), r.text) for r in back.collect()} == {
         (r.id, r.text) for r in source.comments.collect()
     }
 
 
+def test_csv_keeps_every_text(spark, tmp_path):
+    odd = ["  outer blanks \n", "", None, '"', '""', 'a "quoted" word', "a,b", "a\r\nb", "a\rb", "\\", "\\N", "#x", "\t", "é"]
+    df = spark.createDataFrame(list(enumerate(odd)), "id long, text string")
+    path = sinks.write_csv(df, f"{tmp_path}/odd.csv")
+    back = {r.id: r.text for r in sinks.read_csv(spark, path, "id long, text string").collect()}
+    assert back == dict(enumerate(odd)) | {10: None}  # the mark for null is the one text that can't be told
+
+
 def test_json_turns_other_types_into_text(spark, source, tmp_path):
     path = sinks.write_json(source.comments.limit(1), f"{tmp_path}/c.json")
     line = json.loads(next(Path(path).glob("*.json")).read_text())
