@@ -1,23 +1,26 @@
 """Texts to vectors, to components, to clusters.
 
 Vectors come from one of three places: the built-in lexical features (hashed
-words weighted by inverse document frequency, which compare wording, not
-meaning), an encoder the caller supplies, or a vector column that is there
+words weighted by inverse document frequency and projected to fewer dimensions,
+which compare wording, not meaning), an encoder the caller supplies, or a vector column that is there
 already. Reduction and clustering are Spark ML; only models of fixed size (one
 d x d covariance, k centres) pass through the driver.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import IDF, PCA, HashingTF, Normalizer, RegexTokenizer, StandardScaler
+from pyspark.ml.feature import IDF, PCA, HashingTF, RegexTokenizer, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
@@ -25,13 +28,13 @@ from pyspark.sql import functions as F
 
 from chattermark import settings
 from chattermark.settings import ClusterSettings
-from chattermark.sources.staging import spread, stage
+from chattermark.sources.staging import stage
 
 Encoder = Callable[[list[str]], "list[list[float]]"]
 
 
 def hashed_words(
-    df: DataFrame, text_column: str = "text", output_column: str = "counts", n_features: int = 512
+    df: DataFrame, text_column: str = "text", output_column: str = "counts", n_features: int = 1 << 18
 ) -> DataFrame:
     """Adds word counts, words of any script, hashed into `n_features` places.
 
@@ -44,24 +47,61 @@ def hashed_words(
 
 
 def fit_weights(
-    df: DataFrame, input_column: str = "counts", output_column: str = "features"
+    df: DataFrame, input_column: str = "counts", output_column: str = "weights"
 ) -> PipelineModel:
-    """Model that weights counts by inverse document frequency and scales them to length 1."""
-    return Pipeline(
-        stages=[
-            IDF(inputCol=input_column, outputCol="__weights"),
-            Normalizer(p=2.0, inputCol="__weights", outputCol=output_column),
-        ]
-    ).fit(df)
+    """Model that weights counts by inverse document frequency."""
+    return Pipeline(stages=[IDF(inputCol=input_column, outputCol=output_column)]).fit(df)
+
+
+def project_words(
+    df: DataFrame, input_column: str, output_column: str, n_dimensions: int = 512
+) -> DataFrame:
+    """Adds sparse vectors projected to `n_dimensions`, scaled to length 1.
+
+    A sparse random projection: every place is added to one dimension, with a
+    sign, both by a hash. Products of vectors keep their expected value.
+    """
+
+    @F.pandas_udf("array<double>")
+    def projected(vectors: pd.DataFrame) -> pd.Series:
+        out = []
+        for places, values in zip(vectors["indices"], vectors["values"], strict=True):
+            mixed = np.asarray(places, dtype="uint64") * np.uint64(0x9E3779B97F4A7C15)
+            mixed ^= mixed >> np.uint64(29)
+            mixed *= np.uint64(0xBF58476D1CE4E5B9)
+            sign = 1.0 - 2.0 * (mixed >> np.uint64(63)).astype(float)
+            where = ((mixed >> np.uint64(20)) % np.uint64(n_dimensions)).astype("int64")
+            row = np.bincount(where, weights=sign * np.asarray(values), minlength=n_dimensions)
+            length = np.sqrt(row @ row)
+            out.append(row / length if length else row)
+        return pd.Series(out)
+
+    return df.withColumn(output_column, array_to_vector(projected(F.unwrap_udt(input_column))))
 
 
 def lexical_features(
-    df: DataFrame, text_column: str = "text", output_column: str = "features", n_features: int = 512
+    df: DataFrame,
+    text_column: str = "text",
+    output_column: str = "features",
+    n_features: int = 1 << 18,
+    n_dimensions: int = 512,
 ) -> tuple[DataFrame, PipelineModel]:
     """Adds a vector column from a column of texts."""
     counts = hashed_words(df, text_column, "__counts", n_features)
-    model = fit_weights(counts, "__counts", output_column)
-    return model.transform(counts).drop("__counts", "__weights"), model
+    model = fit_weights(counts, "__counts", "__weights")
+    weighted = project_words(model.transform(counts), "__weights", output_column, n_dimensions)
+    return weighted.drop("__counts", "__weights"), model
+
+
+_kept: dict[str, Encoder] = {}
+
+
+def kept_encoder(key: str, load_encoder: Callable[[], Encoder]) -> Encoder:
+    """The encoder of this worker process; that of an earlier query gives way."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = load_encoder()
+    return _kept[key]
 
 
 def encode_texts(
@@ -73,12 +113,13 @@ def encode_texts(
 ) -> DataFrame:
     """Adds the vectors a caller's encoder gives to batches of texts.
 
-    `load_encoder` runs once per Python worker task, not per row.
+    `load_encoder` runs once per Python worker and query, not per task or row.
     """
+    key = uuid.uuid4().hex
 
     @F.arrow_udf("array<float>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = load_encoder()
+        encoder = kept_encoder(key, load_encoder)
         for texts in batches:
             words = [text or "" for text in texts.to_pylist()]
             rows: list = []
@@ -138,25 +179,25 @@ def reduce_dimensions(
 
 
 def with_projection(df: DataFrame, column: str = "components") -> DataFrame:
-    """Adds `proj_x` and `proj_y`, the first two components, for display."""
+    """Adds `proj_x` and `proj_y`, the first two components, for display; 0 where there is none."""
     values = vector_to_array(column)
-    return df.withColumn("proj_x", F.get(values, F.lit(0))).withColumn(
-        "proj_y", F.get(values, F.lit(1))
-    )
+    axes = {f"proj_{name}": F.coalesce(F.get(values, F.lit(i)), F.lit(0.0)) for i, name in enumerate("xy")}
+    return df.withColumns(axes)
 
 
 def distinct_vectors(df: DataFrame, column: str, at_most: int) -> int:
     """Number of distinct vectors, counted no further than `at_most`.
 
-    A sketch answers for tables with plenty. Only where it finds few are they
-    counted, and few distinct values are cheap to count: they combine in the
-    tasks that read them.
+    Hashes are grouped in 65,536 groups, of which each shows whether it has one
+    or more. So the cost does not depend on the number of distinct vectors; the
+    count may be low only where it is in the thousands.
     """
-    values = df.select(vector_to_array(column).alias("value"))
-    sketched = values.agg(F.approx_count_distinct(F.xxhash64("value"), 0.05)).head()[0]
-    if sketched > 2 * at_most + 100:
-        return at_most
-    return values.distinct().limit(at_most).count()
+    hashed = df.select(F.xxhash64(vector_to_array(column)).alias("h"))
+    groups = hashed.groupBy(F.pmod("h", F.lit(1 << 16)).alias("g")).agg(
+        F.min("h").alias("low"), F.max("h").alias("high")
+    )
+    shown = groups.agg(F.sum(F.when(F.col("low") == F.col("high"), 1).otherwise(2))).head()[0]
+    return min(shown or 0, at_most)
 
 
 def best_kmeans(
@@ -167,37 +208,55 @@ def best_kmeans(
     seed: int = settings.DEFAULT_SEED,
     max_iterations: int = settings.DEFAULT_ITERATIONS,
     parallelism: int | None = None,
+    trial_iterations: int = 5,
+    finalists: int = 3,
+    layout_column: str | None = None,
+    partitions: int = 16,
 ) -> tuple[KMeansModel | None, list[float]]:
     """The cheapest of several k-means fits, and the cost of each.
 
-    Each fit goes on until its centres rest, mostly after 20 to 50 iterations.
-    The fits run side by side, all of them unless `parallelism` says otherwise.
+    All restarts run for `trial_iterations`; the `finalists` cheapest are then
+    fitted until their centres rest, mostly after 20 to 50 iterations. The cost
+    of the others is that of their trial. Fits of a round run side by side, all
+    of them unless `parallelism` says otherwise.
+
+    Points are dealt to `partitions` tasks by hash of `layout_column` (of the
+    vector if none is given) and sorted by it, as the choice of first centres
+    depends on their order. So equal data and settings give equal labels, on any
+    number of cores and from any layout.
+
     The number of clusters is lowered to the number of distinct vectors if that
     is smaller. There is no model when that leaves a single cluster.
     """
+    spread = F.xxhash64(layout_column or vector_to_array(column))
     # One stored copy for all fits; each would otherwise store its own.
-    points = df.select(column).persist(StorageLevel.MEMORY_AND_DISK)
+    points = (
+        df.select(column, spread.alias("__spread"))
+        .repartition(partitions, "__spread")
+        .sortWithinPartitions("__spread")
+        .select(column)
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
     try:
         k = distinct_vectors(points, column, n_clusters)
         if k < 2:
             return None, []
-        estimators = [
-            KMeans(
-                k=k,
-                seed=seed + i,
-                maxIter=max_iterations,
-                featuresCol=column,
-                predictionCol="cluster_label",
-            )
-            for i in range(restarts)
-        ]
-        fit = inheritable_thread_target(df.sparkSession)(lambda estimator: estimator.fit(points))
-        with ThreadPool(min(parallelism or restarts, restarts)) as pool:
-            models = pool.map(fit, estimators)
+
+        def fitted(chosen: list[int], iterations: int) -> dict[int, KMeansModel]:
+            common = {"k": k, "featuresCol": column, "predictionCol": "cluster_label"}
+            estimators = [KMeans(seed=s, maxIter=iterations, **common) for s in chosen]
+            fit = inheritable_thread_target(df.sparkSession)(lambda e: e.fit(points))
+            with ThreadPool(min(parallelism or len(chosen), len(chosen))) as pool:
+                return dict(zip(chosen, pool.map(fit, estimators), strict=True))
+
+        models = fitted([seed + i for i in range(restarts)], min(trial_iterations, max_iterations))
+        if max_iterations > trial_iterations:
+            by_cost = sorted(models, key=lambda s: (models[s].summary.trainingCost, s))
+            models |= fitted(by_cost[:finalists], max_iterations)
     finally:
         points.unpersist()
-    costs = [m.summary.trainingCost for m in models]
-    return models[costs.index(min(costs))], costs
+    costs = {s: m.summary.trainingCost for s, m in models.items()}
+    return models[min(costs, key=lambda s: (costs[s], s))], list(costs.values())
 
 
 @dataclass(frozen=True)
@@ -210,12 +269,12 @@ class ClusteredComments:
     models: tuple[Model, ...] = ()
 
 
-def _unplaced(df: DataFrame) -> DataFrame:
+def _unplaced(df: DataFrame, label: int | None, place: float | None) -> DataFrame:
     return df.select(
         "*",
-        F.lit(0).alias("cluster_label"),
-        F.lit(0.0).alias("proj_x"),
-        F.lit(0.0).alias("proj_y"),
+        F.lit(label).cast("int").alias("cluster_label"),
+        F.lit(place).cast("double").alias("proj_x"),
+        F.lit(place).cast("double").alias("proj_y"),
     )
 
 
@@ -227,7 +286,9 @@ def cluster_comments(
 ) -> ClusteredComments:
     """Adds `cluster_label`, `proj_x` and `proj_y` to a table of comments.
 
-    Vectors are taken from `vector_column` if given, else from the texts. An
+    Vectors are taken from `vector_column` if given, else from the texts. They
+    may have as many dimensions as the driver can hold a square matrix of, some
+    thousands. Rows without a vector stay, with null in the three columns. An
     empty table comes back empty, with the three columns; comments that are all
     alike share one cluster.
     """
@@ -235,22 +296,40 @@ def cluster_comments(
         raise ValueError(f"column {text_column!r} not found")
     # Texts are read and split once; all fitting reads the staged vectors.
     if vector_column:
-        staged = stage(as_vectors(df, vector_column, "__features"), "features")
+        staged = stage(df, "vectors")
+        without = staged.where(F.col(vector_column).isNull())
+        staged = staged.where(F.col(vector_column).isNotNull())
+        vectors = as_vectors(staged, vector_column, "__features")
+        spread = F.xxhash64(vector_to_array("__features"))
     else:
         staged = stage(hashed_words(df, text_column, "__counts", config.n_features), "counts")
+        without, vectors = None, staged
+        spread = F.xxhash64(text_column)
+    output = [*df.columns, "cluster_label", "proj_x", "proj_y"]
+
+    def whole(placed: DataFrame) -> DataFrame:
+        if without is None:
+            return placed.select(*output)
+        return placed.select(*output).unionByName(_unplaced(without, None, None).select(*output))
+
     if staged.limit(2).count() < 2:
-        return ClusteredComments(_unplaced(staged.select(*df.columns)))
-    staged = spread(staged)
+        return ClusteredComments(whole(_unplaced(staged, 0, 0.0)))
+    # The same tasks hold the same rows whatever the machine; all steps below add up in that order.
+    features = (
+        vectors.withColumn("__spread", spread)
+        .repartition(config.partitions, "__spread")
+        .sortWithinPartitions("__spread")
+    )
 
     models: list[Model] = []
-    features = staged
     if not vector_column:
-        models.append(fit_weights(staged, "__counts", "__features"))
-        features = models[0].transform(staged).drop("__counts", "__weights")
+        models.append(fit_weights(features, "__counts", "__weights"))
+        weighted = models[0].transform(features)
+        features = project_words(weighted, "__weights", "__features", config.n_dimensions)
+        features = stage(features.drop("__counts", "__weights"), "features")
     reduction = reduce_dimensions(features, "__features", "__components", config.n_components)
     models.append(reduction.model)
     placed = with_projection(reduction.table, "__components")
-    output = [*df.columns, "cluster_label", "proj_x", "proj_y"]
     kmeans, costs = best_kmeans(
         placed,
         "__components",
@@ -258,10 +337,15 @@ def cluster_comments(
         config.restarts,
         config.seed,
         config.max_iterations,
+        trial_iterations=config.trial_iterations,
+        finalists=config.finalists,
+        layout_column="__spread",
+        partitions=config.partitions,
     )
     if kmeans is None:
-        single = placed.withColumn("cluster_label", F.lit(0)).select(*output)
-        return ClusteredComments(single, reduction.explained, (), tuple(models))
+        single = placed.withColumn("cluster_label", F.lit(0))
+        return ClusteredComments(whole(single), reduction.explained, (), tuple(models))
     models.append(kmeans)
-    table = kmeans.transform(placed).select(*output)
-    return ClusteredComments(table, reduction.explained, tuple(costs), tuple(models))
+    return ClusteredComments(
+        whole(kmeans.transform(placed)), reduction.explained, tuple(costs), tuple(models)
+    )

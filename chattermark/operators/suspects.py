@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,8 +70,9 @@ def comments_of_users(
     start: str | None = None,
     end: str | None = None,
     user_sample: int = settings.DEFAULT_USER_SAMPLE,
+    keep: Iterable[str] = (),
 ) -> DataFrame:
-    """Comments, with text, of the users listed in `users.user_id`.
+    """Comments, with text, of the users listed in `users.user_id`; `keep` names further columns.
 
     A semi join: the ids never leave the executors, and Spark broadcasts them
     only when their measured size allows it. The ids are not made distinct, which
@@ -86,4 +89,5 @@ def comments_of_users(
         "like_count",
         "reply_count",
         "text",
+        *keep,
     )

@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from dataclasses import dataclass, field, replace
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chattermark.operators.activity import comment_activity
+from chattermark.operators.activity import comment_activity, in_report_order
 from chattermark.operators.clusters import (
     cluster_samples,
     cluster_sizes,
     cluster_statistics,
     sample_lists,
 )
-from chattermark.operators.embedding import ClusteredComments, cluster_comments
+from chattermark.operators.embedding import (
+    ClusteredComments,
+    Encoder,
+    cluster_comments,
+    encode_texts,
+)
 from chattermark.operators.profile import (
     activity_over_time,
     commenter_density,
@@ -31,7 +39,7 @@ from chattermark.operators.suspects import (
 )
 from chattermark.settings import AnalysisSettings, ClusterSettings
 from chattermark.sources.sinks import write_csv, write_json, write_snapshot
-from chattermark.sources.staging import stage
+from chattermark.sources.staging import run_folder, stage_at
 from chattermark.sources.tables import CommentTables, from_catalog, require_tables
 
 
@@ -91,18 +99,21 @@ def write_report(
     clustered: DataFrame | None = None,
     n_samples: int = 5,
     max_periods: int = 10,
+    expected_clusters: int | None = None,
+    parallelism: int = 4,
 ) -> dict[str, str]:
     """Write the report of an activity table, and of clustered comments if given.
 
-    Both tables are read several times: pass staged ones. Returns the paths by
+    Both tables are read several times: pass staged ones. Files are written
+    `parallelism` at a time. Lists are in report order. Returns the paths by
     name. One threshold holds throughout.
     """
     folder = folder.rstrip("/")
     suspicious = flag_suspicious(activity, threshold)
-    files = {}
+    planned: list[tuple[str, Callable[[DataFrame, str], str], DataFrame, str]] = []
 
     def put(name: str, write, df: DataFrame, kind: str = "parquet") -> None:
-        files[name] = write(df, f"{folder}/{name}.{kind}")
+        planned.append((name, write, df, kind))
 
     put("cumulative_share", write_snapshot, cumulative_share(activity))
     put("activity_by_month", write_snapshot, activity_over_time(activity, "month"))
@@ -112,7 +123,8 @@ def write_report(
         put("commenter_density", write_snapshot, commenter_density(suspicious, max_periods))
         listed = by_peak(suspicious).select("username", "user_id", "max_CPP_this_CH")
         put("suspicious_commenters", write_csv, listed, "csv")
-        put("suspicious_usernames", write_csv, suspicious_usernames(activity, threshold), "csv")
+        names = suspicious_usernames(activity, threshold).orderBy("username")
+        put("suspicious_usernames", write_csv, names, "csv")
     put("quality_activity", write_snapshot, check_activity(activity))
 
     if clustered is not None and "cluster_label" in clustered.columns:
@@ -121,10 +133,16 @@ def write_report(
         put("cluster_samples", write_json, sample_lists(samples), "json")
         put("cluster_sizes", write_snapshot, cluster_sizes(clustered))
         put("cluster_statistics", write_snapshot, cluster_statistics(clustered, activity))
-        put("quality_clusters", write_snapshot, check_clusters(clustered))
+        put("quality_clusters", write_snapshot, check_clusters(clustered, expected_clusters))
         if "text" in clustered.columns:
             put("quality_texts", write_snapshot, check_texts(clustered))
-    return files
+
+    def written(entry) -> tuple[str, str]:
+        name, write, df, kind = entry
+        return name, write(df, f"{folder}/{name}.{kind}")
+
+    with ThreadPool(min(parallelism, len(planned))) as pool:
+        return dict(pool.map(inheritable_thread_target(activity.sparkSession)(written), planned))
 
 
 def run_analysis(
@@ -134,26 +152,51 @@ def run_analysis(
     clusters: ClusterSettings = ClusterSettings(),
     include_texts: bool = True,
     text_window: tuple[str | None, str | None] | None = None,
+    vector_column: str | None = None,
+    load_encoder: Callable[[], Encoder] | None = None,
 ) -> Analysis:
     """Activity, flagged users, their texts clustered, and the report.
 
-    Texts come from the window of the activity unless another is given.
+    Texts come from the window of the activity unless another is given. They are
+    clustered by `vector_column` of the comments, or by the vectors of the
+    encoder that `load_encoder` makes, or else by their words.
+
+    The activity and the clustered comments are kept in `folder`/tables, where the
+    results read them. All else that is staged is removed at the end, also after
+    a failure.
     """
-    activity = stage(load_activity(tables, options), "activity")
-    suspicious = flag_suspicious(activity, options.threshold)
-    result = Analysis(activity, suspicious)
-    clustered = None
-    if include_texts and not suspicious.isEmpty():
-        start, end = text_window or (options.start, options.end)
-        comments = comments_of_users(
-            tables.comments, suspicious, start=start, end=end, user_sample=options.user_sample
+    spark, folder = tables.comments.sparkSession, folder.rstrip("/")
+    with run_folder(spark, "analysis"):
+        ordered = in_report_order(load_activity(tables, options))
+        activity = stage_at(ordered, f"{folder}/tables/activity")
+        suspicious = flag_suspicious(activity, options.threshold)
+        result = Analysis(activity, suspicious)
+        clustered = None
+        if include_texts and not suspicious.isEmpty():
+            start, end = text_window or (options.start, options.end)
+            comments = comments_of_users(
+                tables.comments,
+                suspicious,
+                start=start,
+                end=end,
+                user_sample=options.user_sample,
+                keep=[vector_column] if vector_column else [],
+            )
+            if load_encoder and not vector_column:
+                vector_column = "embedding"
+                comments = encode_texts(comments, load_encoder, output_column=vector_column)
+            placed = cluster_comments(comments, vector_column=vector_column, config=clusters)
+            clustered = stage_at(placed.table, f"{folder}/tables/clustered")
+            result.clustered = replace(placed, table=clustered)
+            result.comments = clustered.select(*comments.columns)
+        result.files = write_report(
+            activity,
+            folder,
+            options.threshold,
+            clustered,
+            clusters.n_samples,
+            expected_clusters=clusters.n_clusters,
         )
-        result.clustered = cluster_comments(comments, config=clusters)
-        clustered = stage(result.clustered.table, "clustered")
-        result.comments = clustered.select(*comments.columns)
-    result.files = write_report(
-        activity, folder, options.threshold, clustered, clusters.n_samples
-    )
     return result
 
 

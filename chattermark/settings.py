@@ -35,11 +35,18 @@ class AnalysisSettings:
 class ClusterSettings:
     """How texts are turned into vectors, reduced and grouped."""
 
-    # A power of two spreads hashed words evenly.
-    n_features: int = 512
+    # Places that words are hashed into and weighted at. A power of two spreads them evenly.
+    n_features: int = 1 << 18
+    # Dimensions that the weighted words are projected to; principal components are taken of these.
+    n_dimensions: int = 512
     n_components: int = DEFAULT_COMPONENTS
     n_clusters: int = DEFAULT_CLUSTERS
     restarts: int = DEFAULT_RESTARTS
     max_iterations: int = DEFAULT_ITERATIONS
+    # Every restart gets the trial iterations; the cheapest ones go on until their centres rest.
+    trial_iterations: int = 5
+    finalists: int = 3
+    # Points are dealt to so many tasks by hash, so that labels depend on nothing but data and settings.
+    partitions: int = 16
     seed: int = DEFAULT_SEED
     n_samples: int = 5

@@ -162,3 +162,67 @@ def test_copies_of_few_texts(spark):
     table = embedding.cluster_comments(df, config=ClusterSettings(restarts=2)).table
     sizes = sorted(r["count"] for r in table.groupBy("cluster_label", "text").count().collect())
     assert sizes == [100, 200]
+
+
+@pytest.mark.parametrize("given", [None, "embedding"])
+def test_labels_do_not_depend_on_the_layout(spark, points, given):
+    df, _ = points
+    rows = df.withColumn("text", F.concat_ws(" ", F.lit("word"), F.col("part"), F.col("vec_id") % 7))
+    config = ClusterSettings(n_clusters=6, restarts=3, n_dimensions=16, partitions=3)
+    found = []
+    for layout in (rows.repartition(2), rows.repartition(4, "part"), rows.orderBy(F.col("vec_id").desc()).repartition(8)):
+        table = embedding.cluster_comments(layout, vector_column=given, config=config).table
+        found.append({r.vec_id: r.cluster_label for r in table.collect()})
+    assert found[0] == found[1] == found[2]
+    assert len(set(found[0].values())) == 6
+
+
+def test_trials_cost_no_quality(points):
+    df, _ = points
+    vectors = embedding.as_vectors(df, "embedding", "features")
+    _, short = embedding.best_kmeans(vectors, "features", n_clusters=9, restarts=6, layout_column="vec_id")
+    _, full = embedding.best_kmeans(
+        vectors, "features", n_clusters=9, restarts=6, layout_column="vec_id", finalists=6
+    )
+    assert min(short) == pytest.approx(min(full), rel=0.02)
+
+
+def test_rows_without_a_vector_stay(spark):
+    rows = [(i, "t", [float(i % 2), 1.0]) for i in range(20)] + [(20, "t", None), (21, None, None)]
+    df = spark.createDataFrame(rows, "comment_id long, text string, embedding array<double>")
+    config = ClusterSettings(n_clusters=2, restarts=1)
+    found = {r.comment_id: r for r in embedding.cluster_comments(df, vector_column="embedding", config=config).table.collect()}
+    assert len(found) == 22
+    assert [found[i].cluster_label for i in (20, 21)] == [None, None] and found[20].proj_x is None
+    assert {found[i].cluster_label for i in range(20)} == {0, 1}
+    none = embedding.cluster_comments(df.where("embedding is null"), vector_column="embedding").table
+    assert {r.cluster_label for r in none.collect()} == {None} and none.count() == 2
+
+
+def test_vectors_of_one_dimension(spark):
+    df = spark.createDataFrame([(i, "t", [float(i % 3)]) for i in range(12)], "comment_id long, text string, v array<double>")
+    table = embedding.cluster_comments(df, vector_column="v", config=ClusterSettings(n_clusters=3, restarts=1)).table
+    assert {r.proj_y for r in table.collect()} == {0.0}
+    assert len({r.cluster_label for r in table.collect()}) == 3
+
+
+def test_projection_keeps_lengths_and_angles(spark):
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(words[i * 20 : i * 20 + 200])) for i in range(10)]
+    df = spark.createDataFrame(rows, "id long, text string")
+    found = {r.id: r.features.toArray() for r in embedding.lexical_features(df, n_dimensions=4096)[0].collect()}
+    assert all(np.linalg.norm(v) == pytest.approx(1) for v in found.values())
+    assert found[0] @ found[1] > found[0] @ found[5] + 0.3
+
+
+def test_encoder_is_loaded_once_per_worker(spark, tmp_path):
+    log = str(tmp_path / "loads")
+
+    def load():
+        with open(log, "a") as f:
+            f.write("x")
+        return lambda texts: [[1.0] for _ in texts]
+
+    df = spark.range(400).repartition(40).selectExpr("id", "string(id) AS text")
+    embedding.encode_texts(df, load).select("embedding").collect()
+    assert len(open(log).read()) <= 8

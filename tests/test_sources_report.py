@@ -161,3 +161,64 @@ def test_command_line(spark, source, tmp_path, capsys):
     )
     assert "suspicious_commenters" in files
     assert f"summary\t{tmp_path}/out/summary.json" in capsys.readouterr().out
+
+
+def staged_files(spark):
+    return [p for p in Path(staging.shared_folder(spark)).glob("analysis-*/*")]
+
+
+def test_analysis_with_an_encoder_and_nothing_left_staged(spark, source, tmp_path):
+    def toy_encoder():
+        return lambda texts: [[float(len(t)), float(t.count("1")), float(t.count("2"))] for t in texts]
+
+    options = AnalysisSettings(start="2024-01-01", end="2024-02-01")
+    clusters = ClusterSettings(n_clusters=4, restarts=1)
+    result = report.run_analysis(source, str(tmp_path), options, clusters, load_encoder=toy_encoder)
+    assert "embedding" in result.comments.columns
+    # Three kinds of text: fewer clusters than asked for, which the report warns of.
+    assert result.clustered.table.select("cluster_label").distinct().count() == 3
+    checks = sinks.read_snapshot(spark, result.files["quality_clusters"])
+    assert [r.value for r in checks.where("check_name = 'cluster_count'").collect()] == [3.0]
+    assert staged_files(spark) == []
+    assert result.activity.count() == 2 and result.clustered.table.count() == 12
+
+
+def test_analysis_by_a_vector_column(spark, source, tmp_path):
+    vectors = F.when(F.col("id") != 3, F.array(F.col("id") % 2, F.lit(1)).cast("array<double>"))
+    tables_with = tables.CommentTables(
+        source.comments.withColumn("vec", vectors), source.users, source.videos, source.channels
+    )
+    options = AnalysisSettings(start="2024-01-01", end="2024-02-01")
+    clusters = ClusterSettings(n_clusters=2, restarts=1)
+    result = report.run_analysis(tables_with, str(tmp_path), options, clusters, vector_column="vec")
+    labels = {r.comment_id: r.cluster_label for r in result.clustered.table.collect()}
+    assert labels[3] is None and len(set(labels.values())) == 3
+
+
+def test_nothing_is_left_staged_after_a_failure(spark, source, tmp_path):
+    def broken():
+        raise RuntimeError("no encoder")
+
+    options = AnalysisSettings(start="2024-01-01", end="2024-02-01")
+    with pytest.raises(Exception, match="no encoder"):
+        report.run_analysis(source, str(tmp_path), options, load_encoder=broken)
+    assert staged_files(spark) == [] and not list(Path(staging.shared_folder(spark)).glob("analysis-*"))
+
+
+def test_staging_leaves_the_session_alone(spark, monkeypatch):
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        conf = Conf()
+
+        class sparkContext:
+            master, applicationId = "local[2]", "local-x"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    folder = staging.shared_folder(Session)
+    assert folder == staging.shared_folder(Session) and Path(folder).is_dir()
+    Session.sparkContext.master = "spark://host"
+    with pytest.raises(ValueError):
+        staging.shared_folder(Session)
