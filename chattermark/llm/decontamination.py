@@ -110,6 +110,7 @@ class LengthClass:
         share = settings["max_edits"]
         self.items = [codes_of(text) for _, text in members]
         self.bits = [pattern_bits(text) for _, text in members]
+        self.backward = [pattern_bits(text[::-1]) for _, text in members]
         self.ids = [item_id for item_id, _ in members]
         self.limits = [int(share * len(c)) for c in self.items]
         self.low = min(len(c) for c in self.items)
@@ -250,9 +251,11 @@ class Block:
                     continue  # too few of the item's q-grams are here
                 edits, end = nearest(c.bits[j], length, texts[d][begin:stop])
                 if edits <= limit:
-                    at = max(begin + end - length, 0)
-                    found[d].append((c.ids[j], at, begin + end, edits, 1 - edits / length))
-                    done[d, j] = begin + end
+                    # Backwards from its end, the same search finds where the passage begins.
+                    _, back = nearest(c.backward[j], length, texts[d][begin : begin + end][::-1])
+                    last = begin + end
+                    found[d].append((c.ids[j], last - back, last, edits, 1 - edits / length))
+                    done[d, j] = last
         return found
 
 
@@ -310,27 +313,33 @@ def with_matches(
     done = carry(documents, text=F.col("text"), matches=F.array().cast(T.ArrayType(MATCH)))
     for items in item_blocks(benchmark, block_chars):
         shared = documents.sparkSession.sparkContext.broadcast(items)
-
-        @F.pandas_udf(T.ArrayType(MATCH))
-        def looked_for(batches: Iterator[pd.Series], shared=shared) -> Iterator[pd.Series]:
-            block = Block(shared.value, settings)
-            for texts in batches:
-                out: list[list[dict]] = []
-                piece: list[str] = []
-                size = 0
-                for text in texts:
-                    piece.append(text or "")
-                    size += len(piece[-1])
-                    if size >= piece_chars:
-                        out += matched(block, piece)
-                        piece, size = [], 0
-                out += matched(block, piece)
-                yield pd.Series(out, dtype=object)
-
+        looked_for = finder(shared, settings, piece_chars)
         done = done.withColumn("matches", F.concat("matches", looked_for("text")))
     return restore(done, matches=F.col("matches"))
 
 
+def finder(shared, settings: dict, piece_chars: int):
+    """A function of the text column that looks for the items of one block."""
+
+    @F.pandas_udf(T.ArrayType(MATCH))
+    def looked_for(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        block = Block(shared.value, settings)
+        for texts in batches:
+            out: list[list[dict]] = []
+            piece: list[str] = []
+            size = 0
+            for text in texts:
+                piece.append(text or "")
+                size += len(piece[-1])
+                if size >= piece_chars:
+                    out += matched(block, piece)
+                    piece, size = [], 0
+            out += matched(block, piece)
+            yield pd.Series(out, dtype=object)
+
+    return looked_for
+
+
 def matched(block: Block, texts: list[str]) -> list[list[dict]]:
     if not texts:
         return []

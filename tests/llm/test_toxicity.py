@@ -1,0 +1,156 @@
+"""Restored words, the character model, and scores on held-out labels."""
+
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from chattermark.llm import deobfuscation as d
+from chattermark.llm import toxicity
+
+CLEAN = "the river runs past many small green houses where people walk along after dinner and talk about weather".split()
+BAD = ["idiot", "stupid", "moron", "pathetic"]
+DISGUISED = ["1d10t", "$tupid", "m0r0n", "p4th3t1c", "iiidiot", "st-u-pid", "m.o.r.o.n", "s t u p i d", "i d i o t", "IDIOT!", "stuuuupid"]
+
+
+def labelled(n, seed=0):
+    r = random.Random(seed)
+    rows, labels = [], []
+    for i in range(n):
+        words = [r.choice(CLEAN) for _ in range(r.randrange(15, 60))]
+        toxic = i % 3 == 0
+        for _ in range(r.randrange(2, 5) if toxic else 0):
+            words.insert(r.randrange(len(words)), r.choice(BAD + DISGUISED))
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    return rows, labels
+
+
+@pytest.fixture(scope="module")
+def model():
+    r = random.Random(1)
+    words = [r.choice(CLEAN + BAD) for _ in range(20_000)]
+    counts = Counter()
+    import pandas as pd
+
+    for batch in d.count_trigrams(iter([pd.DataFrame({"text": [" ".join(words)]})])):
+        for gram, n in zip(batch["gram"], batch["n"], strict=True):
+            counts[gram] += n
+    return d.log_model(counts.items())
+
+
+@pytest.fixture
+def labels(spark):
+    return lambda rows: spark.createDataFrame(rows, "doc_id long, toxic int")
+
+
+def test_trigram_counts(texts):
+    found = {r.gram: r.n for r in d.trigram_counts(texts((1, "ab, AB a1b zü"), (2, None), (3, ""))).collect()}
+    i = d.INDEX
+    gram = lambda a, b, c: (a * d.SIZE + b) * d.SIZE + c
+    assert found == {
+        gram(d.END, d.END, i["a"]): 2, gram(d.END, i["a"], i["b"]): 2, gram(i["a"], i["b"], d.END): 2,
+        gram(d.END, d.END, i["z"]): 1, gram(d.END, i["z"], i["ü"]): 1, gram(i["z"], i["ü"], d.END): 1,
+    }
+
+
+def test_character_model_sums_to_one(model):
+    assert np.allclose(np.exp(model).sum(-1), 1)
+
+
+@pytest.mark.parametrize("word", DISGUISED)
+def test_disguises_are_undone(model, word):
+    found = list(d.Restorer(model).words(f"the people {word} walk along"))
+    assert found[:2] == ["the", "people"] and found[-2:] == ["walk", "along"]
+    assert len(found) == 5 and found[2] in BAD
+
+
+def test_plain_text_stays(model):
+    text = "The river, runs past many small green houses after dinner."
+    assert list(d.Restorer(model).words(text)) == text.lower().replace(",", "").replace(".", "").split()
+    assert list(d.Restorer(model).words("2024 -- 3.14 ### !")) == []
+
+
+def test_reading_is_the_likeliest_path(model):
+    """Viterbi against all readings of short runs."""
+
+    def readings(observed):
+        paths = [("", 0.0)]
+        for i in range(len(observed)):
+            paths = [(t + e, c + cost) for t, c in paths for e, cost in d._options(observed, i)]
+        return paths
+
+    def value(text, cost):
+        a = b = d.END
+        for char in text:
+            symbol = d.END if char == " " else d.INDEX.get(char, d.OTHER)
+            if symbol == d.END and b == d.END:
+                a, b = d.END, d.END
+                continue
+            cost += model[a, b, symbol]
+            a, b = (d.END, d.END) if symbol == d.END else (b, symbol)
+        return cost + (0.0 if b == d.END else model[a, b, d.END])
+
+    r = random.Random(3)
+    for _ in range(60):
+        observed = "".join(r.choice("idot10$-s. ") for _ in range(r.randrange(1, 7))).strip() or "a"
+        best = max(value(*p) for p in readings(observed))
+        text = d.best_reading(observed, model)
+        assert max(value(t, c) for t, c in readings(observed) if t == text) == pytest.approx(best)
+
+
+def test_held_out_rows(texts, labels):
+    rows, marks = labelled(400)
+    held = F.col("doc_id") % 4 == 1
+    fitted = toxicity.fit(texts(*rows), labels(marks), teaches=~held)
+    found = {r.doc_id: r for r in toxicity.score(texts(*rows), fitted).collect()}
+    right = [found[i].predicted == toxic for i, toxic in marks if i % 4 == 1]
+    assert np.mean(right) > 0.97
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in found.values())
+    # Rows that are held out teach nothing.
+    other = toxicity.fit(texts(*rows), labels([(i, t if i % 4 != 1 else 1 - t) for i, t in marks]), teaches=~held)
+    assert other.weights == fitted.weights and other.coefficients == fitted.coefficients
+
+
+def test_only_the_text_counts(texts, labels):
+    rows, marks = labelled(150)
+    fitted = toxicity.fit(texts(*rows), labels(marks))
+    df = texts((1, "an idiot here", "a"), (999, "an idiot here", None)).withColumn("lang", F.lit("zz"))
+    assert len({r.score for r in toxicity.score(df, fitted).collect()}) == 1
+
+
+def test_sample_bound_and_order(texts, labels):
+    rows, marks = labelled(200)
+    one = toxicity.fit(texts(*rows), labels(marks), sample_rows=60)
+    two = toxicity.fit(texts(*rows[::-1]).repartition(5), labels(marks[::-1]), sample_rows=60)
+    assert one.weights == pytest.approx(two.weights) and one.coefficients == pytest.approx(two.coefficients)
+
+
+def test_odd_rows(texts, labels):
+    rows, marks = labelled(150)
+    marks += [(None, 1), (7, None), (10_000, 1), (3, 1)]
+    fitted = toxicity.fit(texts(*rows, (None, "x"), (500, None)), labels(marks))
+    long = "the river " * 50_000
+    df = texts((1, None), (1, None), (2, ""), (None, "stupid idiot"), (4, long)).withColumns(
+        {"Score": F.lit("old"), "scored": F.lit(1)}
+    )
+    found = toxicity.score(df, fitted)
+    assert [c for c in found.columns if c.lower() == "score"] == ["score"]
+    got = found.collect()
+    assert len(got) == 5 and {r.scored for r in got} == {1}
+    empty = {r.score for r in got if not r.text}
+    assert len(empty) == 1 and empty.pop() < 0.3
+    assert [r.predicted for r in got if r.doc_id is None] == [1]
+    assert toxicity.score(texts(), fitted).count() == 0
+    assert {r.restored for r in toxicity.restored_text(df, fitted).collect()} >= {"", "stupid idiot"}
+
+
+@pytest.mark.parametrize(("marks", "score"), [([], 0.0), ([(1, 0), (2, 0)], 0.0), ([(1, 1), (2, 1)], 1.0)])
+def test_one_kind_of_label(texts, labels, marks, score):
+    table = texts((1, "the river"), (2, "green houses"), (3, None))
+    fitted = toxicity.fit(table, labels(marks))
+    assert {round(r.score, 6) for r in toxicity.score(table, fitted).collect()} == {score}
+    assert math.isfinite(sum(fitted.coefficients))
