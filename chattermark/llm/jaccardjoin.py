@@ -28,23 +28,25 @@ replaced.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from chattermark.llm import cells
 from chattermark.llm.components import components
 from chattermark.llm.frames import carry, restore
-from chattermark.llm.shingles import WordHashes, lowered_words, mixed, shingle_set
+from chattermark.llm.shingles import mixed, shingle_sets
 from chattermark.sources.staging import stage
 
 #: Seeds of the scrambled orders that candidates must pass besides the first.
 OTHER_ORDERS = (1, 2)
-BLOCK_BITS = 14
+#: Sets compared with a hub in one task.
+MEMBERS = 500
+COLUMNS = ["doc_id", "n_shingles", "node", "block", "counts"]
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -62,114 +64,79 @@ def node_of(shingles: np.ndarray) -> int:
     return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes())).astype("int64")))
 
 
-def cell_counts(documents: DataFrame, k: int, bits: int) -> np.ndarray:
-    """How often shingles of all documents fall in each cell: 2 ** `bits` numbers."""
-    block = 1 << min(BLOCK_BITS, bits)
+def document_sets(documents: DataFrame, k: int, bits: int) -> DataFrame:
+    """One pass: (doc_id, n_shingles, node) of every row, and (block, counts) of each task.
 
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, total = WordHashes(), np.zeros(1 << bits, dtype="int64")
-        for batch in batches:
-            sets = [shingle_set(hashes(lowered_words(t)), k) for t in batch["text"]]
-            if sets:
-                cells = np.concatenate(sets) >> np.uint64(64 - bits)
-                total += np.bincount(cells.astype("int64"), minlength=1 << bits)
-        if total.any():
-            packed = [zlib.compress(x.tobytes(), 1) for x in total.reshape(-1, block)]
-            yield pd.DataFrame({"block": range(len(packed)), "counts": packed})
-
-    def summed(key: tuple, rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(block, dtype="int64")
-        for batch in rows:
-            for packed in batch["counts"]:
-                total += np.frombuffer(zlib.decompress(packed), dtype="int64")
-        yield pd.DataFrame({"block": [key[0]], "counts": [zlib.compress(total.tobytes(), 1)]})
-
-    rows = (
-        documents.select("text")
-        .mapInPandas(counted, "block int, counts binary")
-        .groupBy("block")
-        .applyInPandas(summed, "block int, counts binary")
-        .collect()
-    )
-    out = np.zeros((1 << bits) // block * block, dtype="int64").reshape(-1, block)
-    for row in rows:
-        out[row["block"]] = np.frombuffer(zlib.decompress(row["counts"]), dtype="int64")
-    return out.reshape(-1)
-
-
-def document_nodes(documents: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n_shingles, node) of every row; the node is null for an empty set."""
+    The node is null for an empty set. Rows with a block hold what the task
+    counted in 2 ** `bits` cells, and no document.
+    """
 
     def named(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
+        total = np.zeros(1 << bits, dtype="int64")
         for batch in batches:
-            sets = [shingle_set(hashes(lowered_words(t)), k) for t in batch["text"]]
+            sizes, nodes = [], []
+            for shingles in shingle_sets(batch["text"], k):
+                sizes.append(len(shingles))
+                nodes.append(node_of(shingles) if len(shingles) else None)
+                # A set may fall into a cell more than once.
+                np.add.at(total, (shingles >> np.uint64(64 - bits)).view("int64"), 1)
             yield pd.DataFrame(
                 {
                     "doc_id": batch["doc_id"].astype("Int64"),
-                    "n_shingles": [len(s) for s in sets],
-                    "node": pd.array([node_of(s) if len(s) else None for s in sets], dtype="Int64"),
+                    "n_shingles": sizes,
+                    "node": pd.array(nodes, dtype="Int64"),
+                    "block": pd.array([None] * len(sizes), dtype="Int32"),
+                    "counts": None,
                 }
             )
+        counts = cells.packed_blocks(total)
+        yield counts.assign(doc_id=None, n_shingles=None, node=None)[COLUMNS]
 
     narrow = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return narrow.mapInPandas(named, "doc_id long, n_shingles long, node long")
+    return narrow.mapInPandas(named, f"doc_id long, n_shingles long, node long, {cells.SCHEMA}")
 
 
-def prefixes(documents: DataFrame, k: int, percent: int, cells: np.ndarray) -> DataFrame:
-    """(token, node, n): the prefix of each set under the order by rarity.
+def prefixes(documents: DataFrame, k: int, percent: int, counts: np.ndarray) -> DataFrame:
+    """(token, node): the prefix of each set under the order by rarity.
 
     A task gives a set once, so copies within its rows cost nothing more.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(cells)
-    shift = np.uint64(64 - int(len(cells)).bit_length() + 1)
+    shared = documents.sparkSession.sparkContext.broadcast(counts.astype("int32"))
+    shift = np.uint64(64 - int(len(counts)).bit_length() + 1)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, counts, given = WordHashes(), shared.value, set()
+        counts, given = shared.value, set()
         for batch in batches:
-            tokens, nodes, sizes = [], [], []
-            for text in batch["text"]:
-                found = shingle_set(hashes(lowered_words(text)), k)
+            tokens, nodes = [], []
+            for found in shingle_sets(batch["text"], k):
                 n = len(found)
                 if not can_differ(n, percent):
                     continue
                 node = node_of(found)
                 if node in given:
                     continue
-                given.add(node)
+                if len(given) < 1_000_000:
+                    given.add(node)
                 order = np.lexsort((found, counts[(found >> shift).astype("int64")]))
                 tokens.append(found[order[: prefix_length(n, percent)]])
                 nodes.append(node)
-                sizes.append(n)
             if tokens:
                 each = [len(t) for t in tokens]
                 yield pd.DataFrame(
                     {
                         "token": np.concatenate(tokens).view("int64"),
                         "node": np.repeat(np.array(nodes, dtype="int64"), each),
-                        "n": np.repeat(sizes, each),
                     }
                 )
 
-    return documents.select("text").mapInPandas(cut, "token long, node long, n long")
+    return documents.select("text").mapInPandas(cut, "token long, node long")
 
 
-def similar_size(n: str, m: str, percent: int) -> Column:
-    return F.least(n, m) * 100 >= F.greatest(n, m) * percent
-
-
-def candidate_pairs(buckets: DataFrame, percent: int) -> DataFrame:
-    """Distinct (a, b), a below b: every node of a bucket with its first and its last node."""
-    low = F.col("low.node"), F.col("low.n")
-    high = F.col("high.node"), F.col("high.n")
-    pairs = buckets.select(
-        "node",
-        "n",
-        F.explode(F.array(*[F.struct(x.alias("leader"), m.alias("m")) for x, m in (low, high)])).alias("with"),
-    ).select("node", "n", "with.*")
+def led_pairs(buckets: DataFrame) -> DataFrame:
+    """Distinct (hub, node): every node of a bucket with its first and its last node."""
     return (
-        pairs.where((F.col("node") != F.col("leader")) & similar_size("n", "m", percent))
-        .select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
+        buckets.select("node", F.explode(F.array("low", "high")).alias("hub"))
+        .where("node <> hub")
         .distinct()
     )
 
@@ -192,40 +159,77 @@ def similar(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(left) + len(right) - common)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that are similar."""
+def id_filter(keys: DataFrame, bits: int) -> np.ndarray:
+    """Which of 2 ** `bits` cells hold a key. Of fixed size; a full one filters nothing."""
 
-    @F.pandas_udf("boolean")
-    def holds(left: pd.Series, right: pd.Series) -> pd.Series:
-        arrays = ((np.frombuffer(a, "uint64"), np.frombuffer(b, "uint64")) for a, b in zip(left, right, strict=True))
-        return pd.Series([similar(a, b, percent) for a, b in arrays], dtype=bool)
+    def marked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(1 << bits, dtype="int64")
+        for batch in batches:
+            total[key_cells(batch["key"].to_numpy(), bits)] = 1
+        yield cells.packed_blocks(total)
 
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-    return pairs.join(left, "a").join(right, "b").where(holds("left", "right")).select("a", "b")
+    return cells.gathered(keys.select("key").mapInPandas(marked, cells.SCHEMA), 1 << bits) > 0
 
 
-def sets_of(documents: DataFrame, nodes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(node, shingles) of the wanted nodes, made again from one document of each."""
-    chosen = nodes.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+def key_cells(keys: np.ndarray, bits: int) -> np.ndarray:
+    return (mixed(keys.astype("int64").view("uint64")) >> np.uint64(64 - bits)).astype("int64")
 
-    def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
-        for batch in batches:
-            sets = [shingle_set(hashes(lowered_words(t)), k) for t in batch["text"]]
-            right = [node_of(s) == node for s, node in zip(sets, batch["node"], strict=True)]
-            yield pd.DataFrame(
-                {
-                    "node": batch["node"][right],
-                    "shingles": [s.tobytes() for s, ok in zip(sets, right, strict=True) if ok],
-                }
-            )
 
+def verified(
+    pairs: DataFrame, documents: DataFrame, nodes: DataFrame, *, k: int, percent: int, filter_bits: int = 22
+) -> DataFrame:
+    """The pairs (hub, node) whose sets are similar, as (a, b).
+
+    Sets are made again from one document of each node, and those to be compared
+    with a hub are sent to it, in portions of `MEMBERS`, each with the hub's set.
+    Texts that are not wanted are left out by a filter of fixed size before the
+    shuffle, and by the join behind it.
+    """
+    pairs = stage(pairs, "pairs")
+    portions = pairs.groupBy("hub").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("portions"))
+    members = pairs.join(portions, "hub").select(
+        "hub", "node", F.expr("cast(pmod(xxhash64(node), portions) as int)").alias("portion"), F.lit(0).alias("leads")
+    )
+    hubs = portions.select(
+        "hub",
+        F.col("hub").alias("node"),
+        F.explode(F.sequence(F.lit(0), F.col("portions") - 1)).alias("portion"),
+        F.lit(1).alias("leads"),
+    )
     no_id = F.lit(-(2**63))
-    keyed = documents.select(F.coalesce(F.col("doc_id").cast("long"), no_id).alias("key"), "text")
-    chosen = chosen.select("node", F.coalesce("doc_id", no_id).alias("key"))
-    found = keyed.join(chosen, "key").select("node", "text").mapInPandas(made, "node long, shingles binary")
-    return found.dropDuplicates(["node"])
+    first = nodes.groupBy("node").agg(F.coalesce(F.min("doc_id"), no_id).alias("key"))
+    wanted = stage(members.union(hubs).join(first, "node"), "wanted")
+    shared = documents.sparkSession.sparkContext.broadcast(id_filter(wanted, filter_bits))
+
+    @F.pandas_udf("boolean")
+    def may_be_wanted(keys: pd.Series) -> pd.Series:
+        return pd.Series(shared.value[key_cells(keys.to_numpy(), filter_bits)])
+
+    def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts = batch["text"].drop_duplicates()
+            found = {t: (node_of(s), s.tobytes()) if len(s) else (0, b"") for t, s in zip(texts, shingle_sets(texts, k), strict=True)}
+            got = [found[text] for text in batch["text"]]
+            batch["shingles"] = [s for _, s in got]
+            # Another row of the same id may hold another text.
+            yield batch[[a == b for (a, _), b in zip(got, batch["node"], strict=True)]].drop(columns="text")
+
+    def compared(rows: pd.DataFrame) -> pd.DataFrame:
+        sets = [np.frombuffer(x, "uint64") for x in rows["shingles"]]
+        leads = np.flatnonzero(rows["leads"].to_numpy())
+        hub = sets[leads[0]] if len(leads) else np.empty(0, "uint64")
+        holds = [len(hub) > 0 and not lead and similar(hub, s, percent) for s, lead in zip(sets, rows["leads"], strict=True)]
+        return rows.loc[holds, ["hub", "node"]].rename(columns={"hub": "a", "node": "b"})
+
+    texts = documents.select(F.coalesce(F.col("doc_id").cast("long"), no_id).alias("key"), "text")
+    return (
+        texts.where(may_be_wanted("key"))
+        .join(wanted, "key")
+        .select("hub", "node", "portion", "leads", "text")
+        .mapInPandas(made, "hub long, node long, portion int, leads int, shingles binary")
+        .groupBy("hub", "portion")
+        .applyInPandas(compared, "a long, b long")
+    )
 
 
 def similar_groups(
@@ -238,24 +242,27 @@ def similar_groups(
     """
     if not 50 < percent <= 100:
         raise ValueError("percent must be above 50 and at most 100")
-    nodes = stage(document_nodes(documents, k), "shingle-nodes")
-    cells = cell_counts(documents, k, sketch_bits)
+    made = stage(document_sets(documents, k, sketch_bits), "shingle-sets")
+    nodes = made.where("block is null").select("doc_id", "n_shingles", "node")
+    counts = cells.gathered(made.where("block is not null").select("block", "counts"), 1 << sketch_bits)
 
     by_token = Window.partitionBy("token")
-    named = F.struct("node", "n")
     buckets = (
-        prefixes(documents, k, percent, cells)
-        .withColumn("low", F.min(named).over(by_token))
-        .withColumn("high", F.max(named).over(by_token))
-        .where(F.col("low.node") != F.col("high.node"))
+        prefixes(documents, k, percent, counts)
+        .withColumn("low", F.min("node").over(by_token))
+        .withColumn("high", F.max("node").over(by_token))
+        .where("low <> high")
     )
     buckets = stage(buckets, "buckets")
-    sets = stage(sets_of(documents, nodes, buckets.select("node").distinct(), k), "sets")
-
-    first = stage(verified(candidate_pairs(buckets, percent), sets, percent), "similar")
+    checked = {"documents": documents, "nodes": nodes.where("node is not null"), "k": k, "percent": percent}
+    first = stage(verified(led_pairs(buckets), **checked), "similar")
     label = components(first)
-    placed = buckets.select("token", "node", "n").distinct().join(label, "node", "left").withColumn(
-        "component", F.coalesce("component", "node")
+
+    placed = (
+        buckets.select("token", "node")
+        .distinct()
+        .join(label, "node", "left")
+        .withColumn("component", F.coalesce("component", "node"))
     )
     several = (
         placed.groupBy("token")
@@ -263,17 +270,21 @@ def similar_groups(
         .where("one <> other")
         .select("token")
     )
-    open_rows = stage(placed.join(several, "token", "left_semi"), "open-buckets")
-    left = open_rows.select("token", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-    right = open_rows.select("token", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
+    size = nodes.where("node is not null").groupBy("node").agg(F.max("n_shingles").alias("n"))
+    still_open = stage(placed.join(several, "token", "left_semi").join(size, "node"), "open-buckets")
+    left, right = (
+        still_open.select("token", F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", "component")])
+        for name in ("hub", "node")
+    )
     rest = (
         left.join(right, "token")
-        .where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & similar_size("n_a", "n_b", percent))
-        .select("a", "b")
+        .where("hub < node and component_hub <> component_node")
+        .where(f"100 * least(n_hub, n_node) >= {percent} * greatest(n_hub, n_node)")
+        .select("hub", "node")
         .distinct()
-        .join(candidate_pairs(buckets, percent), ["a", "b"], "left_anti")
     )
-    second = verified(rest, sets, percent)
+    done = led_pairs(buckets).select(F.least("hub", "node").alias("hub"), F.greatest("hub", "node").alias("node"))
+    second = stage(verified(rest.join(done, ["hub", "node"], "left_anti"), **checked), "similar")
     stars = label.select(F.col("node").alias("a"), F.col("component").alias("b"))
     of_node = components(stars.union(second))
     rows = nodes.join(of_node, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -299,12 +310,11 @@ def keep_one_of_each(documents: DataFrame, *, k: int = 5, percent: int = 80) ->
 
     @F.pandas_udf("long")
     def node(texts: pd.Series) -> pd.Series:
-        hashes = WordHashes()
-        sets = (shingle_set(hashes(lowered_words(t)), k) for t in texts)
-        return pd.Series([node_of(s) if len(s) else None for s in sets], dtype="Int64")
+        return pd.Series([node_of(s) if len(s) else None for s in shingle_sets(texts, k)], dtype="Int64")
 
     rows = carry(documents, key=F.coalesce(F.col("doc_id").cast("long"), no_id), node=node("text"))
-    grouped = rows.where("node is not null").join(stays, ["key", "node"])
     same = Window.partitionBy("key", "node").orderBy("key")
-    single = grouped.withColumn("copy", F.row_number().over(same)).where("copy = 1")
-    return restore(single.select("carried_row").union(rows.where("node is null").select("carried_row")))
+    marked = rows.join(stays.withColumn("stays", F.lit(True)), ["key", "node"], "left").withColumn(
+        "copy", F.row_number().over(same)
+    )
+    return restore(marked.where("node is null or (stays and copy = 1)"))

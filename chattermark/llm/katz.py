@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chattermark.llm.packing import pack, pack_sorted, smallest, unpack, unpack_sorted
-from chattermark.llm.shingles import MULTIPLIER, WordHashes, lowered_words, mixed
+from chattermark.llm.shingles import MULTIPLIER, mixed, word_hashes
 from chattermark.sources.staging import new_folder, stage
 
 #: Counts up to this one are discounted.
@@ -140,7 +140,7 @@ def chunks_of(documents: DataFrame, held_out: Column, chunk_tokens: int) -> Data
     """Texts as packed sequences of word numbers, some million tokens a row."""
 
     def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, serial = WordHashes(), TaskContext.get().partitionId() << 24
+        serial = TaskContext.get().partitionId() << 24
         ids, held, parts, size = [], [], [], 0
 
         def row() -> pd.DataFrame:
@@ -160,8 +160,9 @@ def chunks_of(documents: DataFrame, held_out: Column, chunk_tokens: int) -> Data
             )
 
         for batch in batches:
-            for doc_id, text, out in zip(batch["doc_id"], batch["text"], batch["held_out"], strict=True):
-                tokens = np.append(hashes(lowered_words(text)), END)
+            words = word_hashes(batch["text"])
+            for doc_id, found, out in zip(batch["doc_id"], words, batch["held_out"], strict=True):
+                tokens = np.append(found, END)
                 ids.append(None if pd.isna(doc_id) else int(doc_id))
                 held.append(bool(out))
                 parts.append(tokens)
