@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from chattermark.llm import cells, jaccardjoin
 from chattermark.llm.components import components
 from chattermark.llm.jaccardjoin import keep_one_of_each, prefix_length, similar_groups
-from chattermark.llm.shingles import WordHashes, lowered_words, shingle_set
+from chattermark.llm.shingles import lowered_words, shingle_sets, word_hashes
 
 
 def plain_set(text, k):
@@ -131,11 +131,25 @@ def test_cells_add_up(spark):
 
 
 def test_shingles():
-    hashes = WordHashes()
     assert lowered_words("É ÀB\x0bC\x85d") == ["É".encode(), "Àb".encode(), "c\x85d".encode()]
-    assert len(shingle_set(hashes(lowered_words("a b c d e a b c d")), 4)) == 6 - 1
-    assert len(shingle_set(hashes([]), 4)) == 0 and len(shingle_set(hashes([b"a", b"b"]), 4)) == 1
-    assert shingle_set(hashes([b"a", b"b"]), 4)[0] != shingle_set(hashes([b"b", b"a"]), 4)[0]
+    sets = [len(s) for s in shingle_sets(["a b c d e a b c d", None, "", "a b", "\t\n"], 4)]
+    assert sets == [5, 0, 0, 1, 0]
+    one, two = shingle_sets(["a b", "b a"], 4)
+    assert one[0] != two[0]
+
+
+def test_word_hashes_tell_words_apart_and_equal_ones_together():
+    r = random.Random(6)
+    alphabet = "abAB01é"
+    texts = [" ".join("".join(r.choice(alphabet) for _ in range(r.choice([1, 2, 3, 8, 70, 200]))) for _ in range(r.randrange(40))) for _ in range(400)]
+    texts += [None, "", " x ", "\x0bx\x0c", "x" * 3_000_000 + " y", "ab" * 40, "ba" * 40]
+    known = {}
+    for text, found in zip(texts, word_hashes(texts), strict=True):
+        words = lowered_words(text)
+        assert len(words) == len(found)
+        for word, value in zip(words, found.tolist(), strict=True):
+            assert known.setdefault(word, value) == value
+    assert len(set(known.values())) == len(known)
 
 
 def test_one_of_each_stays(texts):
