@@ -89,8 +89,8 @@ def _by_dimension(df: DataFrame, id_column: str, vector_column: str) -> DataFram
     )
 
 
-def activity_all_channel_peaks(spark, sf_dir):
-    wide = _channel_activity(spark, sf_dir, all_channel_peaks=True)
+def activity_all_channel_peaks(spark, sf_dir, **options):
+    wide = _channel_activity(spark, sf_dir, all_channel_peaks=True, **options)
     return wide.select(
         "username", "user_id", "channel_title", "month", "max_CPP_this_CH",
         "max_CPP_all_CH", "max_CPP_one_CH",
@@ -242,9 +242,9 @@ def mean_pooling(spark, sf_dir):
     return _by_dimension(distances.mean_pooling(tokens), "doc_id", "embedding")
 
 
-def _reduced(spark, sf_dir) -> embedding.Reduction:
+def _reduced(spark, sf_dir, n_components: int = 50) -> embedding.Reduction:
     vectors = embedding.as_vectors(_vectors(spark, sf_dir), "embedding", "features")
-    return embedding.reduce_dimensions(vectors)
+    return embedding.reduce_dimensions(vectors, n_components=n_components)
 
 
 def pca_components(spark, sf_dir):
@@ -254,20 +254,90 @@ def pca_components(spark, sf_dir):
     )
 
 
+def pca_lengths(spark, sf_dir):
+    """All components keep lengths: that of a vector is its distance from the mean vector."""
+    components = vector_to_array("components")
+    squares = F.aggregate(components, F.lit(0.0), lambda total, x: total + x * x)
+    return _reduced(spark, sf_dir, n_components=64).table.select(
+        "vec_id", F.round(squares, 4).alias("squared_length")
+    )
+
+
 def pca_explained(spark, sf_dir):
-    reduction = _reduced(spark, sf_dir)
+    reduction = _reduced(spark, sf_dir, n_components=64)
     return reduction.table.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.lit(len(reduction.explained_variance)).alias("n_components"),
-        F.lit(reduction.explained).alias("explained"),
+        F.lit(round(reduction.explained, 6)).alias("explained"),
     )
 
 
+def kmeans_event_types(spark, sf_dir):
+    """Clusters of one-hot event types: one for each type, named by its smallest id."""
+    events = sample_tables.read(spark, sf_dir, "events").select("event_id", "event_type")
+    types = sorted(r[0] for r in events.select("event_type").distinct().collect())
+    one_hot = F.array(*[(F.col("event_type") == t).cast("double") for t in types])
+    points = embedding.as_vectors(events.withColumn("hot", one_hot), "hot", "features")
+    model, _ = embedding.best_kmeans(points, "features", len(types), layout_column="event_id")
+    labelled = model.transform(points).select("event_id", "cluster_label")
+    names = labelled.groupBy("cluster_label").agg(F.min("event_id").alias("cluster_name"))
+    return labelled.join(names, "cluster_label").select("event_id", "cluster_name")
+
+
+def word_totals(spark, sf_dir):
+    """Words of every document, from its hashed word counts."""
+    documents = sample_tables.read(spark, sf_dir, "documents").select("doc_id", "text")
+    counts = F.unwrap_udt("counts").getField("values")
+    total = F.aggregate(counts, F.lit(0.0), lambda total, x: total + x)
+    return embedding.hashed_words(documents).select("doc_id", total.cast("long").alias("n_words"))
+
+
+def csv_round_trip(spark, sf_dir):
+    """All documents as CSV, read back."""
+    documents = sample_tables.read(spark, sf_dir, "documents").select("doc_id", "text")
+    path = sinks.write_csv(documents, staging.new_folder(spark, "csv"))
+    return sinks.read_csv(spark, path, "doc_id long, text string")
+
+
+def catalog_check(spark, sf_dir):
+    """The four tables as views: whether they and their columns are there, and their rows."""
+    source = sample_tables.tables(spark, sf_dir, with_text=True)
+    source.register("checked_")
+    rows = None
+    for name, df in source.items():
+        one = df.agg(F.lit(f"checked_{name}").alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
+        rows = one if rows is None else rows.unionByName(one)
+    found = tables.check_catalog(spark, "checked_").select(
+        "table_name", "present", F.size("missing_columns").alias("n_missing")
+    )
+    return found.join(rows, "table_name")
+
+
+def report_rows(spark, sf_dir):
+    """Rows of the report files that describe the activity, after writing and reading back."""
+    folder = staging.new_folder(spark, "report")
+    counted = staging.stage(_activity(spark, sf_dir), "activity")
+    files = report.write_report(counted, folder, THRESHOLD)
+    rows = None
+    for name, path in sorted(files.items()):
+        kind = path.rsplit(".", 1)[1]
+        if name == "quality_activity":
+            continue
+        if kind == "csv":
+            columns = "a string, b string, c string" if name == "suspicious_commenters" else "a string"
+            table = sinks.read_csv(spark, path, columns)
+        else:
+            table = spark.read.format(kind).load(path)
+        one = table.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
+        rows = one if rows is None else rows.unionByName(one)
+    return rows
+
+
 def kmeans_clusters(spark, sf_dir):
     scores = staging.stage(
         _reduced(spark, sf_dir).table.select("vec_id", "components"), "scores"
     )
-    model, _ = embedding.best_kmeans(scores)
+    model, _ = embedding.best_kmeans(scores, layout_column="vec_id")
     return model.transform(scores).select("vec_id", "cluster_label")
 
 
@@ -351,6 +421,15 @@ def queries() -> dict[str, Query]:
         "mean_pooling": mean_pooling,
         "pca_components": pca_components,
         "pca_explained": pca_explained,
+        "pca_lengths": pca_lengths,
+        "kmeans_event_types": kmeans_event_types,
+        "word_totals": word_totals,
+        "csv_round_trip": csv_round_trip,
+        "catalog_check": catalog_check,
+        "report_rows": report_rows,
+        "activity_all_channel_minute_peak": lambda s, d: activity_all_channel_peaks(
+            s, d, period_format="%Y-%m-%d %H:%i"
+        ),
         "kmeans_clusters": kmeans_clusters,
         "comment_clusters": comment_clusters,
         "label_distribution": lambda s, d: clusters.cluster_sizes(_labelled(s, d)),
@@ -590,25 +669,8 @@ def oracle_sql() -> dict[str, str]:
     a, b = doubles.format("a.embedding"), doubles.format("b.embedding")
     cosine = f"list_cosine_similarity({a}, {b})"
 
-    def label_statistics(columns, per_user):
-        return f"""{video}, {_LABELLED}, per_user AS ({per_user})
-            SELECT l.cluster_label, count(*) AS count, {columns}
-            FROM labelled l LEFT JOIN per_user p ON p.user_id = l.user_id
-            GROUP BY l.cluster_label"""
-
-    averages = """round(avg(comments), 6) AS avg_comments, round(avg(peak), 6) AS avg_max_cpp,
-                  round(avg(likes), 6) AS avg_likes_per_comment"""
-
-    return {
-        "activity_video_peak": f"{video} SELECT * FROM activity",
-        "activity_channel_peak": f"{channel} SELECT * FROM activity",
-        "activity_minute_peak": f"WITH {_activity_ctes('video', '%Y-%m-%d %H:%M')} "
-        "SELECT * FROM activity",
-        "activity_channel_minute_peak": f"WITH {_activity_ctes('channel', '%Y-%m-%d %H:%M')} "
-        "SELECT * FROM activity",
-        "activity_hour_of_month": f"WITH {_activity_ctes('channel', '%Y-%m %H')} "
-        "SELECT * FROM activity",
-        "activity_all_channel_peak": f"""{channel},
+    def wide_peaks(pattern):
+        return f"""WITH {_activity_ctes("channel", pattern)},
             all_channels AS (
                 SELECT raw_user_id, period, count(*) AS n_all FROM placed GROUP BY ALL
             ),
@@ -627,7 +689,28 @@ def oracle_sql() -> dict[str, str]:
             FROM activity t JOIN peaks p
               ON t.user_id IS NOT DISTINCT FROM p.user_id
              AND t.username IS NOT DISTINCT FROM p.username
-             AND t.channel_title IS NOT DISTINCT FROM p.channel_title AND t.month = p.month""",
+             AND t.channel_title IS NOT DISTINCT FROM p.channel_title AND t.month = p.month"""
+
+    def label_statistics(columns, per_user):
+        return f"""{video}, {_LABELLED}, per_user AS ({per_user})
+            SELECT l.cluster_label, count(*) AS count, {columns}
+            FROM labelled l LEFT JOIN per_user p ON p.user_id = l.user_id
+            GROUP BY l.cluster_label"""
+
+    averages = """round(avg(comments), 6) AS avg_comments, round(avg(peak), 6) AS avg_max_cpp,
+                  round(avg(likes), 6) AS avg_likes_per_comment"""
+
+    return {
+        "activity_video_peak": f"{video} SELECT * FROM activity",
+        "activity_channel_peak": f"{channel} SELECT * FROM activity",
+        "activity_minute_peak": f"WITH {_activity_ctes('video', '%Y-%m-%d %H:%M')} "
+        "SELECT * FROM activity",
+        "activity_channel_minute_peak": f"WITH {_activity_ctes('channel', '%Y-%m-%d %H:%M')} "
+        "SELECT * FROM activity",
+        "activity_hour_of_month": f"WITH {_activity_ctes('channel', '%Y-%m %H')} "
+        "SELECT * FROM activity",
+        "activity_all_channel_peak": wide_peaks(day),
+        "activity_all_channel_minute_peak": wide_peaks("%Y-%m-%d %H:%M"),
         "activity_sampled": f"WITH {_activity_ctes('video', day, sample=9, min_comments=3)} "
         "SELECT * FROM activity",
         "suspicious_rows": f"""{channel}
@@ -769,5 +852,43 @@ def oracle_sql() -> dict[str, str]:
             )
             SELECT cluster_label, CAST(r AS INTEGER) AS rank, comment_id, {preview} AS preview
             FROM ranked WHERE r <= 5""",
+        "pca_lengths": """
+            WITH v AS (
+                SELECT vec_id, unnest(CAST(embedding AS DOUBLE[])) AS x,
+                       unnest(range(len(embedding))) AS i
+                FROM embeddings
+            ),
+            m AS (SELECT i, avg(x) AS mean FROM v GROUP BY i)
+            SELECT vec_id, round(sum((x - mean) * (x - mean)), 4) AS squared_length
+            FROM v JOIN m USING (i) GROUP BY vec_id""",
+        "pca_explained": """
+            SELECT count(*) AS n_rows, CAST(64 AS INTEGER) AS n_components,
+                   CAST(1.0 AS DOUBLE) AS explained
+            FROM embeddings""",
+        "kmeans_event_types": """
+            SELECT event_id, min(event_id) OVER (PARTITION BY event_type) AS cluster_name
+            FROM events""",
+        "word_totals": r"""
+            SELECT doc_id,
+                   len(regexp_extract_all(coalesce(text, ''), '[\p{L}\p{M}\p{Nd}\p{Pc}]+')) AS n_words
+            FROM documents""",
+        "csv_round_trip": "SELECT doc_id, text FROM documents",
+        "catalog_check": f"""WITH {_TABLES}
+            SELECT 'checked_comments' AS table_name, TRUE AS present, 0 AS n_missing,
+                   (SELECT count(*) FROM comments) AS n_rows
+            UNION ALL SELECT 'checked_users', TRUE, 0, (SELECT count(*) FROM users)
+            UNION ALL SELECT 'checked_videos', TRUE, 0, (SELECT count(*) FROM videos)
+            UNION ALL SELECT 'checked_channels', TRUE, 0, (SELECT count(*) FROM channels)""",
+        "report_rows": f"""{video},
+            flagged AS (SELECT * FROM activity WHERE "max_CPP_this_CH" >= {THRESHOLD})
+            SELECT 'activity_by_month' AS table_name, count(DISTINCT month) AS n_rows FROM activity
+            UNION ALL SELECT 'counts', 1
+            UNION ALL SELECT 'summary', 1
+            UNION ALL SELECT 'cumulative_share', count(DISTINCT {n}) FROM activity
+            UNION ALL SELECT 'commenter_density', count(*) FROM (
+                SELECT DISTINCT {n}, number_periods_with_comments FROM flagged
+                WHERE number_periods_with_comments < 10)
+            UNION ALL SELECT 'suspicious_commenters', count(*) FROM flagged
+            UNION ALL SELECT 'suspicious_usernames', count(DISTINCT username) FROM flagged""",
         **(llm.ORACLE_SQL if llm else {}),
     }

@@ -15,6 +15,8 @@ def parse(args: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="chattermark", description=__doc__)
     parser.add_argument("--tables", help="folder of Parquet tables; the catalog if left out")
     parser.add_argument("--prefix", default="", help="prefix of catalog table names")
+    # Fixed values: --start-date, --end-date, --threshold, --output-dir and --no-text-analysis
+    # are the options users of such an analysis know.
     parser.add_argument("--start-date", default=settings.DEFAULT_START, help="YYYY-MM-DD")
     parser.add_argument("--end-date", default=settings.DEFAULT_END, help="YYYY-MM-DD, exclusive")
     parser.add_argument("--period-format", default=settings.DEFAULT_PERIOD_FORMAT)

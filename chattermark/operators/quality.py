@@ -4,7 +4,8 @@ Each check returns rows `(check_name, level, field, value, detail)`. Findings
 have level `error` or `warning` and appear only when they apply; summary
 figures have level `info`. A table is valid when no row is an `error`.
 
-Tables are read once: every count of a check is part of one grouped pass.
+Tables are read twice at most: once for the counts, and once, over few columns,
+for distinct values. Pass staged tables.
 """
 
 from __future__ import annotations
@@ -184,29 +185,25 @@ def _fold(parts: list[DataFrame]) -> DataFrame:
 def check_texts(df: DataFrame) -> DataFrame:
     """Structure, short and repeated texts, length statistics, and dates.
 
-    Rows are folded by text first (by its SHA-256, so that long texts are not
-    shuffled), then by length, then into one row. Every figure is a sum, an
-    extreme or a weighted median over these, so copies of one text, however
-    many, cost one row. Distinct lengths are at most sqrt(2 * characters).
+    All counts are folded by length, of which there are few, and then into one
+    row; the median is weighted. Distinct texts are counted apart, by their
+    SHA-256 as 32 bytes, so texts and counts do not move together and copies of
+    one text, however many, cost a row per task. Distinct lengths are at most
+    sqrt(2 * characters).
     """
     if _missing(df, schemas.TEXT_REQUIRED):
         return check_structure(df, schemas.TEXT_REQUIRED)
 
-    nulls = [_null_name(c) for c in df.columns]
-    by_text = df.groupBy(F.sha2("text", 256).alias("text_hash")).agg(
+    added = ["n_rows", "n_short", "n_dated", *[_null_name(c) for c in df.columns]]
+    by_length = df.groupBy(F.char_length("text").alias("length")).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.max(F.char_length("text")).alias("length"),
         F.count_if(is_short("text")).alias("n_short"),
         F.count_if(F.col("published_at").isNotNull()).alias("n_dated"),
         *_null_counts(df),
     )
-    added = ["n_rows", "n_short", "n_dated", *nulls]
-    by_length = by_text.groupBy("length").agg(
-        F.count(F.lit(1)).alias("n_texts"), *[F.sum(f"`{c}`").alias(c) for c in added]
-    )
     known = F.when(F.col("length").isNotNull(), F.col("n_rows"))
     counted = by_length.agg(
-        *[F.coalesce(F.sum(f"`{c}`"), F.lit(0)).alias(c) for c in ["n_texts", *added]],
+        *[F.coalesce(F.sum(f"`{c}`"), F.lit(0)).alias(c) for c in added],
         F.try_divide(F.sum(F.col("length") * F.col("n_rows")).cast("double"), F.sum(known)).alias(
             "avg_length"
         ),
@@ -214,6 +211,8 @@ def check_texts(df: DataFrame) -> DataFrame:
         F.max("length").alias("max_length"),
         F.min("length").alias("min_length"),
     )
+    texts = df.select(F.unhex(F.sha2("text", 256)).alias("text_hash")).distinct()
+    counted = _fold([counted, texts.agg(F.count(F.lit(1)).alias("n_texts"))])
 
     total, distinct = F.col("n_rows"), F.col("n_texts")
     filled = total > 0

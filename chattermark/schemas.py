@@ -46,7 +46,8 @@ TABLES = {
     "channels": CHANNELS,
 }
 
-# Columns a table must carry before it is checked further.
+# Columns a table must carry before it is checked further, and those that must be
+# numeric. The names are those of the tables users have.
 ACTIVITY_REQUIRED = (
     "username",
     "user_id",

@@ -82,6 +82,15 @@ def jdbc_options(
     return {**options, **given}
 
 
+def bounds_query(table: str, column: str = "id") -> str:
+    """A derived table with the smallest and the largest id, which an index answers."""
+    return f"(SELECT MIN({column}) AS low, MAX({column}) AS high FROM {table}) bounds"
+
+
+def read_options(spark: SparkSession, options: dict[str, str]) -> DataFrame:
+    return spark.read.format("jdbc").options(**options).load()
+
+
 def from_jdbc(
     spark: SparkSession,
     url: str,
@@ -89,25 +98,30 @@ def from_jdbc(
     user: str,
     password: str,
     prefix: str = "",
-    comment_ids: tuple[int, int] | None = None,
     num_partitions: int = 64,
+    fetch_size: int = 10_000,
 ) -> CommentTables:
-    """Tables of a database, the comments in ranges of `id` when bounds are given."""
-
-    def load(name: str, **ranges) -> DataFrame:
-        options = jdbc_options(url, prefix + name, user=user, password=password, **ranges)
-        return spark.read.format("jdbc").options(**options).load()
-
-    tables = {name: load(name) for name in schemas.TABLES if name != "comments"}
-    ranges = {}
-    if comment_ids:
-        ranges = {
-            "partition_column": "id",
-            "lower_bound": comment_ids[0],
-            "upper_bound": comment_ids[1],
-            "num_partitions": num_partitions,
-        }
-    return CommentTables(comments=load("comments", **ranges), **tables)
+    """Tables of a database, each read in `num_partitions` ranges of its `id`.
+
+    The bounds of each table are asked of the database first; they only place the
+    cuts. An empty table has none and is read as it is.
+    """
+    common = {"user": user, "password": password, "fetch_size": fetch_size}
+
+    def load(name: str) -> DataFrame:
+        table = prefix + name
+        bounds = read_options(spark, jdbc_options(url, bounds_query(table), **common)).head()
+        ranges = {}
+        if bounds is not None and bounds["low"] is not None:
+            ranges = {
+                "partition_column": "id",
+                "lower_bound": int(bounds["low"]),
+                "upper_bound": int(bounds["high"]) + 1,
+                "num_partitions": num_partitions,
+            }
+        return read_options(spark, jdbc_options(url, table, **common, **ranges))
+
+    return CommentTables(**{name: load(name) for name in schemas.TABLES})
 
 
 def check_catalog(spark: SparkSession, prefix: str = "") -> DataFrame:

@@ -57,6 +57,30 @@ def test_jdbc_options():
         tables.jdbc_options("jdbc:mysql://host/db", "comments", **common, partition_column="id")
 
 
+def test_every_database_table_is_read_in_ranges(spark, source, monkeypatch):
+    asked = []
+
+    def read(session, options):
+        asked.append(options)
+        name = options["dbtable"]
+        if "bounds" in name:
+            values = (None, None) if "db.users" in name else (5, 900)
+            return session.createDataFrame([values], "low long, high long")
+        return getattr(source, name.removeprefix("db."))
+
+    monkeypatch.setattr(tables, "read_options", read)
+    found = tables.from_jdbc(spark, "jdbc:x", user="u", password="p", prefix="db.", num_partitions=7)
+    assert found.comments.count() == 17
+    reads = {o["dbtable"]: o for o in asked if "bounds" not in o["dbtable"]}
+    assert set(reads) == {"db.comments", "db.users", "db.videos", "db.channels"}
+    for name, options in reads.items():
+        if name == "db.users":
+            assert "partitionColumn" not in options
+        else:
+            assert (options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("5", "901", "7")
+    assert sum("bounds" in o["dbtable"] for o in asked) == 4
+
+
 def test_sql_parameters_are_values_not_text(spark, source):
     statement = "SELECT username FROM {people} WHERE username = :name"
     spark.range(1).createOrReplaceTempView("people")
