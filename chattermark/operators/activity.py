@@ -153,7 +153,9 @@ def comment_activity(
     With `keep_orphans`, comments with an unknown user, video or channel stay,
     grouped under null; without, they are dropped. The default is to keep them
     at channel grain and to drop them at video grain. At video grain the ratios
-    are rounded to four places.
+    are rounded to four places. Kept unknown users share one row, whose totals add
+    them all up; its peak at video grain is that of the busiest single one, at
+    channel grain that of all together.
 
     `all_channel_peaks` adds `max_CPP_all_CH`, the peak of the user's comments
     in one period over all channels, and `max_CPP_one_CH`, the peak by channel

@@ -261,3 +261,11 @@ def test_report_order(make_tables, activity_of):
     found = in_report_order(activity_of(tables)).collect()
     order = [(r.month, -r.max_CPP_this_CH, r.user_id, r.channel_title) for r in found]
     assert order == sorted(order)
+
+
+def test_peak_of_unknown_users(make_tables, activity_of):
+    comments = [(1, "2024-01-01 10:00", 8, 10, 0, 0), (2, "2024-01-01 10:00", 9, 10, 0, 0)]
+    tables = make_tables(comments, [(1, "ann")], [(10, 100)], [(100, "news")])
+    for grain, peak in (("video", 1), ("channel", 2)):
+        (row,) = activity_of(tables, peak_grain=grain, keep_orphans=True).collect()
+        assert (row.user_id, row.number_comments_all_time, row.max_CPP_this_CH) == (None, 2, peak)

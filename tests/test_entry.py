@@ -66,7 +66,7 @@ def plan_of(df):
 RELATIONAL = [
     name
     for name in sorted(entry.oracle_sql())
-    if not name.startswith(("vector", "mean", "quality_activity", "op5_", "op10_"))
+    if not name.startswith(("vector", "mean", "quality_activity", "op5_", "op7_", "op10_"))
 ]
 
 
