@@ -83,12 +83,13 @@ def shard_quotas(targets: DataFrame, blocks: int, n_shards: int) -> DataFrame:
     """
     house = Window.partitionBy("shard")
     n_sources = F.count("*").over(house)
-    all_seats = F.ceil(F.sum("target").over(house) / F.col("block")).cast("long")
+    # Targets add up to all words, which are whole, while their sum is rounded.
+    all_seats = F.ceil(F.sum("source_size").over(Window.partitionBy()) / F.col("block")).cast("long")
     shares = (
         targets.withColumn("block", block_words(blocks))
+        .withColumn("all_seats", all_seats)
         .where(F.col("target") > 0)
         .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))))
-        .withColumn("all_seats", all_seats)
         .withColumn("house", F.expr(f"(all_seats * (shard + 1)) div {n_shards}"))
         .withColumn("share", F.col("house") * F.col("target") / F.sum("target").over(house))
         .withColumn("slack", F.ceil(F.col("share") * n_sources / (2 * F.greatest("house", F.lit(1)))) + 2)
@@ -150,7 +151,7 @@ def mix(
         targets.withColumn("block", block_words(blocks))
         .withColumn("n_blocks", F.ceil(F.col("source_size") / F.col("block")).cast("long"))
         .join(seats, "stratum", "left")
-        .withColumn("shift", F.xxhash64(F.lit(seed), "stratum"))
+        .withColumn("shift", hex_bucket(seeded_order(seed, F.col("stratum")), 8))
         # Blocks of the line taken up to each shard, over all passes; the last block may be short.
         .withColumn(
             "until",

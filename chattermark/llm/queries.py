@@ -218,6 +218,79 @@ ORACLE_SQL = {
         SELECT d.doc_id, coalesce(n, 0) AS n_shingles, c AS component_id
         FROM documents d LEFT JOIN sizes USING (doc_id)
         JOIN (SELECT start, min(node) AS c FROM reached GROUP BY start) ON start = d.doc_id""",
+    "op6_mixing": r"""
+        WITH d AS (
+            SELECT doc_id, CASE WHEN source IS NULL THEN 'n' ELSE 's' || source END AS s,
+                   len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w,
+                   md5('42:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':'
+                       || md5(coalesce(text, ''))) AS h
+            FROM documents
+        ),
+        sized AS (
+            SELECT s, CAST(sum(w) AS BIGINT) AS size,
+                   [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY s = 'n', s) - 1) % 3 + 1] AS weight
+            FROM d GROUP BY s
+        ),
+        roomy AS (
+            SELECT *, 3.0::DOUBLE * size AS room, 3.0::DOUBLE * size / weight AS full_at,
+                   CAST(sum(size) OVER () AS BIGINT) AS total
+            FROM sized
+        ),
+        levels AS (
+            SELECT *, (total - coalesce(sum(room) OVER (ORDER BY full_at, s
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                      / sum(weight::DOUBLE) OVER (ORDER BY full_at, s
+                           ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+            FROM roomy
+        ),
+        targets AS (
+            SELECT s, size, total, greatest(CAST(ceil(total / 100000) AS BIGINT), 1) AS block,
+                   least(room, coalesce(max(CASE WHEN level <= full_at THEN level END) OVER (), 0)
+                               * weight) AS target
+            FROM levels
+        ),
+        seats AS (
+            SELECT s, count(*) AS n
+            FROM (
+                SELECT s, row_number() OVER (ORDER BY target / (2 * i + 1) DESC, s, i) AS place,
+                       CAST(ceil(total / block) AS BIGINT) AS house
+                FROM (SELECT *, unnest(range(CAST(ceil(target / block) AS BIGINT) + 100)) AS i
+                      FROM targets WHERE target > 0)
+            )
+            WHERE place <= house GROUP BY s
+        ),
+        plan AS (
+            SELECT *, least(3 * k, CAST(round(coalesce(n, 0) * block * k / size) AS BIGINT)) AS u
+            FROM (SELECT t.*, n, CAST(ceil(size / block) AS BIGINT) AS k,
+                         CAST('0x' || substr(md5('42:' || s), 1, 8) AS BIGINT) AS shift
+                  FROM targets t LEFT JOIN seats USING (s))
+        ),
+        placed AS (
+            SELECT doc_id, s, w,
+                   CAST(sum(w) OVER (PARTITION BY s ORDER BY h ROWS UNBOUNDED PRECEDING) AS BIGINT)
+                       - w AS a
+            FROM d
+        )
+        SELECT doc_id, CAST(w AS BIGINT) AS size, p.size AS source_size, target,
+               CAST(CASE WHEN w = 0 THEN 0 ELSE list_sum([
+                   (least(a + w, (j + 1) * block) - greatest(a, j * block))
+                   * greatest(0, CAST(ceil((u - (j * 2147483647 + shift) % k) / k) AS BIGINT))
+                   FOR j IN range(a // block, (a + w - 1) // block + 1)]) END AS BIGINT) AS taken
+        FROM placed JOIN plan p USING (s)""",
+    "op7_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages
+        ),
+        f AS (SELECT *, min(page_id) OVER (PARTITION BY body) AS first FROM p)
+        SELECT page_id, strlen(body) AS payload_bytes,
+               array_to_string([
+                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                          1 + ((CAST('0x' || substr(h, 5 * (i // 4) + 1, 5) AS BIGINT)
+                               >> (15 - 5 * (i % 4))) & 31), 1)
+                   FOR i IN range(32)], '') AS payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM f""",
     "op8_sharding": """
         WITH crc AS (
             SELECT list(c ORDER BY n) AS t
