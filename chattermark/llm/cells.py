@@ -19,7 +19,7 @@ SCHEMA = "block int, counts binary"
 
 def packed_blocks(counts: np.ndarray) -> pd.DataFrame:
     """The blocks of an array that are not all zero."""
-    blocks = counts.astype("int64").reshape(-1, min(BLOCK, len(counts)))
+    blocks = counts.astype("int64", copy=False).reshape(-1, min(BLOCK, len(counts)))
     used = np.flatnonzero(blocks.any(1))
     return pd.DataFrame({"block": used, "counts": [zlib.compress(blocks[i].tobytes(), 1) for i in used]})
 

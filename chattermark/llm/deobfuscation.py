@@ -34,6 +34,8 @@ INDEX = {c: i for i, c in enumerate(LETTERS)}
 
 #: Costs of the channel, as log probabilities.
 SUBSTITUTED, KEPT, STRETCHED, SKIPPED, SPLIT, GAP = -1.5, -8.0, -5.0, -0.7, -2.5, -0.7
+#: Texts whose words are held at once when trigrams are counted.
+TEXTS = 1000
 #: No reading of a longer run is searched; it can't be one word.
 LONGEST = 64
 
@@ -44,9 +46,9 @@ def count_trigrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     table[[ord(c) for c in LETTERS]] = np.arange(len(LETTERS))
     table[ord("\n")] = END
     total = np.zeros(SIZE**3, dtype="int64")
-    for batch in batches:
+    for texts in (b["text"].iloc[i : i + TEXTS] for b in batches for i in range(0, len(b), TEXTS)):
         words = Counter()
-        for text in batch["text"]:
+        for text in texts:
             words.update((text or "").lower().split())
         kept = [(w, n) for w, n in ((w.strip(EDGES), n) for w, n in words.items()) if w.isalpha()]
         if not kept:
@@ -143,7 +145,7 @@ def is_plain(token: str) -> bool:
 class Restorer:
     """Restores the words of texts; keeps readings of tokens, up to a number of them."""
 
-    def __init__(self, model: np.ndarray, keep: int = 400_000) -> None:
+    def __init__(self, model: np.ndarray, keep: int = 100_000) -> None:
         self.model, self.keep, self.known = model, keep, {}
 
     def token(self, token: str) -> tuple[str, ...]:

@@ -8,7 +8,22 @@ from pyspark.sql import functions as F
 ROW = "carried_row"
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+MOST_BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Let Python tasks of this session get rows in batches of four megabytes at most.
+
+    Batches are bounded by rows otherwise, and ten thousand long texts are many
+    megabytes, of which a worker holds several copies.
+    """
+    spark.conf.set(BATCH_BYTES, str(MOST_BATCH_BYTES))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of texts, for operators that run Python on it."""
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

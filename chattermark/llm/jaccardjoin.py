@@ -11,11 +11,13 @@ size. A passage that many documents share fills its cells and goes to the end
 of the order, out of nearly all prefixes. The other orders are seeded scrambles.
 
 Large groups of near copies are not expanded into pairs. Documents with equal
-sets are one node. In each bucket, the nodes that share a prefix shingle, every
-node is first compared with two leaders, which is linear. Nodes that are linked
-so become components, and only buckets that still hold several components are
-expanded, to pairs of nodes from different ones. Pairs within a component need
-no comparison, as they can't change it. No bucket is cut.
+sets are one node. In each bucket, the nodes that share a prefix shingle, the
+first and the last are hubs; every node is compared with one of its hubs, which
+is linear. Nodes that are linked so become components, and only buckets that
+still hold several components are expanded, to pairs of nodes from different
+ones. Pairs within a component need no comparison, as they can't change it. No
+bucket is cut. Pairs pass the second order by short prefixes before sets are
+sent, the third and the exact comparison by the sets.
 
 Exactness rests on 64-bit hashes of shingles and of whole sets.
 
@@ -46,7 +48,9 @@ from chattermark.sources.staging import stage
 OTHER_ORDERS = (1, 2)
 #: Sets compared with a hub in one task.
 MEMBERS = 500
-COLUMNS = ["doc_id", "n_shingles", "node", "block", "counts"]
+#: Rows of which a task holds texts and sets at once.
+ROWS = 500
+COLUMNS = ["doc_id", "n_shingles", "node", "prefix", "block", "counts"]
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -64,19 +68,21 @@ def node_of(shingles: np.ndarray) -> int:
     return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes())).astype("int64")))
 
 
-def document_sets(documents: DataFrame, k: int, bits: int) -> DataFrame:
-    """One pass: (doc_id, n_shingles, node) of every row, and (block, counts) of each task.
+def document_sets(documents: DataFrame, k: int, percent: int, bits: int) -> DataFrame:
+    """One pass: (doc_id, n_shingles, node, prefix) of every row, and (block, counts) of each task.
 
-    The node is null for an empty set. Rows with a block hold what the task
-    counted in 2 ** `bits` cells, and no document.
+    The node is null for an empty set; `prefix` holds the set's prefix under the
+    first scrambled order, four bytes a shingle. Rows with a block hold what the
+    task counted in 2 ** `bits` cells, and no document.
     """
 
     def named(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(1 << bits, dtype="int64")
         for batch in batches:
-            sizes, nodes = [], []
+            sizes, nodes, firsts = [], [], []
             for shingles in shingle_sets(batch["text"], k):
                 sizes.append(len(shingles))
+                firsts.append(short_prefix(shingles, percent))
                 nodes.append(node_of(shingles) if len(shingles) else None)
                 # A set may fall into a cell more than once.
                 np.add.at(total, (shingles >> np.uint64(64 - bits)).view("int64"), 1)
@@ -85,15 +91,16 @@ def document_sets(documents: DataFrame, k: int, bits: int) -> DataFrame:
                     "doc_id": batch["doc_id"].astype("Int64"),
                     "n_shingles": sizes,
                     "node": pd.array(nodes, dtype="Int64"),
+                    "prefix": firsts,
                     "block": pd.array([None] * len(sizes), dtype="Int32"),
                     "counts": None,
                 }
             )
         counts = cells.packed_blocks(total)
-        yield counts.assign(doc_id=None, n_shingles=None, node=None)[COLUMNS]
+        yield counts.assign(doc_id=None, n_shingles=None, node=None, prefix=None)[COLUMNS]
 
     narrow = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return narrow.mapInPandas(named, f"doc_id long, n_shingles long, node long, {cells.SCHEMA}")
+    return narrow.mapInPandas(named, f"doc_id long, n_shingles long, node long, prefix binary, {cells.SCHEMA}")
 
 
 def prefixes(documents: DataFrame, k: int, percent: int, counts: np.ndarray) -> DataFrame:
@@ -141,14 +148,53 @@ def led_pairs(buckets: DataFrame) -> DataFrame:
     )
 
 
+def prefix_under(shingles: np.ndarray, percent: int, seed: int) -> np.ndarray:
+    """The set's prefix under the scrambled order of `seed`, as scrambled shingles."""
+    p = prefix_length(len(shingles), percent)
+    order = mixed(shingles, seed)
+    return np.partition(order, p - 1)[:p] if p < len(order) else order
+
+
+def short_prefix(shingles: np.ndarray, percent: int) -> bytes | None:
+    """The prefix under the first scrambled order, shortened; none where only an equal set is similar."""
+    if not can_differ(len(shingles), percent):
+        return None
+    return np.unique(prefix_under(shingles, percent, OTHER_ORDERS[0]).astype("uint32")).tobytes()
+
+
 def share_prefix(left: np.ndarray, right: np.ndarray, percent: int, seed: int) -> bool:
     """Whether two sets share a prefix shingle under the scrambled order of `seed`."""
-    first = []
-    for shingles in (left, right):
-        p = prefix_length(len(shingles), percent)
-        order = mixed(shingles, seed)
-        first.append(np.partition(order, p - 1)[:p] if p < len(order) else order)
-    return len(np.intersect1d(first[0], first[1], assume_unique=True)) > 0
+    first, second = (prefix_under(x, percent, seed) for x in (left, right))
+    return len(np.intersect1d(first, second, assume_unique=True)) > 0
+
+
+def likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (hub, node) of similar size that share a prefix shingle under the next order too.
+
+    Short prefixes are a tenth of a set's bytes, so most pairs that share a
+    shingle by chance end here, before any set is sent.
+    """
+
+    @F.pandas_udf("boolean")
+    def share(left: pd.Series, right: pd.Series) -> pd.Series:
+        both = zip(left, right, strict=True)
+        return pd.Series(
+            [len(np.intersect1d(*(np.frombuffer(x, "uint32") for x in pair), assume_unique=True)) > 0 for pair in both],
+            dtype=bool,
+        )
+
+    known = nodes.where("prefix is not null").groupBy("node").agg(
+        F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix")
+    )
+    left = known.select(F.col("node").alias("hub"), F.col("n").alias("n_hub"), F.col("prefix").alias("left"))
+    right = known.select("node", F.col("n").alias("n_node"), F.col("prefix").alias("right"))
+    return (
+        pairs.join(left, "hub")
+        .join(right, "node")
+        .where(f"100 * least(n_hub, n_node) >= {percent} * greatest(n_hub, n_node)")
+        .where(share("left", "right"))
+        .select("hub", "node")
+    )
 
 
 def similar(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
@@ -175,8 +221,18 @@ def key_cells(keys: np.ndarray, bits: int) -> np.ndarray:
     return (mixed(keys.astype("int64").view("uint64")) >> np.uint64(64 - bits)).astype("int64")
 
 
+def with_sets(rows: pd.DataFrame, k: int) -> pd.DataFrame:
+    """Rows of (node, text, ...) with the shingles in place of the text, where it makes that node."""
+    texts = rows["text"].drop_duplicates()
+    made = {t: (node_of(s), s.tobytes()) if len(s) else (0, b"") for t, s in zip(texts, shingle_sets(texts, k), strict=True)}
+    got = [made[text] for text in rows["text"]]
+    # Another row of the same id may hold another text.
+    right = [a == b for (a, _), b in zip(got, rows["node"], strict=True)]
+    return rows.drop(columns="text").assign(shingles=[s for _, s in got])[right]
+
+
 def verified(
-    pairs: DataFrame, documents: DataFrame, nodes: DataFrame, *, k: int, percent: int, filter_bits: int = 22
+    pairs: DataFrame, documents: DataFrame, nodes: DataFrame, *, k: int, percent: int, filter_bits: int = 20
 ) -> DataFrame:
     """The pairs (hub, node) whose sets are similar, as (a, b).
 
@@ -207,12 +263,8 @@ def verified(
 
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = batch["text"].drop_duplicates()
-            found = {t: (node_of(s), s.tobytes()) if len(s) else (0, b"") for t, s in zip(texts, shingle_sets(texts, k), strict=True)}
-            got = [found[text] for text in batch["text"]]
-            batch["shingles"] = [s for _, s in got]
-            # Another row of the same id may hold another text.
-            yield batch[[a == b for (a, _), b in zip(got, batch["node"], strict=True)]].drop(columns="text")
+            for first in range(0, len(batch), ROWS):
+                yield with_sets(batch.iloc[first : first + ROWS], k)
 
     def compared(rows: pd.DataFrame) -> pd.DataFrame:
         sets = [np.frombuffer(x, "uint64") for x in rows["shingles"]]
@@ -242,8 +294,9 @@ def similar_groups(
     """
     if not 50 < percent <= 100:
         raise ValueError("percent must be above 50 and at most 100")
-    made = stage(document_sets(documents, k, sketch_bits), "shingle-sets")
-    nodes = made.where("block is null").select("doc_id", "n_shingles", "node")
+    made = stage(document_sets(documents, k, percent, sketch_bits), "shingle-sets")
+    every = made.where("block is null")
+    nodes, named = every.select("doc_id", "n_shingles", "node"), every.where("node is not null")
     counts = cells.gathered(made.where("block is not null").select("block", "counts"), 1 << sketch_bits)
 
     by_token = Window.partitionBy("token")
@@ -254,8 +307,11 @@ def similar_groups(
         .where("low <> high")
     )
     buckets = stage(buckets, "buckets")
-    checked = {"documents": documents, "nodes": nodes.where("node is not null"), "k": k, "percent": percent}
-    first = stage(verified(led_pairs(buckets), **checked), "similar")
+    checked = {"documents": documents, "nodes": named, "k": k, "percent": percent}
+    # Every node is compared with one hub first; in a group of near copies that links nearly all.
+    hubs = likely(led_pairs(buckets), named, percent).groupBy("node").agg(F.min("hub").alias("hub"))
+    hubs = stage(hubs, "hubs")
+    first = stage(verified(hubs, **checked), "similar")
     label = components(first)
 
     placed = (
@@ -270,21 +326,20 @@ def similar_groups(
         .where("one <> other")
         .select("token")
     )
-    size = nodes.where("node is not null").groupBy("node").agg(F.max("n_shingles").alias("n"))
-    still_open = stage(placed.join(several, "token", "left_semi").join(size, "node"), "open-buckets")
+    still_open = stage(placed.join(several, "token", "left_semi"), "open-buckets")
     left, right = (
-        still_open.select("token", F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", "component")])
+        still_open.select("token", F.col("node").alias(name), F.col("component").alias(f"component_{name}"))
         for name in ("hub", "node")
     )
     rest = (
         left.join(right, "token")
         .where("hub < node and component_hub <> component_node")
-        .where(f"100 * least(n_hub, n_node) >= {percent} * greatest(n_hub, n_node)")
         .select("hub", "node")
         .distinct()
     )
-    done = led_pairs(buckets).select(F.least("hub", "node").alias("hub"), F.greatest("hub", "node").alias("node"))
-    second = stage(verified(rest.join(done, ["hub", "node"], "left_anti"), **checked), "similar")
+    done = hubs.select(F.least("hub", "node").alias("hub"), F.greatest("hub", "node").alias("node"))
+    rest = likely(rest.join(done, ["hub", "node"], "left_anti"), named, percent)
+    second = stage(verified(rest, **checked), "similar")
     stars = label.select(F.col("node").alias("a"), F.col("component").alias("b"))
     of_node = components(stars.union(second))
     rows = nodes.join(of_node, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -357,7 +357,7 @@ def katz_scores(
     held_out: Column,
     *,
     order: int = 2,
-    chunk_tokens: int = 2_500_000,
+    chunk_tokens: int = 2_000_000,
     part_tokens: int = 2_000_000,
 ) -> DataFrame:
     """Scores of all `documents` (doc_id, text) under a model of those not held out.

@@ -13,7 +13,7 @@ EMPTY = np.empty(0, dtype="uint64")
 BLANKS = b"\t\n\x0b\x0c\r "
 #: Longer words are hashed one by one; sums over powers are too regular for them.
 LONG_WORD = 64
-PIECE = 1 << 20
+PIECE = 1 << 19
 
 
 def lowered_words(text: str | None) -> list[bytes]:

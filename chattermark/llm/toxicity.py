@@ -79,7 +79,7 @@ def fitted(evidence: np.ndarray, words: np.ndarray, toxic: np.ndarray, ridge: fl
 class Evidence:
     """Sum of weights and number of words of texts; keeps what it found for tokens."""
 
-    def __init__(self, characters: np.ndarray, weights: dict[str, float], keep: int = 400_000) -> None:
+    def __init__(self, characters: np.ndarray, weights: dict[str, float], keep: int = 100_000) -> None:
         self.restorer, self.weights = Restorer(characters), weights
         self.keep, self.known = keep, {}
 

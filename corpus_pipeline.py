@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chattermark.llm import decontamination, jaccardjoin, mixing, sharding, toxicity
-from chattermark.llm.frames import read_table, seeded_order
+from chattermark.llm.frames import bound_batches, read_table, seeded_order
 from chattermark.sources.staging import stage
 
 #: No SQL can express the learned and the sampled stages; they are tested one by one.
@@ -28,6 +28,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group with a similarity of 0.8 over shingles of five words."""
+    bound_batches(spark)
     return jaccardjoin.keep_one_of_each(docs, k=5, percent=80).select(*docs.columns)
 
 
