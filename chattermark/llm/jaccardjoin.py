@@ -13,9 +13,10 @@ of the order, out of nearly all prefixes. The other orders are seeded scrambles.
 Large groups of near copies are not expanded into pairs. Documents with equal
 sets are one node. In each bucket, the nodes that share a prefix shingle, the
 first and the last are hubs; every node is compared with one of its hubs, which
-is linear. Nodes that are linked so become components, and only buckets that
-still hold several components are expanded, to pairs of nodes from different
-ones. Pairs within a component need no comparison, as they can't change it. No
+is linear. Nodes that are linked so become components. Nodes outside the largest
+component of a bucket are compared with a few of its members, which is linear
+again. Only buckets that then still hold several components are expanded, to
+pairs of nodes from different ones. Pairs within a component need no comparison, as they can't change it. No
 bucket is cut. Pairs pass the second order by short prefixes before sets are
 sent, the third and the exact comparison by the sets.
 
@@ -46,6 +47,8 @@ from chattermark.sources.staging import stage
 
 #: Seeds of the scrambled orders that candidates must pass besides the first.
 OTHER_ORDERS = (1, 2)
+#: Members of a component that an outsider is compared with.
+HUBS = 4
 #: Sets compared with a hub in one task.
 MEMBERS = 500
 #: Rows of which a task holds texts and sets at once.
@@ -284,6 +287,58 @@ def verified(
     )
 
 
+def star(label: DataFrame) -> DataFrame:
+    """Links (a, b) that hold the components of `label` together."""
+    return label.select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+
+def open_buckets(buckets: DataFrame, label: DataFrame) -> DataFrame:
+    """(token, node, component, largest) of buckets with several components.
+
+    A node without links is its own component; `largest` is the component of the
+    bucket that has the most nodes in all.
+    """
+    sizes = label.groupBy("component").agg(F.count("*").alias("size"))
+    placed = (
+        buckets.select("token", "node")
+        .distinct()
+        .join(label.join(sizes, "component"), "node", "left")
+        .select(
+            "token",
+            "node",
+            F.coalesce("component", "node").alias("component"),
+            F.coalesce("size", F.lit(1)).alias("size"),
+        )
+    )
+    several = (
+        placed.groupBy("token")
+        .agg(
+            F.min("component").alias("one"),
+            F.max("component").alias("other"),
+            F.max(F.struct("size", "component")).alias("most"),
+        )
+        .where("one <> other")
+        .select("token", F.col("most.component").alias("largest"))
+    )
+    return placed.join(several, "token").select("token", "node", "component", "largest")
+
+
+def outsiders(buckets: DataFrame, label: DataFrame) -> DataFrame:
+    """Distinct (hub, node): nodes outside a bucket's largest component, with some members of it.
+
+    As many pairs as outsiders, times `HUBS` at most, however large the component.
+    """
+    several = stage(open_buckets(buckets, label), "open-buckets")
+    picked = [F.min_by("node", F.xxhash64("node", F.lit(i))) for i in range(HUBS)]
+    members = several.where("component = largest").groupBy("token").agg(F.array_distinct(F.array(*picked)).alias("hubs"))
+    return (
+        several.where("component <> largest")
+        .join(members, "token")
+        .select(F.explode("hubs").alias("hub"), "node")
+        .distinct()
+    )
+
+
 def similar_groups(
     documents: DataFrame, *, k: int = 4, percent: int = 85, sketch_bits: int = 20
 ) -> DataFrame:
@@ -314,19 +369,14 @@ def similar_groups(
     first = stage(verified(hubs, **checked), "similar")
     label = components(first)
 
-    placed = (
-        buckets.select("token", "node")
-        .distinct()
-        .join(label, "node", "left")
-        .withColumn("component", F.coalesce("component", "node"))
-    )
-    several = (
-        placed.groupBy("token")
-        .agg(F.min("component").alias("one"), F.max("component").alias("other"))
-        .where("one <> other")
-        .select("token")
-    )
-    still_open = stage(placed.join(several, "token", "left_semi"), "open-buckets")
+    # What is left out of a bucket's largest component is compared with a few of its members.
+    tried = hubs
+    pairs = stage(likely(outsiders(buckets, label), named, percent).join(tried, ["hub", "node"], "left_anti"), "pairs")
+    more = stage(verified(pairs, **checked), "similar")
+    label = components(star(label).union(more))
+    tried = tried.union(pairs)
+
+    still_open = stage(open_buckets(buckets, label).select("token", "node", "component"), "open-buckets")
     left, right = (
         still_open.select("token", F.col("node").alias(name), F.col("component").alias(f"component_{name}"))
         for name in ("hub", "node")
@@ -337,11 +387,10 @@ def similar_groups(
         .select("hub", "node")
         .distinct()
     )
-    done = hubs.select(F.least("hub", "node").alias("hub"), F.greatest("hub", "node").alias("node"))
+    done = tried.select(F.least("hub", "node").alias("hub"), F.greatest("hub", "node").alias("node"))
     rest = likely(rest.join(done, ["hub", "node"], "left_anti"), named, percent)
     second = stage(verified(rest, **checked), "similar")
-    stars = label.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    of_node = components(stars.union(second))
+    of_node = components(star(label).union(second))
     rows = nodes.join(of_node, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = rows.where("node is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     return rows.join(smallest, "component", "left").select(
