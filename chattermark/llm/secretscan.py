@@ -8,7 +8,8 @@ same place is not opened again, so a cycle ends.
 
 Each layer knows, for every character, the span of the original text it comes
 from: escapes and base64 map character by character, compressed data as a
-whole. Found spans are code points of the original text, end exclusive.
+whole. A byte of an escape that is not UTF-8 is read as Latin-1, with its own
+span, and its line is kept. Found spans are code points of the original text, end exclusive.
 
 All work is within a row: no shuffle, and memory is bounded by one text and
 its layers. Unpacked data above `max_layer_bytes` is not scanned; such layers
@@ -48,6 +49,8 @@ URL_ESCAPE = re.compile(r"%[0-9A-Fa-f]{2}")
 UNICODE_ESCAPE = re.compile(r"\\u[0-9A-Fa-f]{4}")
 ESCAPES = {"url": (URL_ESCAPE, "%"), "unicode": (UNICODE_ESCAPE, "\\u")}
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: What the decoder makes of a byte that is not UTF-8.
+STRAY = re.compile(r"[\udc80-\udcff]")
 UNPRINTABLE = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
 URL_SAFE = str.maketrans("-_", "+/")
 
@@ -93,23 +96,20 @@ def scan(text: str) -> Iterator[tuple[str, int, int]]:
             yield kind, m.start(), m.end()
 
 
-def _decoded(pieces: list[tuple[bytes, int, int]], path: tuple[str, ...]) -> Layer | None:
-    """UTF-8 text of byte pieces, each with the original span of its bytes."""
-    try:
-        text = b"".join(p for p, _, _ in pieces).decode()
-    except UnicodeDecodeError:
-        return None
+def _decoded(pieces: list[tuple[bytes, int, int]], path: tuple[str, ...]) -> Layer:
+    """Text of byte pieces, each with the original span of its bytes."""
     starts, ends = [], []
     for piece, start, end in pieces:
         starts += [start] * len(piece)
         ends += [end] * len(piece)
-    at, char_starts, char_ends = 0, [], []
-    for char in text:
-        width = len(char.encode())
+    at, char_starts, char_ends, chars = 0, [], [], []
+    for char in b"".join(p for p, _, _ in pieces).decode("utf-8", "surrogateescape"):
+        width = 1 if STRAY.match(char) else len(char.encode())
+        chars.append(chr(ord(char) - 0xDC00) if STRAY.match(char) else char)
         char_starts.append(min(starts[at : at + width]))
         char_ends.append(max(ends[at : at + width]))
         at += width
-    return Layer(text, char_starts, char_ends, path)
+    return Layer("".join(chars), char_starts, char_ends, path)
 
 
 def _unescaped(layer: Layer, kind: str) -> Iterator[Layer]:
@@ -137,9 +137,7 @@ def _unescaped(layer: Layer, kind: str) -> Iterator[Layer]:
                     surrogate = (char, m.end()) if "\ud800" <= char <= "\udbff" else None
                 done = m.end()
             pieces += _plain(layer, line, done, len(line), at)
-            opened = _decoded(pieces, (*layer.path, kind))
-            if opened:
-                yield opened
+            yield _decoded(pieces, (*layer.path, kind))
         at += len(line) + 1
 
 

@@ -106,3 +106,10 @@ def test_nulls_repeats_long_texts_and_names(texts):
     assert len(rows) == 5 and {r.found for r in rows} == {1}
     assert sorted(len(r.spans) for r in rows) == [0, 0, 0, 1, 1]
     assert find_secrets(texts()).count() == 0
+
+
+@pytest.mark.parametrize("stray", ["50%de rabais", "caf%E9", "%ff%fe%c3", "\u00e9 %e2%82"])
+def test_stray_bytes_leave_the_line(stray):
+    text = f"{stray} puis password%3Dhunter2hunter2 %E9"
+    at = text.index("password")
+    assert unwrap(text, MOST)[1] == [("assign", at, at + len("password%3Dhunter2hunter2"), "url")]
