@@ -1,19 +1,25 @@
 """Finds secrets in texts, also under layers of encoding.
 
 A text is scanned as it stands. Then a worklist unwraps what is encoded in it:
-lines with URL escapes, lines with Unicode escapes, and base64 runs, whose
-bytes may be compressed with gzip or zlib. Every layer is scanned again and
-unwrapped in turn until nothing new appears. A layer that has been seen at the
-same place is not opened again, so a cycle ends.
+lines with URL escapes, lines with Unicode escapes, and base64 runs, each alone
+and joined over single line breaks. Bytes from base64 or URL escapes may be
+compressed with gzip or zlib, in any number of members. Every layer is scanned
+again and unwrapped in turn until nothing new appears. A layer that has been
+seen at the same place is not opened again, so a cycle ends.
+
+Bytes need not be text: what is not UTF-8 is read as Latin-1, and stretches of
+two-byte characters are read as such too. `n_layers` counts the layers that are
+text or hold a secret, not every long word that could be base64. A secret cut by
+a line break in base64 may be found twice, in its first line and whole.
 
 Each layer knows, for every character, the span of the original text it comes
 from: escapes and base64 map character by character, compressed data as a
-whole. A byte of an escape that is not UTF-8 is read as Latin-1, with its own
-span, and its line is kept. Found spans are code points of the original text, end exclusive.
+whole. Found spans are code points of the original text, end exclusive.
 
 All work is within a row: no shuffle, and memory is bounded by one text and
 its layers. Unpacked data above `max_layer_bytes` is not scanned; such layers
-are counted in `n_unopened`, so nothing is left out without a trace.
+and compressed ones that are broken or incomplete are counted in `n_unopened`,
+so nothing is left out without a trace.
 
 Defined results: a null or empty text has no spans; rows that repeat are rows of
 their own; an empty table gives an empty table. Input columns named like an
@@ -25,9 +31,13 @@ from __future__ import annotations
 import base64
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from bisect import bisect_right
+from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
+from urllib.parse import unquote_to_bytes
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,10 +55,18 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 MIN_VALUE = 8
 
-URL_ESCAPE = re.compile(r"%[0-9A-Fa-f]{2}")
-UNICODE_ESCAPE = re.compile(r"\\u[0-9A-Fa-f]{4}")
+URL_ESCAPE = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
+UNICODE_ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+")
 ESCAPES = {"url": (URL_ESCAPE, "%"), "unicode": (UNICODE_ESCAPE, "\\u")}
-BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}")
+WRAPPED_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:\r?\n[ \t]*+[A-Za-z0-9+/_-]++)++")
+LINE_OF_RUN = re.compile(r"[A-Za-z0-9+/_-]+")
+#: How gzip and zlib data begin, as bytes and under URL escapes.
+PACKED = re.compile(rb"\x1f\x8b|\x78[\x01\x5e\x9c\xda]")
+PACKED_URL = re.compile(r"""(?:%1[Ff]%8[Bb]|(?:x|%78)%(?:01|5[Ee]|9[Cc]|[Dd][Aa]))[^\s"'<>&]*""")
+WIDE = re.compile(rb"(?:[^\0]\0){8,}|(?:\0[^\0]){8,}")
+#: Packed bytes are fed in chunks of this size, so what is left of one is cheap to copy.
+CHUNK = 1 << 16
 #: What the decoder makes of a byte that is not UTF-8.
 STRAY = re.compile(r"[\udc80-\udcff]")
 UNPRINTABLE = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
@@ -73,17 +91,20 @@ FOUND = T.StructType(
 
 
 class Layer(NamedTuple):
-    """A text and the original span of each of its characters; the original has none."""
+    """A text, and where a span of it lies in the text it was found in; the original has no outer one."""
 
     text: str
-    starts: list[int] | None
-    ends: list[int] | None
     path: tuple[str, ...]
+    outer: Layer | None = None
+    place: Callable[[int, int], tuple[int, int]] | None = None
+    is_text: bool = True
 
     def span(self, start: int, end: int) -> tuple[int, int]:
-        if self.starts is None:
-            return start, end
-        return min(self.starts[start:end]), max(self.ends[start:end])
+        layer = self
+        while layer.outer is not None:
+            start, end = layer.place(start, end)
+            layer = layer.outer
+        return start, end
 
 
 def scan(text: str) -> Iterator[tuple[str, int, int]]:
@@ -96,20 +117,20 @@ def scan(text: str) -> Iterator[tuple[str, int, int]]:
             yield kind, m.start(), m.end()
 
 
-def _decoded(pieces: list[tuple[bytes, int, int]], path: tuple[str, ...]) -> Layer:
-    """Text of byte pieces, each with the original span of its bytes."""
-    starts, ends = [], []
-    for piece, start, end in pieces:
-        starts += [start] * len(piece)
-        ends += [end] * len(piece)
-    at, char_starts, char_ends, chars = 0, [], [], []
-    for char in b"".join(p for p, _, _ in pieces).decode("utf-8", "surrogateescape"):
-        width = 1 if STRAY.match(char) else len(char.encode())
-        chars.append(chr(ord(char) - 0xDC00) if STRAY.match(char) else char)
-        char_starts.append(min(starts[at : at + width]))
-        char_ends.append(max(ends[at : at + width]))
-        at += width
-    return Layer("".join(chars), char_starts, char_ends, path)
+def _bytes_of_url(run: str) -> Iterator[tuple[str, int]]:
+    """Characters of neighbouring URL escapes with the escaped length of each; stray bytes are Latin-1."""
+    for char in bytes.fromhex(run.replace("%", "")).decode("utf-8", "surrogateescape"):
+        if STRAY.match(char):
+            yield chr(ord(char) - 0xDC00), 3
+        else:
+            yield char, 3 * len(char.encode())
+
+
+def _units_of_unicode(run: str) -> Iterator[tuple[str, int]]:
+    """Characters of neighbouring Unicode escapes with the escaped length of each; lone surrogates are '?'."""
+    units = b"".join(int(run[i + 2 : i + 6], 16).to_bytes(2, "little") for i in range(0, len(run), 6))
+    for char in units.decode("utf-16-le", "surrogatepass"):
+        yield char.encode("utf-8", "replace").decode(), 12 if ord(char) > 0xFFFF else 6
 
 
 def _unescaped(layer: Layer, kind: str) -> Iterator[Layer]:
@@ -117,97 +138,186 @@ def _unescaped(layer: Layer, kind: str) -> Iterator[Layer]:
     pattern, mark = ESCAPES[kind]
     if mark not in layer.text:
         return
+    read = _bytes_of_url if kind == "url" else _units_of_unicode
     at = 0
     for line in layer.text.split("\n"):
-        if pattern.search(line):
-            pieces, done = [], 0
-            surrogate: tuple[str, int] | None = None
+        if mark in line and pattern.search(line):
+            # Where a stretch begins here and there, and the length there of a character, 0 for plain text.
+            here, there, lengths = array("q"), array("q"), array("q")
+            out, size, done = [], 0, 0
             for m in pattern.finditer(line):
-                pieces += _plain(layer, line, done, m.start(), at)
-                start, end = layer.span(at + m.start(), at + m.end())
-                if kind == "url":
-                    pieces.append((bytes([int(m[0][1:], 16)]), start, end))
-                else:
-                    char = chr(int(m[0][2:], 16))
-                    if surrogate and surrogate[1] == m.start() and "\udc00" <= char <= "\udfff":
-                        pair = (surrogate[0] + char).encode("utf-16", "surrogatepass").decode("utf-16")
-                        pieces[-1] = (pair.encode(), pieces[-1][1], end)
-                    else:
-                        pieces.append((char.encode("utf-8", "replace"), start, end))
-                    surrogate = (char, m.end()) if "\ud800" <= char <= "\udbff" else None
-                done = m.end()
-            pieces += _plain(layer, line, done, len(line), at)
-            yield _decoded(pieces, (*layer.path, kind))
+                if m.start() > done:
+                    here.append(size), there.append(at + done), lengths.append(0)
+                    out.append(line[done : m.start()])
+                    size += m.start() - done
+                done = m.start()
+                for char, length in read(m[0]):
+                    here.append(size), there.append(at + done), lengths.append(length)
+                    out.append(char)
+                    size, done = size + 1, done + length
+            if done < len(line):
+                here.append(size), there.append(at + done), lengths.append(0)
+                out.append(line[done:])
+
+            def place(start: int, end: int, here=here, there=there, lengths=lengths) -> tuple[int, int]:
+                a, b = bisect_right(here, start) - 1, bisect_right(here, end - 1) - 1
+                first = there[a] if lengths[a] else there[a] + start - here[a]
+                last = there[b] + (lengths[b] or end - here[b])
+                return first, last
+
+            yield Layer("".join(out), (*layer.path, kind), layer, place)
         at += len(line) + 1
 
 
-def _plain(layer: Layer, line: str, start: int, end: int, at: int) -> list[tuple[bytes, int, int]]:
-    return [(line[i].encode("utf-8", "replace"), *layer.span(at + i, at + i + 1)) for i in range(start, end)]
+def _texts(outer: Layer, data: bytes, place: Callable, path: tuple[str, ...]) -> Iterator[Layer]:
+    """Bytes as text, and their stretches of two-byte characters; `place` maps spans of bytes."""
+    raw = data.decode("utf-8", "surrogateescape")
+    stray = STRAY.search(raw) is not None
+    text = STRAY.sub(lambda m: chr(ord(m[0]) - 0xDC00), raw) if stray else raw
+    if not text:
+        return
+    chars = place
+    if len(raw) != len(data):
+        at: list[np.ndarray] = []
+
+        def chars(start: int, end: int) -> tuple[int, int]:
+            if not at:
+                codes = np.frombuffer(raw.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+                width = 1 + (codes > 0x7F) + (codes > 0x7FF).astype("int64") + (codes > 0xFFFF)
+                width[(codes >= 0xDC80) & (codes <= 0xDCFF)] = 1
+                at.append(np.concatenate([[0], np.cumsum(width)]))
+            return place(int(at[0][start]), int(at[0][end]))
+
+    yield Layer(text, path, outer, chars, not stray and not UNPRINTABLE.search(text))
+    if b"\0" in data:
+        for m in WIDE.finditer(data):
+            wide = m[0].replace(b"\0", b"").decode("latin-1")
+            yield Layer(
+                wide, (*path, "utf16"), outer,
+                lambda start, end, at=m.start(): place(at + 2 * start, at + 2 * end),
+                not UNPRINTABLE.search(wide),
+            )
+
+
+def inflated(chunks: Iterable[bytes], piece: int) -> Iterator[bytes]:
+    """What gzip or zlib members that follow each other unpack to, in pieces; other bytes end them."""
+    engine, held = None, b""
+    for chunk in chunks:
+        for i in range(0, len(chunk), CHUNK):
+            held += chunk[i : i + CHUNK]
+            while held:
+                if engine is None:
+                    if len(held) < 2:
+                        break
+                    if not PACKED.match(held):
+                        return
+                    engine = zlib.decompressobj(47)
+                out = engine.decompress(held, piece)
+                if out:
+                    yield out
+                if engine.eof:
+                    held, engine = engine.unused_data.lstrip(b"\0"), None
+                else:
+                    held = engine.unconsumed_tail
+    if engine is not None:
+        if out := engine.flush():
+            yield out
+        if not engine.eof:
+            raise zlib.error("incomplete")
+
+
+def _opened(outer: Layer, data: bytes, span: tuple[int, int], path: tuple[str, ...], most: int) -> Iterator[Layer | None]:
+    """Texts of compressed bytes, unpacked as often as needed; None for what can't be read."""
+    seen = {data}
+    while PACKED.match(data):
+        out, size = [], 0
+        try:
+            for piece in inflated([data], most + 1):
+                out.append(piece)
+                size += len(piece)
+                if size > most:
+                    yield None
+                    return
+        except zlib.error:
+            yield None
+        data, path = b"".join(out), (*path, "compressed")
+        if not data or data in seen:
+            return
+        seen.add(data)
+        yield from _texts(outer, data, lambda start, end: span, path)
 
 
-def _unpacked(data: bytes, most: int) -> tuple[bytes | None, bool]:
-    """Decompressed bytes, or none; and whether they were too many."""
-    if not (data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and data[1:2] in b"\x01\x5e\x9c\xda"):
-        return None, False
-    try:
-        out = zlib.decompressobj(47).decompress(data, most + 1)
-    except zlib.error:
-        return None, False
-    return (None, True) if len(out) > most else (out, False)
+def _from_url_bytes(layer: Layer, most: int) -> Iterator[Layer | None]:
+    """Texts in compressed bytes that are written as URL escapes; a plus is a blank or itself."""
+    if "%" not in layer.text:
+        return
+    for m in PACKED_URL.finditer(layer.text):
+        for run in sorted({m[0], m[0].replace("+", " ")}):
+            yield from _opened(layer, unquote_to_bytes(run), m.span(), (*layer.path, "url"), most)
 
 
 def _from_base64(layer: Layer, most: int) -> Iterator[Layer | None]:
-    """Texts in base64 runs, unpacked as often as needed; None for one that is too large."""
+    """Texts in base64 runs, joined over single line breaks and alone."""
+    joined = set()
+    for m in WRAPPED_RUN.finditer(layer.text):
+        lines = [x.span() for x in LINE_OF_RUN.finditer(layer.text, *m.span())]
+        data = yield from _run(layer, lines, most, True)
+        if PACKED.match(data):
+            joined.add(m.start())
     for m in BASE64_RUN.finditer(layer.text):
-        run = m[0].rstrip("=")
-        if len(run) % 4 == 1:
-            continue
-        data = base64.b64decode(run.translate(URL_SAFE) + "=" * (-len(run) % 4))
-        path, seen = [*layer.path, "base64"], {data}
-        inner, too_large = _unpacked(data, most)
-        while inner is not None and inner not in seen:
-            seen.add(inner)
-            data = inner
-            path.append("compressed")
-            inner, too_large = _unpacked(data, most)
-        if too_large:
-            yield None
-            continue
-        try:
-            text = data.decode()
-        except UnicodeDecodeError:
-            continue
-        if not text or UNPRINTABLE.search(text):
-            continue
-        if len(path) > len(layer.path) + 1:
-            start, end = layer.span(m.start(), m.start() + len(run))
-            yield Layer(text, [start] * len(text), [end] * len(text), tuple(path))
-        else:
-            pieces = [
-                (data[k : k + 1], *layer.span(m.start() + k * 8 // 6, m.start() + (k * 8 + 7) // 6 + 1))
-                for k in range(len(data))
-            ]
-            yield _decoded(pieces, tuple(path))
+        yield from _run(layer, [m.span()], most, m.start() not in joined)
+
+
+def _run(layer: Layer, lines: list[tuple[int, int]], most: int, unpack: bool) -> Iterator[Layer | None]:
+    """Texts in one base64 run, given by the spans of its lines; returns its bytes."""
+    digits = "".join(layer.text[a:b] for a, b in lines)
+    digits = digits[: len(digits) - (len(digits) % 4 == 1)]
+    data = base64.b64decode(digits.translate(URL_SAFE) + "=" * (-len(digits) % 4))
+    path, before = (*layer.path, "base64"), array("q", [0])
+    for a, b in lines[:-1]:
+        before.append(before[-1] + b - a)
+
+    def there(digit: int) -> int:
+        k = bisect_right(before, digit) - 1
+        return lines[k][0] + digit - before[k]
+
+    def place(start: int, end: int) -> tuple[int, int]:
+        return there(start * 8 // 6), there((end * 8 - 1) // 6) + 1
+
+    yield from _texts(layer, data, place, path)
+    if unpack and PACKED.match(data):
+        yield from _opened(layer, data, (there(0), there(len(digits) - 1) + 1), path, most)
+    return data
+
+
+def _children(layer: Layer, most: int) -> Iterator[Layer | None]:
+    for kind in ESCAPES:
+        yield from _unescaped(layer, kind)
+    yield from _from_url_bytes(layer, most)
+    yield from _from_base64(layer, most)
 
 
 def unwrap(text: str, max_layer_bytes: int) -> tuple[list, list, int, int]:
     """Base spans, all spans with the layers they lie under, and how many layers were opened or not."""
     order = {kind: i for i, kind in enumerate(KINDS)}
     found: dict[tuple[str, int, int], str] = {}
-    work, seen, unopened = [Layer(text, None, None, ())], set(), 0
+    work, seen, opened, unopened = [Layer(text, ())], set(), 0, 0
     base: list = []
     while work:
         layer = work.pop()
+        holds = False
         for kind, start, end in scan(layer.text):
+            holds = True
             found.setdefault((kind, *layer.span(start, end)), ">".join(layer.path))
         if not layer.path:
             base = list(found)
-        children = [x for kind in ESCAPES for x in _unescaped(layer, kind)]
-        for child in [*children, *_from_base64(layer, max_layer_bytes)]:
+        else:
+            opened += layer.is_text or holds
+        for child in _children(layer, max_layer_bytes):
             if child is None:
                 unopened += 1
                 continue
-            place = (child.starts[0], child.ends[-1], child.text)
+            place = (*child.span(0, len(child.text)), child.text)
             if place not in seen:
                 seen.add(place)
                 work.append(child)
@@ -215,7 +325,7 @@ def unwrap(text: str, max_layer_bytes: int) -> tuple[list, list, int, int]:
     return (
         [(*s, "") for s in sorted(base, key=lambda s: (s[1], order[s[0]], s[2]))],
         [(*s, found[s]) for s in placed],
-        len(seen),
+        opened,
         unopened,
     )
 
