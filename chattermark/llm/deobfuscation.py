@@ -11,7 +11,6 @@ A token of distinct neighbouring letters has one reading and is not searched.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -36,8 +35,6 @@ INDEX = {c: i for i, c in enumerate(LETTERS)}
 SUBSTITUTED, KEPT, STRETCHED, SKIPPED, SPLIT, GAP = -1.5, -8.0, -5.0, -0.7, -2.5, -0.7
 #: Texts whose words are held at once when trigrams are counted.
 TEXTS = 1000
-#: No reading of a longer run is searched; it can't be one word.
-LONGEST = 64
 
 
 def count_trigrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -106,12 +103,18 @@ def _options(observed: str, i: int) -> list[tuple[str, float]]:
 
 def best_reading(observed: str, model: np.ndarray) -> str:
     """The likeliest text behind a run of characters; its words are parted by blanks."""
-    states: dict[tuple[int, int], tuple[float, str]] = {(END, END): (0.0, "")}
+    return scored_reading(observed, model)[1]
+
+
+def scored_reading(observed: str, model: np.ndarray) -> tuple[float, str]:
+    """Log probability and text of the likeliest reading; time is linear in the length of the run."""
+    # Each state keeps its score and a chain of what was emitted, last first.
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(END, END): (0.0, None)}
     for i in range(len(observed)):
-        reached: dict[tuple[int, int], tuple[float, str]] = {}
+        reached: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for emitted, cost in _options(observed, i):
             symbol = END if emitted == " " else INDEX.get(emitted, OTHER)
-            for (a, b), (score, text) in states.items():
+            for (a, b), (score, chain) in states.items():
                 if not emitted:
                     state, value = (a, b), score + cost
                 elif symbol == END and b == END:
@@ -121,13 +124,19 @@ def best_reading(observed: str, model: np.ndarray) -> str:
                     value = score + cost + model[a, b, symbol]
                 old = reached.get(state)
                 if old is None or value > old[0]:
-                    reached[state] = (value, text + emitted)
+                    reached[state] = (value, (chain, emitted) if emitted else chain)
         states = reached
-    _, text = max(
-        (score + (0.0 if b == END else model[a, b, END]), text)
-        for (a, b), (score, text) in states.items()
-    )
-    return text
+    ends = [(score + (0.0 if b == END else model[a, b, END]), chain) for (a, b), (score, chain) in states.items()]
+    best = max(score for score, _ in ends)
+    return float(best), max(_text(chain) for score, chain in ends if score == best)
+
+
+def _text(chain: tuple | None) -> str:
+    out = []
+    while chain is not None:
+        chain, emitted = chain
+        out.append(emitted)
+    return "".join(reversed(out))
 
 
 def single_character(token: str) -> str:
@@ -155,8 +164,6 @@ class Restorer:
             return ()
         if is_plain(core):
             return (core,)
-        if len(core) > LONGEST:
-            return tuple(re.findall(r"[^\W\d_]+", core))
         return tuple(best_reading(core, self.model).split())
 
     def words(self, text: str) -> Iterator[str]:
@@ -190,7 +197,4 @@ class Restorer:
     def spaced(self, single: list[str]) -> list[str]:
         if len(single) < 3:
             return [c for c in single if c.isalpha()]
-        out = []
-        for i in range(0, len(single), LONGEST):
-            out += best_reading(" ".join(single[i : i + LONGEST]), self.model).split()
-        return out
+        return best_reading(" ".join(single), self.model).split()

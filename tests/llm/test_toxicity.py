@@ -154,3 +154,21 @@ def test_one_kind_of_label(texts, labels, marks, score):
     fitted = toxicity.fit(table, labels(marks))
     assert {round(r.score, 6) for r in toxicity.score(table, fitted).collect()} == {score}
     assert math.isfinite(sum(fitted.coefficients))
+
+
+def test_long_runs_are_searched_whole(model):
+    restorer = d.Restorer(model)
+    for before in range(50, 70):
+        words = ["river"] * (before // 5) + ["stupid", "moron"] * 3
+        letters = " ".join("x" * (before % 5) + "".join(words))
+        assert "".join(restorer.words(letters)) == letters.replace(" ", "")
+        # A word over any place is read whole.
+        assert " ".join(restorer.words(letters)).split()[-6:] == ["stupid", "moron"] * 3
+    assert list(restorer.words("i" * 70 + "diot")) == ["idiot"]
+    dotted = ".".join("stupid") + "-" + ".".join("pathetic" * 5)
+    assert "".join(restorer.words(dotted)) == "stupid" + "pathetic" * 5
+
+
+def test_time_is_linear_in_a_run(model):
+    found = list(d.Restorer(model).words(" ".join("stupid" * 3000)))
+    assert "".join(found) == "stupid" * 3000
