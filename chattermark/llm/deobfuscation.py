@@ -3,7 +3,9 @@
 The noisy channel writes letters as look-alike symbols, stretches letters, and
 puts blanks or marks between them. What is observed spans a lattice: a symbol
 may stand for letters or for itself, a repeated letter for one or two, a mark or
-blank for a word end or for nothing. A character trigram model, counted over
+blank for a word end or for nothing. Look-alikes at the ends of a token are
+letters or nothing; a token of look-alikes alone is a word where that is likelier
+than a number. A character trigram model, counted over
 all documents, tells how likely a reading is; the channel adds its costs.
 
 A token of distinct neighbouring letters has one reading and is not searched.
@@ -26,6 +28,11 @@ LOOKALIKES = {
 }
 MARKS = ".-_*~·'’`^"
 EDGES = ".,;:!?\"'()[]{}<>|#%&*~`^-_=+/\\"
+#: Look-alikes that also stand beside words: often at one end, seldom elsewhere.
+BESIDE = "!|+($@€£"
+USUAL_FIRST, USUAL_LAST = "(", "!"
+#: What is no part of a word at its ends, whatever it may look like.
+OUTSIDE = "".join(c for c in EDGES if c not in LOOKALIKES)
 LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(chr(c) for c in range(0xDF, 0x100) if c != 0xF7)
 END, OTHER = len(LETTERS), len(LETTERS) + 1
 SIZE = OTHER + 1
@@ -33,6 +40,8 @@ INDEX = {c: i for i, c in enumerate(LETTERS)}
 
 #: Costs of the channel, as log probabilities.
 SUBSTITUTED, KEPT, STRETCHED, SKIPPED, SPLIT, GAP = -1.5, -8.0, -5.0, -0.7, -2.5, -0.7
+#: A symbol beside a word where it is seldom seen; a symbol of a number.
+UNUSUAL, NUMERAL = -4.5, -4.0
 #: Texts whose words are held at once when trigrams are counted.
 TEXTS = 1000
 
@@ -82,7 +91,13 @@ def log_model(counts: Iterable[tuple[int, int]]) -> np.ndarray:
     return np.log(below)
 
 
-def _options(observed: str, i: int) -> list[tuple[str, float]]:
+def inner_part(observed: str) -> tuple[int, int]:
+    """Where the part without symbols at both ends begins and ends."""
+    around = EDGES + "$@€£ "
+    return len(observed) - len(observed.lstrip(around)), len(observed.rstrip(around))
+
+
+def _options(observed: str, i: int, inner: tuple[int, int] | None = None) -> list[tuple[str, float]]:
     """What the observed character may stand for, with the channel's cost."""
     char = observed[i]
     out: list[tuple[str, float]] = []
@@ -90,6 +105,11 @@ def _options(observed: str, i: int) -> list[tuple[str, float]]:
         return [("", GAP), (" ", SPLIT)]
     if char in LOOKALIKES:
         out += [(letter, SUBSTITUTED) for letter in LOOKALIKES[char]]
+    if char in BESIDE:
+        first, last = inner or inner_part(observed)
+        if i < first or i >= last:
+            usual = char == (USUAL_FIRST if i < first else USUAL_LAST)
+            out.append(("", SKIPPED if usual else UNUSUAL))
     if char in MARKS:
         out += [("", SKIPPED), (" ", SPLIT)]
     elif char.isalpha():
@@ -110,9 +130,10 @@ def scored_reading(observed: str, model: np.ndarray) -> tuple[float, str]:
     """Log probability and text of the likeliest reading; time is linear in the length of the run."""
     # Each state keeps its score and a chain of what was emitted, last first.
     states: dict[tuple[int, int], tuple[float, tuple | None]] = {(END, END): (0.0, None)}
+    inner = inner_part(observed)
     for i in range(len(observed)):
         reached: dict[tuple[int, int], tuple[float, tuple | None]] = {}
-        for emitted, cost in _options(observed, i):
+        for emitted, cost in _options(observed, i, inner):
             symbol = END if emitted == " " else INDEX.get(emitted, OTHER)
             for (a, b), (score, chain) in states.items():
                 if not emitted:
@@ -159,13 +180,21 @@ class Restorer:
 
     def token(self, token: str) -> tuple[str, ...]:
         """Words behind a lower-case token without blanks."""
-        core = token.rstrip(EDGES + "$@€£").lstrip(EDGES)
+        core = token.strip(OUTSIDE)
         if not any(c.isalpha() for c in core):
-            return ()
+            return self.symbols(core)
         if is_plain(core):
             return (core,)
         return tuple(best_reading(core, self.model).split())
 
+    def symbols(self, core: str) -> tuple[str, ...]:
+        """Words behind look-alikes alone, where they are likelier than a number."""
+        if not core or any(c not in LOOKALIKES for c in core):
+            return ()
+        score, text = scored_reading(core, self.model)
+        words = tuple(text.split())
+        return words if len(words) == 1 and score > NUMERAL * len(core) else ()
+
     def words(self, text: str) -> Iterator[str]:
         """The restored words of a text; three or more single characters in a row are read together."""
         for part in self.parts(text):

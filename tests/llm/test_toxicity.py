@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -172,3 +173,20 @@ def test_long_runs_are_searched_whole(model):
 def test_time_is_linear_in_a_run(model):
     found = list(d.Restorer(model).words(" ".join("stupid" * 3000)))
     assert "".join(found) == "stupid" * 3000
+
+
+@pytest.mark.parametrize(
+    ("word", "meant"),
+    [
+        ("!diot", "idiot"), ("|diot", "idiot"), ("(lown", "clown"), ("idio+", "idiot"), ("a$$", "ass"), ("455", "ass"),
+        ("4$$", "ass"), ("$+up1d!!", "stupid"), ("\"!diot,\"", "idiot"), ("idiot!!", "idiot"), ("(idiot)", "idiot"),
+        ("moron$$$", "moron"), ("|people|", "people"), ("(people", "people"),
+    ],
+)
+def test_symbols_at_the_ends(word, meant):
+    r = random.Random(1)
+    text = " ".join(r.choice([*CLEAN, *BAD, "clown", "ass"]) for _ in range(20_000))
+    (batch,) = d.count_trigrams(iter([pd.DataFrame({"text": [text]})]))
+    restorer = d.Restorer(d.log_model(zip(batch["gram"], batch["n"], strict=True)))
+    assert list(restorer.words(f"the people {word} walk along")) == ["the", "people", meant, "walk", "along"]
+    assert list(restorer.words("2024 10 100% $100 (663) 4757965300669737 !!! $$$ | +49")) == []
