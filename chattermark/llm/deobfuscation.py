@@ -121,15 +121,16 @@ def _options(observed: str, i: int, inner: tuple[int, int] | None = None) -> lis
     return out
 
 
-def best_reading(observed: str, model: np.ndarray) -> str:
+def best_reading(observed: str, model: np.ndarray | list) -> str:
     """The likeliest text behind a run of characters; its words are parted by blanks."""
     return scored_reading(observed, model)[1]
 
 
-def scored_reading(observed: str, model: np.ndarray) -> tuple[float, str]:
+def scored_reading(observed: str, model: np.ndarray | list) -> tuple[float, str]:
     """Log probability and text of the likeliest reading; time is linear in the length of the run."""
     # Each state keeps its score and a chain of what was emitted, last first.
     states: dict[tuple[int, int], tuple[float, tuple | None]] = {(END, END): (0.0, None)}
+    rows = model.tolist() if isinstance(model, np.ndarray) else model
     inner = inner_part(observed)
     for i in range(len(observed)):
         reached: dict[tuple[int, int], tuple[float, tuple | None]] = {}
@@ -142,14 +143,14 @@ def scored_reading(observed: str, model: np.ndarray) -> tuple[float, str]:
                     state, value = (END, END), score + cost
                 else:
                     state = (END, END) if symbol == END else (b, symbol)
-                    value = score + cost + model[a, b, symbol]
+                    value = score + cost + rows[a][b][symbol]
                 old = reached.get(state)
                 if old is None or value > old[0]:
                     reached[state] = (value, (chain, emitted) if emitted else chain)
         states = reached
-    ends = [(score + (0.0 if b == END else model[a, b, END]), chain) for (a, b), (score, chain) in states.items()]
+    ends = [(score + (0.0 if b == END else rows[a][b][END]), chain) for (a, b), (score, chain) in states.items()]
     best = max(score for score, _ in ends)
-    return float(best), max(_text(chain) for score, chain in ends if score == best)
+    return best, max(_text(chain) for score, chain in ends if score == best)
 
 
 def _text(chain: tuple | None) -> str:
@@ -176,7 +177,8 @@ class Restorer:
     """Restores the words of texts; keeps readings of tokens, up to a number of them."""
 
     def __init__(self, model: np.ndarray, keep: int = 100_000) -> None:
-        self.model, self.keep, self.known = model, keep, {}
+        # Plain floats: a search adds up single ones, for which arrays are slow.
+        self.model, self.keep, self.known = model.tolist(), keep, {}
 
     def token(self, token: str) -> tuple[str, ...]:
         """Words behind a lower-case token without blanks."""
