@@ -8,7 +8,8 @@ at a small Hamming distance. Bit-sampling tables over those strings put near
 ones in one bin; the number of tables follows from the wanted recall. Every
 candidate is then verified by exact edit distance.
 
-Windows begin at word starts. A count filter leaves out those that can't match:
+Windows begin at every character but blanks, so a text without blanks or a passage
+glued to other text loses none. A count filter leaves out those that can't match:
 `k` edits destroy at most `q k` of the q-grams of a passage, so a window must
 hold all others. This loses nothing, and it spares nearly all windows the walk.
 
@@ -209,16 +210,18 @@ class Block:
         hashed = (grams << np.uint64(8 * (8 - q))) * MULTIPLIER
         return (hashed >> np.uint64(64 - size.bit_length() + 1)).astype("int64")
 
-    def likely(self, buffer: np.ndarray, starts: np.ndarray) -> Iterator[tuple[LengthClass, np.ndarray]]:
-        """For each class the starts of windows that hold enough q-grams of its items."""
+    def likely(self, buffer: np.ndarray, begins: np.ndarray) -> Iterator[tuple[LengthClass, np.ndarray]]:
+        """For each class the starts, where `begins` is true, of windows that hold enough q-grams of its items."""
         for q, cells, classes in self.tables:
             marks = cells[self.cells(buffer, q, len(cells))]
             held = np.zeros(len(marks) + 1, dtype="int32")
             for bit, c in enumerate(classes):
                 np.cumsum((marks >> np.uint16(bit)) & np.uint16(1), dtype="int32", out=held[1:])
-                first = np.minimum(starts, len(marks))
-                last = np.minimum(starts + c.span - q + 1, len(marks))
-                enough = starts[held[last] - held[first] >= c.least]
+                width = min(c.span - q + 1, len(marks))
+                whole = np.flatnonzero(held[width:] - held[: len(held) - width] >= c.least)
+                cut = np.flatnonzero(held[-1] - held[len(held) - width :] >= c.least) + len(held) - width
+                enough = np.concatenate([whole, cut])
+                enough = enough[begins[enough]]
                 if len(enough):
                     yield c, enough
 
@@ -231,12 +234,8 @@ class Block:
         for c, at in zip(codes, offsets[:-1], strict=True):
             buffer[at : at + len(c)] = folded(c)
         blank = folded(codes_of(" "))[0]
-        starts = np.flatnonzero((buffer[1:] != blank) & (buffer[1:] != 0) & ((buffer[:-1] == blank) | (buffer[:-1] == 0))) + 1
-        if len(buffer) and buffer[0]:
-            starts = np.concatenate([[0], starts])
-        if not len(starts):
-            return found
-        for c, likely in self.likely(buffer, starts):
+        begins = (buffer != blank) & (buffer != 0)
+        for c, likely in self.likely(buffer, begins):
             done: dict[tuple[int, int], int] = {}
             for start, j in sorted(c.candidates(buffer, likely)):
                 d = int(np.searchsorted(offsets, start, "right")) - 1
@@ -250,6 +249,10 @@ class Block:
                 if sum(map(around.__contains__, c.grams[j])) < length - c.q + 1 - c.q * limit:
                     continue  # too few of the item's q-grams are here
                 edits, end = nearest(c.bits[j], length, texts[d][begin:stop])
+                if 0 < edits <= limit:
+                    # The window may be off by so much that the region cuts the passage.
+                    begin, stop = max(min(begin, done.get((d, j), 0)), begin - 2 * limit, 0), stop + 2 * limit
+                    edits, end = nearest(c.bits[j], length, texts[d][begin:stop])
                 if edits <= limit:
                     # Backwards from its end, the same search finds where the passage begins.
                     _, back = nearest(c.backward[j], length, texts[d][begin : begin + end][::-1])

@@ -131,3 +131,20 @@ def test_odd_rows(texts, benchmark):
 def test_empty_tables(texts, benchmark):
     assert d.contaminated(texts(), benchmark((1, "some item text"))).count() == 0
     assert d.clean(texts((1, "a"), (2, None)), benchmark()).count() == 2
+
+
+def test_passages_need_no_blank_before_them(texts, benchmark):
+    r = random.Random(6)
+    script = [chr(c) for c in range(0x4E00, 0x5200)]
+    scripts = lambda n: "".join(r.choice(script) for _ in range(n))
+    items = [(1, scripts(60)), (2, sentence(r, 20)), (3, scripts(120))]
+    changed = edited(r, items[2][1], 6)
+    rows = [
+        (1, scripts(3000) + items[0][1] + scripts(500)),
+        (2, f"see https://example.org/{'x/' * 300}{items[1][1]} end"),
+        (3, scripts(900) + changed + scripts(700)),
+        (4, scripts(2000)),
+    ]
+    found = {(x.doc_id, x.item_id): x for x in d.contaminated(texts(*rows), benchmark(*items)).collect()}
+    assert set(found) == {(1, 1), (2, 2), (3, 3)}
+    assert found[1, 1].edits == found[2, 2].edits == 0 and found[3, 3].edits <= 6
