@@ -16,10 +16,12 @@ Each layer knows, for every character, the span of the original text it comes
 from: escapes and base64 map character by character, compressed data as a
 whole. Found spans are code points of the original text, end exclusive.
 
-All work is within a row: no shuffle, and memory is bounded by one text and
-its layers. Unpacked data above `max_layer_bytes` is not scanned; such layers
-and compressed ones that are broken or incomplete are counted in `n_unopened`,
-so nothing is left out without a trace.
+All work is within a row: no shuffle. Unpacked data of any size is scanned, in
+overlapping pieces, so memory is bounded by one text, some pieces, and a digest
+for each layer seen. Counted in `n_unopened` are compressed layers that are
+broken or incomplete, compressed data in a base64 run that is itself longer than
+a piece and inside unpacked data, and, where a caller sets `max_layer_bytes`,
+layers above it, which are not scanned then.
 
 Defined results: a null or empty text has no spans; rows that repeat are rows of
 their own; an empty table gives an empty table. Input columns named like an
@@ -34,6 +36,8 @@ import zlib
 from array import array
 from bisect import bisect_right
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import suppress
+from hashlib import blake2b
 from typing import NamedTuple
 from urllib.parse import unquote_to_bytes
 
@@ -65,6 +69,10 @@ LINE_OF_RUN = re.compile(r"[A-Za-z0-9+/_-]+")
 PACKED = re.compile(rb"\x1f\x8b|\x78[\x01\x5e\x9c\xda]")
 PACKED_URL = re.compile(r"""(?:%1[Ff]%8[Bb]|(?:x|%78)%(?:01|5[Ee]|9[Cc]|[Dd][Aa]))[^\s"'<>&]*""")
 WIDE = re.compile(rb"(?:[^\0]\0){8,}|(?:\0[^\0]){8,}")
+#: Unpacked data is scanned in pieces of some megabytes, which overlap by far more than a secret's least length.
+PIECE, OVERLAP, ALIGNED = 1 << 22, 1 << 16, 4**6
+RUN_BYTES = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
+URL_SAFE_BYTES = bytes.maketrans(b"-_", b"+/")
 #: Packed bytes are fed in chunks of this size, so what is left of one is cheap to copy.
 CHUNK = 1 << 16
 #: What the decoder makes of a byte that is not UTF-8.
@@ -90,6 +98,9 @@ FOUND = T.StructType(
 )
 
 
+DONE = object()
+
+
 class Layer(NamedTuple):
     """A text, and where a span of it lies in the text it was found in; the original has no outer one."""
 
@@ -226,28 +237,70 @@ def inflated(chunks: Iterable[bytes], piece: int) -> Iterator[bytes]:
             raise zlib.error("incomplete")
 
 
-def _opened(outer: Layer, data: bytes, span: tuple[int, int], path: tuple[str, ...], most: int) -> Iterator[Layer | None]:
-    """Texts of compressed bytes, unpacked as often as needed; None for what can't be read."""
-    seen = {data}
-    while PACKED.match(data):
-        out, size = [], 0
+def _whole(chunks: Iterable[bytes]) -> Iterator[bytes]:
+    """What can be unpacked of chunks before an error."""
+    with suppress(zlib.error):
+        yield from chunks
+
+
+def _overlapping(chunks: Iterable[bytes], piece: int) -> Iterator[tuple[bytes, bool]]:
+    """Pieces of a long layer, and whether the cut after it splits compressed data in base64.
+
+    A piece ends in what the next one begins with: a base64 run that goes on, or
+    a part of it that is decoded alike if the run is longer than a piece.
+    """
+    held, overlap = b"", min(OVERLAP, piece)
+    for chunk in chunks:
+        held += chunk
+        if len(held) < 2 * piece + overlap:
+            continue
+        run = len(held.rstrip(RUN_BYTES))
+        if len(held) - run <= piece:
+            keep = min(run, len(held) - overlap)
+            yield held, False
+        else:
+            # Cut where a multiple of ALIGNED digits is behind, so deeper base64 stays in step too.
+            keep = run + (len(held) - overlap - run) // ALIGNED * ALIGNED
+            head = held[run : run + 8].translate(URL_SAFE_BYTES)
+            yield held, len(head) == 8 and PACKED.match(base64.b64decode(head)) is not None
+        held = held[keep:]
+    if held:
+        yield held, False
+
+
+def _opened(
+    outer: Layer, data: bytes, span: tuple[int, int], path: tuple[str, ...], most: int | None
+) -> Iterator[Layer | None]:
+    """Texts of compressed bytes, unpacked as often as needed; None for what can't be read.
+
+    What a level unpacks to is never held whole: it is unpacked once to be
+    measured and again to be scanned.
+    """
+    chunks, head, seen = (lambda: iter([data])), data[:2], {blake2b(data).digest()}
+    while PACKED.match(head):
+        inner = lambda chunks=chunks: inflated(chunks(), PIECE)
+        head, size, digest = b"", 0, blake2b()
         try:
-            for piece in inflated([data], most + 1):
-                out.append(piece)
+            for piece in inner():
+                head = head if len(head) > 1 else head + piece[:2]
                 size += len(piece)
-                if size > most:
+                digest.update(piece)
+                if most is not None and size > most:
                     yield None
                     return
         except zlib.error:
             yield None
-        data, path = b"".join(out), (*path, "compressed")
-        if not data or data in seen:
+        if not size or digest.digest() in seen:
             return
-        seen.add(data)
-        yield from _texts(outer, data, lambda start, end: span, path)
+        seen.add(digest.digest())
+        chunks, path = (lambda inner=inner: _whole(inner())), (*path, "compressed")
+        for piece, split in _overlapping(chunks(), PIECE):
+            yield from _texts(outer, piece, lambda start, end: span, path)
+            if split:
+                yield None
 
 
-def _from_url_bytes(layer: Layer, most: int) -> Iterator[Layer | None]:
+def _from_url_bytes(layer: Layer, most: int | None) -> Iterator[Layer | None]:
     """Texts in compressed bytes that are written as URL escapes; a plus is a blank or itself."""
     if "%" not in layer.text:
         return
@@ -256,7 +309,7 @@ def _from_url_bytes(layer: Layer, most: int) -> Iterator[Layer | None]:
             yield from _opened(layer, unquote_to_bytes(run), m.span(), (*layer.path, "url"), most)
 
 
-def _from_base64(layer: Layer, most: int) -> Iterator[Layer | None]:
+def _from_base64(layer: Layer, most: int | None) -> Iterator[Layer | None]:
     """Texts in base64 runs, joined over single line breaks and alone."""
     joined = set()
     for m in WRAPPED_RUN.finditer(layer.text):
@@ -268,7 +321,7 @@ def _from_base64(layer: Layer, most: int) -> Iterator[Layer | None]:
         yield from _run(layer, [m.span()], most, m.start() not in joined)
 
 
-def _run(layer: Layer, lines: list[tuple[int, int]], most: int, unpack: bool) -> Iterator[Layer | None]:
+def _run(layer: Layer, lines: list[tuple[int, int]], most: int | None, unpack: bool) -> Iterator[Layer | None]:
     """Texts in one base64 run, given by the spans of its lines; returns its bytes."""
     digits = "".join(layer.text[a:b] for a, b in lines)
     digits = digits[: len(digits) - (len(digits) % 4 == 1)]
@@ -290,21 +343,34 @@ def _run(layer: Layer, lines: list[tuple[int, int]], most: int, unpack: bool) ->
     return data
 
 
-def _children(layer: Layer, most: int) -> Iterator[Layer | None]:
+def _children(layer: Layer, most: int | None) -> Iterator[Layer | None]:
     for kind in ESCAPES:
         yield from _unescaped(layer, kind)
     yield from _from_url_bytes(layer, most)
     yield from _from_base64(layer, most)
 
 
-def unwrap(text: str, max_layer_bytes: int) -> tuple[list, list, int, int]:
+def unwrap(text: str, max_layer_bytes: int | None = None) -> tuple[list, list, int, int]:
     """Base spans, all spans with the layers they lie under, and how many layers were opened or not."""
     order = {kind: i for i, kind in enumerate(KINDS)}
     found: dict[tuple[str, int, int], str] = {}
-    work, seen, opened, unopened = [Layer(text, ())], set(), 0, 0
+    seen, opened, unopened = set(), 0, 0
     base: list = []
+    # Depth first, so that pieces of a long layer come one after the other.
+    work: list[Iterator[Layer | None]] = [iter([Layer(text, ())])]
     while work:
-        layer = work.pop()
+        layer = next(work[-1], DONE)
+        if layer is DONE:
+            work.pop()
+            continue
+        if layer is None:
+            unopened += 1
+            continue
+        if layer.path:
+            place = (*layer.span(0, len(layer.text)), blake2b(layer.text.encode("utf-8", "surrogatepass")).digest())
+            if place in seen:
+                continue
+            seen.add(place)
         holds = False
         for kind, start, end in scan(layer.text):
             holds = True
@@ -313,14 +379,7 @@ def unwrap(text: str, max_layer_bytes: int) -> tuple[list, list, int, int]:
             base = list(found)
         else:
             opened += layer.is_text or holds
-        for child in _children(layer, max_layer_bytes):
-            if child is None:
-                unopened += 1
-                continue
-            place = (*child.span(0, len(child.text)), child.text)
-            if place not in seen:
-                seen.add(place)
-                work.append(child)
+        work.append(_children(layer, max_layer_bytes))
     placed = sorted(found, key=lambda s: (s[1], order[s[0]], s[2]))
     return (
         [(*s, "") for s in sorted(base, key=lambda s: (s[1], order[s[0]], s[2]))],
@@ -330,7 +389,7 @@ def unwrap(text: str, max_layer_bytes: int) -> tuple[list, list, int, int]:
     )
 
 
-def find_secrets(documents: DataFrame, *, max_layer_bytes: int = 1 << 24) -> DataFrame:
+def find_secrets(documents: DataFrame, *, max_layer_bytes: int | None = None) -> DataFrame:
     """`documents` with `base_spans`, `spans`, `n_layers` and `n_unopened`.
 
     A span is (kind, start, end, layers): `layers` names the wrappings, outermost

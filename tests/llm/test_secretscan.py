@@ -178,3 +178,12 @@ def test_what_stays_packed_is_counted():
     broken[40:60] = b"\xff" * 20
     assert unwrap(b64(bytes(broken)), MOST)[3] == 1
     assert unwrap("internationalization of a counterrevolutionary", MOST) == ([], [], 0, 0)
+
+
+@pytest.mark.parametrize("size", [(1 << 24) + 5, (1 << 23) - 8])
+@pytest.mark.parametrize("fill", [b"z", b"word one\n"])
+def test_large_layers_are_scanned_to_their_end(texts, size, fill):
+    filler = fill * (size // len(fill))
+    hidden = b64(gzip.compress(filler + b" " + SECRET.encode() + b" " + filler + b"\n" + KEY.encode(), 1))
+    (row,) = find_secrets(texts((1, f"x {hidden} y"))).collect()
+    assert {(s.kind, s.start) for s in row.spans} == {("assign", 2), ("access", 2)} and row.n_unopened == 0
