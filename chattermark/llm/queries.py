@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 
 import pandas as pd
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,11 +23,14 @@ from chattermark.llm import (
     neighbours,
     secretscan,
     sharding,
+    spelling,
     toxicity,
+    vectorcode,
     warc,
+    windows,
 )
 from chattermark.llm.frames import read_table
-from chattermark.sources.staging import new_folder
+from chattermark.sources.staging import new_folder, stage
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,6 +178,90 @@ def op10_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vectorcode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every vector under codebooks fitted to all of them."""
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    books = vectorcode.fit(vectors)
+    coded = stage(vectorcode.encode(vectors, books).drop("embedding"), "codes")
+    return vectorcode.with_group_error(coded).select(
+        "vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256")
+    )
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form and root of every word of the texts, some of whose words are misspelled."""
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    groups = spelling.variant_groups(spelling.word_counts(documents, slips=97))
+    return groups.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a training sequence."""
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    placed = windows.pack(documents, public_tokenizers.path("byte_bpe_50k.json"))
+    return placed.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
+def _codebook_sql(rounds: int = 6, parts: int = 8, entries: int = 16) -> str:
+    """Rounds of assigning and averaging, one pair of CTEs each."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+        a{i} AS MATERIALIZED (
+            SELECT v, p, arg_min(e, (d, e)) AS e, min(d) AS d
+            FROM (
+                SELECT x.v, x.p, b.e, CAST(list_sum([(x.x[i] - b.x[i]) * (x.x[i] - b.x[i])
+                                                     FOR i IN range(1, len(x.x) + 1)]) AS BIGINT) AS d
+                FROM pieces x JOIN b{i} b USING (p)
+            ) GROUP BY v, p
+        )""")
+        if i < rounds:
+            steps.append(f"""
+        m{i} AS (
+            SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS x
+            FROM (
+                SELECT p, e, i, CAST(sum(x.x[i]) AS BIGINT) AS s, count(*) AS n
+                FROM a{i} JOIN pieces x USING (v, p), range(1, len(x.x) + 1) r(i)
+                GROUP BY p, e, i
+            ) GROUP BY p, e
+        ),
+        b{i + 1} AS MATERIALIZED (
+            SELECT p, e, coalesce(m.x, b.x) AS x FROM b{i} b LEFT JOIN m{i} m USING (p, e)
+        )""")
+    return f"""
+        WITH kept AS (
+            SELECT vec_id, label, row_number() OVER (ORDER BY vec_id, embedding) AS v,
+                   [CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS x
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+        ),
+        pieces AS MATERIALIZED (
+            SELECT v, p, x[p * len(x) // {parts} + 1 : (p + 1) * len(x) // {parts}] AS x
+            FROM kept, range({parts}) r(p)
+        ),
+        b0 AS (SELECT p, v - 1 AS e, x FROM pieces WHERE v <= {entries}),
+        {",".join(steps).strip()},
+        coded AS (
+            SELECT v, string_agg(printf('%02x', e), '' ORDER BY p) AS code,
+                   CAST(sum(d) AS BIGINT) AS error
+            FROM a{rounds} GROUP BY v
+        )
+        SELECT vec_id, code, error,
+               CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+               (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) FROM b{rounds})
+                   AS codebooks_sha256
+        FROM kept JOIN coded USING (v)"""
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_secretscan": op2_secretscan,
@@ -185,6 +273,9 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_decontamination": op9_decontamination,
     "op10_linededup": op10_linededup,
+    "op11_vectorcode": op11_vectorcode,
+    "op12_spelling": op12_spelling,
+    "op13_packing": op13_packing,
 }
 
 ORACLE_SQL = {
@@ -343,4 +434,60 @@ ORACLE_SQL = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), ''))
                    AS kept_sha256
         FROM marked GROUP BY doc_id""",
+    "op11_vectorcode": _codebook_sql(),
+    "op12_spelling": """
+        WITH RECURSIVE crc AS (
+            SELECT list(c ORDER BY n) AS t
+            FROM (SELECT n, list_reduce([n] || range(8), lambda a, k: CASE WHEN a & 1 = 1
+                      THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c FROM range(256) r(n))
+        ),
+        runs AS (
+            SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w,
+                   count(*) AS n
+            FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run
+                  FROM documents)
+            GROUP BY ALL
+        ),
+        hashed AS (
+            SELECT w, n, xor(list_reduce(
+                       [4294967295] || [CAST('0x' || x AS BIGINT) FOR x IN regexp_extract_all(
+                           hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w)), '..')],
+                       lambda a, b: xor(a >> 8, crc.t[xor(a & 255, b) + 1])), 4294967295) AS h
+            FROM runs, crc WHERE length(w) >= 5
+        ),
+        vocabulary AS MATERIALIZED (
+            SELECT w, CAST(sum(n) AS BIGINT) AS n
+            FROM (SELECT n, CASE WHEN h % 97 = 0 THEN w[: h % length(w)] || w[h % length(w) + 2 :]
+                                 ELSE w END AS w FROM hashed)
+            WHERE length(w) >= 5 GROUP BY w HAVING sum(n) >= 3
+        ),
+        shorter AS MATERIALIZED (
+            SELECT w, i, w[: i - 1] || w[i + 1 :] AS s
+            FROM vocabulary, range(1, length(w) + 1) r(i)
+        ),
+        near AS MATERIALIZED (
+            SELECT DISTINCT a.w, b.w AS o FROM shorter a JOIN shorter b USING (i, s) WHERE a.w <> b.w
+            UNION
+            SELECT a.w, b.w FROM shorter a JOIN vocabulary b ON a.s = b.w
+            UNION
+            SELECT b.w, a.w FROM shorter a JOIN vocabulary b ON a.s = b.w
+        ),
+        best AS (
+            SELECT near.w, count(*) AS n_near, max(v.n) AS most, arg_min(near.o, (-v.n, near.o)) AS o
+            FROM near JOIN vocabulary v ON v.w = near.o GROUP BY near.w
+        ),
+        formed AS MATERIALIZED (
+            SELECT v.w, v.n, coalesce(n_near, 0) AS n_near,
+                   CASE WHEN most >= 2 * v.n THEN o END AS form,
+                   CASE WHEN most >= 2 * v.n THEN most END AS form_n
+            FROM vocabulary v LEFT JOIN best USING (w)
+        ),
+        followed AS (
+            SELECT w, w AS at FROM formed
+            UNION ALL
+            SELECT followed.w, f.form FROM followed JOIN formed f ON f.w = followed.at
+            WHERE f.form IS NOT NULL
+        )
+        SELECT f.w AS word, f.form, r.at AS root, f.n, f.n_near, f.form_n
+        FROM formed f JOIN followed r USING (w) JOIN formed l ON l.w = r.at AND l.form IS NULL""",
 }
