@@ -45,7 +45,7 @@ from chattermark.sources.staging import stage
 LETTERS = "[A-Za-zÀ-ÿ]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Rows an index is built for on average, and rows that may share a key.
-INDEX_ROWS = 1 << 15
+INDEX_ROWS = 1 << 14
 #: Two free letters out of ninety between shared ends make fewer.
 MOST = 1 << 15
 DEPTHS = 8
@@ -181,8 +181,10 @@ def near_words(words: DataFrame, most: int = MOST, index_rows: int = INDEX_ROWS)
     """(word, n_near, near_n, near) of words (word, n) that have near words."""
     rows = dealt(words, most)
     indexes = max(1, -(-6 * words.count() // index_rows))
-    grouped = rows.withColumn("index", F.pmod("key", F.lit(indexes))).groupBy("index")
-    found = grouped.applyInPandas(_asked, NEAREST)
+    # Rows are few and the work on each is long, so partitions follow the indexes, not the bytes.
+    tasks = max(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), indexes // 4)
+    numbered = rows.withColumn("index", F.pmod("key", F.lit(indexes))).repartition(tasks, "index")
+    found = numbered.groupBy("index").applyInPandas(_asked, NEAREST)
     best = F.min(F.struct((-F.col("near_n")).alias("n"), F.col("near").alias("word")))
     return (
         found.groupBy("word")

@@ -119,7 +119,7 @@ def _unpadded(at: np.ndarray, n: int, most: int) -> tuple[list[int], list[int]]:
     into, origin = [], []
     for power in (1 << k for k in range(most.bit_length()) if 1 << k <= most):
         source = at - power
-        there = np.where(source >= 0, number[source], -1)
+        there = np.where(source >= 0, number[np.maximum(source, 0)], -1)
         into.append(np.flatnonzero(there >= 0) + 1)
         origin.append(there[there >= 0])
     targets = np.concatenate(into)

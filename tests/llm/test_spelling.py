@@ -1,0 +1,132 @@
+"""Spelling variants against plain comparison of all words, and the indexes against scans."""
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from chattermark.llm import queries, spelling
+from chattermark.llm.fmindex import FmIndex
+
+
+def is_near(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    return len(b) - len(a) == 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def plain_groups(counts, ratio=2):
+    near = {w: [o for o in counts if is_near(w, o)] for w in counts}
+    form = {}
+    for word, others in near.items():
+        best = min(others, key=lambda o: (-counts[o], o), default=None)
+        form[word] = best if best is not None and counts[best] >= ratio * counts[word] else None
+    rows = []
+    for word in counts:
+        root = word
+        while form[root] is not None:
+            root = form[root]
+        rows.append((word, counts[word], len(near[word]), form[word], counts.get(form[word]), root))
+    return sorted(rows)
+
+
+def plain_counts(documents, slips=97):
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    counts = Counter()
+    for doc_id, text in documents:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            word = run.translate(lower)
+            digest = zlib.crc32(f"{'' if doc_id is None else doc_id}:{word}".encode())
+            if digest % slips == 0:
+                at = digest % len(word)
+                word = word[:at] + word[at + 1 :]
+            counts[word] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 5 and n >= 3}
+
+
+def some_words(seed, letters="abé", n=150, most=9):
+    rng = random.Random(seed)
+    words = {"".join(rng.choice(letters) for _ in range(rng.randint(5, most))) for _ in range(n)}
+    return {w: rng.choice([3, 4, 6, 8, 16, 40]) for w in words}
+
+
+def groups_of(spark, counts, **options):
+    table = spark.createDataFrame(list(counts.items()), "word string, n long")
+    rows = spelling.variant_groups(table, **options).collect()
+    return sorted((r.word, r.n, r.n_near, r.form, r.form_n, r.root) for r in rows)
+
+
+@pytest.mark.parametrize("most", [2, 20, 1 << 15])
+def test_same_groups_as_comparing_all_words(spark, most):
+    counts = some_words(most)
+    assert groups_of(spark, counts, most=most, index_rows=100) == plain_groups(counts)
+
+
+def test_words_that_share_long_ends(spark):
+    rng = random.Random(4)
+    words = {"same" * 4 + "".join(rng.choice("xyz") for _ in range(rng.randint(2, 4))) for _ in range(80)}
+    words |= {w[16:] + "tail" * 4 for w in words}
+    counts = {w: rng.randint(3, 60) for w in words}
+    assert groups_of(spark, counts, most=10, index_rows=64) == plain_groups(counts)
+
+
+def test_crowded_halves_are_cut_until_few_words_share_them(spark):
+    words = spark.createDataFrame([(f"abcdefgh{i:04d}", 3) for i in range(2000)], "word string, n long")
+    sharing = spelling.dealt(words, most=300).groupBy("key").count().agg({"count": "max"}).first()[0]
+    assert sharing <= 300 < spelling.routes(words).groupBy("key").count().agg({"count": "max"}).first()[0]
+
+
+def test_chains_lead_to_the_last_form(spark):
+    counts = {"aaaaa": 3, "aaaab": 6, "aaabb": 12, "aabbb": 24, "abbbb": 48, "zzzzz": 3}
+    roots = {row[0]: row[5] for row in groups_of(spark, counts)}
+    assert roots == {**dict.fromkeys(counts, "abbbb"), "zzzzz": "zzzzz"}
+
+
+def test_empty_vocabulary(spark):
+    assert groups_of(spark, {}) == []
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_index_finds_what_a_scan_finds(seed):
+    rng = random.Random(seed)
+    words = sorted(some_words(seed))
+    asked = words + ["".join(rng.choice("abéz") for _ in range(rng.randint(2, 9))) for _ in range(40)]
+    found = set(zip(*(x.tolist() for x in FmIndex(words).near(asked)), strict=True))
+    assert found == {(i, j) for i, a in enumerate(asked) for j, w in enumerate(words) if is_near(a, w)}
+    index = FmIndex(words)
+    for first in (True, False):
+        shared = set(zip(*(x.tolist() for x in index.sharing_half(asked, first)), strict=True))
+        for i, j in found:
+            half = len(asked[i]) // 2
+            same = words[j].startswith(asked[i][:half]) if first else words[j].endswith(asked[i][half:])
+            assert ((i, j) in shared) == same
+
+
+def test_empty_index():
+    assert [len(x) for x in FmIndex([]).near(["abcde"])] == [0, 0]
+    assert [len(x) for x in FmIndex(["abcde"]).near([])] == [0, 0]
+
+
+def test_counts_of_unusual_texts(spark):
+    rng = random.Random(3)
+    documents = [(None, "Hello HELLO hello"), (1, None), (2, ""), (3, "Größe größe GRÖSSE x7hellox_hello"), (3, "Hello")]
+    documents += [(i, " ".join(rng.choice(["alpha", "Beta,", "gamma1", "delta-delta"]) for _ in range(30))) for i in range(40)]
+    documents.append((99, "lorem " * 20_000))
+    table = spark.createDataFrame([(*d, "n") for d in documents], "doc_id long, text string, n string")
+    rows = spelling.word_counts(table, slips=7).collect()
+    assert {r.word: r.n for r in rows} == plain_counts(documents, 7)
+
+
+def test_registered_query(spark, tmp_path):
+    rng = random.Random(8)
+    words = list(some_words(8, n=60))
+    documents = [(i, " ".join(rng.choice(words) for _ in range(50))) for i in range(120)] + [(None, None)]
+    table = spark.createDataFrame(documents, "doc_id long, text string")
+    table.write.parquet(str(tmp_path / "documents.parquet"))
+    found = queries.op12_spelling(spark, str(tmp_path)).collect()
+    counts = plain_counts(documents)
+    assert sorted((r.word, r.n, r.n_near, r.form, r.form_n, r.root) for r in found) == plain_groups(counts)
