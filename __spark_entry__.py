@@ -22,6 +22,7 @@ from chattermark.operators import (
     embedding,
     profile,
     quality,
+    similar,
     suspects,
 )
 from chattermark.plans import report
@@ -242,6 +243,21 @@ def mean_pooling(spark, sf_dir):
     return _by_dimension(distances.mean_pooling(tokens), "doc_id", "embedding")
 
 
+def vector_similar_pairs(spark, sf_dir):
+    """All vectors and a shifted copy of each: pairs within 0.065, all of them found.
+
+    The copy's component number `vec_id % 64` is larger by 0.01 to 0.1.
+    """
+    vectors = _vectors(spark, sf_dir).select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    at = (F.col("vec_id") % 64 + 1).cast("int")
+    step = (F.col("vec_id") % 10 + 1) / 100
+    moved = F.transform("v", lambda x, i: F.when(i + 1 == at, x + step).otherwise(x))
+    shifted = vectors.withColumn("v", moved).withColumn("vec_id", -F.col("vec_id") - 1)
+    both = vectors.unionByName(shifted)
+    pairs = similar.similar_pairs(both, 0.065, vector_column="v", most=512)
+    return _rounded(pairs, "distance", places=4)
+
+
 def _reduced(spark, sf_dir, n_components: int = 50) -> embedding.Reduction:
     vectors = embedding.as_vectors(_vectors(spark, sf_dir), "embedding", "features")
     return embedding.reduce_dimensions(vectors, n_components=n_components)
@@ -417,6 +433,7 @@ def queries() -> dict[str, Query]:
         "sql_parameters": sql_parameters,
         "vector_pair_distances": vector_pair_distances,
         "vector_matrix_means": vector_matrix_means,
+        "vector_similar_pairs": vector_similar_pairs,
         "vector_normalized": vector_normalized,
         "mean_pooling": mean_pooling,
         "pca_components": pca_components,
@@ -811,6 +828,18 @@ def oracle_sql() -> dict[str, str]:
                    round(avg(1 - {cosine}), 4) AS mean_cosine_distance,
                    round(avg(list_distance({a}, {b}) ** 2), 4) AS mean_squared_euclidean
             FROM embeddings a CROSS JOIN embeddings b GROUP BY a.vec_id""",
+        "vector_similar_pairs": """
+            WITH v AS (
+                SELECT vec_id, [CAST(x AS DOUBLE) FOR x IN embedding] AS e FROM embeddings
+                UNION ALL
+                SELECT -vec_id - 1, [CAST(x AS DOUBLE) + CASE WHEN i = vec_id % 64 + 1
+                                     THEN (vec_id % 10 + 1) / 100 ELSE 0 END FOR x, i IN embedding]
+                FROM embeddings
+            )
+            SELECT a.vec_id AS id_a, b.vec_id AS id_b,
+                   round(list_distance(a.e, b.e), 4) AS distance
+            FROM v a JOIN v b ON a.vec_id < b.vec_id
+            WHERE list_distance(a.e, b.e) <= 0.065""",
         "vector_normalized": """
             WITH v AS (
                 SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e,
