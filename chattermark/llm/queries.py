@@ -400,9 +400,13 @@ ORACLE_SQL = {
             FROM documents, crc
         ),
         f AS (
-            SELECT *, (2 * row_number() OVER (PARTITION BY source ORDER BY h) - 1)
-                      / (2 * count(*) OVER (PARTITION BY source)) AS fraction
-            FROM d
+            SELECT d.*, (turns * (row_number() OVER (PARTITION BY source ORDER BY h) - 1) + phase)
+                      / (turns * count(*) OVER (PARTITION BY source)) AS fraction
+            FROM d JOIN (
+                SELECT source AS s, 2 * row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS phase,
+                       2 * count(*) OVER () AS turns
+                FROM (SELECT DISTINCT source FROM documents)
+            ) ON source IS NOT DISTINCT FROM s
         ),
         p AS (
             SELECT *, row_number() OVER (ORDER BY fraction, h, source) - 1 AS position,

@@ -1,7 +1,9 @@
 """Shards that all hold the mixture of the whole table: stratified interleaving.
 
 Rows of a source are put in a seeded random order and get the fractional rank
-`(rank - 1/2) / rows of the source`. Sorted by it, every stretch of the table
+`(rank - 1 + phase) / rows of the source`. The phase is `(2 j + 1) / (2 S)` for
+source j of S in sorted order, so that sources of one size take turns and do
+not all step over a cut together. Sorted by it, every stretch of the table
 holds each source in its share, so the sorted table is cut into runs whose row
 counts differ by one at most.
 
@@ -9,7 +11,9 @@ Both orders are global, and neither passes through one task. Ranks come from
 counts of (source, leading digits of the seeded digest), so a source that
 holds a third of the rows is ranked in thousands of windows. Positions come
 from intervals of the fractional rank, whose sizes follow from the source
-counts alone. The running sums see one row per source and bucket.
+counts alone. The running sums see one row per source and bucket, and the
+numbering of sources one row per source, in one task: sources should be some ten thousand
+at most, and sources times rows below 10**15.
 
 Defined results: null sources are a stratum of their own, apart from the empty
 string. Rows equal in the identity columns (a null there counts as empty) are
@@ -59,22 +63,30 @@ def interleave(
             F.sum("rows").over(by_source).alias("source_rows"),
         )
     )
+    all_sources = Window.orderBy("stratum")
+    sources = keyed.groupBy("stratum").agg(F.count("*").alias("n")).select(
+        "stratum",
+        "n",
+        (2 * F.row_number().over(all_sources) - 1).cast("long").alias("phase"),
+        (2 * F.count("*").over(Window.partitionBy())).alias("turns"),
+    )
+    counts = counts.join(sources.select("stratum", "phase", "turns"), "stratum")
     in_bucket = Window.partitionBy("stratum", "bucket").orderBy("digest")
     ranked = (
         keyed.withColumn("place", F.row_number().over(in_bucket))
         .join(counts, ["stratum", "bucket"])
-        .withColumn("odd", 2 * (F.col("ranks_before") + F.col("place")) - 1)
-        .withColumn("fraction", F.col("odd") / (2 * F.col("source_rows")))
-        .withColumn("stretch", F.expr(f"(odd * {stretches}) div (2 * source_rows)"))
+        .withColumn("turn", F.expr("turns * (ranks_before + place - 1) + phase"))
+        .withColumn("fraction", F.col("turn") / (F.col("turns") * F.col("source_rows")))
+        .withColumn("stretch", F.expr(f"(turn * {stretches}) div (turns * source_rows)"))
         .select(ROW, "digest", "stratum", "fraction", "stretch")
     )
 
-    # Ranks of a source below stretch b: those with odd * stretches < 2 * b * source_rows.
+    # Ranks of a source below stretch b: those with turn * stretches < turns * b * source_rows.
+    room = f"turns * n * stretch - phase * {stretches}"
     starts = (
-        keyed.groupBy("stratum")
-        .agg(F.count("*").alias("n"))
+        sources
         .withColumn("stretch", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(stretches - 1).cast("long"))))
-        .withColumn("below", F.expr(f"(2 * n * stretch + {stretches} - 1) div (2 * {stretches})"))
+        .withColumn("below", F.expr(f"greatest(0, ({room} + turns * {stretches} - 1) div (turns * {stretches}))"))
         .groupBy("stretch")
         .agg(F.sum("below").alias("positions_before"), F.sum("n").alias("total"))
     )

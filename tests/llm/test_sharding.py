@@ -37,9 +37,11 @@ def test_plain_definition(spark, documents):
     rows = documents.select("doc_id", "text", "source").collect()
     digest = {r.doc_id: hashlib.md5(f"42:{r.doc_id}:{r.text}".encode()).hexdigest() for r in rows}
     ranked = []
-    for source in {r.source for r in rows}:
+    sources = sorted({r.source for r in rows}, key=lambda s: (s is not None, s))
+    for j, source in enumerate(sources):
         own = sorted(digest[r.doc_id] for r in rows if r.source == source)
-        ranked += [((2 * i + 1) / (2 * len(own)), d) for i, d in enumerate(own)]
+        turns = 2 * len(sources)
+        ranked += [((turns * i + 2 * j + 1) / (turns * len(own)), d) for i, d in enumerate(own)]
     position = {d: i for i, (_, d) in enumerate(sorted(ranked))}
     for r in placed(documents, 7):
         at = position[digest[r.doc_id]]
