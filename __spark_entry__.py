@@ -7,7 +7,9 @@ comments per minute, so the queries count by day and flag peaks from 2.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +29,7 @@ from chattermark.operators import (
 )
 from chattermark.plans import report
 from chattermark.settings import AnalysisSettings
-from chattermark.sources import sample_tables, sinks, staging, tables
+from chattermark.sources import layout, sample_tables, sinks, snapshots, staging, tables
 
 try:
     import corpus_pipeline
@@ -98,6 +100,40 @@ def activity_all_channel_peaks(spark, sf_dir, **options):
     )
 
 
+def activity_stored_months(spark, sf_dir):
+    """Activity of four months, stored while a third of March was missing, then brought up to date.
+
+    Events are moved on by up to three months, as the tables cover one.
+    """
+    source = sample_tables.tables(spark, sf_dir)
+    spread = F.expr("published_at + make_ym_interval(0, CAST(id % 4 AS INT))")
+    source = replace(source, comments=source.comments.withColumn("published_at", spread))
+    late = (F.month("published_at") == 3) & (F.col("id") % 3 == 0)
+    path = staging.new_folder(spark, "activity-by-month")
+
+    def between(comments):
+        return lambda start, end: activity.comment_activity(
+            comments, source.users, source.videos, source.channels, start=start, end=end, period_format=DAY
+        )
+
+    early = source.comments.where(~late)
+    snapshots.update_months(spark, path, snapshots.changed_months(early), between(early))
+    arrived = source.comments.where(late)
+    snapshots.update_months(spark, path, snapshots.changed_months(arrived), between(source.comments))
+    schema = between(early)("2024-01-01", "2024-02-01").schema
+    return snapshots.read_months(spark, path, schema)
+
+
+def activity_stored_layout(spark, sf_dir):
+    """Activity from comments and videos stored in buckets by video."""
+    source = sample_tables.tables(spark, sf_dir)
+    prefix = f"layout_{uuid.uuid4().hex}_"
+    layout.write_layout(source, prefix, staging.new_folder(spark, "layout"), buckets=8)
+    return layout.activity_of_layout(
+        spark, prefix, source.users, source.channels, start=START, end=END, period_format=DAY
+    )
+
+
 def suspicious_rows(spark, sf_dir):
     return suspects.by_peak(suspects.flag_suspicious(_channel_activity(spark, sf_dir), THRESHOLD))
 
@@ -400,6 +436,8 @@ def queries() -> dict[str, Query]:
         "activity_hour_of_month": lambda s, d: _channel_activity(s, d, period_format="%Y-%m %H"),
         "activity_all_channel_peak": activity_all_channel_peaks,
         "activity_sampled": lambda s, d: _activity(s, d, user_sample=9, min_comments=3),
+        "activity_stored_months": activity_stored_months,
+        "activity_stored_layout": activity_stored_layout,
         "suspicious_rows": suspicious_rows,
         "suspicious_list": lambda s, d: suspects.suspicious_list(_activity(s, d), THRESHOLD),
         "suspicious_usernames": lambda s, d: suspects.suspicious_usernames(
@@ -728,6 +766,10 @@ def oracle_sql() -> dict[str, str]:
         "SELECT * FROM activity",
         "activity_all_channel_peak": wide_peaks(day),
         "activity_all_channel_minute_peak": wide_peaks("%Y-%m-%d %H:%M"),
+        "activity_stored_months": f"{video} SELECT * FROM activity".replace(
+            "ts AS published_at", "ts + to_months(CAST(event_id % 4 AS INTEGER)) AS published_at"
+        ).replace(f"TIMESTAMP '{END}'", "TIMESTAMP '2030-01-01'"),
+        "activity_stored_layout": f"{video} SELECT * FROM activity",
         "activity_sampled": f"WITH {_activity_ctes('video', day, sample=9, min_comments=3)} "
         "SELECT * FROM activity",
         "suspicious_rows": f"""{channel}

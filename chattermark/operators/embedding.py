@@ -113,7 +113,8 @@ def encode_texts(
 ) -> DataFrame:
     """Adds the vectors a caller's encoder gives to batches of texts.
 
-    `load_encoder` runs once per Python worker and query, not per task or row.
+    `load_encoder` runs once per Python worker and query, not per task or row, as long as Spark
+    gives its workers further tasks; a worker that Spark starts anew loads it anew.
     """
     key = uuid.uuid4().hex
 

@@ -1,3 +1,8 @@
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
@@ -215,14 +220,30 @@ def test_projection_keeps_lengths_and_angles(spark):
     assert found[0] @ found[1] > found[0] @ found[5] + 0.3
 
 
-def test_encoder_is_loaded_once_per_worker(spark, tmp_path):
-    log = str(tmp_path / "loads")
-
-    def load():
-        with open(log, "a") as f:
-            f.write("x")
-        return lambda texts: [[1.0] for _ in texts]
-
-    df = spark.range(400).repartition(40).selectExpr("id", "string(id) AS text")
-    embedding.encode_texts(df, load).select("embedding").collect()
-    assert len(open(log).read()) <= 8
+ENCODER_RUN = """
+import sys
+from chattermark.operators import embedding
+from chattermark.session import build_session
+
+spark = build_session("encoder", "local[4]", {"spark.ui.enabled": "false"})
+log = sys.argv[1]
+
+def load():
+    with open(log, "a") as f:
+        f.write("x")
+    return lambda texts: [[1.0] for _ in texts]
+
+df = spark.range(400).repartition(40).selectExpr("id", "string(id) AS text")
+assert df.count() == len(embedding.encode_texts(df, load).select("embedding").collect())
+spark.stop()
+"""
+
+
+def test_encoder_is_loaded_once_per_worker(tmp_path):
+    """In a session of its own: one in which other queries ran may not use its workers again."""
+    log = tmp_path / "loads"
+    root = str(Path(__file__).resolve().parents[1])
+    environment = {**os.environ, "PYTHONPATH": root}
+    run = [sys.executable, "-c", ENCODER_RUN, str(log)]
+    subprocess.run(run, check=True, timeout=300, cwd=root, env=environment, capture_output=True)
+    assert 1 <= len(log.read_text()) <= 4
