@@ -10,7 +10,10 @@ the score.
 The character model is counted over all documents: one pass, a table of bounded
 size. The classifier is fitted on `sample_rows` labelled rows at most, chosen by
 a seeded digest of their ids; that bound is what lets the ids be broadcast and
-the few numbers per row be fitted on the driver. Scoring needs no shuffle.
+the few numbers per row be fitted on the driver. Their texts are restored once, into a
+staged table of words, which the weights and the fit are both taken from. A form must stand
+in a `share` of the toxic ones of them, so there are at most as many forms as one such document holds on
+average, divided by `share`. Scoring needs no shuffle.
 
 Defined results: a null or empty text has no evidence and gets the score of a
 text without words. Labels that are null, or whose document is missing, teach
@@ -33,6 +36,7 @@ from pyspark.sql import types as T
 
 from chattermark.llm.deobfuscation import Restorer, log_model, trigram_counts
 from chattermark.llm.frames import carry, restore, seeded_order
+from chattermark.sources.staging import stage
 
 STEMS = (4, 5, 6, 7)
 THRESHOLD = 0.3
@@ -76,6 +80,11 @@ def fitted(evidence: np.ndarray, words: np.ndarray, toxic: np.ndarray, ridge: fl
     return tuple(float(v) for v in w)
 
 
+def weight_of(word: str, weights: dict[str, float]) -> float:
+    """The greatest weight among a word and its stems, 0 without any."""
+    return max((weights[f] for f in forms(word) if f in weights), default=0.0)
+
+
 class Evidence:
     """Sum of weights and number of words of texts; keeps what it found for tokens."""
 
@@ -87,7 +96,7 @@ class Evidence:
         total, n = 0.0, 0
         for word in words:
             n += 1
-            total += max((self.weights[f] for f in forms(word) if f in self.weights), default=0.0)
+            total += weight_of(word, self.weights)
         return total, n
 
     def __call__(self, text: str | None) -> tuple[float, int]:
@@ -106,20 +115,39 @@ class Evidence:
         return total, count
 
 
-def form_counts(labelled: DataFrame, characters: np.ndarray) -> DataFrame:
+RESTORED = "words array<string>, times array<long>, toxic int"
+
+
+def restored_words(labelled: DataFrame, characters: np.ndarray) -> DataFrame:
+    """The distinct restored words of every labelled text, with how often they stand in it."""
+
+    def restored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        restorer = Restorer(characters)
+        for batch in batches:
+            found = [Counter(restorer.words(text or "")) for text in batch["text"]]
+            yield pd.DataFrame(
+                {
+                    "words": [list(c.keys()) for c in found],
+                    "times": [list(c.values()) for c in found],
+                    "toxic": batch["toxic"].to_numpy(),
+                }
+            )
+
+    return labelled.mapInPandas(restored, RESTORED)
+
+
+def form_counts(words: DataFrame) -> DataFrame:
     """(form, toxic_n, clean_n, toxic_documents) of restored words; form '' counts all words."""
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        restorer = Restorer(characters)
         for batch in batches:
             n, documents = (Counter(), Counter()), Counter()
-            for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
-                words = Counter(restorer.words(text or ""))
+            for own, times, toxic in zip(batch["words"], batch["times"], batch["toxic"], strict=True):
                 found = Counter()
-                for word, times in words.items():
+                for word, count in zip(own, times.tolist(), strict=True):
                     for form in forms(word):
-                        found[form] += times
-                found[""] = sum(words.values())
+                        found[form] += count
+                found[""] = int(times.sum())
                 n[toxic].update(found)
                 if toxic:
                     documents.update(found.keys())
@@ -134,13 +162,13 @@ def form_counts(labelled: DataFrame, characters: np.ndarray) -> DataFrame:
             )
 
     return (
-        labelled.mapInPandas(counted, "form string, toxic_n long, clean_n long, toxic_documents long")
+        words.mapInPandas(counted, "form string, toxic_n long, clean_n long, toxic_documents long")
         .groupBy("form")
         .agg(*[F.sum(c).alias(c) for c in ("toxic_n", "clean_n", "toxic_documents")])
     )
 
 
-def form_weights(counts: DataFrame, *, ratio: float, share: float, most: int) -> dict[str, float]:
+def form_weights(counts: DataFrame, *, ratio: float, share: float) -> dict[str, float]:
     """Log ratio of rates for forms in a share of the toxic documents whose rate is `ratio` times as high."""
     whole = counts.where(F.col("form") == "").first()
     if whole is None or not whole["toxic_n"] or not whole["clean_n"]:
@@ -149,9 +177,7 @@ def form_weights(counts: DataFrame, *, ratio: float, share: float, most: int) ->
     least = max(3.0, share * whole["toxic_documents"])
     rows = (
         counts.where((F.col("form") != "") & (F.col("toxic_documents") >= least) & (rate >= ratio))
-        .select("form", F.log(rate).alias("weight"), "toxic_n")
-        .orderBy(F.col("toxic_n").desc(), "form")
-        .limit(most)
+        .select("form", F.log(rate).alias("weight"))
         .collect()
     )
     return {r["form"]: r["weight"] for r in rows}
@@ -165,7 +191,6 @@ def fit(
     sample_rows: int = 40_000,
     ratio: float = 4.0,
     share: float = 0.005,
-    most_forms: int = 5_000,
     seed: int = 42,
 ) -> ToxicityModel:
     """Fit on `documents` (doc_id, text) and `labels` (doc_id, toxic); `teaches` limits the labels."""
@@ -183,25 +208,24 @@ def fit(
     chosen = spark.createDataFrame([tuple(r) for r in rows], "doc_id long, toxic int")
     # At most `sample_rows` pairs of numbers, so this broadcast has a bound.
     labelled = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    weights = form_weights(
-        form_counts(labelled.select("text", "toxic"), characters), ratio=ratio, share=share, most=most_forms
-    )
+    words = stage(restored_words(labelled.select("text", "toxic"), characters), "restored-words")
+    weights = form_weights(stage(form_counts(words), "form-counts"), ratio=ratio, share=share)
 
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        evidence = Evidence(characters, weights)
         for batch in batches:
-            found = [evidence(text) for text in batch["text"]]
+            evidence = [
+                sum(weight_of(word, weights) * count for word, count in zip(own, times.tolist(), strict=True))
+                for own, times in zip(batch["words"], batch["times"], strict=True)
+            ]
             yield pd.DataFrame(
                 {
-                    "evidence": [float(a) for a, _ in found],
-                    "words": [n for _, n in found],
+                    "evidence": np.array(evidence, dtype=float),
+                    "words": [int(times.sum()) for times in batch["times"]],
                     "toxic": batch["toxic"].to_numpy(),
                 }
             )
 
-    table = labelled.select("text", "toxic").mapInPandas(
-        measured, "evidence double, words long, toxic int"
-    )
+    table = words.mapInPandas(measured, "evidence double, words long, toxic int")
     got = np.array([tuple(r) for r in table.collect()], dtype=float).reshape(-1, 3)
     share_toxic = float(got[:, 2].mean()) if len(got) else 0.0
     if share_toxic in (0.0, 1.0):
