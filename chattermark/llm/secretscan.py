@@ -1,9 +1,12 @@
 """Finds secrets in texts, also under layers of encoding.
 
 A text is scanned as it stands. Then a worklist unwraps what is encoded in it:
-lines with URL escapes, lines with Unicode escapes, and base64 runs, each alone
-and joined over single line breaks. Bytes from base64 or URL escapes may be
-compressed with gzip or zlib, in any number of members. Every layer is scanned
+lines with URL escapes, lines with Unicode escapes (also `\\U`, `\\u{}` and numeric
+character references), and base64 runs, each alone and joined over single line breaks. What is glued to
+the front of base64 shifts it, so a run is decoded from each of its first four letters; a shifted reading
+counts only where twelve printable bytes stand together, which every secret and every further layer has.
+Bytes from base64 or URL escapes may be compressed with gzip, zlib, bzip2 or xz, in any number of
+members; within a run they are also looked for after `/`, `-`, `_` and `+`. Every layer is scanned
 again and unwrapped in turn until nothing new appears. A layer that has been
 seen at the same place is not opened again, so a cycle ends.
 
@@ -31,6 +34,8 @@ output column are replaced.
 from __future__ import annotations
 
 import base64
+import bz2
+import lzma
 import re
 import zlib
 from array import array
@@ -60,14 +65,21 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 MIN_VALUE = 8
 
 URL_ESCAPE = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-UNICODE_ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+")
-ESCAPES = {"url": (URL_ESCAPE, "%"), "unicode": (UNICODE_ESCAPE, "\\u")}
+CODE_POINT = re.compile(
+    r"\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\u\{([0-9A-Fa-f]{1,6})\}|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});"
+)
+UNICODE_ESCAPE = re.compile(f"(?:{CODE_POINT.pattern.replace('(', '(?:')})+")
+ESCAPES = {"url": (URL_ESCAPE, "%"), "unicode": (UNICODE_ESCAPE, "\\u", "\\U", "&#")}
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}")
 WRAPPED_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:\r?\n[ \t]*+[A-Za-z0-9+/_-]++)++")
 LINE_OF_RUN = re.compile(r"[A-Za-z0-9+/_-]+")
-#: How gzip and zlib data begin, as bytes and under URL escapes.
-PACKED = re.compile(rb"\x1f\x8b|\x78[\x01\x5e\x9c\xda]")
-PACKED_URL = re.compile(r"""(?:%1[Ff]%8[Bb]|(?:x|%78)%(?:01|5[Ee]|9[Cc]|[Dd][Aa]))[^\s"'<>&]*""")
+#: How gzip, zlib, bzip2 and xz data begin, as bytes, under URL escapes and in base64.
+PACKED = re.compile(rb"\x1f\x8b|\x78[\x01\x5e\x9c\xda]|BZh[1-9]1AY|\xfd7zXZ\0")
+LONGEST_HEAD = 8
+PACKED_URL = re.compile(r"""(?:%1[Ff]%8[Bb]|(?:x|%78)%(?:01|5[Ee]|9[Cc]|[Dd][Aa])|BZh[1-9]1AY%26SY|%[Ff][Dd]7zXZ%00)[^\s"'<>&]*""")
+GLUED_PACKED = re.compile(r"(?<=[/_+-])(?:H4sI|eA[E-H]|eF[4-7]|eJ[w-z]|eN[o-r]|Qlpo[MNO]|/Td6)")
+#: A shifted reading of base64 without one of these holds no secret and no further layer.
+PRINTABLE = re.compile(rb"[\t\n\r\x20-\x7e]{12}")
 WIDE = re.compile(rb"(?:[^\0]\0){8,}|(?:\0[^\0]){8,}")
 #: Unpacked data is scanned in pieces of some megabytes, which overlap by far more than a secret's least length.
 PIECE, OVERLAP, ALIGNED = 1 << 22, 1 << 16, 4**6
@@ -138,21 +150,34 @@ def _bytes_of_url(run: str) -> Iterator[tuple[str, int]]:
 
 
 def _units_of_unicode(run: str) -> Iterator[tuple[str, int]]:
-    """Characters of neighbouring Unicode escapes with the escaped length of each; lone surrogates are '?'."""
-    units = b"".join(int(run[i + 2 : i + 6], 16).to_bytes(2, "little") for i in range(0, len(run), 6))
-    for char in units.decode("utf-16-le", "surrogatepass"):
-        yield char.encode("utf-8", "replace").decode(), 12 if ord(char) > 0xFFFF else 6
+    """Characters of neighbouring Unicode escapes with the escaped length of each; what is none is '?'."""
+    high, waiting = 0, 0  # a high surrogate that its low one has yet to follow, and its escaped length
+    for m in CODE_POINT.finditer(run):
+        code = int(m[5]) if m[5] else int(m[1] or m[2] or m[3] or m[4], 16)
+        if high:
+            if 0xDC00 <= code < 0xE000:
+                yield chr(0x10000 + ((high - 0xD800) << 10) + code - 0xDC00), waiting + len(m[0])
+                high = 0
+                continue
+            yield "?", waiting
+            high = 0
+        if 0xD800 <= code < 0xDC00:
+            high, waiting = code, len(m[0])
+        else:
+            yield "?" if 0xDC00 <= code < 0xE000 or code > 0x10FFFF else chr(code), len(m[0])
+    if high:
+        yield "?", waiting
 
 
 def _unescaped(layer: Layer, kind: str) -> Iterator[Layer]:
     """The lines that hold escapes of one kind, with these replaced."""
-    pattern, mark = ESCAPES[kind]
-    if mark not in layer.text:
+    pattern, *marks = ESCAPES[kind]
+    if not any(mark in layer.text for mark in marks):
         return
     read = _bytes_of_url if kind == "url" else _units_of_unicode
     at = 0
     for line in layer.text.split("\n"):
-        if mark in line and pattern.search(line):
+        if any(mark in line for mark in marks) and pattern.search(line):
             # Where a stretch begins here and there, and the length there of a character, 0 for plain text.
             here, there, lengths = array("q"), array("q"), array("q")
             out, size, done = [], 0, 0
@@ -210,31 +235,74 @@ def _texts(outer: Layer, data: bytes, place: Callable, path: tuple[str, ...]) ->
             )
 
 
+class _Zlib:
+    """zlib and gzip with the interface of the other two decompressors."""
+
+    def __init__(self) -> None:
+        self.engine, self.rest = zlib.decompressobj(47), b""
+
+    def decompress(self, data: bytes, most: int) -> bytes:
+        out = self.engine.decompress(self.rest + data, most)
+        self.rest = self.engine.unconsumed_tail
+        return out
+
+    @property
+    def eof(self) -> bool:
+        return self.engine.eof
+
+    @property
+    def unused_data(self) -> bytes:
+        return self.engine.unused_data
+
+    @property
+    def needs_input(self) -> bool:
+        return not self.rest
+
+
+def _engine(head: bytes):
+    if head.startswith(b"BZh"):
+        return bz2.BZ2Decompressor()
+    return lzma.LZMADecompressor(memlimit=1 << 28) if head.startswith(b"\xfd") else _Zlib()
+
+
 def inflated(chunks: Iterable[bytes], piece: int) -> Iterator[bytes]:
-    """What gzip or zlib members that follow each other unpack to, in pieces; other bytes end them."""
+    """What packed members that follow each other unpack to, in pieces; other bytes end them."""
+    try:
+        yield from _members(chunks, piece)
+    except (OSError, EOFError, lzma.LZMAError) as broken:
+        raise zlib.error(str(broken)) from broken
+
+
+def _members(chunks: Iterable[bytes], piece: int) -> Iterator[bytes]:
     engine, held = None, b""
-    for chunk in chunks:
-        for i in range(0, len(chunk), CHUNK):
-            held += chunk[i : i + CHUNK]
+    for chunk in _ended(chunks):
+        last = chunk is None
+        for i in range(0, 1 if last else len(chunk), CHUNK):
+            held += b"" if last else chunk[i : i + CHUNK]
             while held:
                 if engine is None:
-                    if len(held) < 2:
+                    if len(held) < LONGEST_HEAD and not last:
                         break
                     if not PACKED.match(held):
                         return
-                    engine = zlib.decompressobj(47)
-                out = engine.decompress(held, piece)
-                if out:
-                    yield out
+                    engine = _engine(held)
+                given, held = held, b""
+                while True:
+                    out = engine.decompress(given, piece)
+                    given = b""
+                    if out:
+                        yield out
+                    if engine.eof or (engine.needs_input and len(out) < piece):
+                        break
                 if engine.eof:
                     held, engine = engine.unused_data.lstrip(b"\0"), None
-                else:
-                    held = engine.unconsumed_tail
     if engine is not None:
-        if out := engine.flush():
-            yield out
-        if not engine.eof:
-            raise zlib.error("incomplete")
+        raise zlib.error("incomplete")
+
+
+def _ended(chunks: Iterable[bytes]) -> Iterator[bytes | None]:
+    yield from chunks
+    yield None
 
 
 def _whole(chunks: Iterable[bytes]) -> Iterator[bytes]:
@@ -261,8 +329,8 @@ def _overlapping(chunks: Iterable[bytes], piece: int) -> Iterator[tuple[bytes, b
         else:
             # Cut where a multiple of ALIGNED digits is behind, so deeper base64 stays in step too.
             keep = run + (len(held) - overlap - run) // ALIGNED * ALIGNED
-            head = held[run : run + 8].translate(URL_SAFE_BYTES)
-            yield held, len(head) == 8 and PACKED.match(base64.b64decode(head)) is not None
+            head = held[run : run + 12].translate(URL_SAFE_BYTES)
+            yield held, len(head) == 12 and PACKED.match(base64.b64decode(head)) is not None
         held = held[keep:]
     if held:
         yield held, False
@@ -276,13 +344,13 @@ def _opened(
     What a level unpacks to is never held whole: it is unpacked once to be
     measured and again to be scanned.
     """
-    chunks, head, seen = (lambda: iter([data])), data[:2], {blake2b(data).digest()}
+    chunks, head, seen = (lambda: iter([data])), data[:LONGEST_HEAD], {blake2b(data).digest()}
     while PACKED.match(head):
         inner = lambda chunks=chunks: inflated(chunks(), PIECE)
         head, size, digest = b"", 0, blake2b()
         try:
             for piece in inner():
-                head = head if len(head) > 1 else head + piece[:2]
+                head = head if len(head) >= LONGEST_HEAD else (head + piece[:LONGEST_HEAD])[:LONGEST_HEAD]
                 size += len(piece)
                 digest.update(piece)
                 if most is not None and size > most:
@@ -319,13 +387,32 @@ def _from_base64(layer: Layer, most: int | None) -> Iterator[Layer | None]:
             joined.add(m.start())
     for m in BASE64_RUN.finditer(layer.text):
         yield from _run(layer, [m.span()], most, m.start() not in joined)
+        for shift in range(1, 4):
+            yield from _run(layer, [(m.start() + shift, m.end())], most, True, shifted=True)
+        for glued in GLUED_PACKED.finditer(layer.text, m.start() + 4, m.end()):
+            data = _decoded(layer.text[glued.start() : m.end()])
+            for inner in _opened(layer, data, (glued.start(), m.end()), (*layer.path, "base64"), most):
+                if inner is not None:
+                    yield inner
 
 
-def _run(layer: Layer, lines: list[tuple[int, int]], most: int | None, unpack: bool) -> Iterator[Layer | None]:
-    """Texts in one base64 run, given by the spans of its lines; returns its bytes."""
-    digits = "".join(layer.text[a:b] for a, b in lines)
+def _decoded(digits: str) -> bytes:
     digits = digits[: len(digits) - (len(digits) % 4 == 1)]
-    data = base64.b64decode(digits.translate(URL_SAFE) + "=" * (-len(digits) % 4))
+    return base64.b64decode(digits.translate(URL_SAFE) + "=" * (-len(digits) % 4))
+
+
+def _run(
+    layer: Layer, lines: list[tuple[int, int]], most: int | None, unpack: bool, shifted: bool = False
+) -> Iterator[Layer | None]:
+    """Texts in one base64 run, given by the spans of its lines; returns its bytes.
+
+    What a shifted reading takes for the head of compressed data is mostly chance, so it does not
+    count as unopened.
+    """
+    digits = "".join(layer.text[a:b] for a, b in lines)
+    data = _decoded(digits)
+    if shifted and not (PACKED.match(data) or PRINTABLE.search(data) or b"\0" in data and WIDE.search(data)):
+        return data
     path, before = (*layer.path, "base64"), array("q", [0])
     for a, b in lines[:-1]:
         before.append(before[-1] + b - a)
@@ -339,7 +426,10 @@ def _run(layer: Layer, lines: list[tuple[int, int]], most: int | None, unpack: b
 
     yield from _texts(layer, data, place, path)
     if unpack and PACKED.match(data):
-        yield from _opened(layer, data, (there(0), there(len(digits) - 1) + 1), path, most)
+        whole = there(0), there(len(digits) - (len(digits) % 4 == 1) - 1) + 1
+        for inner in _opened(layer, data, whole, path, most):
+            if inner is not None or not shifted:
+                yield inner
     return data
 
 
