@@ -25,6 +25,7 @@ from chattermark.operators import (
     profile,
     quality,
     similar,
+    sketches,
     suspects,
 )
 from chattermark.plans import report
@@ -159,6 +160,32 @@ def comment_timeseries(spark, sf_dir):
     return profile.activity_over_time(dated, "period")
 
 
+def users_by_sketch(spark, sf_dir):
+    """Comments and users of every channel over all days, from sketches by day and channel.
+
+    The estimate itself is no fixed number, so the row says whether it lies within four standard errors.
+    """
+    source = sample_tables.tables(spark, sf_dir)
+    titles = activity.video_titles(source.videos, source.channels, keep_orphans=True)
+    placed = source.comments.join(titles, "video_id", "left").withColumn("day", F.to_date("published_at"))
+    daily = staging.stage(sketches.distinct_sketches(placed, ["day", "channel_title"], ["user_id"]), "sketches")
+    whole = sketches.distinct_counts(
+        sketches.united_sketches(daily, ["channel_title"], ["user_id"]), ["user_id"]
+    )
+    exact = profile.activity_over_time(placed, "channel_title")
+    bound = 4 * sketches.relative_error() * F.col("unique_users")
+    return (
+        whole.withColumnRenamed("channel_title", "title")
+        .join(exact, F.col("title").eqNullSafe(F.col("channel_title")))
+        .select(
+            "channel_title",
+            F.col("n_rows").alias("n_comments"),
+            "unique_users",
+            (F.abs(F.col("user_id_count") - F.col("unique_users")) <= bound).alias("estimate_close"),
+        )
+    )
+
+
 def summary_totals(spark, sf_dir):
     return _rounded(
         profile.totals(_channel_activity(spark, sf_dir), THRESHOLD),
@@ -458,6 +485,7 @@ def queries() -> dict[str, Query]:
             _channel_activity(s, d), "month"
         ),
         "comment_timeseries": comment_timeseries,
+        "users_by_sketch": users_by_sketch,
         "summary_totals": summary_totals,
         "summary_record": summary_record,
         "analysis_counts": analysis_counts,
@@ -811,6 +839,12 @@ def oracle_sql() -> dict[str, str]:
             SELECT strftime(published_at, '{day}') AS period, count(*) AS total_comments,
                    {with_null("user_id")} AS unique_users
             FROM comments GROUP BY 1""",
+        "users_by_sketch": f"""WITH {_TABLES}
+            SELECT ch.title AS channel_title, count(*) AS n_comments,
+                   {with_null("c.user_id")} AS unique_users, TRUE AS estimate_close
+            FROM comments c LEFT JOIN videos v ON v.id = c.video_id
+            LEFT JOIN channels ch ON ch.id = v.channel_id
+            GROUP BY ch.title""",
         "summary_totals": f"""{channel},
             t AS (
                 SELECT count(*) AS total_records, {with_null("user_id")} AS total_users,
