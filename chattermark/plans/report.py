@@ -105,8 +105,8 @@ def write_report(
     """Write the report of an activity table, and of clustered comments if given.
 
     Both tables are read several times: pass staged ones. Files are written
-    `parallelism` at a time. Lists are in report order. Returns the paths by
-    name. One threshold holds throughout.
+    `parallelism` at a time. Lists are in report order, tables in that of their keys, from one part
+    file to the next by name. Returns the paths by name. One threshold holds throughout.
     """
     folder = folder.rstrip("/")
     suspicious = flag_suspicious(activity, threshold)
@@ -115,12 +115,18 @@ def write_report(
     def put(name: str, write, df: DataFrame, kind: str = "parquet") -> None:
         planned.append((name, write, df, kind))
 
-    put("cumulative_share", write_snapshot, cumulative_share(activity))
-    put("activity_by_month", write_snapshot, activity_over_time(activity, "month"))
+    def put_ordered(name: str, df: DataFrame, *keys: str) -> None:
+        put(name, write_snapshot, df.orderBy(*keys))
+
+    put_ordered("cumulative_share", cumulative_share(activity), "number_comments_all_time")
+    put_ordered("activity_by_month", activity_over_time(activity, "month"), "month")
     put("summary", write_json, summary(activity, threshold, clustered), "json")
     put("counts", write_json, analysis_counts(activity, threshold, clustered), "json")
     if not suspicious.isEmpty():
-        put("commenter_density", write_snapshot, commenter_density(suspicious, max_periods))
+        density = commenter_density(suspicious, max_periods)
+        put_ordered(
+            "commenter_density", density, "number_comments_all_time", "number_periods_with_comments"
+        )
         listed = by_peak(suspicious).select("username", "user_id", "max_CPP_this_CH")
         put("suspicious_commenters", write_csv, listed, "csv")
         names = suspicious_usernames(activity, threshold).orderBy("username")
@@ -131,8 +137,8 @@ def write_report(
         put("clustered_comments", write_csv, clustered, "csv")
         samples = cluster_samples(clustered, n_samples)
         put("cluster_samples", write_json, sample_lists(samples), "json")
-        put("cluster_sizes", write_snapshot, cluster_sizes(clustered))
-        put("cluster_statistics", write_snapshot, cluster_statistics(clustered, activity))
+        put_ordered("cluster_sizes", cluster_sizes(clustered), "cluster_label")
+        put_ordered("cluster_statistics", cluster_statistics(clustered, activity), "cluster_label")
         put("quality_clusters", write_snapshot, check_clusters(clustered, expected_clusters))
         if "text" in clustered.columns:
             put("quality_texts", write_snapshot, check_texts(clustered))

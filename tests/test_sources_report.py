@@ -246,3 +246,29 @@ def test_staging_leaves_the_session_alone(spark, monkeypatch):
     Session.sparkContext.master = "spark://host"
     with pytest.raises(ValueError):
         staging.shared_folder(Session)
+
+
+def test_tables_of_the_report_are_in_order(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    import __spark_entry__ as entry
+    from chattermark.sources.staging import stage
+
+    sf_dir = "/root/testdata/sf0.001"
+    activity = stage(entry._activity(spark, sf_dir), "activity")
+    labelled = stage(entry._labelled(spark, sf_dir), "labelled")
+    files = report.write_report(activity, str(tmp_path), 2, labelled)
+    keys = {
+        "cumulative_share": ["number_comments_all_time"],
+        "activity_by_month": ["month"],
+        "commenter_density": ["number_comments_all_time", "number_periods_with_comments"],
+        "cluster_sizes": ["cluster_label"],
+        "cluster_statistics": ["cluster_label"],
+    }
+    for name, columns in keys.items():
+        rows = []
+        for part in sorted(glob.glob(f"{files[name]}/part-*.parquet")):
+            rows += [tuple(r[c] for c in columns) for r in pq.read_table(part).to_pylist()]
+        assert rows and rows == sorted(rows), name
