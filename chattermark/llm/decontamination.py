@@ -11,7 +11,8 @@ candidate is then verified by exact edit distance.
 Windows begin at every character but blanks, so a text without blanks or a passage
 glued to other text loses none. A count filter leaves out those that can't match:
 `k` edits destroy at most `q k` of the q-grams of a passage, so a window must
-hold all others. This loses nothing, and it spares nearly all windows the walk.
+hold all others: of all items of its class, and of a single one around it. This
+loses nothing, and it spares nearly all windows the walk.
 
 Items are cut in classes of similar length, so a window has a defined size. The
 items go to all tasks in blocks of at most `block_chars` characters; each block
@@ -142,14 +143,18 @@ class LengthClass:
 
     def keys(self, buffer: np.ndarray, starts: np.ndarray) -> Iterator[np.ndarray]:
         """For each table the key of every window, from one walk after the other."""
+        padded = np.concatenate([buffer, np.repeat(buffer[-1:], self.low + 1)])
         for coins, tables in self.walks:
             wanted = np.unique(tables)
             place = {int(p): i for i, p in enumerate(wanted)}
             seen = np.empty((len(wanted), len(starts)), dtype="uint8")
-            at = np.zeros(len(starts), dtype="int64")
+            at, ends = starts.copy(), starts + self.low
             for step in range(int(wanted[-1]) + 1):
-                char = buffer[np.minimum(starts + at, len(buffer) - 1)]
-                char[at >= self.low] = 0
+                if step < self.low:  # no walk is at its end yet
+                    char = padded[at]
+                else:
+                    char = padded[np.minimum(at, ends)]
+                    char[at >= ends] = 0
                 if step in place:
                     seen[place[step]] = char
                 at += coins[step][char]
@@ -160,13 +165,53 @@ class LengthClass:
                     key ^= key >> np.uint64(29)
                 yield key
 
-    def candidates(self, buffer: np.ndarray, starts: np.ndarray) -> set[tuple[int, int]]:
-        """(start, index of an item) of windows that share a bin with an item."""
+    def index_grams(self, grams: list[np.ndarray]) -> None:
+        """Keep which cells of q-grams each item has."""
+        self.cells = np.unique(np.concatenate(grams))
+        self.has = np.zeros((len(grams), len(self.cells)), dtype=bool)
+        for row, own in zip(self.has, grams, strict=True):
+            row[np.searchsorted(self.cells, own)] = True
+
+    def windows(self, hits: np.ndarray) -> np.ndarray:
+        """The starts of windows that hold `least` of the ascending places `hits`."""
+        width = self.span - self.q + 1
+        first, last = hits[: len(hits) - self.least + 1], hits[self.least - 1 :]
+        near = last - first < width
+        low, high = np.maximum(last[near] - width + 1, 0), first[near]
+        if not len(low):
+            return low
+        # Both ends ascend: what an interval shares with those before is left out.
+        low[1:] = np.maximum(low[1:], high[:-1] + 1)
+        sizes = high - low + 1
+        return np.repeat(low - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+    def possible(self, starts: np.ndarray, hits: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        """For each item and start whether the region around it holds enough of the item's q-grams.
+
+        `hits` are the places of q-grams of the class, `cells` their cells.
+        """
+        most = max(self.limits)
+        before = np.searchsorted(starts, hits + most, "right") - 1
+        near = (before >= 0) & (hits - starts[before] < self.high + 2 * most)
+        hits, ranks = hits[near], np.searchsorted(self.cells, cells[near])
+        enough = np.zeros((len(self.items), len(starts)), dtype=bool)
+        for j, limit in enumerate(self.limits):
+            length, own = len(self.items[j]), hits[self.has[j][ranks]]
+            needed = length - self.q + 1 - self.q * limit
+            if len(own) >= needed:
+                low = np.searchsorted(own, starts - limit)
+                high = np.searchsorted(own, starts + (length + 2 * limit - self.q + 1))
+                enough[j] = high - low >= needed
+        return enough
+
+    def candidates(self, buffer: np.ndarray, starts: np.ndarray, enough: np.ndarray) -> set[tuple[int, int]]:
+        """(start, index of an item) of windows that share a bin with an item which is `enough` there."""
         found: set[tuple[int, int]] = set()
         for (keys, order), own in zip(self.bins, self.keys(buffer, starts), strict=True):
             left, right = np.searchsorted(keys, own), np.searchsorted(keys, own, "right")
             for i in np.flatnonzero(right > left):
-                found.update((int(starts[i]), int(j)) for j in order[left[i] : right[i]])
+                items = order[left[i] : right[i]]
+                found.update((int(starts[i]), int(j)) for j in items[enough[items, i]])
         return found
 
 
@@ -194,12 +239,10 @@ class Block:
             for i in range(0, len(own), BITS):
                 cells = np.zeros(1 << settings["cell_bits"], dtype="uint16")
                 for bit, c in enumerate(own[i : i + BITS]):
-                    c.cell_count = len(cells)
-                    c.grams = []
-                    for item in c.items:
-                        grams = self.cells(folded(item), q, len(cells))
-                        cells[grams] |= np.uint16(1 << bit)
-                        c.grams.append(grams.tolist())
+                    grams = [self.cells(folded(item), q, len(cells)) for item in c.items]
+                    c.index_grams(grams)
+                    c.cell_count, c.grams = len(cells), [g.tolist() for g in grams]
+                    cells[c.cells] |= np.uint16(1 << bit)
                 self.tables.append((q, cells, own[i : i + BITS]))
 
     @staticmethod
@@ -210,20 +253,29 @@ class Block:
         hashed = (grams << np.uint64(8 * (8 - q))) * MULTIPLIER
         return (hashed >> np.uint64(64 - size.bit_length() + 1)).astype("int64")
 
-    def likely(self, buffer: np.ndarray, begins: np.ndarray) -> Iterator[tuple[LengthClass, np.ndarray]]:
-        """For each class the starts, where `begins` is true, of windows that hold enough q-grams of its items."""
+    def likely(
+        self, buffer: np.ndarray, begins: np.ndarray
+    ) -> Iterator[tuple[LengthClass, np.ndarray, np.ndarray]]:
+        """For each class the starts, where `begins` is true, of windows that hold enough q-grams of its items.
+
+        With each start, of which items the region around it holds enough.
+        """
         for q, cells, classes in self.tables:
-            marks = cells[self.cells(buffer, q, len(cells))]
-            held = np.zeros(len(marks) + 1, dtype="int32")
+            places = self.cells(buffer, q, len(cells))
+            marks = cells[places]
+            marked = np.flatnonzero(marks)
+            marks, places = marks[marked], places[marked]
             for bit, c in enumerate(classes):
-                np.cumsum((marks >> np.uint16(bit)) & np.uint16(1), dtype="int32", out=held[1:])
-                width = min(c.span - q + 1, len(marks))
-                whole = np.flatnonzero(held[width:] - held[: len(held) - width] >= c.least)
-                cut = np.flatnonzero(held[-1] - held[len(held) - width :] >= c.least) + len(held) - width
-                enough = np.concatenate([whole, cut])
-                enough = enough[begins[enough]]
-                if len(enough):
-                    yield c, enough
+                own = (marks & np.uint16(1 << bit)) > 0
+                hits = marked[own]
+                starts = c.windows(hits)
+                starts = starts[begins[starts]]
+                if not len(starts):
+                    continue
+                enough = c.possible(starts, hits, places[own])
+                some = enough.any(0)
+                if some.any():
+                    yield c, starts[some], enough[:, some]
 
     def matches(self, texts: list[str]) -> list[list[tuple]]:
         """Per normal text the matches: (item_id, from, to, edits, similarity)."""
@@ -235,9 +287,9 @@ class Block:
             buffer[at : at + len(c)] = folded(c)
         blank = folded(codes_of(" "))[0]
         begins = (buffer != blank) & (buffer != 0)
-        for c, likely in self.likely(buffer, begins):
+        for c, *likely in self.likely(buffer, begins):
             done: dict[tuple[int, int], int] = {}
-            for start, j in sorted(c.candidates(buffer, likely)):
+            for start, j in sorted(c.candidates(buffer, *likely)):
                 d = int(np.searchsorted(offsets, start, "right")) - 1
                 local = start - int(offsets[d])
                 if local < done.get((d, j), 0):
@@ -245,9 +297,10 @@ class Block:
                 limit, length = c.limits[j], len(c.items[j])
                 begin = max(0, local - limit)
                 stop = min(len(codes[d]), local + length + 2 * limit)
-                around = set(self.cells(folded(codes[d][begin:stop]), c.q, c.cell_count).tolist())
+                here = int(offsets[d])
+                around = set(self.cells(buffer[here + begin : here + stop], c.q, c.cell_count).tolist())
                 if sum(map(around.__contains__, c.grams[j])) < length - c.q + 1 - c.q * limit:
-                    continue  # too few of the item's q-grams are here
+                    continue  # one q-gram over and over
                 edits, end = nearest(c.bits[j], length, texts[d][begin:stop])
                 if 0 < edits <= limit:
                     # The window may be off by so much that the region cuts the passage.
@@ -324,7 +377,6 @@ def with_matches(
 def finder(shared, settings: dict, piece_chars: int):
     """A function of the text column that looks for the items of one block."""
 
-    @F.pandas_udf(T.ArrayType(MATCH))
     def looked_for(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         block = Block(shared.value, settings)
         for texts in batches:
@@ -340,7 +392,8 @@ def finder(shared, settings: dict, piece_chars: int):
             out += matched(block, piece)
             yield pd.Series(out, dtype=object)
 
-    return looked_for
+    # Spark would otherwise search once more for every filter on the matches that it moves below.
+    return F.pandas_udf(looked_for, T.ArrayType(MATCH)).asNondeterministic()
 
 
 def matched(block: Block, texts: list[str]) -> list[list[dict]]:

@@ -148,3 +148,35 @@ def test_passages_need_no_blank_before_them(texts, benchmark):
     found = {(x.doc_id, x.item_id): x for x in d.contaminated(texts(*rows), benchmark(*items)).collect()}
     assert set(found) == {(1, 1), (2, 2), (3, 3)}
     assert found[1, 1].edits == found[2, 2].edits == 0 and found[3, 3].edits <= 6
+
+
+def test_rows_are_those_of_a_search_at_every_start(texts, benchmark):
+    r = random.Random(7)
+    items = [(i, sentence(r, r.randrange(14, 26))) for i in range(6)]
+    rows = [(i, sentence(r, 60)) for i in range(10)]
+    for i in range(24):
+        item = items[i % 6][1]
+        part = edited(r, item, round(len(item) * 0.02 * (i % 4)))
+        rows.append((10 + i, f"{sentence(r, 12)} {part} {sentence(r, 12)} {item[: len(item) // 2]} {sentence(r, 5)}"))
+    wanted = {
+        (doc_id, item_id)
+        for doc_id, text in rows
+        for item_id, item in items
+        if plain_nearest(item, text) <= int(0.1 * len(item))
+    }
+    found = {(x.doc_id, x.item_id) for x in d.contaminated(texts(*rows), benchmark(*items)).collect()}
+    assert found == wanted and len(wanted) == 24
+
+
+def test_repeated_grams_are_no_match(texts, benchmark):
+    r = random.Random(8)
+    item = sentence(r, 20)
+    rows = [(1, item[:12] * 40), (2, (item[:12] + "x") * 9 + item), (3, "a" * 500)]
+    found = d.contaminated(texts(*rows), benchmark((1, item), (2, "a" * 60))).collect()
+    assert {(x.doc_id, x.item_id) for x in found} == {(2, 1), (3, 2)}
+
+
+def test_filters_on_matches_search_only_once(texts, benchmark):
+    found = d.contaminated(texts((1, "a b c")), benchmark((1, "a b")))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
