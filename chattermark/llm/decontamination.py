@@ -174,6 +174,8 @@ class LengthClass:
 
     def windows(self, hits: np.ndarray) -> np.ndarray:
         """The starts of windows that hold `least` of the ascending places `hits`."""
+        if len(hits) < self.least:
+            return np.empty(0, dtype="int64")
         width = self.span - self.q + 1
         first, last = hits[: len(hits) - self.least + 1], hits[self.least - 1 :]
         near = last - first < width

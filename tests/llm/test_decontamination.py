@@ -180,3 +180,23 @@ def test_filters_on_matches_search_only_once(texts, benchmark):
     found = d.contaminated(texts((1, "a b c")), benchmark((1, "a b")))
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_texts_with_few_of_the_q_grams_of_an_item():
+    item = sentence(random.Random(11), 25)
+    settings = {
+        "max_edits": 0.1, "recall": 0.99, "agreement": 0.55, "positions": 5, "walks": 3, "cell_bits": 21, "seed": 42,
+    }
+    block = d.Block([(1, item)], settings)
+    least = block.classes[0].least
+    for n in range(least + 8):  # n characters hold n - 7 of the q-grams, no window enough of them
+        assert block.classes[0].windows(d.np.arange(n)).size == 0 or n >= least
+        found = block.matches([item[:n], "", item[-n:] if n else ""])
+        assert all(m[3] <= len(item) // 10 for matches in found for m in matches)
+    assert [m[0] for m in block.matches([item])[0]] == [1]
+
+
+def test_a_table_of_one_short_quotation(texts, benchmark):
+    item = sentence(random.Random(12), 25)
+    found = d.contaminated(texts((1, item[: len(item) // 3])), benchmark((7, item)))
+    assert found.count() == 0
