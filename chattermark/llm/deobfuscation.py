@@ -13,6 +13,7 @@ A token of distinct neighbouring letters has one reading and is not searched.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -42,6 +43,7 @@ INDEX = {c: i for i, c in enumerate(LETTERS)}
 SUBSTITUTED, KEPT, STRETCHED, SKIPPED, SPLIT, GAP = -1.5, -8.0, -5.0, -0.7, -2.5, -0.7
 #: A symbol beside a word where it is seldom seen; a symbol of a number.
 UNUSUAL, NUMERAL = -4.5, -4.0
+DOUBLED = re.compile(r"(.)\1", re.DOTALL)
 #: Texts whose words are held at once when trigrams are counted.
 TEXTS = 1000
 
@@ -132,8 +134,17 @@ def scored_reading(observed: str, model: np.ndarray | list) -> tuple[float, str]
     states: dict[tuple[int, int], tuple[float, tuple | None]] = {(END, END): (0.0, None)}
     rows = model.tolist() if isinstance(model, np.ndarray) else model
     inner = inner_part(observed)
-    for i in range(len(observed)):
+    for i, char in enumerate(observed):
         reached: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        if char.isalpha() and not (i and observed[i - 1] == char):  # a letter that stands for itself alone
+            symbol = INDEX.get(char, OTHER)
+            for (a, b), (score, chain) in states.items():
+                value = score + rows[a][b][symbol]
+                old = reached.get((b, symbol))
+                if old is None or value > old[0]:
+                    reached[b, symbol] = value, (chain, char)
+            states = reached
+            continue
         for emitted, cost in _options(observed, i, inner):
             symbol = END if emitted == " " else INDEX.get(emitted, OTHER)
             for (a, b), (score, chain) in states.items():
@@ -170,7 +181,7 @@ def single_character(token: str) -> str:
 
 def is_plain(token: str) -> bool:
     """Whether a token has one reading only: letters, none next to its like."""
-    return token.isalpha() and all(a != b for a, b in zip(token, token[1:], strict=False))
+    return token.isalpha() and DOUBLED.search(token) is None
 
 
 class Restorer:
@@ -183,10 +194,10 @@ class Restorer:
     def token(self, token: str) -> tuple[str, ...]:
         """Words behind a lower-case token without blanks."""
         core = token.strip(OUTSIDE)
-        if not any(c.isalpha() for c in core):
-            return self.symbols(core)
         if is_plain(core):
             return (core,)
+        if not any(map(str.isalpha, core)):
+            return self.symbols(core)
         return tuple(best_reading(core, self.model).split())
 
     def symbols(self, core: str) -> tuple[str, ...]:
@@ -202,20 +213,18 @@ class Restorer:
         for part in self.parts(text):
             yield from self.spaced(part) if isinstance(part, list) else self.remembered(part)
 
-    def parts(self, text: str) -> Iterator[str | list[str]]:
+    def parts(self, text: str) -> list[str | list[str]]:
         """Tokens of a text; neighbouring single characters come as one list."""
-        single: list[str] = []
-        for token in text.lower().split():
-            char = single_character(token) if len(token) < 3 else ""
-            if char:
-                single.append(char)
-            else:
-                if single:
-                    yield single
-                    single = []
-                yield token
-        if single:
-            yield single
+        tokens = text.lower().split()
+        out, done, last = [], 0, -2
+        for i in [i for i, token in enumerate(tokens) if len(token) < 3 and single_character(token)]:
+            if i > last + 1:
+                out += tokens[done:i]
+                out.append([])
+            out[-1].append(tokens[i][0])
+            done, last = i + 1, i
+        out += tokens[done:]
+        return out
 
     def remembered(self, token: str) -> tuple[str, ...]:
         words = self.known.get(token)

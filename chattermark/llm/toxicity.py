@@ -91,12 +91,16 @@ class Evidence:
     def __init__(self, characters: np.ndarray, weights: dict[str, float], keep: int = 100_000) -> None:
         self.restorer, self.weights = Restorer(characters), weights
         self.keep, self.known = keep, {}
+        # A word that begins like no weighted form has no weight.
+        self.least = min(STEMS)
+        self.begins = {form.removesuffix("*")[: self.least] for form in weights}
 
     def of_words(self, words: Iterable[str]) -> tuple[float, int]:
         total, n = 0.0, 0
         for word in words:
             n += 1
-            total += weight_of(word, self.weights)
+            if word[: self.least] in self.begins:
+                total += weight_of(word, self.weights)
         return total, n
 
     def __call__(self, text: str | None) -> tuple[float, int]:

@@ -190,3 +190,27 @@ def test_symbols_at_the_ends(word, meant):
     restorer = d.Restorer(d.log_model(zip(batch["gram"], batch["n"], strict=True)))
     assert list(restorer.words(f"the people {word} walk along")) == ["the", "people", meant, "walk", "along"]
     assert list(restorer.words("2024 10 100% $100 (663) 4757965300669737 !!! $$$ | +49")) == []
+
+
+def test_letters_with_one_reading_are_not_searched(monkeypatch):
+    asked = []
+    original = d._options
+    monkeypatch.setattr(d, "_options", lambda *given: asked.append(given[1]) or original(*given))
+    model = d.log_model([(5, 3), (700, 2)])
+    assert d.best_reading("abbcdef@g", model)
+    assert asked == [2, 7]  # the second b and the symbol
+
+
+def test_weights_are_looked_up_for_words_that_begin_like_a_form_alone(monkeypatch):
+    asked = []
+    original = toxicity.weight_of
+    monkeypatch.setattr(toxicity, "weight_of", lambda word, weights: asked.append(word) or original(word, weights))
+    evidence = toxicity.Evidence(d.log_model([]), {"stup*": 2.0, "bad": 1.0, "nasties": 0.5})
+    assert evidence("Stupid nasty nasties bad badly word or two a b") == (5.5 - 2.0, 10)
+    assert asked == ["stupid", "nasty", "nasties", "bad"]
+
+
+def test_parts_group_single_characters():
+    restorer = d.Restorer(d.log_model([]))
+    assert list(restorer.parts("a. b c word d ee ! ff-f g")) == [["a", "b", "c"], "word", ["d"], "ee", ["!"], "ff-f", ["g"]]
+    assert list(restorer.parts(" \n")) == [] and list(restorer.parts("one two")) == ["one", "two"]
