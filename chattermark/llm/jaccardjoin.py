@@ -10,15 +10,22 @@ approximate: shingles are counted in 2 ** `sketch_bits` cells, an array of fixed
 size. A passage that many documents share fills its cells and goes to the end
 of the order, out of nearly all prefixes. The other orders are seeded scrambles.
 
+Before sets are sent, pairs are held against a bound on what tells them apart. The parity
+of a set says for each of about as many cells as it has shingles whether their number in the
+cell is odd. Parities differ in no more cells than sets differ in shingles, so a
+pair whose parities differ too much is not similar, and nearly all other pairs are.
+
 Large groups of near copies are not expanded into pairs. Documents with equal
 sets are one node. In each bucket, the nodes that share a prefix shingle, the
-first and the last are hubs; every node is compared with one of its hubs, which
-is linear. Nodes that are linked so become components. Nodes outside the largest
-component of a bucket are compared with a few of its members, which is linear
-again. Only buckets that then still hold several components are expanded, to
-pairs of nodes from different ones. Pairs within a component need no comparison, as they can't change it. No
-bucket is cut. Pairs pass the second order by short prefixes before sets are
-sent, the third and the exact comparison by the sets.
+first and the last are hubs; every node is compared with the hub it shares most buckets
+with, which is linear. Nodes that are linked so become components. Then every node is
+compared with the nearest one by parity from another component; in a bucket of more than `BLOCK` nodes,
+those outside the largest component are compared with a few of its members instead. Buckets that
+then still hold several components are compared by parity, every node outside the
+largest component with all nodes of other ones, block by block where they are many.
+These comparisons take place in the tasks, from one row per node of a bucket; rows of
+pairs are only those whose sets have to be compared. Pairs within a component need no
+comparison, as they can't change it. No bucket is cut.
 
 Exactness rests on 64-bit hashes of shingles and of whole sets.
 
@@ -47,13 +54,20 @@ from chattermark.sources.staging import stage
 
 #: Seeds of the scrambled orders that candidates must pass besides the first.
 OTHER_ORDERS = (1, 2)
+PARITY_SEED = 3
+#: Cells of a parity, as powers of two; larger ones tell longer sets apart.
+FEWEST_CELLS, MOST_CELLS = 6, 16
 #: Members of a component that an outsider is compared with.
 HUBS = 4
+#: Nodes that are compared by parity with all nodes of a block of theirs.
+BLOCK, ACROSS = 1000, 4000
+#: Rows of a task that compares by parity, and bytes of parities it holds side by side.
+NEAR_ROWS, NEAR_BYTES = 100_000, 1 << 22
 #: Sets compared with a hub in one task.
 MEMBERS = 500
 #: Rows of which a task holds texts and sets at once.
 ROWS = 500
-COLUMNS = ["doc_id", "n_shingles", "node", "prefix", "block", "counts"]
+COLUMNS = ["doc_id", "n_shingles", "node", "parity", "block", "counts"]
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -72,20 +86,19 @@ def node_of(shingles: np.ndarray) -> int:
 
 
 def document_sets(documents: DataFrame, k: int, percent: int, bits: int) -> DataFrame:
-    """One pass: (doc_id, n_shingles, node, prefix) of every row, and (block, counts) of each task.
+    """One pass: (doc_id, n_shingles, node, parity) of every row, and (block, counts) of each task.
 
-    The node is null for an empty set; `prefix` holds the set's prefix under the
-    first scrambled order, four bytes a shingle. Rows with a block hold what the
+    The node is null for an empty set. Rows with a block hold what the
     task counted in 2 ** `bits` cells, and no document.
     """
 
     def named(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(1 << bits, dtype="int64")
         for batch in batches:
-            sizes, nodes, firsts = [], [], []
+            sizes, nodes, parities = [], [], []
             for shingles in shingle_sets(batch["text"], k):
                 sizes.append(len(shingles))
-                firsts.append(short_prefix(shingles, percent))
+                parities.append(parity(shingles, percent))
                 nodes.append(node_of(shingles) if len(shingles) else None)
                 # A set may fall into a cell more than once.
                 np.add.at(total, (shingles >> np.uint64(64 - bits)).view("int64"), 1)
@@ -94,16 +107,16 @@ def document_sets(documents: DataFrame, k: int, percent: int, bits: int) -> Data
                     "doc_id": batch["doc_id"].astype("Int64"),
                     "n_shingles": sizes,
                     "node": pd.array(nodes, dtype="Int64"),
-                    "prefix": firsts,
+                    "parity": parities,
                     "block": pd.array([None] * len(sizes), dtype="Int32"),
                     "counts": None,
                 }
             )
         counts = cells.packed_blocks(total)
-        yield counts.assign(doc_id=None, n_shingles=None, node=None, prefix=None)[COLUMNS]
+        yield counts.assign(doc_id=None, n_shingles=None, node=None, parity=None)[COLUMNS]
 
     narrow = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return narrow.mapInPandas(named, f"doc_id long, n_shingles long, node long, prefix binary, {cells.SCHEMA}")
+    return narrow.mapInPandas(named, f"doc_id long, n_shingles long, node long, parity binary, {cells.SCHEMA}")
 
 
 def prefixes(documents: DataFrame, k: int, percent: int, counts: np.ndarray) -> DataFrame:
@@ -143,11 +156,15 @@ def prefixes(documents: DataFrame, k: int, percent: int, counts: np.ndarray) ->
 
 
 def led_pairs(buckets: DataFrame) -> DataFrame:
-    """Distinct (hub, node): every node of a bucket with its first and its last node."""
+    """(hub, node): every node with the one it shares most buckets with, of their first and last nodes."""
     return (
         buckets.select("node", F.explode(F.array("low", "high")).alias("hub"))
         .where("node <> hub")
-        .distinct()
+        .groupBy("node", "hub")
+        .agg(F.count("*").alias("times"))
+        .groupBy("node")
+        .agg(F.max_by("hub", F.struct("times", "hub")).alias("hub"))
+        .select("hub", "node")
     )
 
 
@@ -158,11 +175,56 @@ def prefix_under(shingles: np.ndarray, percent: int, seed: int) -> np.ndarray:
     return np.partition(order, p - 1)[:p] if p < len(order) else order
 
 
-def short_prefix(shingles: np.ndarray, percent: int) -> bytes | None:
-    """The prefix under the first scrambled order, shortened; none where only an equal set is similar."""
+def parity(shingles: np.ndarray, percent: int) -> bytes | None:
+    """Bits of the cells that hold an odd number of shingles; none where only an equal set is similar.
+
+    A parity of half as many cells is its first half xor its second.
+    """
     if not can_differ(len(shingles), percent):
         return None
-    return np.unique(prefix_under(shingles, percent, OTHER_ORDERS[0]).astype("uint32")).tobytes()
+    size = 1 << min(max((len(shingles) - 1).bit_length(), FEWEST_CELLS), MOST_CELLS)
+    held = np.bincount((mixed(shingles, PARITY_SEED) & np.uint64(size - 1)).view("int64"), minlength=size)
+    return np.packbits((held & 1).astype("uint8")).tobytes()
+
+
+class Parities:
+    """The parities of sets of `sizes` shingles, to be compared by number."""
+
+    def __init__(self, packed: list[bytes], sizes: np.ndarray, percent: int) -> None:
+        self.packed, self.sizes, self.percent = packed, sizes.astype("int64"), percent
+        self.widths = np.array([len(x) for x in packed], dtype="int64")
+        self.tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def table(self, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Parities of a width and, halved, of twice the width; and where each lies in the table."""
+        if width not in self.tables:
+            own, wide = np.flatnonzero(self.widths == width), np.flatnonzero(self.widths == 2 * width)
+            halves = self._rows(wide, 2 * width).reshape(len(wide), 2, width // 8)
+            place = np.zeros(len(self.packed), dtype="int64")
+            place[np.append(own, wide)] = np.arange(len(own) + len(wide))
+            self.tables[width] = np.concatenate([self._rows(own, width), halves[:, 0] ^ halves[:, 1]]), place
+        return self.tables[width]
+
+    def _rows(self, at: np.ndarray, width: int) -> np.ndarray:
+        return np.frombuffer(b"".join(self.packed[i] for i in at), dtype="uint64").reshape(len(at), width // 8)
+
+    def apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The cells in which the parities of each pair differ; -1 where the sets can't be similar."""
+        first, second = self.sizes[left], self.sizes[right]
+        total = first + second
+        most = total - 2 * -(-self.percent * total // (100 + self.percent))
+        out = np.full(len(left), -1, dtype="int64")
+        # Similar sets have sizes less than twice one another, so widths are equal or one is twice the other.
+        fit = 100 * np.minimum(first, second) >= self.percent * np.maximum(first, second)
+        widths = np.minimum(self.widths[left], self.widths[right])
+        for width in np.unique(widths[fit]).tolist():
+            rows, place = self.table(width)
+            at = np.flatnonzero(fit & (widths == width))
+            step = max(1, NEAR_BYTES // width)
+            for some in (at[i : i + step] for i in range(0, len(at), step)):
+                differ = np.bitwise_count(rows[place[left[some]]] ^ rows[place[right[some]]]).sum(1, dtype="int64")
+                out[some] = np.where(differ <= most[some], differ, -1)
+        return out
 
 
 def share_prefix(left: np.ndarray, right: np.ndarray, percent: int, seed: int) -> bool:
@@ -171,33 +233,110 @@ def share_prefix(left: np.ndarray, right: np.ndarray, percent: int, seed: int) -
     return len(np.intersect1d(first, second, assume_unique=True)) > 0
 
 
+def with_parity(rows: DataFrame, nodes: DataFrame, column: str = "node", suffix: str = "") -> DataFrame:
+    """Rows with the size and parity of a node; nodes that are similar to equal sets alone have none."""
+    known = nodes.where("parity is not null").groupBy(F.col("node").alias(column)).agg(
+        F.first("n_shingles").alias(f"n{suffix}"), F.first("parity").alias(f"parity{suffix}")
+    )
+    return rows.join(known, column)
+
+
 def likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (hub, node) of similar size that share a prefix shingle under the next order too.
+    """The pairs (hub, node) whose sizes and parities allow that they are similar."""
+
+    @F.pandas_udf("boolean")
+    def near(n_hub: pd.Series, n_node: pd.Series, left: pd.Series, right: pd.Series) -> pd.Series:
+        sizes = np.concatenate([n_hub.to_numpy(), n_node.to_numpy()])
+        at = np.arange(len(left))
+        return pd.Series(Parities([*left, *right], sizes, percent).apart(at, at + len(left)) >= 0)
+
+    left = with_parity(pairs, nodes, "hub", "_hub")
+    both = with_parity(left, nodes, "node", "_node")
+    return both.where(near("n_hub", "n_node", "parity_hub", "parity_node")).select("hub", "node")
+
+
+def near_in_cells(percent: int, nearest: bool):
+    """A function of rows (cell, node, component, leads, n, parity): (hub, node, apart) of pairs in one cell.
 
-    Short prefixes are a tenth of a set's bytes, so most pairs that share a
-    shingle by chance end here, before any set is sent.
+    Of a pair one must lead, and the components differ. With `nearest`, each node comes with its nearest one.
     """
 
-    @F.pandas_udf("boolean")
-    def share(left: pd.Series, right: pd.Series) -> pd.Series:
-        both = zip(left, right, strict=True)
-        return pd.Series(
-            [len(np.intersect1d(*(np.frombuffer(x, "uint32") for x in pair), assume_unique=True)) > 0 for pair in both],
-            dtype=bool,
+    def near(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("cell")
+        number, found = pd.factorize(rows["node"].to_numpy())
+        known = rows.iloc[np.unique(number, return_index=True)[1]]
+        parities = Parities(list(known["parity"]), known["n"].to_numpy(), percent)
+        component, leads = rows["component"].to_numpy(), rows["leads"].to_numpy(dtype=bool)
+        cell = rows["cell"].to_numpy()
+        after = np.searchsorted(cell, cell, "right") - 1 - np.arange(len(cell))
+        out = [np.empty((0, 3), dtype="int64")]
+        at, distance = np.arange(len(cell)), 0
+        while True:
+            distance += 1
+            at = at[after[at] >= distance]
+            if not len(at):
+                break
+            differ = component[at] != component[at + distance]
+            i = at[differ & (leads[at] | leads[at + distance])]
+            left, right = number[i], number[i + distance]
+            apart = parities.apart(left, right)
+            kept = apart >= 0
+            out.append(np.stack([left[kept], right[kept], apart[kept]], 1))
+        pairs = np.unique(np.concatenate([np.concatenate(out), np.concatenate(out)[:, [1, 0, 2]]]), axis=0)
+        if nearest:
+            pairs = pairs[np.lexsort((pairs[:, 0], pairs[:, 2], pairs[:, 1]))]
+            pairs = pairs[np.diff(pairs[:, 1], prepend=-1) != 0]
+        else:
+            pairs = pairs[pairs[:, 0] < pairs[:, 1]]
+        return pd.DataFrame({"hub": found[pairs[:, 0]], "node": found[pairs[:, 1]], "apart": pairs[:, 2]})
+
+    return near
+
+
+def near_pairs(opened: DataFrame, nodes: DataFrame, percent: int, nearest: bool = False) -> DataFrame:
+    """Distinct (hub, node) from different components of a bucket whose sizes and parities allow that they are similar.
+
+    A bucket of more than `BLOCK` nodes is a cell for each block of those outside its largest
+    component and each block of all its nodes. With `nearest`, such buckets are left out, and every node
+    comes once, with the nearest.
+    """
+    plain = ("node", "component")
+    small = opened.where(F.col("nodes") <= BLOCK).select(
+        F.xxhash64("token").alias("cell"), *plain, F.lit(True).alias("leads")
+    )
+    if not nearest:
+        large = opened.where(F.col("nodes") > BLOCK).select(
+            "*",
+            F.ceil(F.col("outside") / BLOCK).alias("blocks"),
+            F.ceil(F.col("nodes") / ACROSS).alias("others"),
         )
 
-    known = nodes.where("prefix is not null").groupBy("node").agg(
-        F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix")
-    )
-    left = known.select(F.col("node").alias("hub"), F.col("n").alias("n_hub"), F.col("prefix").alias("left"))
-    right = known.select("node", F.col("n").alias("n_node"), F.col("prefix").alias("right"))
-    return (
-        pairs.join(left, "hub")
-        .join(right, "node")
-        .where(f"100 * least(n_hub, n_node) >= {percent} * greatest(n_hub, n_node)")
-        .where(share("left", "right"))
-        .select("hub", "node")
+        def cell(rows: DataFrame, block, other, leads: bool) -> DataFrame:
+            dealt = rows.withColumn("block", block).withColumn("other", other)
+            return dealt.select(F.xxhash64("token", "block", "other").alias("cell"), *plain, F.lit(leads).alias("leads"))
+
+        def every(count: str):
+            return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
+
+        def one(count: str, seed: int):
+            return F.pmod(F.xxhash64("node", F.lit(seed)), F.col(count))
+
+        small = small.union(
+            cell(large.where("component <> largest"), one("blocks", 1), every("others"), True)
+        ).union(cell(large, every("blocks"), one("others", 2), False))
+    rows = stage(small, "cells")
+    spark = rows.sparkSession
+    shares = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // NEAR_ROWS))
+    dealt = (
+        with_parity(rows, nodes)
+        .withColumn("share", F.pmod("cell", F.lit(shares)))
+        .repartition(shares, "share")
+        .groupBy("share")
+        .applyInPandas(near_in_cells(percent, nearest), "hub long, node long, apart long")
     )
+    if nearest:
+        dealt = dealt.groupBy("node").agg(F.min_by("hub", F.struct("apart", "hub")).alias("hub"))
+    return dealt.select(F.least("hub", "node").alias("hub"), F.greatest("hub", "node").alias("node")).distinct()
 
 
 def similar(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
@@ -293,49 +432,49 @@ def star(label: DataFrame) -> DataFrame:
 
 
 def open_buckets(buckets: DataFrame, label: DataFrame) -> DataFrame:
-    """(token, node, component, largest) of buckets with several components.
+    """(token, node, component, largest, nodes, outside) of buckets with several components.
 
     A node without links is its own component; `largest` is the component of the
-    bucket that has the most nodes in all.
+    bucket that has the most nodes in all. `nodes` counts all of the bucket, `outside` those of other components.
     """
     sizes = label.groupBy("component").agg(F.count("*").alias("size"))
-    placed = (
-        buckets.select("token", "node")
-        .distinct()
-        .join(label.join(sizes, "component"), "node", "left")
-        .select(
-            "token",
-            "node",
-            F.coalesce("component", "node").alias("component"),
-            F.coalesce("size", F.lit(1)).alias("size"),
-        )
+    placed = buckets.select("token", "node").distinct().join(label.join(sizes, "component"), "node", "left").select(
+        "token",
+        "node",
+        F.coalesce("component", "node").alias("component"),
+        F.coalesce("size", F.lit(1)).alias("size"),
     )
     several = (
-        placed.groupBy("token")
+        placed.groupBy("token", "component")
+        .agg(F.max("size").alias("size"), F.count("*").alias("here"))
+        .groupBy("token")
         .agg(
-            F.min("component").alias("one"),
-            F.max("component").alias("other"),
-            F.max(F.struct("size", "component")).alias("most"),
+            F.count("*").alias("components"),
+            F.max(F.struct("size", "component", "here")).alias("most"),
+            F.sum("here").alias("nodes"),
         )
-        .where("one <> other")
-        .select("token", F.col("most.component").alias("largest"))
+        .where("components > 1")
+        .select("token", F.col("most.component").alias("largest"), "nodes", F.expr("nodes - most.here").alias("outside"))
     )
-    return placed.join(several, "token").select("token", "node", "component", "largest")
+    return placed.join(several, "token").select("token", "node", "component", "largest", "nodes", "outside")
 
 
-def outsiders(buckets: DataFrame, label: DataFrame) -> DataFrame:
-    """Distinct (hub, node): nodes outside a bucket's largest component, with some members of it.
+def outsiders(opened: DataFrame) -> DataFrame:
+    """(hub, node): nodes outside a bucket's largest component, with some members of it.
 
-    As many pairs as outsiders, times `HUBS` at most, however large the component.
+    `HUBS` pairs for every such node at most, however many buckets it is in and however large they are.
     """
-    several = stage(open_buckets(buckets, label), "open-buckets")
     picked = [F.min_by("node", F.xxhash64("node", F.lit(i))) for i in range(HUBS)]
-    members = several.where("component = largest").groupBy("token").agg(F.array_distinct(F.array(*picked)).alias("hubs"))
+    members = opened.where("component = largest").groupBy("token").agg(F.array_distinct(F.array(*picked)).alias("hubs"))
     return (
-        several.where("component <> largest")
+        opened.where("component <> largest")
         .join(members, "token")
         .select(F.explode("hubs").alias("hub"), "node")
-        .distinct()
+        .groupBy("node", "hub")
+        .agg(F.count("*").alias("times"))
+        .groupBy("node")
+        .agg(F.slice(F.sort_array(F.collect_list(F.struct("times", "hub")), False), 1, HUBS).alias("hubs"))
+        .select(F.explode("hubs.hub").alias("hub"), "node")
     )
 
 
@@ -363,32 +502,26 @@ def similar_groups(
     )
     buckets = stage(buckets, "buckets")
     checked = {"documents": documents, "nodes": named, "k": k, "percent": percent}
-    # Every node is compared with one hub first; in a group of near copies that links nearly all.
-    hubs = likely(led_pairs(buckets), named, percent).groupBy("node").agg(F.min("hub").alias("hub"))
-    hubs = stage(hubs, "hubs")
+    # Every node is compared with one hub first; in a group of near copies that links many.
+    hubs = stage(likely(led_pairs(buckets), named, percent), "hubs")
     first = stage(verified(hubs, **checked), "similar")
     label = components(first)
 
-    # What is left out of a bucket's largest component is compared with a few of its members.
-    tried = hubs
-    pairs = stage(likely(outsiders(buckets, label), named, percent).join(tried, ["hub", "node"], "left_anti"), "pairs")
+    # Then with its nearest one of another component, or with a few of the largest one's members.
+    opened = stage(open_buckets(buckets, label), "open-buckets")
+    led = likely(outsiders(opened.where(F.col("nodes") > BLOCK)), named, percent)
+    near = stage(near_pairs(opened, named, percent, nearest=True), "near-pairs")
+    pairs = stage(led.union(near).distinct().join(hubs, ["hub", "node"], "left_anti"), "pairs")
     more = stage(verified(pairs, **checked), "similar")
     label = components(star(label).union(more))
-    tried = tried.union(pairs)
-
-    still_open = stage(open_buckets(buckets, label).select("token", "node", "component"), "open-buckets")
-    left, right = (
-        still_open.select("token", F.col("node").alias(name), F.col("component").alias(f"component_{name}"))
-        for name in ("hub", "node")
-    )
-    rest = (
-        left.join(right, "token")
-        .where("hub < node and component_hub <> component_node")
-        .select("hub", "node")
-        .distinct()
-    )
-    done = tried.select(F.least("hub", "node").alias("hub"), F.greatest("hub", "node").alias("node"))
-    rest = likely(rest.join(done, ["hub", "node"], "left_anti"), named, percent)
+    done = hubs.union(pairs).select(F.least("hub", "node").alias("hub"), F.greatest("hub", "node").alias("node"))
+
+    still_open = stage(open_buckets(buckets, label), "open-buckets")
+    # Where all nodes of a bucket were compared, those without a near one have no pair to come.
+    again = near.select("node").union(near.select("hub")).distinct()
+    in_small = still_open.where(F.col("nodes") <= BLOCK).join(again, "node", "left_semi")
+    still_open = still_open.where(F.col("nodes") > BLOCK).unionByName(in_small)
+    rest = near_pairs(still_open, named, percent).join(done, ["hub", "node"], "left_anti")
     second = stage(verified(rest, **checked), "similar")
     of_node = components(star(label).union(second))
     rows = nodes.join(of_node, "node", "left").withColumn("component", F.coalesce("component", "node"))

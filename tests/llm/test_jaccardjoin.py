@@ -166,3 +166,56 @@ def test_one_of_each_stays(texts):
 def test_bad_threshold(texts):
     with pytest.raises(ValueError, match="percent"):
         similar_groups(texts(), percent=40)
+
+
+def test_parities_bound_what_sets_differ_in():
+    r = np.random.default_rng(5)
+    sets = []
+    for size in (1, 3, 60, 64, 65, 120, 130, 500, 513, 600):
+        base = np.unique(r.integers(0, 2**63, size, dtype="uint64"))
+        for change in (0, 0.02, 0.1, 0.3):
+            new = r.integers(0, 2**63, max(1, int(change * size)), dtype="uint64")
+            sets += [np.unique(np.append(base[r.random(len(base)) >= change], new)), base]
+    known = [s for s in sets if jaccardjoin.parity(s, 85) is not None]
+    parities = jaccardjoin.Parities([jaccardjoin.parity(s, 85) for s in known], np.array([len(s) for s in known]), 85)
+    left, right = (x.reshape(-1) for x in np.meshgrid(np.arange(len(known)), np.arange(len(known))))
+    apart = parities.apart(left, right)
+    near = 0
+    for i, j, cells_apart in zip(left, right, apart, strict=True):
+        common = len(np.intersect1d(known[i], known[j]))
+        if 100 * common >= 85 * (len(known[i]) + len(known[j]) - common):
+            near += 1
+            assert 0 <= cells_apart <= len(known[i]) + len(known[j]) - 2 * common
+    assert near > len(known) and (apart >= 0).sum() < 1.5 * near
+
+
+def test_groups_of_texts_alike_but_not_enough_make_few_pairs(texts):
+    r = random.Random(12)
+    words = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join(edited(r, words, 0.02))) for i in range(200)]
+    made = []
+    original = jaccardjoin.verified
+
+    def counted(pairs, *args, **options):
+        made.append(pairs.count())
+        return original(pairs, *args, **options)
+
+    jaccardjoin.verified = counted
+    try:
+        groups = found_groups(texts(*rows))
+    finally:
+        jaccardjoin.verified = original
+    assert groups == plain_groups(rows, 4, 85)
+    assert sum(made) < 3 * len(rows)
+
+
+def test_blocks_of_large_buckets_are_compared_whole(texts, monkeypatch):
+    monkeypatch.setattr(jaccardjoin, "BLOCK", 4)
+    monkeypatch.setattr(jaccardjoin, "ACROSS", 7)
+    monkeypatch.setattr(jaccardjoin, "HUBS", 1)
+    r = random.Random(13)
+    rows = []
+    for g in range(6):
+        words = [f"g{g}w{i}" for i in range(100)]
+        rows += [(len(rows) + i, " ".join(edited(r, words, r.choice([0.01, 0.03, 0.05])))) for i in range(20)]
+    assert found_groups(texts(*rows)) == plain_groups(rows, 4, 85)
