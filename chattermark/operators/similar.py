@@ -11,7 +11,8 @@ returned has its exact distance.
   lines into pieces of four distances. Along a line two vectors are never farther apart than they
   are, so a pair lies in one piece or in adjoining ones; a row near the lower edge of its piece
   is also a guest of the piece below. A split therefore loses no pair and finds none twice. Pieces
-  still too large are cut along the next line. Guests are few, as a piece is four distances long.
+  still too large are cut along the next line. Guests are few, as a piece is four distances long, and
+  as the lines are orthogonal: the squares of all the ways a guest has gone from its piece add up to the square of one distance at most.
 * Blocks. What no line cuts, vectors that all lie within a few distances of each other, is compared block by
   block, `most` rows in a task's memory. Nothing is capped or sampled.
 
@@ -110,7 +111,8 @@ def _placed(
         return _list_array(out, pa.int64())
 
     bucket = buckets("vector") if projections else F.array_repeat(F.lit(0).cast("long"), 1)
-    return classes.select("id", "vector", places("vector").alias("places"), bucket.alias("buckets"))
+    orthogonal = F.least(F.size("vector"), F.lit(directions)).alias("orthogonal")
+    return classes.select("id", "vector", places("vector").alias("places"), bucket.alias("buckets"), orthogonal)
 
 
 def _list_array(rows: np.ndarray, kind: pa.DataType) -> pa.Array:
@@ -121,37 +123,46 @@ def _list_array(rows: np.ndarray, kind: pa.DataType) -> pa.Array:
 def _cut(rows: DataFrame, line: int, reach: float) -> DataFrame:
     """Rows of crowded cells in the pieces along one line that they belong to or visit.
 
-    Cells that one piece would hold whole (not `parts`) stay as they are.
+    Cells that one piece would hold whole (not `parts`) stay as they are. `spent` is the sum of squares
+    of the ways a guest has gone along orthogonal lines, to the edges of the pieces it visits; a pair's distance
+    is no shorter than its root.
     """
     size = 4 * reach
     place = F.get("places", F.lit(line))
     piece = F.floor(place / size)
-    above, below = place - piece * size <= reach, (piece + 1) * size - place <= reach
-    none = F.array().cast("array<struct<piece:bigint,home:boolean>>")
+    counts = F.lit(line) < F.col("orthogonal")
+    spent = F.when(counts, F.col("spent")).otherwise(0.0)
+    down, up = (F.pow(way, 2) for way in (place - piece * size, (piece + 1) * size - place))
+    above, below = (spent + way <= reach * reach for way in (down, up))
+    none = F.array().cast("array<struct<piece:bigint,home:boolean,spent:double>>")
 
-    def visit(number, home):
-        return F.array(F.struct(number.alias("piece"), home.alias("home")))
+    def visit(number, home, way=F.lit(0.0)):
+        gone = F.when(counts, F.col("spent") + way).otherwise(F.col("spent"))
+        return F.array(F.struct(number.alias("piece"), home.alias("home"), gone.alias("spent")))
 
     stays = F.concat(
         visit(piece, F.col("home")),
-        F.when(above, visit(piece - 1, F.lit(False))).otherwise(none),
-        F.when(below & ~F.col("home"), visit(piece + 1, F.lit(False))).otherwise(none),
+        F.when(above, visit(piece - 1, F.lit(False), down)).otherwise(none),
+        F.when(below & ~F.col("home"), visit(piece + 1, F.lit(False), up)).otherwise(none),
     )
     stays = F.when(F.col("parts"), stays).otherwise(visit(F.lit(0).cast("long"), F.col("home")))
     return rows.select("*", F.explode(stays).alias("stay")).select(
         F.when(F.col("parts"), F.xxhash64("cell", F.lit(line), "stay.piece")).otherwise(F.col("cell")).alias("cell"),
         "id",
         "places",
+        "orthogonal",
         F.col("stay.home").alias("home"),
+        F.col("stay.spent").alias("spent"),
     )
 
 
 def _cells(placed: DataFrame, reach: float, directions: int, most: int) -> DataFrame:
     """(cell, id, home, block, mixed): who is compared where."""
     bucket = F.posexplode("buckets").alias("table", "bucket")
-    rows = placed.select("id", "places", bucket).select(
-        F.xxhash64("table", "bucket").alias("cell"), "id", "places", F.lit(True).alias("home")
-    )
+    rows = placed.select("id", "places", "orthogonal", bucket).select(
+        F.xxhash64("table", "bucket").alias("cell"), "id", "places", "orthogonal",
+        F.lit(True).alias("home"), F.lit(0.0).alias("spent"),
+    )
     plain = ("cell", "id", "home", F.lit(0).alias("block"), F.lit(False).alias("mixed"))
     done: DataFrame | None = None
     for line in range(directions + 1):

@@ -116,3 +116,21 @@ def test_cells_stay_small_where_lines_part_them(spark):
     placed = similar._placed(classes, 2, 1, 0, 1.0, 42)
     largest = similar._cells(placed, 1.0, 2, 50).groupBy("cell").count().agg({"count": "max"}).first()[0]
     assert largest <= 50
+
+
+def test_guests_along_several_lines_are_within_one_distance_in_all(spark):
+    points = np.random.default_rng(8).normal(size=(1500, 8))
+    points[::50] = points[1::50] + 0.05  # pairs 0.141 apart
+    rows = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "id long, vector array<double>")
+    made = []
+    original = similar._cells
+    similar._cells = lambda *given: made.append(original(*given)) or made[0]
+    try:
+        pairs = similar.similar_pairs(rows, 0.2, id_column="id", vector_column="vector", most=24)
+        found = {(r.id_a, r.id_b) for r in pairs.collect()}
+    finally:
+        similar._cells = original
+    gaps = np.sqrt(((points[:, None] - points[None]) ** 2).sum(2))
+    assert found == {(int(i), int(j)) for i, j in zip(*np.nonzero(gaps <= 0.2), strict=True) if i < j}
+    assert len(found) >= 30
+    assert made[0].count() < 2.6 * len(points)
