@@ -106,8 +106,10 @@ class Chunk:
         self.is_event[starts] = False
         sequence = np.full(size, START, dtype="uint64")
         sequence[self.is_event] = words[tokens]
-        self.document = np.repeat(np.arange(len(lengths)), lengths + 1)
-        self.place = np.arange(size) - starts[self.document]
+        # Four bytes number the documents, places and n-grams of a chunk: many arrays are as long as its tokens.
+        self.document = np.repeat(np.arange(len(lengths), dtype="int32"), lengths + 1)
+        self.place = np.arange(size, dtype="int32")
+        self.place -= starts.astype("int32")[self.document]
         self.trains = ~self.held_out[self.document]
         self.keys = [sequence]
         for m in range(2, order + 1):
@@ -124,8 +126,8 @@ class Chunk:
         """Sorted distinct keys of an order, and for each place the index of its own."""
         if m not in self.found:
             has = self.has(m)
-            keys, inverse = np.unique(self.keys[m - 1][has], return_inverse=True)
-            at = np.zeros(len(has), dtype="int64")
+            keys, inverse = numbered(self.keys[m - 1][has])
+            at = np.zeros(len(has), dtype="int32")
             at[has] = inverse
             self.found[m] = keys, at
         return self.found[m]
@@ -136,6 +138,19 @@ class Chunk:
         return np.bincount(at[use], minlength=len(keys))
 
 
+def numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct values, and for each value its number among them, in four bytes."""
+    order = np.argsort(values)
+    ranked = values[order]
+    new = np.ones(len(ranked), dtype=bool)
+    np.not_equal(ranked[1:], ranked[:-1], out=new[1:])
+    keys = ranked[new]
+    del ranked
+    numbers = np.empty(len(values), dtype="int32")
+    numbers[order] = np.cumsum(new, dtype="int32") - np.int32(1)
+    return keys, numbers
+
+
 def chunks_of(documents: DataFrame, held_out: Column, chunk_tokens: int) -> DataFrame:
     """Texts as packed sequences of word numbers, some million tokens a row."""
 
@@ -275,13 +290,20 @@ class Evaluation:
 
     def __init__(self, chunk: Chunk, known: Known, discounts: Discounts, orders: int) -> None:
         self.chunk, self.known, self.discounts = chunk, known, discounts
-        self.count = {m: known.counts(m)[chunk.distinct(m)[1]] * chunk.has(m) for m in range(1, orders + 1)}
+        self.count = {m: self._count(m) for m in range(1, orders + 1)}
+
+    def _count(self, m: int) -> np.ndarray:
+        """Counts at every place, in as few bytes as hold the largest."""
+        out = smallest(self.known.counts(m))[self.chunk.distinct(m)[1]]
+        out[~self.chunk.has(m)] = 0
+        return out
 
     def history(self, m: int) -> np.ndarray:
         """Count of the history of the m-gram that ends at each place."""
-        out = np.zeros(len(self.chunk.place), dtype="int64")
+        out = np.zeros_like(self.count[m - 1])
         out[1:] = self.count[m - 1][:-1]
-        return out * (self.chunk.has(m) & self.chunk.is_event)
+        out[~(self.chunk.has(m) & self.chunk.is_event)] = 0
+        return out
 
     def seen(self, m: int) -> np.ndarray:
         """Probability of the last token of m-grams that were seen in training, at their places."""

@@ -2,9 +2,11 @@
 
 import math
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,3 +148,32 @@ def test_packing_round_trip():
         assert (unpack(pack(values)) == values).all() and unpack(pack(values)).dtype == values.dtype
     assert (unpack_sorted(pack_sorted(keys)) == keys).all()
     assert len(unpack_sorted(pack_sorted(keys[:0]))) == 0
+
+
+def test_a_chunk_takes_few_bytes_a_token():
+    r = np.random.default_rng(3)
+    words = np.unique(r.integers(0, 2**63, 50_000, dtype="uint64"))
+    lengths = np.full(400, 500, dtype="int32")
+    tokens = r.integers(0, len(words), int(lengths.sum())).astype("uint32")
+    packed = {
+        "chunk": 1, "ids": pack(np.arange(400)), "has_id": pack(np.ones(400, "uint8")),
+        "held_out": pack(np.zeros(400, "uint8")), "lengths": pack(lengths),
+        "words": pack_sorted(words), "tokens": pack(tokens),
+    }
+    none = katz.Known(pd.DataFrame({"kind": [], "part": []}))
+    tracemalloc.start()
+    try:
+        katz.count_requests(2, 4)(pd.Series(packed), none)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 75 * len(tokens)
+
+
+def test_values_are_numbered_in_order():
+    r = np.random.default_rng(4)
+    for n in (0, 1, 2, 1000):
+        values = r.integers(0, 50, n).astype("uint64") << np.uint64(58)
+        keys, numbers = katz.numbered(values)
+        expected = np.unique(values, return_inverse=True)
+        assert (keys == expected[0]).all() and (numbers == expected[1]).all()
