@@ -208,13 +208,20 @@ class LengthClass:
 
     def candidates(self, buffer: np.ndarray, starts: np.ndarray, enough: np.ndarray) -> set[tuple[int, int]]:
         """(start, index of an item) of windows that share a bin with an item which is `enough` there."""
-        found: set[tuple[int, int]] = set()
+        found = [np.empty(0, dtype="int64")]
         for (keys, order), own in zip(self.bins, self.keys(buffer, starts), strict=True):
-            left, right = np.searchsorted(keys, own), np.searchsorted(keys, own, "right")
-            for i in np.flatnonzero(right > left):
-                items = order[left[i] : right[i]]
-                found.update((int(starts[i]), int(j)) for j in items[enough[items, i]])
-        return found
+            left = np.searchsorted(keys, own)
+            hit = np.flatnonzero(keys[np.minimum(left, len(keys) - 1)] == own)
+            if not len(hit):
+                continue
+            left, right = left[hit], np.searchsorted(keys, own[hit], "right")
+            sizes = right - left
+            at = np.repeat(hit, sizes)
+            items = order[np.arange(sizes.sum()) + np.repeat(left - np.cumsum(sizes) + sizes, sizes)]
+            near = enough[items, at]
+            found.append(at[near] * len(self.items) + items[near])
+        at, items = np.divmod(np.unique(np.concatenate(found)), len(self.items))
+        return set(zip(starts[at].tolist(), items.tolist(), strict=True))
 
 
 class Block:
