@@ -15,7 +15,6 @@ from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Model, Pipeline, PipelineModel
@@ -23,8 +22,9 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import IDF, PCA, HashingTF, RegexTokenizer, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chattermark import settings
 from chattermark.settings import ClusterSettings
@@ -32,6 +32,9 @@ from chattermark.sources.staging import stage
 
 Encoder = Callable[[list[str]], "list[list[float]]"]
 
+#: Points that a task of a fit holds at most, on average.
+POINTS = 200_000
+
 
 def hashed_words(
     df: DataFrame, text_column: str = "text", output_column: str = "counts", n_features: int = 1 << 18
@@ -59,24 +62,38 @@ def project_words(
     """Adds sparse vectors projected to `n_dimensions`, scaled to length 1.
 
     A sparse random projection: every place is added to one dimension, with a
-    sign, both by a hash. Products of vectors keep their expected value.
+    sign, both by a hash. Products of vectors keep their expected value. The vectors stay
+    sparse, as short texts fill few dimensions.
     """
 
-    @F.pandas_udf("array<double>")
-    def projected(vectors: pd.DataFrame) -> pd.Series:
-        out = []
-        for places, values in zip(vectors["indices"], vectors["values"], strict=True):
-            mixed = np.asarray(places, dtype="uint64") * np.uint64(0x9E3779B97F4A7C15)
-            mixed ^= mixed >> np.uint64(29)
-            mixed *= np.uint64(0xBF58476D1CE4E5B9)
-            sign = 1.0 - 2.0 * (mixed >> np.uint64(63)).astype(float)
-            where = ((mixed >> np.uint64(20)) % np.uint64(n_dimensions)).astype("int64")
-            row = np.bincount(where, weights=sign * np.asarray(values), minlength=n_dimensions)
-            length = np.sqrt(row @ row)
-            out.append(row / length if length else row)
-        return pd.Series(out)
-
-    return df.withColumn(output_column, array_to_vector(projected(F.unwrap_udt(input_column))))
+    def some_projected(vectors: pa.StructArray) -> pa.StructArray:
+        indices, values = vectors.field("indices"), vectors.field("values")
+        each = indices.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        mixed = indices.flatten().to_numpy(zero_copy_only=False).astype("uint64") * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+        mixed *= np.uint64(0xBF58476D1CE4E5B9)
+        signed = (1.0 - 2.0 * (mixed >> np.uint64(63)).astype(float)) * values.flatten().to_numpy(zero_copy_only=False)
+        where = ((mixed >> np.uint64(20)) % np.uint64(n_dimensions)).astype("int64")
+        at, inverse = np.unique(np.repeat(np.arange(len(each)), each) * n_dimensions + where, return_inverse=True)
+        sums = np.bincount(inverse, weights=signed, minlength=len(at))
+        row = at // n_dimensions
+        length = np.sqrt(np.bincount(row, weights=sums * sums, minlength=len(each)))
+        length[length == 0] = 1.0
+        ends = np.append(0, np.cumsum(np.bincount(row, minlength=len(each)))).astype("int32")
+        # The parts of a sparse vector as Spark stores it.
+        parts = {
+            "type": pa.array(np.zeros(len(each), dtype="int8")),
+            "size": pa.array(np.full(len(each), n_dimensions, dtype="int32")),
+            "indices": pa.ListArray.from_arrays(pa.array(ends), pa.array((at % n_dimensions).astype("int32"))),
+            "values": pa.ListArray.from_arrays(pa.array(ends), pa.array(sums / length[row])),
+        }
+        return pa.StructArray.from_arrays(list(parts.values()), names=list(parts))
+
+    @F.arrow_udf(VectorUDT())
+    def projected(vectors: pa.Array) -> pa.Array:
+        return pa.concat_arrays([some_projected(vectors.slice(at, 500)) for at in range(0, len(vectors), 500)])
+
+    return df.withColumn(output_column, projected(F.unwrap_udt(input_column)))
 
 
 def lexical_features(
@@ -260,6 +277,13 @@ def best_kmeans(
     return models[min(costs, key=lambda s: (costs[s], s))], list(costs.values())
 
 
+def row_hash(df: DataFrame, column: Column) -> Column:
+    """A hash of a column and all plain ones, so that rows equal in the column alone do not meet in one task."""
+    nested = (T.ArrayType, T.MapType, T.StructType, T.UserDefinedType, T.VariantType)
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, nested)]
+    return F.xxhash64(column, *plain)
+
+
 @dataclass(frozen=True)
 class ClusteredComments:
     """Comments with cluster label and projection, and the models behind them."""
@@ -295,17 +319,19 @@ def cluster_comments(
     """
     if text_column not in df.columns:
         raise ValueError(f"column {text_column!r} not found")
-    # Texts are read and split once; all fitting reads the staged vectors.
+    # Texts are read and split once; all fitting reads the staged vectors. Rows are dealt by all that
+    # they hold, as one text, or none, may be that of most comments.
     if vector_column:
         staged = stage(df, "vectors")
         without = staged.where(F.col(vector_column).isNull())
         staged = staged.where(F.col(vector_column).isNotNull())
         vectors = as_vectors(staged, vector_column, "__features")
-        spread = F.xxhash64(vector_to_array("__features"))
+        vectors = vectors.withColumn("__spread", row_hash(df, vector_to_array("__features")))
     else:
-        staged = stage(hashed_words(df, text_column, "__counts", config.n_features), "counts")
-        without, vectors = None, staged
-        spread = F.xxhash64(text_column)
+        tasks = max(config.partitions, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        dealt = df.withColumn("__spread", row_hash(df, F.col(text_column))).repartition(tasks, "__spread")
+        staged = stage(hashed_words(dealt, text_column, "__counts", config.n_features), "counts")
+        without = None
     output = [*df.columns, "cluster_label", "proj_x", "proj_y"]
 
     def whole(placed: DataFrame) -> DataFrame:
@@ -313,21 +339,21 @@ def cluster_comments(
             return placed.select(*output)
         return placed.select(*output).unionByName(_unplaced(without, None, None).select(*output))
 
-    if staged.limit(2).count() < 2:
+    rows = staged.count()
+    if rows < 2:
         return ClusteredComments(whole(_unplaced(staged, 0, 0.0)))
-    # The same tasks hold the same rows whatever the machine; all steps below add up in that order.
-    features = (
-        vectors.withColumn("__spread", spread)
-        .repartition(config.partitions, "__spread")
-        .sortWithinPartitions("__spread")
-    )
+    partitions = max(config.partitions, -(-rows // POINTS))
 
     models: list[Model] = []
     if not vector_column:
-        models.append(fit_weights(features, "__counts", "__weights"))
-        weighted = models[0].transform(features)
-        features = project_words(weighted, "__weights", "__features", config.n_dimensions)
-        features = stage(features.drop("__counts", "__weights"), "features")
+        models.append(fit_weights(staged, "__counts", "__weights"))
+        weighted = models[0].transform(staged)
+        vectors = project_words(weighted, "__weights", "__features", config.n_dimensions)
+        vectors = vectors.drop("__counts", "__weights")
+    # The same tasks hold the same rows whatever the machine; all steps below add up in that order.
+    features = vectors.repartition(partitions, "__spread").sortWithinPartitions("__spread")
+    if not vector_column:
+        features = stage(features, "features")
     reduction = reduce_dimensions(features, "__features", "__components", config.n_components)
     models.append(reduction.model)
     placed = with_projection(reduction.table, "__components")
@@ -341,7 +367,7 @@ def cluster_comments(
         trial_iterations=config.trial_iterations,
         finalists=config.finalists,
         layout_column="__spread",
-        partitions=config.partitions,
+        partitions=partitions,
     )
     if kmeans is None:
         single = placed.withColumn("cluster_label", F.lit(0))

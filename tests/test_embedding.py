@@ -169,6 +169,26 @@ def test_copies_of_few_texts(spark):
     assert sizes == [100, 200]
 
 
+@pytest.mark.parametrize("given", [None, "embedding"])
+def test_copies_are_dealt_to_all_tasks(spark, monkeypatch, given):
+    df = spark.range(4000).selectExpr(
+        "id AS comment_id",
+        "CASE WHEN id % 10 = 0 THEN concat('word ', id % 70) END AS text",
+        "array(CASE WHEN id % 10 = 0 THEN id % 70 ELSE 0 END / 10D, 1D) AS embedding",
+    )
+    seen, fit = [], embedding.best_kmeans
+
+    def watched(points, *args, **settings):
+        dealt = points.repartition(settings["partitions"], settings["layout_column"])
+        seen.extend(r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect())
+        return fit(points, *args, **settings)
+
+    monkeypatch.setattr(embedding, "best_kmeans", watched)
+    table = embedding.cluster_comments(df, vector_column=given, config=ClusterSettings(restarts=1, partitions=8)).table
+    assert table.count() == 4000 == sum(seen)
+    assert max(seen) < 1000
+
+
 @pytest.mark.parametrize("given", [None, "embedding"])
 def test_labels_do_not_depend_on_the_layout(spark, points, given):
     df, _ = points
