@@ -148,16 +148,20 @@ class LengthClass:
             wanted = np.unique(tables)
             place = {int(p): i for i, p in enumerate(wanted)}
             seen = np.empty((len(wanted), len(starts)), dtype="uint8")
-            at, ends = starts.copy(), starts + self.low
+            at, ends = starts.astype("int64"), starts + self.low
+            free = self.low  # before that step no walk is at its end
             for step in range(int(wanted[-1]) + 1):
-                if step < self.low:  # no walk is at its end yet
-                    char = padded[at]
+                if step == free:
+                    free += self.low - int((at - starts).max(initial=0))
+                if step < free:
+                    char = padded.take(at)
                 else:
-                    char = padded[np.minimum(at, ends)]
+                    char = padded.take(np.minimum(at, ends))
                     char[at >= ends] = 0
                 if step in place:
                     seen[place[step]] = char
-                at += coins[step][char]
+                # Widened beforehand, which is faster than an addition of unlike types.
+                at += coins[step].astype("int64").take(char)
             for table in tables:
                 key = np.full(len(starts), 7, dtype="uint64")
                 for p in table:
@@ -241,16 +245,17 @@ class Block:
             group.append(member)
         if group:
             self.classes.append(LengthClass(group, settings, settings["seed"] + len(self.classes)))
+        self.size = 1 << settings["cell_bits"]
         # q-grams of the items: for each q, tables in which every class has a bit of a cell.
         self.tables: list[tuple[int, np.ndarray, list[LengthClass]]] = []
         for q in sorted({c.q for c in self.classes}):
             own = [c for c in self.classes if c.q == q]
             for i in range(0, len(own), BITS):
-                cells = np.zeros(1 << settings["cell_bits"], dtype="uint16")
+                cells = np.zeros(self.size, dtype="uint16")
                 for bit, c in enumerate(own[i : i + BITS]):
                     grams = [self.cells(folded(item), q, len(cells)) for item in c.items]
                     c.index_grams(grams)
-                    c.cell_count, c.grams = len(cells), [g.tolist() for g in grams]
+                    c.grams = grams
                     cells[c.cells] |= np.uint16(1 << bit)
                 self.tables.append((q, cells, own[i : i + BITS]))
 
@@ -264,16 +269,17 @@ class Block:
 
     def likely(
         self, buffer: np.ndarray, begins: np.ndarray
-    ) -> Iterator[tuple[LengthClass, np.ndarray, np.ndarray]]:
+    ) -> Iterator[tuple[LengthClass, np.ndarray, np.ndarray, np.ndarray]]:
         """For each class the starts, where `begins` is true, of windows that hold enough q-grams of its items.
 
-        With each start, of which items the region around it holds enough.
+        Before them the cells of all q-grams of the buffer; with each start, of which items the region
+        around it holds enough.
         """
         for q, cells, classes in self.tables:
-            places = self.cells(buffer, q, len(cells))
-            marks = cells[places]
+            every = self.cells(buffer, q, len(cells))
+            marks = cells[every]
             marked = np.flatnonzero(marks)
-            marks, places = marks[marked], places[marked]
+            marks, places = marks[marked], every[marked]
             for bit, c in enumerate(classes):
                 own = (marks & np.uint16(1 << bit)) > 0
                 hits = marked[own]
@@ -284,7 +290,7 @@ class Block:
                 enough = c.possible(starts, hits, places[own])
                 some = enough.any(0)
                 if some.any():
-                    yield c, starts[some], enough[:, some]
+                    yield c, every, starts[some], enough[:, some]
 
     def matches(self, texts: list[str]) -> list[list[tuple]]:
         """Per normal text the matches: (item_id, from, to, edits, similarity)."""
@@ -296,7 +302,8 @@ class Block:
             buffer[at : at + len(c)] = folded(c)
         blank = folded(codes_of(" "))[0]
         begins = (buffer != blank) & (buffer != 0)
-        for c, *likely in self.likely(buffer, begins):
+        around = np.zeros(self.size, dtype=bool)
+        for c, every, *likely in self.likely(buffer, begins):
             done: dict[tuple[int, int], int] = {}
             for start, j in sorted(c.candidates(buffer, *likely)):
                 d = int(np.searchsorted(offsets, start, "right")) - 1
@@ -307,8 +314,11 @@ class Block:
                 begin = max(0, local - limit)
                 stop = min(len(codes[d]), local + length + 2 * limit)
                 here = int(offsets[d])
-                around = set(self.cells(buffer[here + begin : here + stop], c.q, c.cell_count).tolist())
-                if sum(map(around.__contains__, c.grams[j])) < length - c.q + 1 - c.q * limit:
+                region = every[here + begin : here + max(begin, stop - c.q + 1)]
+                around[region] = True
+                held = np.count_nonzero(around[c.grams[j]])
+                around[region] = False
+                if held < length - c.q + 1 - c.q * limit:
                     continue  # one q-gram over and over
                 edits, end = nearest(c.bits[j], length, texts[d][begin:stop])
                 if 0 < edits <= limit:

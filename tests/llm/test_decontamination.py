@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -200,3 +201,41 @@ def test_a_table_of_one_short_quotation(texts, benchmark):
     item = sentence(random.Random(12), 25)
     found = d.contaminated(texts((1, item[: len(item) // 3])), benchmark((7, item)))
     assert found.count() == 0
+
+
+def test_walks_read_what_a_single_walk_reads():
+    r = random.Random(3)
+    item, text = sentence(r, 14), sentence(r, 60)
+    settings = {
+        "max_edits": 0.1, "recall": 0.99, "agreement": 0.55, "positions": 5, "walks": 2, "cell_bits": 12, "seed": 42,
+    }
+    c = d.Block([(1, item)], settings).classes[0]
+    buffer, starts = d.folded(d.codes_of(text)), np.arange(0, 150, 7)
+    padded = np.append(buffer, np.repeat(buffer[-1:], c.low + 1)).tolist()
+
+    def key(coins, table, start):
+        seen, at = [], start
+        for step in range(2 * c.low):
+            seen.append(padded[at] if at < start + c.low else 0)
+            at += int(coins[step][seen[-1]])
+        key = 7
+        for p in table:
+            key = (key ^ seen[p]) * int(d.MULTIPLIER) % 2**64
+            key ^= key >> 29
+        return key
+
+    wanted = [[key(coins, table, s) for s in starts.tolist()] for coins, tables in c.walks for table in tables.tolist()]
+    assert [keys.tolist() for keys in c.keys(buffer, starts)] == wanted
+
+
+def test_q_grams_of_a_buffer_are_numbered_once(monkeypatch):
+    r = random.Random(5)
+    item = sentence(r, 12)
+    settings = {
+        "max_edits": 0.1, "recall": 0.99, "agreement": 0.55, "positions": 5, "walks": 3, "cell_bits": 21, "seed": 42,
+    }
+    block, calls, cells = d.Block([(1, item)], settings), [], d.Block.cells
+    monkeypatch.setattr(d.Block, "cells", staticmethod(lambda *given: calls.append(1) or cells(*given)))
+    found = block.matches([f"{sentence(r, 9)} {edited(r, item, i % 3)} end" for i in range(20)])
+    assert sum(map(len, found)) >= 18
+    assert len(calls) == len(block.tables)
