@@ -32,8 +32,8 @@ from chattermark.sources.staging import stage
 
 Encoder = Callable[[list[str]], "list[list[float]]"]
 
-#: Points that a task of a fit holds at most, on average.
-POINTS = 200_000
+#: Points that a task of a fit holds at most, on average; copies of one text or vector that go to one task.
+POINTS, COPIES = 200_000, 10_000
 
 
 def hashed_words(
@@ -284,6 +284,13 @@ def row_hash(df: DataFrame, column: Column) -> Column:
     return F.xxhash64(column, *plain)
 
 
+def spread_copies(df: DataFrame) -> DataFrame:
+    """`df` with `__spread`: `__same`, or `__own` where more than `COPIES` rows share their `__same`."""
+    many = df.groupBy("__same").count().where(F.col("count") > COPIES).select("__same", F.lit(True).alias("__many"))
+    spread = F.when(F.col("__many"), F.col("__own")).otherwise(F.col("__same"))
+    return df.join(many, "__same", "left").withColumn("__spread", spread).drop("__same", "__own", "__many")
+
+
 @dataclass(frozen=True)
 class ClusteredComments:
     """Comments with cluster label and projection, and the models behind them."""
@@ -319,17 +326,19 @@ def cluster_comments(
     """
     if text_column not in df.columns:
         raise ValueError(f"column {text_column!r} not found")
-    # Texts are read and split once; all fitting reads the staged vectors. Rows are dealt by all that
-    # they hold, as one text, or none, may be that of most comments.
+    # Texts are read and split once; all fitting reads the staged vectors. Copies go to
+    # one task only while they are few, as one text, or none, may be that of most comments.
     if vector_column:
         staged = stage(df, "vectors")
         without = staged.where(F.col(vector_column).isNull())
         staged = staged.where(F.col(vector_column).isNotNull())
         vectors = as_vectors(staged, vector_column, "__features")
-        vectors = vectors.withColumn("__spread", row_hash(df, vector_to_array("__features")))
+        values = vector_to_array("__features")
+        vectors = vectors.withColumns({"__same": F.xxhash64(values), "__own": row_hash(df, values)})
     else:
         tasks = max(config.partitions, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        dealt = df.withColumn("__spread", row_hash(df, F.col(text_column))).repartition(tasks, "__spread")
+        text = F.col(text_column)
+        dealt = df.withColumns({"__same": F.xxhash64(text), "__own": row_hash(df, text)}).repartition(tasks, "__own")
         staged = stage(hashed_words(dealt, text_column, "__counts", config.n_features), "counts")
         without = None
     output = [*df.columns, "cluster_label", "proj_x", "proj_y"]
@@ -351,7 +360,7 @@ def cluster_comments(
         vectors = project_words(weighted, "__weights", "__features", config.n_dimensions)
         vectors = vectors.drop("__counts", "__weights")
     # The same tasks hold the same rows whatever the machine; all steps below add up in that order.
-    features = vectors.repartition(partitions, "__spread").sortWithinPartitions("__spread")
+    features = spread_copies(vectors).repartition(partitions, "__spread").sortWithinPartitions("__spread")
     if not vector_column:
         features = stage(features, "features")
     reduction = reduce_dimensions(features, "__features", "__components", config.n_components)

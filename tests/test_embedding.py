@@ -184,6 +184,7 @@ def test_copies_are_dealt_to_all_tasks(spark, monkeypatch, given):
         return fit(points, *args, **settings)
 
     monkeypatch.setattr(embedding, "best_kmeans", watched)
+    monkeypatch.setattr(embedding, "COPIES", 50, raising=False)
     table = embedding.cluster_comments(df, vector_column=given, config=ClusterSettings(restarts=1, partitions=8)).table
     assert table.count() == 4000 == sum(seen)
     assert max(seen) < 1000
