@@ -11,8 +11,8 @@ candidate is then verified by exact edit distance.
 Windows begin at every character but blanks, so a text without blanks or a passage
 glued to other text loses none. A count filter leaves out those that can't match:
 `k` edits destroy at most `q k` of the q-grams of a passage, so a window must
-hold all others: of all items of its class, and of a single one around it. This
-loses nothing, and it spares nearly all windows the walk.
+hold all others: of all items of its class, and of a single one around it, where
+edits can have moved them. This loses nothing, and it spares nearly all windows the walk.
 
 Items are cut in classes of similar length, so a window has a defined size. The
 items go to all tasks in blocks of at most `block_chars` characters; each block
@@ -51,6 +51,7 @@ MATCH = T.StructType(
 GAP = 8  # zeros between documents, no fewer than the longest q-gram
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 BITS = 16
+STEP = 1 << 15  # q-grams numbered at once, which a processor's cache holds
 
 
 def normal(text: str | None) -> str:
@@ -170,8 +171,12 @@ class LengthClass:
                 yield key
 
     def index_grams(self, grams: list[np.ndarray]) -> None:
-        """Keep which cells of q-grams each item has."""
+        """Keep which cells of q-grams each item has, and the first and last place of each."""
         self.cells = np.unique(np.concatenate(grams))
+        self.spread = []
+        for own in grams:
+            cells, first = np.unique(own, return_index=True)
+            self.spread.append((cells, first, len(own) - 1 - np.unique(own[::-1], return_index=True)[1]))
         self.has = np.zeros((len(grams), len(self.cells)), dtype=bool)
         for row, own in zip(self.has, grams, strict=True):
             row[np.searchsorted(self.cells, own)] = True
@@ -194,22 +199,37 @@ class LengthClass:
     def possible(self, starts: np.ndarray, hits: np.ndarray, cells: np.ndarray) -> np.ndarray:
         """For each item and start whether the region around it holds enough of the item's q-grams.
 
-        `hits` are the places of q-grams of the class, `cells` their cells.
+        `hits` are the places of q-grams of the class, `cells` their cells. A passage in the region begins
+        between `limit` before the start and three times as much behind it, and edits move its q-grams by
+        `limit` more, so others don't count.
         """
         most = max(self.limits)
         before = np.searchsorted(starts, hits + most, "right") - 1
         near = (before >= 0) & (hits - starts[before] < self.high + 2 * most)
-        hits, ranks = hits[near], np.searchsorted(self.cells, cells[near])
+        hits, cells = hits[near], cells[near]
+        ranks = np.searchsorted(self.cells, cells)
         enough = np.zeros((len(self.items), len(starts)), dtype=bool)
         for j, limit in enumerate(self.limits):
-            length, own = len(self.items[j]), hits[self.has[j][ranks]]
+            held = self.has[j][ranks]
+            length, own = len(self.items[j]), hits[held]
             needed = length - self.q + 1 - self.q * limit
             if len(own) >= needed:
                 low = np.searchsorted(own, starts - limit)
                 high = np.searchsorted(own, starts + (length + 2 * limit - self.q + 1))
                 enough[j] = high - low >= needed
+                some = np.flatnonzero(enough[j])
+                if len(some):
+                    enough[j, some] = self.in_place(j, own, cells[held], starts[some]) >= needed
         return enough
 
+    def in_place(self, j: int, hits: np.ndarray, cells: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """How many of an item's q-grams may lie where a passage near each start has them."""
+        limit, (known, first, last) = self.limits[j], self.spread[j]
+        at = np.searchsorted(known, cells)
+        # Where the item would begin: of a q-gram that it repeats, anywhere between two places.
+        low, high = np.sort(hits - last[at]), np.sort(hits - first[at])
+        return np.searchsorted(low, starts + 4 * limit, "right") - np.searchsorted(high, starts - 2 * limit)
+
     def candidates(self, buffer: np.ndarray, starts: np.ndarray, enough: np.ndarray) -> set[tuple[int, int]]:
         """(start, index of an item) of windows that share a bin with an item which is `enough` there."""
         found = [np.empty(0, dtype="int64")]
@@ -264,22 +284,31 @@ class Block:
         """The cell of the q-gram at every position that has one."""
         padded = np.concatenate([buffer, np.zeros(8, dtype="uint8")])
         grams = np.ndarray((max(0, len(buffer) - q + 1),), dtype="<u8", buffer=padded, strides=(1,))
-        hashed = (grams << np.uint64(8 * (8 - q))) * MULTIPLIER
-        return (hashed >> np.uint64(64 - size.bit_length() + 1)).astype("int64")
+        hashed = grams << np.uint64(8 * (8 - q))
+        hashed *= MULTIPLIER
+        hashed >>= np.uint64(64 - size.bit_length() + 1)
+        return hashed.view("int64")
+
+    def marked(self, buffer: np.ndarray, q: int, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The places of the q-grams of the buffer that items may hold, and their cells."""
+        found = [np.empty((2, 0), dtype="int64")]
+        for at in range(0, len(buffer) - q + 1, STEP):
+            every = self.cells(buffer[at : at + STEP + q - 1], q, len(cells))
+            hits = np.flatnonzero(cells.take(every))
+            found.append(np.stack([hits + at, every[hits]]))
+        return tuple(np.concatenate(found, 1))
 
     def likely(
         self, buffer: np.ndarray, begins: np.ndarray
-    ) -> Iterator[tuple[LengthClass, np.ndarray, np.ndarray, np.ndarray]]:
+    ) -> Iterator[tuple[LengthClass, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """For each class the starts, where `begins` is true, of windows that hold enough q-grams of its items.
 
-        Before them the cells of all q-grams of the buffer; with each start, of which items the region
-        around it holds enough.
+        Before them the places of all q-grams that items may hold, and their cells; with each start, of which
+        items the region around it holds enough.
         """
         for q, cells, classes in self.tables:
-            every = self.cells(buffer, q, len(cells))
-            marks = cells[every]
-            marked = np.flatnonzero(marks)
-            marks, places = marks[marked], every[marked]
+            marked, places = self.marked(buffer, q, cells)
+            marks = cells[places]
             for bit, c in enumerate(classes):
                 own = (marks & np.uint16(1 << bit)) > 0
                 hits = marked[own]
@@ -290,7 +319,7 @@ class Block:
                 enough = c.possible(starts, hits, places[own])
                 some = enough.any(0)
                 if some.any():
-                    yield c, every, starts[some], enough[:, some]
+                    yield c, marked, places, starts[some], enough[:, some]
 
     def matches(self, texts: list[str]) -> list[list[tuple]]:
         """Per normal text the matches: (item_id, from, to, edits, similarity)."""
@@ -303,7 +332,7 @@ class Block:
         blank = folded(codes_of(" "))[0]
         begins = (buffer != blank) & (buffer != 0)
         around = np.zeros(self.size, dtype=bool)
-        for c, every, *likely in self.likely(buffer, begins):
+        for c, marked, places, *likely in self.likely(buffer, begins):
             done: dict[tuple[int, int], int] = {}
             for start, j in sorted(c.candidates(buffer, *likely)):
                 d = int(np.searchsorted(offsets, start, "right")) - 1
@@ -314,7 +343,8 @@ class Block:
                 begin = max(0, local - limit)
                 stop = min(len(codes[d]), local + length + 2 * limit)
                 here = int(offsets[d])
-                region = every[here + begin : here + max(begin, stop - c.q + 1)]
+                first, last = np.searchsorted(marked, [here + begin, here + max(begin, stop - c.q + 1)])
+                region = places[first:last]
                 around[region] = True
                 held = np.count_nonzero(around[c.grams[j]])
                 around[region] = False

@@ -239,3 +239,41 @@ def test_q_grams_of_a_buffer_are_numbered_once(monkeypatch):
     found = block.matches([f"{sentence(r, 9)} {edited(r, item, i % 3)} end" for i in range(20)])
     assert sum(map(len, found)) >= 18
     assert len(calls) == len(block.tables)
+
+
+def test_q_grams_count_only_where_a_passage_has_them():
+    r = random.Random(13)
+    parts = ["".join(r.choice(LETTERS[:26]) for _ in range(30)) for _ in range(10)]
+    item, turned = "".join(parts), "".join(parts[::-1])
+    settings = {
+        "max_edits": 0.05, "recall": 0.99, "agreement": 0.55, "positions": 5, "walks": 3, "cell_bits": 21, "seed": 42,
+    }
+    block = d.Block([(1, item)], settings)
+
+    def walked(text):
+        buffer = np.concatenate([np.zeros(400, "uint8"), d.folded(d.codes_of(text)), np.zeros(400, "uint8")])
+        return sum(len(found[-2]) for found in block.likely(buffer, buffer != 0))
+
+    # Enough of the q-grams, but none near its place but those of two parts.
+    assert walked(turned) == 0
+    assert 0 < walked(item) <= 6 * 15 + 1
+    for edits in range(16):
+        text = sentence(r, 9) + edited(r, item, edits) + sentence(r, 9)
+        assert [m[0] for m in block.matches([text])[0]] == [1]
+
+
+def test_q_grams_are_marked_across_steps(monkeypatch):
+    r = random.Random(14)
+    item = sentence(r, 20)
+    settings = {
+        "max_edits": 0.1, "recall": 0.99, "agreement": 0.55, "positions": 5, "walks": 3, "cell_bits": 21, "seed": 42,
+    }
+    block = d.Block([(1, item)], settings)
+    q, cells, _ = block.tables[0]
+    buffer = d.folded(d.codes_of(f"{sentence(r, 9)} {item} {sentence(r, 9)} {item * 2}"))
+    every = d.Block.cells(buffer, q, len(cells))
+    monkeypatch.setattr(d, "STEP", 7)
+    for n in [*range(q + 2), len(buffer)]:
+        places, found = block.marked(buffer[:n], q, cells)
+        assert places.tolist() == np.flatnonzero(cells[every[: max(0, n - q + 1)]]).tolist()
+        assert found.tolist() == every[places].tolist()
