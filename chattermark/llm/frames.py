@@ -12,13 +12,13 @@ BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 MOST_BATCH_BYTES = 4 << 20
 
 
-def bound_batches(spark: SparkSession) -> None:
-    """Let Python tasks of this session get rows in batches of four megabytes at most.
+def bound_batches(spark: SparkSession, most: int = MOST_BATCH_BYTES) -> None:
+    """Let Python tasks of this session get rows in batches of `most` bytes, four megabytes by default.
 
     Batches are bounded by rows otherwise, and ten thousand long texts are many
     megabytes, of which a worker holds several copies.
     """
-    spark.conf.set(BATCH_BYTES, str(MOST_BATCH_BYTES))
+    spark.conf.set(BATCH_BYTES, str(most))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -61,8 +61,8 @@ FEWEST_CELLS, MOST_CELLS = 6, 16
 HUBS = 4
 #: Nodes that are compared by parity with all nodes of a block of theirs.
 BLOCK, ACROSS = 1000, 4000
-#: Rows of a task that compares by parity, and bytes of parities it holds side by side.
-NEAR_ROWS, NEAR_BYTES = 100_000, 1 << 22
+#: Rows of a task that compares by parity, shares of them held at once, and bytes of parities side by side.
+NEAR_ROWS, NEAR_SHARES, NEAR_BYTES = 100_000, 8, 1 << 20
 #: Sets compared with a hub in one task.
 MEMBERS = 500
 #: Rows of which a task holds texts and sets at once.
@@ -269,7 +269,7 @@ def near_in_cells(percent: int, nearest: bool):
         component, leads = rows["component"].to_numpy(), rows["leads"].to_numpy(dtype=bool)
         cell = rows["cell"].to_numpy()
         after = np.searchsorted(cell, cell, "right") - 1 - np.arange(len(cell))
-        out = [np.empty((0, 3), dtype="int64")]
+        out = [np.empty((2, 0), dtype="int64")]
         at, distance = np.arange(len(cell)), 0
         while True:
             distance += 1
@@ -281,14 +281,19 @@ def near_in_cells(percent: int, nearest: bool):
             left, right = number[i], number[i + distance]
             apart = parities.apart(left, right)
             kept = apart >= 0
-            out.append(np.stack([left[kept], right[kept], apart[kept]], 1))
-        pairs = np.unique(np.concatenate([np.concatenate(out), np.concatenate(out)[:, [1, 0, 2]]]), axis=0)
+            left, right = left[kept], right[kept]
+            # A pair as one number, the smaller one first.
+            out.append(np.stack([np.minimum(left, right) * len(found) + np.maximum(left, right), apart[kept]]))
+        pairs, apart = np.concatenate(out, 1)
+        pairs, first = np.unique(pairs, return_index=True)
+        apart = apart[first]
+        hub, node = np.divmod(pairs, max(1, len(found)))
         if nearest:
-            pairs = pairs[np.lexsort((pairs[:, 0], pairs[:, 2], pairs[:, 1]))]
-            pairs = pairs[np.diff(pairs[:, 1], prepend=-1) != 0]
-        else:
-            pairs = pairs[pairs[:, 0] < pairs[:, 1]]
-        return pd.DataFrame({"hub": found[pairs[:, 0]], "node": found[pairs[:, 1]], "apart": pairs[:, 2]})
+            hub, node, apart = np.append(hub, node), np.append(node, hub), np.append(apart, apart)
+            order = np.lexsort((hub, apart, node))
+            order = order[np.diff(node[order], prepend=-1) != 0]
+            hub, node, apart = hub[order], node[order], apart[order]
+        return pd.DataFrame({"hub": found[hub], "node": found[node], "apart": apart})
 
     return near
 
@@ -326,11 +331,11 @@ def near_pairs(opened: DataFrame, nodes: DataFrame, percent: int, nearest: bool
         ).union(cell(large, every("blocks"), one("others", 2), False))
     rows = stage(small, "cells")
     spark = rows.sparkSession
-    shares = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // NEAR_ROWS))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // NEAR_ROWS))
     dealt = (
         with_parity(rows, nodes)
-        .withColumn("share", F.pmod("cell", F.lit(shares)))
-        .repartition(shares, "share")
+        .withColumn("share", F.pmod("cell", F.lit(tasks * NEAR_SHARES)))
+        .repartition(tasks, "share")
         .groupBy("share")
         .applyInPandas(near_in_cells(percent, nearest), "hub long, node long, apart long")
     )

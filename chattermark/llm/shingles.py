@@ -13,7 +13,7 @@ EMPTY = np.empty(0, dtype="uint64")
 BLANKS = b"\t\n\x0b\x0c\r "
 #: Longer words are hashed one by one; sums over powers are too regular for them.
 LONG_WORD = 64
-PIECE = 1 << 19
+PIECE = 1 << 17
 
 
 def lowered_words(text: str | None) -> list[bytes]:
@@ -82,7 +82,7 @@ def _hashed(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_hashes(texts: Iterable[str | None]) -> Iterator[np.ndarray]:
-    """For each text the 64-bit hashes of its words, in order. Works on about a megabyte at a time."""
+    """For each text the 64-bit hashes of its words, in order. Works on some hundred kilobytes at a time."""
     waiting: list[bytes] = []
     size = 0
     for text in texts:

@@ -1,12 +1,14 @@
 """Groups against all pairs compared by brute force."""
 
 import random
+import tracemalloc
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from chattermark.llm import cells, jaccardjoin
+from chattermark.llm import cells, jaccardjoin, shingles
 from chattermark.llm.components import components
 from chattermark.llm.jaccardjoin import keep_one_of_each, prefix_length, similar_groups
 from chattermark.llm.shingles import lowered_words, shingle_sets, word_hashes
@@ -219,3 +221,55 @@ def test_blocks_of_large_buckets_are_compared_whole(texts, monkeypatch):
         words = [f"g{g}w{i}" for i in range(100)]
         rows += [(len(rows) + i, " ".join(edited(r, words, r.choice([0.01, 0.03, 0.05])))) for i in range(20)]
     assert found_groups(texts(*rows)) == plain_groups(rows, 4, 85)
+
+
+def test_word_hashes_hold_little_at_once(monkeypatch):
+    monkeypatch.setattr(shingles, "POWERS", shingles.Powers())
+    text = " ".join(f"word{i}" for i in range(200))
+    tracemalloc.start()
+    try:
+        assert sum(len(h) for h in word_hashes(text for _ in range(2000))) == 200 * 2000
+        assert tracemalloc.get_traced_memory()[1] < 16 << 20
+    finally:
+        tracemalloc.stop()
+
+
+@pytest.mark.parametrize("nearest", [False, True])
+def test_pairs_of_cells_are_those_of_brute_force(nearest):
+    r = random.Random(9)
+    base = [r.sample(range(2000), 60) for _ in range(4)]
+    sets = [np.sort(np.array(r.choice(base)[: r.randrange(54, 61)] + r.sample(range(2000, 9000), 3), dtype="uint64")) for _ in range(40)]
+    parities = [jaccardjoin.parity(s, 80) for s in sets]
+    rows = pd.DataFrame(
+        [(c, 100 + i, 0, r.random() < 0.7, len(sets[i]), parities[i]) for c in range(6) for i in r.sample(range(40), 25)],
+        columns=["cell", "node", "component", "leads", "n", "parity"],
+    )
+    rows["component"] = rows["node"] % 5
+    both = jaccardjoin.Parities(parities, np.array([len(s) for s in sets]), 80)
+    wanted = {}
+    for _, own in rows.groupby("cell"):
+        for a in own.itertuples():
+            for b in own.itertuples():
+                apart = int(both.apart(np.array([a.node - 100]), np.array([b.node - 100]))[0])
+                if a.node < b.node and a.component != b.component and (a.leads or b.leads) and apart >= 0:
+                    wanted[a.node, b.node] = apart
+    assert len(wanted) > 40
+    found = jaccardjoin.near_in_cells(80, nearest)(rows.sample(frac=1, random_state=1))
+    given = [(x.hub, x.node, x.apart) for x in found.itertuples()]
+    if not nearest:
+        assert sorted((min(a, b), max(a, b), apart) for a, b, apart in given) == sorted((*x, n) for x, n in wanted.items())
+        return
+    least = {}
+    for (a, b), apart in wanted.items():
+        for x in (a, b):
+            least[x] = min(least.get(x, apart), apart)
+    assert {node: apart for _, node, apart in given} == least and len(given) == len(least)
+    assert all(wanted[min(a, b), max(a, b)] == apart for a, b, apart in given)
+
+
+def test_no_rows_of_cells_make_no_pairs():
+    rows = pd.DataFrame({c: [] for c in ("cell", "node", "component", "leads", "n", "parity")})
+    one = pd.DataFrame({"cell": [1], "node": [2], "component": [2], "leads": [True], "n": [9], "parity": [bytes(8)]})
+    for given in (rows.astype({"node": "int64", "cell": "int64"}), one):
+        for nearest in (False, True):
+            assert len(jaccardjoin.near_in_cells(80, nearest)(given)) == 0
