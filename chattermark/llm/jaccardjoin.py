@@ -352,20 +352,19 @@ def similar(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(left) + len(right) - common)
 
 
-def id_filter(keys: DataFrame, bits: int) -> np.ndarray:
-    """Which of 2 ** `bits` cells hold a key. Of fixed size; a full one filters nothing."""
+def may_be_among(rows: DataFrame, keys: DataFrame, bits: int) -> DataFrame:
+    """`rows` without most of those whose key is not in `keys`; both have a `key`, which is never null.
 
-    def marked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(1 << bits, dtype="int64")
-        for batch in batches:
-            total[key_cells(batch["key"].to_numpy(), bits)] = 1
-        yield cells.packed_blocks(total)
-
-    return cells.gathered(keys.select("key").mapInPandas(marked, cells.SCHEMA), 1 << bits) > 0
+    A row stays if its cell of 2 ** `bits` holds a key. The cells, 64 to a number, are a table of fixed size; full, it filters nothing.
+    """
 
+    def placed(frame: DataFrame) -> DataFrame:
+        cell = F.pmod(F.xxhash64("key"), F.lit(1 << bits))
+        return frame.withColumn("word", F.floor(cell / 64)).withColumn("place", F.pmod(cell, F.lit(64)).cast("int"))
 
-def key_cells(keys: np.ndarray, bits: int) -> np.ndarray:
-    return (mixed(keys.astype("int64").view("uint64")) >> np.uint64(64 - bits)).astype("int64")
+    held = placed(keys.select("key")).groupBy("word").agg(F.expr("bit_or(shiftleft(1L, place))").alias("held"))
+    found = placed(rows).join(F.broadcast(held), "word").where(F.getbit("held", "place") == 1)
+    return found.select(*rows.columns)
 
 
 def with_sets(rows: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -386,7 +385,8 @@ def verified(
     Sets are made again from one document of each node, and those to be compared
     with a hub are sent to it, in portions of `MEMBERS`, each with the hub's set.
     Texts that are not wanted are left out by a filter of fixed size before the
-    shuffle, and by the join behind it.
+    shuffle, and by the join behind it. The filter is no Python, as a task holds a
+    worker for each of the Python operators it chains, and executors keep them.
     """
     pairs = stage(pairs, "pairs")
     portions = pairs.groupBy("hub").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("portions"))
@@ -402,11 +402,6 @@ def verified(
     no_id = F.lit(-(2**63))
     first = nodes.groupBy("node").agg(F.coalesce(F.min("doc_id"), no_id).alias("key"))
     wanted = stage(members.union(hubs).join(first, "node"), "wanted")
-    shared = documents.sparkSession.sparkContext.broadcast(id_filter(wanted, filter_bits))
-
-    @F.pandas_udf("boolean")
-    def may_be_wanted(keys: pd.Series) -> pd.Series:
-        return pd.Series(shared.value[key_cells(keys.to_numpy(), filter_bits)])
 
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -422,7 +417,7 @@ def verified(
 
     texts = documents.select(F.coalesce(F.col("doc_id").cast("long"), no_id).alias("key"), "text")
     return (
-        texts.where(may_be_wanted("key"))
+        may_be_among(texts, wanted, filter_bits)
         .join(wanted, "key")
         .select("hub", "node", "portion", "leads", "text")
         .mapInPandas(made, "hub long, node long, portion int, leads int, shingles binary")

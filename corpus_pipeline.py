@@ -28,7 +28,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group with a similarity of 0.8 over shingles of five words."""
-    bound_batches(spark, 1 << 20)  # up to four workers of an executor hold batches at once
+    bound_batches(spark, 1 << 20)  # all workers of an executor hold batches at once
     return jaccardjoin.keep_one_of_each(docs, k=5, percent=80).select(*docs.columns)
 
 

@@ -1,6 +1,7 @@
 """Groups against all pairs compared by brute force."""
 
 import random
+import re
 import tracemalloc
 
 import numpy as np
@@ -273,3 +274,27 @@ def test_no_rows_of_cells_make_no_pairs():
     for given in (rows.astype({"node": "int64", "cell": "int64"}), one):
         for nearest in (False, True):
             assert len(jaccardjoin.near_in_cells(80, nearest)(given)) == 0
+
+
+def test_filter_of_keys_keeps_all_that_are_wanted(spark):
+    wanted = [-(2**63), -5, 0, 7, 7, 64, 2**40, 2**63 - 1]
+    rows = [(k, f"t{k}") for k in [*wanted, *range(1000, 6000)]]
+    keys, given = spark.createDataFrame([(k,) for k in wanted], "key long"), spark.createDataFrame(rows, "key long, text string")
+    for bits, most in ((16, 30), (8, 300), (3, len(rows))):
+        found = [tuple(r) for r in jaccardjoin.may_be_among(given, keys, bits).collect()]
+        assert set(found) <= set(rows) and len(found) <= len(wanted) + most
+        assert sorted(k for k, _ in found if k not in range(1000, 6000)) == sorted(wanted)
+    assert jaccardjoin.may_be_among(given, keys.limit(0), 16).count() == 0
+
+
+def test_no_task_chains_python_operators_on_texts(texts):
+    docs = texts(*[(i, " ".join(f"g{i % 3}w{j}" for j in range(60)) + f" x{i}") for i in range(9)])
+    nodes = jaccardjoin.document_sets(docs, 4, 85, 10).where("node is not null").select("doc_id", "n_shingles", "node")
+    pairs = nodes.alias("l").join(nodes.alias("r"), F.col("l.doc_id") + 3 == F.col("r.doc_id")).select(
+        F.col("l.node").alias("hub"), F.col("r.node").alias("node")
+    )
+    found = jaccardjoin.verified(pairs, docs, nodes, k=4, percent=85)
+    assert found.count() == 6
+    # A task holds a worker for each Python operator of its stage, and an executor keeps them all.
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert re.findall(r"\w+InPandas|\w+EvalPython", plan) == ["FlatMapGroupsInPandas", "MapInPandas"]
