@@ -307,7 +307,7 @@ def mean_pooling(spark, sf_dir):
 
 
 def vector_similar_pairs(spark, sf_dir):
-    """All vectors and a shifted copy of each: pairs within 0.065, all of them found.
+    """All vectors and a shifted copy of each: pairs within 0.065, all of them found, equal vectors included.
 
     The copy's component number `vec_id % 64` is larger by 0.01 to 0.1.
     """
@@ -317,7 +317,7 @@ def vector_similar_pairs(spark, sf_dir):
     moved = F.transform("v", lambda x, i: F.when(i + 1 == at, x + step).otherwise(x))
     shifted = vectors.withColumn("v", moved).withColumn("vec_id", -F.col("vec_id") - 1)
     both = vectors.unionByName(shifted)
-    pairs = similar.similar_pairs(both, 0.065, vector_column="v", most=512)
+    pairs = similar.similar_pairs(both, 0.065, vector_column="v", most=512, copies=True)
     return _rounded(pairs, "distance", places=4)
 
 

@@ -16,8 +16,10 @@ returned has its exact distance.
 * Blocks. What no line cuts, vectors that all lie within a few distances of each other, is compared block by
   block, `most` rows in a task's memory. Nothing is capped or sampled.
 
-Equal vectors are one class before all that: pairs are those of class representatives (the smallest
-id), and `vector_classes` has the membership, so copies are never expanded into pairs.
+Equal vectors are one class before all that, and classes are what is compared. Pairs are those of
+class representatives (the smallest id), with the membership in `vector_classes`; or, with `copies`, those
+of all rows, equal vectors included, as many as there are. Members are then dealt to chunks of
+`CHUNK` ids, and pairs of chunks are expanded in the tasks, so a class of any size fits.
 
 Vectors that are null or hold a null, NaN or infinite component, and rows without an id, have
 no pairs and no class. All vectors must have one length.
@@ -42,6 +44,8 @@ from chattermark.sources.staging import stage
 MOST = 2048
 DIRECTIONS = 16
 BLOCK = 512
+CHUNK = 256
+FOUND = ("x", "y", "a", "b", "n_x", "n_y", "distance")
 
 
 def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
@@ -70,6 +74,12 @@ def _representatives(rows: DataFrame) -> DataFrame:
     return rows.groupBy("vector").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("n_members"))
 
 
+def _names(vector: str = "vector") -> list:
+    """128 bits that name a vector, the same for 0 and -0."""
+    values = F.transform(vector, lambda x: x + 0.0)
+    return [F.xxhash64(values).alias("name_1"), F.xxhash64(F.lit(1), values).alias("name_2")]
+
+
 def vector_classes(
     vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding"
 ) -> DataFrame:
@@ -112,7 +122,7 @@ def _placed(
 
     bucket = buckets("vector") if projections else F.array_repeat(F.lit(0).cast("long"), 1)
     orthogonal = F.least(F.size("vector"), F.lit(directions)).alias("orthogonal")
-    return classes.select("id", "vector", places("vector").alias("places"), bucket.alias("buckets"), orthogonal)
+    return classes.select("*", places("vector").alias("places"), bucket.alias("buckets"), orthogonal)
 
 
 def _list_array(rows: np.ndarray, kind: pa.DataType) -> pa.Array:
@@ -203,17 +213,15 @@ def _within(distance: float):
             if len(cell) > 1 and cell["home"].any():
                 found += _pairs_of_cell(cell, distance)
         if not found:
-            return pd.DataFrame({"x": [], "y": [], "distance": []})
-        return pd.DataFrame(
-            {name: np.concatenate(part) for name, part in zip(("x", "y", "distance"), zip(*found), strict=True)}
-        )
+            return pd.DataFrame({name: [] for name in FOUND})
+        return pd.DataFrame({name: np.concatenate(part) for name, part in zip(FOUND, zip(*found), strict=True)})
 
     return pairs
 
 
-def _pairs_of_cell(cell: pd.DataFrame, distance: float) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _pairs_of_cell(cell: pd.DataFrame, distance: float) -> list[tuple[np.ndarray, ...]]:
     cell = cell.sort_values("home", ascending=False, kind="stable")
-    ids = cell["id"].to_numpy()
+    ids, named, members = (cell[c].to_numpy() for c in ("id", "class_id", "n_members"))
     home = cell["home"].to_numpy(dtype=bool)
     block = cell["block"].to_numpy()
     mixed = bool(cell["mixed"].iloc[0])
@@ -237,10 +245,52 @@ def _pairs_of_cell(cell: pd.DataFrame, distance: float) -> list[tuple[np.ndarray
             exact = np.sqrt(((rows[i] - rows[j]) ** 2).sum(1))
             near = exact <= distance
             i, j, exact = i[near], j[near], exact[near]
-            out.append((np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j]), exact))
+            i, j = np.where(ids[i] < ids[j], (i, j), (j, i))
+            out.append((ids[i], ids[j], named[i], named[j], members[i], members[j], exact))
     return out
 
 
+def _chunks_of(number: str):
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(number) - 1) / CHUNK)))
+
+
+def _expanded(found: DataFrame, placed: DataFrame, rows: DataFrame) -> DataFrame:
+    """(id_a, id_b, distance) of the members of classes that are pairs, and of each class of several."""
+    several = placed.where("n_members > 1").select(F.col("id").alias("key"), "class_id", "n_members", *_names())
+    members = rows.select("id", *_names()).join(several, ["name_1", "name_2"])
+    # Copies of a row have one id, so rows of one id are told apart by nothing, and any deal of them will do.
+    n_chunks = F.floor((F.col("n_members") - 1) / CHUNK) + 1
+    chunks = members.groupBy("key", F.pmod(F.xxhash64("id"), n_chunks).alias("chunk")).agg(
+        F.collect_list("id").alias("ids")
+    )
+
+    lone = found.where("n_x = 1 AND n_y = 1").select("a", "b", "distance")
+    itself = several.select(
+        F.col("key").alias("x"), F.col("key").alias("y"), F.col("class_id").alias("a"), F.col("class_id").alias("b"),
+        F.col("n_members").alias("n_x"), F.col("n_members").alias("n_y"), F.lit(0.0).alias("distance"),
+    )
+    met = (
+        found.where("n_x > 1 OR n_y > 1")
+        .unionByName(itself)
+        .withColumn("chunk_x", _chunks_of("n_x"))
+        .withColumn("chunk_y", _chunks_of("n_y"))
+        .where("x != y OR chunk_x <= chunk_y")
+    )
+    tasks = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = met.repartition(tasks, "x", "chunk_x", "y", "chunk_y")
+    for side, id_of in (("x", "a"), ("y", "b")):
+        of_side = chunks.select(F.col("key").alias(side), F.col("chunk").alias(f"chunk_{side}"), F.col("ids").alias("ids"))
+        ids = F.coalesce("ids", F.when(F.col(f"n_{side}") == 1, F.array(id_of)))
+        met = met.join(of_side, [side, f"chunk_{side}"], "left").withColumn(f"ids_{side}", ids).drop("ids")
+    twice = (F.col("x") == F.col("y")) & (F.col("chunk_x") == F.col("chunk_y"))
+    each = (
+        met.select("ids_y", "distance", twice.alias("twice"), F.explode("ids_x").alias("a"))
+        .select("a", "distance", "twice", F.explode("ids_y").alias("b"))
+        .where("a < b OR NOT twice")
+    )
+    return lone.unionByName(each.select("a", "b", "distance"))
+
+
 def similar_pairs(
     vectors: DataFrame,
     distance: float,
@@ -253,11 +303,14 @@ def similar_pairs(
     directions: int = DIRECTIONS,
     most: int = MOST,
     seed: int = 42,
+    copies: bool = False,
 ) -> DataFrame:
     """(id_a, id_b, distance) of all pairs of different vectors within `distance`, smaller id first.
 
+    With `copies`, of all pairs of rows with different ids, equal vectors and rows that come twice included.
+
     `width` is eight distances unless given. All pairs are found if `projections` is 0; else a pair
-    is found with a chance that `expected_recall` gives.
+    of different vectors is found with a chance that `expected_recall` gives.
     """
     if distance < 0 or (projections and tables < 1):
         raise ValueError("distance must not be negative, and projections need a table")
@@ -265,21 +318,27 @@ def similar_pairs(
     reach = distance * (1 + 1e-9) + 1e-12
     width = width or 8 * reach
     rows = usable(vectors, id_column, vector_column)
-    classes = _representatives(rows).select(F.col("class_id").alias("id"), "vector")
+    classes = _representatives(rows).withColumn("id", F.monotonically_increasing_id())
     placed = stage(_placed(classes, directions, tables, projections, width, seed), "placed-vectors")
     cells = stage(_cells(placed, reach, directions, most), "vector-cells")
     shares = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-cells.count() // most))
     compared = (
-        cells.join(placed.select("id", "vector"), "id")
+        cells.join(placed.select("id", "vector", "class_id", "n_members"), "id")
         .withColumn("share", F.pmod("cell", F.lit(shares)))
         .repartition(shares, "share")
     )
-    kind = placed.schema["id"].dataType.simpleString()
+    kind = placed.schema["class_id"].dataType.simpleString()
     found = compared.groupBy("share").applyInPandas(
-        _within(distance), f"x {kind}, y {kind}, distance double"
+        _within(distance), f"x long, y long, a {kind}, b {kind}, n_x long, n_y long, distance double"
+    )
+    if projections and tables > 1:
+        found = found.distinct()
+    pairs = found
+    if copies and not placed.where("n_members > 1").isEmpty():
+        pairs = _expanded(stage(found, "class-pairs"), placed, rows)
+    return pairs.where("a != b").select(
+        F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b"), "distance"
     )
-    pairs = found.select(F.col("x").alias("id_a"), F.col("y").alias("id_b"), "distance")
-    return pairs.distinct() if projections and tables > 1 else pairs
 
 
 def expected_recall(distance: float, width: float, tables: int, projections: int) -> float:

@@ -134,3 +134,47 @@ def test_guests_along_several_lines_are_within_one_distance_in_all(spark):
     assert found == {(int(i), int(j)) for i, j in zip(*np.nonzero(gaps <= 0.2), strict=True) if i < j}
     assert len(found) >= 30
     assert made[0].count() < 2.6 * len(points)
+
+
+def pairs_of_all_rows(rows, distance):
+    """By comparing all rows, as often as they come."""
+    return sorted(
+        (i, j)
+        for i, v in rows
+        for j, w in rows
+        if i < j and np.sqrt(((np.array(v) - np.array(w)) ** 2).sum()) <= distance
+    )
+
+
+@pytest.mark.parametrize("most", [8, 10_000])
+def test_copies_have_all_their_pairs(spark, monkeypatch, most):
+    monkeypatch.setattr(similar, "CHUNK", 7)
+    rng = np.random.default_rng(4)
+    points = rng.normal(size=(12, 3))
+    points[6:] = points[:6] + 0.03
+    # Some vectors once, some several times, one forty times; ids that two rows or two vectors share.
+    rows = [(n, points[n % 12].tolist()) for n in range(30)] + [(100 + n, points[3].tolist()) for n in range(40)]
+    rows += [(5, points[5].tolist()), (7, points[2].tolist()), (8, points[2].tolist()), (200, [0.0, 50.0, 0.0]), (201, [-0.0, 50.0, 0.0])]
+    table = spark.createDataFrame(rows, SCHEMA)
+    got = similar.similar_pairs(table, 0.1, most=most, copies=True).collect()
+    expected = pairs_of_all_rows(rows, 0.1)
+    assert sorted((r.id_a, r.id_b) for r in got) == expected
+    assert (200, 201) in expected and len(expected) > 1000
+    vector = dict(rows[:30])
+    assert all(abs(r.distance - np.linalg.norm(np.subtract(vector[r.id_a], vector[r.id_b]))) < 1e-12
+               for r in got if r.id_b < 30 and r.id_a not in (5, 7, 8) and r.id_b not in (5, 7, 8))
+    assert {r.distance for r in got if r.id_a >= 100} == {0.0}
+
+
+def test_query_finds_the_pairs_of_equal_vectors(spark, tmp_path):
+    import __spark_entry__
+
+    rng = np.random.default_rng(6)
+    points = rng.normal(size=(5, 64))
+    rows = [(n, points[n % 5].tolist(), 0) for n in range(20)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    table.write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = __spark_entry__.vector_similar_pairs(spark, str(tmp_path)).collect()
+    both = [(i, np.array(v, dtype="float32").astype(float)) for i, v, _ in rows]
+    both += [(-i - 1, v + np.eye(64)[i % 64] * (i % 10 + 1) / 100) for i, v in both]
+    assert sorted((r.id_a, r.id_b) for r in got) == pairs_of_all_rows(both, 0.065)
