@@ -7,14 +7,17 @@ returned has its exact distance.
   hash tables: a bucket is where `projections` random lines, cut into pieces of `width`, agree. Each
   pair has `tables` chances to meet; more tables find more, more projections compare less.
   With no projections there is one bucket, and nothing is lost.
-* Splits. A bucket of more than `most` rows is cut along one of `directions` orthogonal
+* Splits. A bucket of more rows than a task holds is cut along one of `directions` orthogonal
   lines into pieces of four distances. Along a line two vectors are never farther apart than they
   are, so a pair lies in one piece or in adjoining ones; a row near the lower edge of its piece
   is also a guest of the piece below. A split therefore loses no pair and finds none twice. Pieces
   still too large are cut along the next line. Guests are few, as a piece is four distances long, and
   as the lines are orthogonal: the squares of all the ways a guest has gone from its piece add up to the square of one distance at most.
 * Blocks. What no line cuts, vectors that all lie within a few distances of each other, is compared block by
-  block, `most` rows in a task's memory. Nothing is capped or sampled.
+  block. Nothing is capped or sampled.
+* Tasks. What a task holds it cuts on in memory, in the same way, until pieces have `most` rows, and
+  compares those. There a guest costs a number, between tasks a whole vector; so tasks hold as much
+  as `HELD` bytes of vectors, or a sixteenth of all, and vectors move few times.
 
 Equal vectors are one class before all that, and classes are what is compared. Pairs are those of
 class representatives (the smallest id), with the membership in `vector_classes`; or, with `copies`, those
@@ -25,26 +28,31 @@ Vectors that are null or hold a null, NaN or infinite component, and rows withou
 no pairs and no class. All vectors must have one length.
 
 Shuffles: distinct vectors once, then only numbers along the lines while cells are cut, and the
-vectors once more to their cells. Row counts are all the driver sees.
+vectors once more to their cells, as often as they are guests. Row counts and the largest component are all the driver sees.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chattermark.functions.vectors import as_matrix
-from chattermark.sources.staging import stage
+from chattermark.sources.staging import new_folder, run_folder, stage, stage_at
 
 MOST = 2048
 DIRECTIONS = 16
 BLOCK = 512
 CHUNK = 256
+#: Bytes of vectors that a cell has at most where lines cut it, and rows it may have in any case.
+HELD, LEAST = 1 << 26, 8192
+#: Pairs that a task gathers before it hands them on.
+GATHERED = 100_000
 FOUND = ("x", "y", "a", "b", "n_x", "n_y", "distance")
 
 
@@ -135,10 +143,10 @@ def _cut(rows: DataFrame, line: int, reach: float) -> DataFrame:
 
     Cells that one piece would hold whole (not `parts`) stay as they are. `spent` is the sum of squares
     of the ways a guest has gone along orthogonal lines, to the edges of the pieces it visits; a pair's distance
-    is no shorter than its root.
+    is no shorter than its root. `places` begin with that along this line, which goes.
     """
     size = 4 * reach
-    place = F.get("places", F.lit(line))
+    place = F.get("places", F.lit(0))
     piece = F.floor(place / size)
     counts = F.lit(line) < F.col("orthogonal")
     spent = F.when(counts, F.col("spent")).otherwise(0.0)
@@ -159,7 +167,7 @@ def _cut(rows: DataFrame, line: int, reach: float) -> DataFrame:
     return rows.select("*", F.explode(stays).alias("stay")).select(
         F.when(F.col("parts"), F.xxhash64("cell", F.lit(line), "stay.piece")).otherwise(F.col("cell")).alias("cell"),
         "id",
-        "places",
+        F.slice("places", F.lit(2), F.greatest(F.size("places") - 1, F.lit(0))).alias("places"),
         "orthogonal",
         F.col("stay.home").alias("home"),
         F.col("stay.spent").alias("spent"),
@@ -176,7 +184,8 @@ def _cells(placed: DataFrame, reach: float, directions: int, most: int) -> DataF
     plain = ("cell", "id", "home", F.lit(0).alias("block"), F.lit(False).alias("mixed"))
     done: DataFrame | None = None
     for line in range(directions + 1):
-        spread = F.max(F.get("places", F.lit(line))) - F.min(F.get("places", F.lit(line)))
+        place = F.get("places", F.lit(0))
+        spread = F.max(place) - F.min(place)
         sizes = rows.groupBy("cell").agg(
             F.count(F.lit(1)).alias("n_rows"), (spread > 4 * reach).alias("parts"), F.max("home").alias("homes")
         )
@@ -204,50 +213,120 @@ def _blocks(rows: DataFrame, most: int) -> DataFrame:
     )
 
 
-def _within(distance: float):
-    """A function of the rows of one share of the cells, returning its pairs."""
+def _near(
+    rows: np.ndarray, places: np.ndarray, orthogonal: int, home: np.ndarray, reach: float, distance: float, most: int
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, distance) of the pairs of a cell's rows, at least one of them at home there.
 
-    def pairs(rows: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        for _, cell in rows.groupby("cell", sort=False):
-            if len(cell) > 1 and cell["home"].any():
-                found += _pairs_of_cell(cell, distance)
-        if not found:
-            return pd.DataFrame({name: [] for name in FOUND})
-        return pd.DataFrame({name: np.concatenate(part) for name, part in zip(FOUND, zip(*found), strict=True)})
-
-    return pairs
+    Cuts along the lines in turn, as `_cells` does, into pieces of four distances or, where these hold less, half of `most` rows.
+    """
+    squares = np.einsum("ij,ij->i", rows, rows)
 
+    def compared(own: np.ndarray, guests: np.ndarray):
+        every = np.concatenate([own, guests])
+        # A product is quick but rounds; what may be within, or has no product, is measured anew by differences.
+        slack = distance * distance + 1e-9 * (1 + 2 * squares[every].max(initial=0.0))
+        for a in range(0, len(own), BLOCK):
+            left = own[a : a + BLOCK]
+            for b in range(a, len(every), BLOCK):
+                right = every[b : b + BLOCK]
+                gaps = squares[left, None] + squares[None, right] - 2 * rows[left] @ rows[right].T
+                i, j = np.nonzero(~(gaps > slack))
+                kept = i + a < j + b
+                i, j = left[i[kept]], right[j[kept]]
+                exact = np.sqrt(((rows[i] - rows[j]) ** 2).sum(1))
+                near = exact <= distance
+                yield i[near], j[near], exact[near]
+
+    def cut(own: np.ndarray, guests: np.ndarray, spent: np.ndarray, line: int):
+        """Pairs of own rows and of own rows and guests; `spent` is as in `_cut`."""
+        if not len(own) or len(own) + len(guests) < 2:
+            return
+        while line < places.shape[1] and len(own) * (len(own) + len(guests)) > most * most:
+            place = places[own, line]
+            order = np.argsort(place, kind="stable")
+            own, place = own[order], place[order]
+            starts = [0]
+            while (end := max(np.searchsorted(place, place[starts[-1]] + 4 * reach), starts[-1] + max(most // 2, 1))) < len(own):
+                starts.append(int(np.searchsorted(place, place[end])))
+                if starts[-1] == starts[-2]:  # the rest of a piece of equal places
+                    starts[-1] = int(np.searchsorted(place, place[end], "right"))
+            starts = [x for x in starts if x < len(own)]
+            visits = places[guests, line]
+            for first, last in pairwise([*starts, len(own)]):
+                low, high = place[first], place[last - 1]
+                above = slice(last, int(np.searchsorted(place, high + reach, "right")))
+                way = np.maximum(np.maximum(low - visits, visits - high), 0.0) ** 2
+                gone = spent + way if line < orthogonal else np.maximum(spent, way)
+                stays = gone <= reach * reach
+                if len(starts) == 1:
+                    guests, spent = guests[stays], gone[stays]
+                else:
+                    yield from cut(
+                        own[first:last],
+                        np.concatenate([own[above], guests[stays]]),
+                        np.concatenate([(place[above] - high) ** 2, gone[stays]]),
+                        line + 1,
+                    )
+            if len(starts) > 1:
+                return
+            line += 1
+        yield from compared(own, guests)
+
+    every = np.arange(len(rows))
+    yield from cut(every[home], every[~home], np.zeros(int((~home).sum())), 0)
+
+
+def _search(distance: float, reach: float, directions: int, most: int, seed: int):
+    """A function of batches of rows in order of their cells, returning the pairs of each cell."""
+
+    def of_cell(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell = pa.Table.from_batches(parts).combine_chunks()
+        home = cell["home"].to_numpy()
+        if len(home) < 2 or not home.any():
+            return
+        ids, block = cell["id"].to_numpy(), cell["block"].to_numpy()
+        mixed = cell["mixed"][0].as_py()
+        rows = cell["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(home), -1)
+        lines = _lines(rows.shape[1], directions, seed) if rows.size else np.zeros((0, directions))
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def gathered() -> pa.RecordBatch:
+            i, j, exact = (np.concatenate(part) for part in zip(*held, strict=True))
+            held.clear()
+            i, j = np.where(ids[i] < ids[j], (i, j), (j, i))
+            both = [cell[c].combine_chunks().take(pa.array(at)) for c in ("id", "class_id", "n_members") for at in (i, j)]
+            return pa.RecordBatch.from_arrays([*both, pa.array(exact)], names=list(FOUND))
 
-def _pairs_of_cell(cell: pd.DataFrame, distance: float) -> list[tuple[np.ndarray, ...]]:
-    cell = cell.sort_values("home", ascending=False, kind="stable")
-    ids, named, members = (cell[c].to_numpy() for c in ("id", "class_id", "n_members"))
-    home = cell["home"].to_numpy(dtype=bool)
-    block = cell["block"].to_numpy()
-    mixed = bool(cell["mixed"].iloc[0])
-    rows = np.stack(cell["vector"].to_numpy()).astype("float64")
-    squares = np.einsum("ij,ij->i", rows, rows)
-    # A product is quick but rounds; what may be within is measured anew by differences.
-    slack = distance * distance + 1e-9 * (1 + 2 * squares.max(initial=0.0))
-    n_home = int(home.sum())
-    out = []
-    for a in range(0, n_home, BLOCK):
-        left = slice(a, min(a + BLOCK, n_home))
-        for b in range(a, len(rows), BLOCK):
-            right = slice(b, min(b + BLOCK, len(rows)))
-            gaps = squares[left, None] + squares[None, right] - 2 * rows[left] @ rows[right].T
-            i, j = np.nonzero(gaps <= slack)
-            i, j = i + a, j + b
-            kept = i < j
+        near = _near(rows, rows @ lines, min(rows.shape[1], directions), home, reach, distance, most)
+        for i, j, exact in near:
             if mixed:
-                kept &= block[i] != block[j]
-            i, j = i[kept], j[kept]
-            exact = np.sqrt(((rows[i] - rows[j]) ** 2).sum(1))
-            near = exact <= distance
-            i, j, exact = i[near], j[near], exact[near]
-            i, j = np.where(ids[i] < ids[j], (i, j), (j, i))
-            out.append((ids[i], ids[j], named[i], named[j], members[i], members[j], exact))
-    return out
+                kept = block[i] != block[j]
+                i, j, exact = i[kept], j[kept], exact[kept]
+            if len(i):
+                held.append((i, j, exact))
+            if sum(len(part[0]) for part in held) >= GATHERED:
+                yield gathered()
+        if held:
+            yield gathered()
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[pa.RecordBatch] = []
+        current = None
+        for batch in batches:
+            cells = batch.column("cell").to_numpy()
+            ends = np.flatnonzero(np.diff(cells)) + 1
+            for first, last in pairwise([0, *ends.tolist(), len(cells)]):
+                if parts and cells[first] != current:
+                    yield from of_cell(parts)
+                    parts = []
+                if last > first:
+                    current = cells[first]
+                    parts.append(batch.slice(first, last - first))
+        if parts:
+            yield from of_cell(parts)
+
+    return pairs
 
 
 def _chunks_of(number: str):
@@ -320,16 +399,25 @@ def similar_pairs(
     rows = usable(vectors, id_column, vector_column)
     classes = _representatives(rows).withColumn("id", F.monotonically_increasing_id())
     placed = stage(_placed(classes, directions, tables, projections, width, seed), "placed-vectors")
-    cells = stage(_cells(placed, reach, directions, most), "vector-cells")
-    shares = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-cells.count() // most))
+    largest = F.array_max(F.transform("vector", F.abs))
+    n_rows, dim, component = placed.agg(F.count(F.lit(1)), F.max(F.size("vector")), F.max(largest)).head()
+    # Places are sums of products and round; so much do two vectors seem farther apart at most.
+    dim, component = max(dim or 0, 1), component or 0.0
+    reach += 4 * (dim + 4) * float(np.finfo(float).eps) * math.sqrt(dim) * component
+    held = max(most, min(HELD // (8 * dim), max(LEAST, -(-n_rows // 16))))
+    path = new_folder(spark, "vector-cells")
+    with run_folder(spark, "cutting"):  # what was cut on the way goes
+        cells = stage_at(_cells(placed, reach, directions, held), path)
+    shares = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-4 * cells.count() // held))
     compared = (
         cells.join(placed.select("id", "vector", "class_id", "n_members"), "id")
-        .withColumn("share", F.pmod("cell", F.lit(shares)))
-        .repartition(shares, "share")
+        .repartition(shares, "cell")
+        .sortWithinPartitions("cell")
     )
     kind = placed.schema["class_id"].dataType.simpleString()
-    found = compared.groupBy("share").applyInPandas(
-        _within(distance), f"x long, y long, a {kind}, b {kind}, n_x long, n_y long, distance double"
+    found = compared.mapInArrow(
+        _search(distance, reach, directions, most, seed),
+        f"x long, y long, a {kind}, b {kind}, n_x long, n_y long, distance double",
     )
     if projections and tables > 1:
         found = found.distinct()

@@ -178,3 +178,42 @@ def test_query_finds_the_pairs_of_equal_vectors(spark, tmp_path):
     both = [(i, np.array(v, dtype="float32").astype(float)) for i, v, _ in rows]
     both += [(-i - 1, v + np.eye(64)[i % 64] * (i % 10 + 1) / 100) for i, v in both]
     assert sorted((r.id_a, r.id_b) for r in got) == pairs_of_all_rows(both, 0.065)
+
+
+def test_vectors_move_a_few_times_and_are_cut_on_in_the_tasks(spark, monkeypatch):
+    points = np.random.default_rng(12).normal(size=(3000, 32))
+    points /= np.linalg.norm(points, axis=1)[:, None]
+    points[::30] = points[1::30] + 0.01  # pairs 0.057 apart
+    rows = [(i, p.tolist()) for i, p in enumerate(points)]
+    made = []
+    original = similar._cells
+
+    def counted(*given):
+        made.append((cells := original(*given)).count())
+        return cells
+
+    monkeypatch.setattr(similar, "_cells", counted)
+    assert found_pairs(spark, rows, 0.07, most=32).keys() == plain_pairs(rows, 0.07).keys()
+    assert made[-1] == 3000
+    monkeypatch.setattr(similar, "LEAST", 1)  # cut between tasks, then in them
+    found = found_pairs(spark, rows, 0.07, most=32)
+    assert found.keys() == plain_pairs(rows, 0.07).keys() and len(found) >= 100
+    assert 3000 < made[-1] < 12_000
+
+
+@pytest.mark.parametrize("most, least", [(8, 1), (8, 100), (64, 1), (600, 1)])
+def test_all_pairs_are_found_however_tasks_share_the_cutting(spark, monkeypatch, most, least):
+    monkeypatch.setattr(similar, "LEAST", least)
+    monkeypatch.setattr(similar, "GATHERED", 20)
+    rows = clustered(21, dim=3)
+    rows += [(i + 1000, [x * 0.01 for x in v]) for i, v in rows[:150]]  # no line cuts these
+    rows += [(2000, [1e3, 1e3, 1e3]), (2001, [1e3, 1e3, 1e3 + 0.05])]
+    expected = plain_pairs(rows, 0.1)
+    found = found_pairs(spark, rows, 0.1, most=most, directions=5)
+    assert found.keys() == expected.keys() and (2000, 2001) in found
+    assert all(abs(found[k] - expected[k]) < 1e-12 for k in found)
+
+
+def test_one_huge_vector_hides_no_pair(spark):
+    rows = [(0, [1e200, 0.0]), (1, [0.0, 0.0]), (2, [0.0, 0.05]), (3, [9.0, 0.0])]
+    assert found_pairs(spark, rows, 0.1, most=2).keys() == {(1, 2)}
