@@ -230,6 +230,7 @@ def best_kmeans(
     finalists: int = 3,
     layout_column: str | None = None,
     partitions: int = 16,
+    copies_column: str | None = None,
 ) -> tuple[KMeansModel | None, list[float]]:
     """The cheapest of several k-means fits, and the cost of each.
 
@@ -243,16 +244,27 @@ def best_kmeans(
     depends on their order. So equal data and settings give equal labels, on any
     number of cores and from any layout.
 
+    Rows where `copies_column` is true become one point for each vector they hold, which
+    weighs as much as there are of them: centres and costs are those of all rows.
+
     The number of clusters is lowered to the number of distinct vectors if that
     is smaller. There is no model when that leaves a single cluster.
     """
-    spread = F.xxhash64(layout_column or vector_to_array(column))
+    spread = F.xxhash64(layout_column or vector_to_array(column)).alias("__spread")
+    rows = df.select(column, spread)
+    weights = {}
+    if copies_column:
+        is_copy, weights = F.coalesce(copies_column, F.lit(False)), {"weightCol": "__weight"}
+        copies = df.where(is_copy).groupBy(vector_to_array(column).alias("__values"))
+        folded = copies.agg(F.count(F.lit(1)).cast("double").alias("__weight")).select(
+            array_to_vector("__values").alias(column), F.xxhash64("__values").alias("__spread"), "__weight"
+        )
+        rows = df.where(~is_copy).select(column, spread, F.lit(1.0).alias("__weight")).unionByName(folded)
     # One stored copy for all fits; each would otherwise store its own.
     points = (
-        df.select(column, spread.alias("__spread"))
-        .repartition(partitions, "__spread")
+        rows.repartition(partitions, "__spread")
         .sortWithinPartitions("__spread")
-        .select(column)
+        .drop("__spread")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     try:
@@ -261,7 +273,7 @@ def best_kmeans(
             return None, []
 
         def fitted(chosen: list[int], iterations: int) -> dict[int, KMeansModel]:
-            common = {"k": k, "featuresCol": column, "predictionCol": "cluster_label"}
+            common = {"k": k, "featuresCol": column, "predictionCol": "cluster_label", **weights}
             estimators = [KMeans(seed=s, maxIter=iterations, **common) for s in chosen]
             fit = inheritable_thread_target(df.sparkSession)(lambda e: e.fit(points))
             with ThreadPool(min(parallelism or len(chosen), len(chosen))) as pool:
@@ -284,11 +296,13 @@ def row_hash(df: DataFrame, column: Column) -> Column:
     return F.xxhash64(column, *plain)
 
 
-def spread_copies(df: DataFrame) -> DataFrame:
-    """`df` with `__spread`: `__same`, or `__own` where more than `COPIES` rows share their `__same`."""
-    many = df.groupBy("__same").count().where(F.col("count") > COPIES).select("__same", F.lit(True).alias("__many"))
+def spread_copies(df: DataFrame) -> tuple[DataFrame, bool]:
+    """`df` with `__spread`: `__same`, or `__own` where `__many`, more than `COPIES` rows, share their `__same`; and whether any do."""
+    counts = df.groupBy("__same").count().where(F.col("count") > COPIES)
+    many = stage(counts.select("__same", F.lit(True).alias("__many")), "copies")
     spread = F.when(F.col("__many"), F.col("__own")).otherwise(F.col("__same"))
-    return df.join(many, "__same", "left").withColumn("__spread", spread).drop("__same", "__own", "__many")
+    dealt = df.join(many, "__same", "left").withColumn("__spread", spread).drop("__same", "__own")
+    return dealt, not many.isEmpty()
 
 
 @dataclass(frozen=True)
@@ -360,7 +374,8 @@ def cluster_comments(
         vectors = project_words(weighted, "__weights", "__features", config.n_dimensions)
         vectors = vectors.drop("__counts", "__weights")
     # The same tasks hold the same rows whatever the machine; all steps below add up in that order.
-    features = spread_copies(vectors).repartition(partitions, "__spread").sortWithinPartitions("__spread")
+    dealt, any_copies = spread_copies(vectors)
+    features = dealt.repartition(partitions, "__spread").sortWithinPartitions("__spread")
     if not vector_column:
         features = stage(features, "features")
     reduction = reduce_dimensions(features, "__features", "__components", config.n_components)
@@ -377,6 +392,7 @@ def cluster_comments(
         finalists=config.finalists,
         layout_column="__spread",
         partitions=partitions,
+        copies_column="__many" if any_copies else None,
     )
     if kmeans is None:
         single = placed.withColumn("cluster_label", F.lit(0))

@@ -268,3 +268,30 @@ def test_encoder_is_loaded_once_per_worker(tmp_path):
     run = [sys.executable, "-c", ENCODER_RUN, str(log)]
     subprocess.run(run, check=True, timeout=300, cwd=root, env=environment, capture_output=True)
     assert 1 <= len(log.read_text()) <= 4
+
+
+def test_many_copies_weigh_as_much_as_their_rows(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    vectors = [[0.0, 0.0]] * 900 + [[4.0, 0.0]] * 300 + (rng.normal(size=(60, 2)) + [2.0, 9.0]).tolist() + [[0.5, 0.5]] * 40
+    df = spark.createDataFrame([(i, "t", v) for i, v in enumerate(vectors)], "comment_id long, text string, v array<double>")
+    rows, fits = [], []
+    original = embedding.KMeans
+
+    def watched(**settings):
+        made = original(**settings)
+        fit = made.fit
+        made.fit = lambda points: (rows.append(points.count()), fits.append(fit(points)), fits[-1])[-1]
+        return made
+
+    monkeypatch.setattr(embedding, "KMeans", watched)
+    monkeypatch.setattr(embedding, "COPIES", 100)
+    config = ClusterSettings(n_clusters=3, restarts=4, partitions=3)
+    found = embedding.cluster_comments(df, vector_column="v", config=config)
+    assert set(rows) == {102}  # two vectors that come more than a hundred times, and 100 rows
+    labels = [r.cluster_label for r in found.table.orderBy("comment_id").collect()]
+    groups = [set(labels[:900]) | set(labels[1260:]), set(labels[900:1200]), set(labels[1200:1260])]
+    assert [len(g) for g in groups] == [1, 1, 1] and len(set.union(*groups)) == 3
+    # The cost is that of all rows about the means of the three groups.
+    points = np.array(vectors)
+    parts = [np.vstack([points[:900], points[1260:]]), points[900:1200], points[1200:1260]]
+    assert min(found.costs) == pytest.approx(sum(((p - p.mean(0)) ** 2).sum() for p in parts), rel=1e-6)
