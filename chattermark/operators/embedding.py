@@ -16,7 +16,8 @@ from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel, inheritable_thread_target
+import pyarrow.compute as pc
+from pyspark import StorageLevel, TaskContext, inheritable_thread_target
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import IDF, PCA, HashingTF, RegexTokenizer, StandardScaler
@@ -34,6 +35,8 @@ Encoder = Callable[[list[str]], "list[list[float]]"]
 
 #: Points that a task of a fit holds at most, on average; copies of one text or vector that go to one task.
 POINTS, COPIES = 200_000, 10_000
+#: From so many rows on, the covariance of vectors of at most so many dimensions is added up by blocks of rows.
+BLOCKED, BLOCKED_WIDTH, BLOCK = 100_000, 1024, 4096
 
 
 def hashed_words(
@@ -168,25 +171,111 @@ class Reduction:
         return float(sum(self.explained_variance))
 
 
+def _sums_of_products(column: str):
+    """A function of batches of vectors: the sums of all products of two places, of each place, and the number of rows."""
+
+    def blocks(vectors: pa.StructArray, width: int | None) -> Iterator[np.ndarray]:
+        """Rows that hold anything, as matrices."""
+        values = vectors.field("values")
+        each = values.value_lengths().to_numpy(zero_copy_only=False)
+        ends = np.append(0, np.cumsum(each))
+        flat = values.flatten().to_numpy(zero_copy_only=False)
+        if width is None:
+            where = vectors.field("indices").flatten().to_numpy(zero_copy_only=False)
+            width = vectors.field("size")[0].as_py() if len(vectors) else 0
+        else:
+            where = np.tile(np.arange(width), len(vectors))
+        for first in range(0, len(vectors), BLOCK):
+            last = min(first + BLOCK, len(vectors))
+            some = np.zeros((last - first, width))
+            part = slice(ends[first], ends[last])
+            some[np.repeat(np.arange(last - first), each[first:last]), where[part]] = flat[part]
+            yield some
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        products = totals = None
+        n_rows = 0
+        for batch in batches:
+            vectors = batch.column(column)
+            n_rows += len(vectors)
+            lengths = vectors.field("values").value_lengths().to_numpy(zero_copy_only=False)
+            sparse = vectors.field("type").to_numpy(zero_copy_only=False) == 0
+            sizes = {*pc.unique(vectors.field("size")).drop_null().to_pylist(), *lengths[~sparse].tolist()}
+            if len(sizes) > 1 or products is not None and sizes != {len(totals)}:
+                raise ValueError(f"vectors differ in length: {sorted(sizes)}")
+            if products is None:
+                width = sizes.pop()
+                products, totals = np.zeros((width, width)), np.zeros(width)
+            for kind, length in ((sparse & (lengths > 0), None), (~sparse, len(totals))):
+                for some in blocks(vectors.filter(pa.array(kind)), length):
+                    products += some.T @ some
+                    totals += some.sum(0)
+        if n_rows:
+            rows = [*products, totals, np.array([float(n_rows)])]
+            task = TaskContext.get().partitionId()
+            names = ["place", "task", "sums"]
+            for first in range(0, len(rows), 64):
+                some = rows[first : first + 64]
+                places = pa.array(np.arange(first, first + len(some)))
+                yield pa.RecordBatch.from_arrays([places, pa.array([task] * len(some)), pa.array(some)], names=names)
+
+    return summed
+
+
+def _of_all_tasks(table: pa.Table) -> pa.Table:
+    """The sums of one place, added up in the order of the tasks."""
+    table = table.sort_by("task")
+    added = np.zeros(len(table["sums"][0]))
+    for sums in table["sums"]:
+        added += sums.values.to_numpy()
+    return pa.table({"place": table["place"][:1], "sums": pa.array([added])})
+
+
+def rows_of_same_covariance(df: DataFrame, column: str) -> DataFrame:
+    """Few rows, two for each dimension, with mean zero and the covariance of a vector column.
+
+    A row of many words costs Spark's own sum of products the square of their number, one by one; blocks of
+    rows are multiplied some ten times as fast. Each task sends one matrix, whose rows are added up in
+    as many groups.
+    """
+    sums = df.select(F.unwrap_udt(column).alias("vector")).where("vector IS NOT NULL").mapInArrow(
+        _sums_of_products("vector"), "place long, task long, sums array<double>"
+    )
+    added = sums.groupBy("place").applyInArrow(_of_all_tasks, "place long, sums array<double>").toArrow()
+    *products, totals, (n_rows,) = added.sort_by("place")["sums"].to_pylist()
+    mean = np.array(totals) / n_rows
+    covariance = (np.array(products) - n_rows * np.outer(mean, mean)) / max(n_rows - 1, 1)
+    variances, directions = np.linalg.eigh((covariance + covariance.T) / 2)
+    rows = (directions * np.sqrt(np.maximum(variances, 0.0) * (len(mean) - 0.5))).T
+    both = [(i, row.tolist()) for i, row in enumerate(np.vstack([rows, -rows]))]
+    table = df.sparkSession.createDataFrame(both, "id long, row array<double>")
+    return table.select(array_to_vector("row").alias(column))
+
+
 def reduce_dimensions(
     df: DataFrame,
     input_column: str = "features",
     output_column: str = "components",
     n_components: int = settings.DEFAULT_COMPONENTS,
+    n_rows: int = 0,
 ) -> Reduction:
     """Adds the first principal components, centred.
 
     The model projects without subtracting the mean, so the mean is taken off
     the short projected vectors instead: the result is the same, and sparse
-    input stays sparse. Component signs are arbitrary.
+    input stays sparse. Component signs are arbitrary. Where `n_rows` says that there are many rows,
+    components are taken of few rows with the same covariance.
     """
     head = df.select(input_column).head()
     if head is None:
         raise ValueError("no vectors to reduce")
     k = min(n_components, len(head[0]))
+    pca = PCA(k=k, inputCol=input_column, outputCol="__projected")
+    if n_rows >= BLOCKED and len(head[0]) <= BLOCKED_WIDTH:
+        pca = pca.fit(rows_of_same_covariance(df, input_column))
     model = Pipeline(
         stages=[
-            PCA(k=k, inputCol=input_column, outputCol="__projected"),
+            pca,
             StandardScaler(
                 withMean=True, withStd=False, inputCol="__projected", outputCol=output_column
             ),
@@ -378,7 +467,7 @@ def cluster_comments(
     features = dealt.repartition(partitions, "__spread").sortWithinPartitions("__spread")
     if not vector_column:
         features = stage(features, "features")
-    reduction = reduce_dimensions(features, "__features", "__components", config.n_components)
+    reduction = reduce_dimensions(features, "__features", "__components", config.n_components, rows)
     models.append(reduction.model)
     placed = with_projection(reduction.table, "__components")
     kmeans, costs = best_kmeans(

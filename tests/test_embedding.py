@@ -6,6 +6,7 @@ from pathlib import Path
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from chattermark.operators import embedding
@@ -295,3 +296,25 @@ def test_many_copies_weigh_as_much_as_their_rows(spark, monkeypatch):
     points = np.array(vectors)
     parts = [np.vstack([points[:900], points[1260:]]), points[900:1200], points[1200:1260]]
     assert min(found.costs) == pytest.approx(sum(((p - p.mean(0)) ** 2).sum() for p in parts), rel=1e-6)
+
+
+def test_components_of_many_rows_are_those_of_all_rows(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    points = rng.normal(size=(700, 6)) * [5.0, 3.0, 2.0, 1.0, 0.5, 0.1] + [9.0, 0.0, -4.0, 1.0, 0.0, 2.0]
+    points[::3, 1:4] = 0.0
+    points[::7] = 0.0
+    rows = [(i, Vectors.dense(p) if i % 2 else Vectors.sparse(6, {j: x for j, x in enumerate(p) if x})) for i, p in enumerate(points.tolist())]
+    df = spark.createDataFrame(rows, ["id", "features"]).repartition(5)
+    monkeypatch.setattr(embedding, "BLOCK", 64)
+    monkeypatch.setattr(embedding, "BLOCKED", 500)
+    few = embedding.rows_of_same_covariance(df, "features")
+    assert few.count() == 12
+    held = np.array([r.features.toArray() for r in few.collect()])
+    assert np.cov(held.T) == pytest.approx(np.cov(points.T), abs=1e-12)
+    plain, blocked = (embedding.reduce_dimensions(df, n_components=4, n_rows=n) for n in (0, 700))
+    assert blocked.explained_variance == pytest.approx(plain.explained_variance, abs=1e-12)
+    a, b = (np.array([r.components.toArray() for r in x.table.orderBy("id").collect()]) for x in (plain, blocked))
+    assert np.abs(a) == pytest.approx(np.abs(b), abs=1e-9)
+    mixed = df.unionByName(spark.createDataFrame([(900, Vectors.dense([1.0, 2.0]))], ["id", "features"])).coalesce(1)
+    with pytest.raises(Exception, match="differ in length"):
+        embedding.rows_of_same_covariance(mixed, "features")
