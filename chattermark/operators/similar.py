@@ -221,6 +221,7 @@ def _near(
     Cuts along the lines in turn, as `_cells` does, into pieces of four distances or, where these hold less, half of `most` rows.
     """
     squares = np.einsum("ij,ij->i", rows, rows)
+    some = max(1, 8 * BLOCK * BLOCK // max(rows.shape[1], 1))  # differences at once, as many numbers as eight blocks have
 
     def compared(own: np.ndarray, guests: np.ndarray):
         every = np.concatenate([own, guests])
@@ -234,9 +235,11 @@ def _near(
                 i, j = np.nonzero(~(gaps > slack))
                 kept = i + a < j + b
                 i, j = left[i[kept]], right[j[kept]]
-                exact = np.sqrt(((rows[i] - rows[j]) ** 2).sum(1))
-                near = exact <= distance
-                yield i[near], j[near], exact[near]
+                for first in range(0, len(i), some):
+                    x, y = i[first : first + some], j[first : first + some]
+                    exact = np.sqrt(((rows[x] - rows[y]) ** 2).sum(1))
+                    near = exact <= distance
+                    yield x[near], y[near], exact[near]
 
     def cut(own: np.ndarray, guests: np.ndarray, spent: np.ndarray, line: int):
         """Pairs of own rows and of own rows and guests; `spent` is as in `_cut`."""
